@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scanlake.functions.binding import bound
 from scanlake.functions.jsontext import WHITESPACE, is_single_object
 
 NANOS_PER_SECOND = 1_000_000_000
@@ -112,25 +113,21 @@ def item_label(item: Column) -> Column:
     a numeric org is no org.
     """
     fields = F.when(is_single_object(item), F.from_json(item, "map<string,variant>"))
-    org, name = _text(fields, "org"), _text(fields, "name")
-    url = _text(fields, "url")
-    parts = F.split(url, "/")
-    texts = F.filter(
-        F.map_entries(fields),
-        lambda e: _is_text(e["value"]) & (F.variant_get(e["value"], "$", "string") != ""),
-    )
-    first = F.array_min(
-        F.transform(
-            texts,
-            lambda e: F.struct(e["key"].alias("k"), F.variant_get(e["value"], "$", "string").alias("v")),
-        )
+    return F.coalesce(bound(fields, _field_label), cut_bytes(item, 50))
+
+
+def _field_label(fields: Column) -> Column:
+    org, name, url = _text(fields, "org"), _text(fields, "name"), _text(fields, "url")
+    texts = F.transform(
+        F.filter(F.map_entries(fields), lambda e: _is_text(e["value"])),
+        lambda e: F.struct(e["key"].alias("k"), F.variant_get(e["value"], "$", "string").alias("v")),
     )
+    first = F.array_min(F.filter(texts, lambda e: e["v"] != ""))
     return F.coalesce(
         F.concat(org, F.lit("/"), name),
         _text(fields, "repository"),
-        F.when(F.size(parts) >= 2, F.concat_ws("/", F.slice(parts, -2, 2))).otherwise(url),
+        F.when(F.contains(url, F.lit("/")), F.concat_ws("/", F.slice(F.split(url, "/"), -2, 2))).otherwise(url),
         F.concat(first["k"], F.lit(": "), first["v"]),
-        cut_bytes(item, 50),
     )
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scanlake.functions.binding import bound
+
 SEVERITIES = ("critical", "high", "medium", "low")
 
 
@@ -38,14 +40,18 @@ def severity_counts(vulnerabilities: Column, band_scores: bool = False) -> Colum
         F.transform(vulnerabilities, lambda v: severity_level(v["severity"], band_scores)),
         F.array().cast("array<string>"),
     )
-    return F.struct(
-        *[
-            F.size(F.filter(levels, lambda x, name=name: x == name)).alias(f"{name}_count")
-            for name in (*SEVERITIES, "unknown")
-        ]
+    return bound(
+        levels,
+        lambda found: F.struct(
+            *[_occurrences(found, name).alias(f"{name}_count") for name in (*SEVERITIES, "unknown")]
+        ),
     )
 
 
+def _occurrences(words: Column, word: str) -> Column:
+    return F.size(F.filter(words, lambda x: x == word))
+
+
 def scan_status(
     kind: str, count: Column, error: Column | None = None, timed_out: Column | None = None
 ) -> Column:

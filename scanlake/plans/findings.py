@@ -278,16 +278,16 @@ def secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     "secret_documents",
     """
     WITH l AS (SELECT *, 'org' || l_suppkey AS org, 'repo' || l_partkey AS repo,
-                      strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS at FROM lineitem)
+                      strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS stamp FROM lineitem)
     SELECT 'secrets' AS "index", org || '_' || repo || '_' || md5(CAST(l_partkey AS VARCHAR)) || '_' || (k * 10 + l_linenumber) || '_' || (k - 1) AS id,
            org AS organization, repo AS repository, 'T' || l_returnflag || k AS secret_type, 'Found ' || k AS description,
            'f' || l_suppkey AS file_path, CAST(k * 10 + l_linenumber AS INTEGER) AS line_number,
            md5(CAST(l_partkey AS VARCHAR)) AS commit_hash, 'high' AS confidence, k % 2 = 1 AS validated,
-           at AS scanned_at, at AS processed_at, 'success' AS scan_status, l_linenumber AS worker_id
+           stamp AS scanned_at, stamp AS processed_at, 'success' AS scan_status, l_linenumber AS worker_id
     FROM l, generate_series(1, 3) AS ks(k) WHERE k <= l_linenumber % 4
     UNION ALL
     SELECT 'secrets', org || '_' || repo || '_summary_' || CAST(epoch(l_shipdate) AS BIGINT), org, repo,
-           'NO_SECRETS_FOUND', 'No secrets found in repository', '', 0, '', '', false, at, at, 'no_secrets', l_linenumber
+           'NO_SECRETS_FOUND', 'No secrets found in repository', '', 0, '', '', false, stamp, stamp, 'no_secrets', l_linenumber
     FROM l WHERE l_linenumber % 4 = 0
     """,
 )

@@ -41,29 +41,37 @@ def decode_records(
     array stays null. ``strict`` also rejects a number where text is expected, and times
     that are not RFC 3339. The text ``null`` is an empty record. Keys match by case.
     """
-    parsed = _parsed(df, schema, strict, value)
-    fields = [_filled(F.col("_record")[f.name], f.dataType, strict).alias(f.name) for f in schema]
-    return parsed.filter("_valid").select(*keep, *fields)
+    records = df.select(*keep, F.inline(_valid_records(schema, strict, value)))
+    # A projection above the generator: only fields that are used later are filled.
+    return records.select(
+        *keep, *[_filled(F.col(f.name), f.dataType, strict).alias(f.name) for f in schema]
+    )
 
 
 def reject_records(
     df: DataFrame, schema: T.StructType, strict: bool = True, value: str = "value"
 ) -> DataFrame:
     """The rows ``decode_records`` leaves out, unchanged: the quarantine."""
-    return _parsed(df, schema, strict, value).filter("NOT _valid").select(*df.columns)
+    return df.filter(F.coalesce(F.size(_valid_records(schema, strict, value)), F.lit(0)) == 0)
 
 
-def _parsed(df: DataFrame, schema: T.StructType, strict: bool, value: str) -> DataFrame:
-    text = F.when(F.trim(F.col(value), F.lit(WHITESPACE)) == "null", "{}").otherwise(F.col(value))
+def _valid_records(schema: T.StructType, strict: bool, value: str) -> Column:
+    """Array with the parsed record, or an empty one: each text is parsed once."""
+    raw = F.col(value)
+    text = F.when(F.trim(raw, F.lit(WHITESPACE)) == "null", "{}").otherwise(raw)
     wire = _wire_type(schema) if strict else schema
     wire = T.StructType([*wire.fields, T.StructField(_CORRUPT, T.StringType())])
     record = F.from_json(
         text, wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    valid = F.col("_record").isNotNull() & F.col("_record")[_CORRUPT].isNull() & is_single_object(text)
-    if strict:
-        valid &= _well_typed(F.col("_record"), schema)
-    return df.withColumn("_record", record).withColumn("_valid", F.coalesce(valid, F.lit(False)))
+
+    def valid(parsed: Column) -> Column:
+        good = parsed.isNotNull() & parsed[_CORRUPT].isNull()
+        if strict:
+            good &= _well_typed(parsed, schema)
+        return good & is_single_object(text)
+
+    return F.filter(F.array(record), valid)
 
 
 def _wire_type(kind: T.DataType) -> T.DataType:
