@@ -4,9 +4,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-WHITESPACE = " \t\n\u000b\f\r"
-
-
 def is_single_object(text: Column) -> Column:
     """True when the text is one JSON object with nothing after it.
 
@@ -15,5 +12,5 @@ def is_single_object(text: Column) -> Column:
     byte must close an object, so a stray ``]`` cannot end the wrapping array early.
     """
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    closed = F.endswith(F.trim(text, F.lit(WHITESPACE)), F.lit("}"))
+    closed = F.endswith(text, F.lit("}")) | F.rlike(text, F.lit(r"\}\s+$"))
     return F.coalesce(alone & closed, F.lit(False))

@@ -4,38 +4,47 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scanlake.functions.binding import bound
-from scanlake.functions.jsontext import WHITESPACE, is_single_object
+from scanlake.functions.jsontext import is_single_object
 
 NANOS_PER_SECOND = 1_000_000_000
+_SPACES = " \t\n\u000b\f\r"
 
 
 def rfc3339(ts: Column) -> Column:
-    """RFC 3339 text with the fraction cut after its last non-zero digit."""
-    text = F.date_format(ts.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    return F.regexp_replace(text, r"\.?0+(Z|[+-]\d\d:\d\d)$", "$1")
+    """RFC 3339 text in UTC with the fraction cut after its last non-zero digit."""
+    utc = F.to_utc_timestamp(ts.cast("timestamp"), F.current_timezone())
+    return F.concat(F.replace(utc.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def one_decimal(value: Column, signed: bool = False) -> Column:
     """One decimal, correctly rounded from the exact binary value, exact ties to even.
 
-    ``format_string`` rounds the shortest decimal text half up, which differs on ties and
-    on values such as 0.35. Here the fraction is compared with the midpoint above its
-    first digit; 16f - m and then + 4f are exact near the midpoint, so the sign is too.
+    ``format_string`` rounds the shortest decimal text half up. That differs only next to
+    the midpoint of two results (1.25, 0.35), so only there the exact comparison runs.
     """
     number = value.cast("double")
     size = F.abs(number)
+    twenty = F.rint(size * 20)
+    near_middle = (twenty % 2 == 1) & (F.abs(size * 20 - twenty) < 1e-6)
+    exact = F.when((size < 1e15) & (near_middle | (size > 1e8)), bound(size, _rounded_at_middle))
+    text = F.coalesce(exact, F.format_string("%.1f", size))
+    return F.concat(F.when(number < 0, "-").otherwise("+" if signed else ""), text)
+
+
+def _rounded_at_middle(size: Column) -> Column:
+    """Compare the fraction f with the midpoint m/20 above its first digit.
+
+    16f - m and then + 4f are exact near the midpoint, so the sign of 20f - m is too.
+    """
     whole = F.floor(size)
     fraction = size - whole
     digit = F.floor(fraction * 10)
     side = (fraction * 16 - (digit * 2 + 1)) + fraction * 4
     up = (side > 0) | ((side == 0) & (digit % 2 == 1))
-    tenths = whole * 10 + digit + up.cast("int")
-    text = F.when(
-        size < 1e15,
-        F.format_string("%d.%d", _quotient(tenths, 10), tenths % 10),
-    ).otherwise(F.format_string("%.1f", size))
-    plus = "+" if signed else ""
-    return F.concat(F.when(number < 0, "-").otherwise(plus), text)
+    return bound(
+        whole * 10 + digit + up.cast("int"),
+        lambda tenths: F.format_string("%d.%d", _quotient(tenths, 10), tenths % 10),
+    )
 
 
 def signed_rate(rate: Column, unit: str = "") -> Column:
@@ -159,4 +168,4 @@ def parse_info(text: Column) -> Column:
 
 
 def _trimmed(text: Column) -> Column:
-    return F.trim(text, F.lit(WHITESPACE))
+    return F.trim(text, F.lit(_SPACES))

@@ -24,8 +24,8 @@ def severity_level(severity: Column, band_scores: bool = False) -> Column:
 
     A numeric score is unknown unless ``band_scores`` maps it by the CVSS v3 bands.
     """
-    word = F.lower(severity)
-    level = F.when(word.isin(*SEVERITIES), word)
+    word = F.upper(severity)
+    level = F.when(word.isin(*[name.upper() for name in SEVERITIES]), F.lower(word))
     if band_scores:
         score = severity.try_cast("double")
         # Lower bounds of the public CVSS v3 severity bands.
@@ -49,7 +49,7 @@ def severity_counts(vulnerabilities: Column, band_scores: bool = False) -> Colum
 
 
 def _occurrences(words: Column, word: str) -> Column:
-    return F.size(F.filter(words, lambda x: x == word))
+    return F.size(words) - F.size(F.array_remove(words, word))
 
 
 def scan_status(

@@ -2,39 +2,66 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scanlake.functions.binding import bound
+
 
 @dataclass(frozen=True)
 class SecretRule:
     """A named pattern tested on single lines; ``group`` holds the secret itself.
 
-    Use no look-around, back reference or ``\\A``/``\\z``: the same pattern, joined with the
-    other rules, first tests whole texts.
+    Every match must contain one of ``keywords``, in any case if the pattern starts with
+    ``(?i)``; without keywords the pattern runs on every text. Use no look-around, back
+    reference or ``\\A``/``\\z``: the pattern also tests whole texts.
     """
 
     name: str
     pattern: str
     group: int = 0
+    keywords: tuple[str, ...] = ()
 
 
 # The published shapes of common credentials.
 DEFAULT_RULES = (
-    SecretRule("AWS", r"(?:AKIA|ASIA)[0-9A-Z]{16}"),
-    SecretRule("GitHub", r"gh[pousr]_[0-9A-Za-z]{36}"),
-    SecretRule("Slack", r"xox[abprs]-[0-9A-Za-z-]{10,72}"),
-    SecretRule("PrivateKey", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    SecretRule("JWT", r"eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}"),
-    SecretRule("URI", r"[A-Za-z][0-9A-Za-z+.-]*://[^\s/:@]+:([^\s/:@]+)@", 1),
-    SecretRule("Token", r"(?i)(?:token|secret|password|api_?key) *[:=] *[\"']?([0-9a-f]{32,64})", 1),
+    SecretRule("AWS", r"(?:AKIA|ASIA)[0-9A-Z]{16}", keywords=("AKIA", "ASIA")),
+    SecretRule("GitHub", r"gh[pousr]_[0-9A-Za-z]{36}", keywords=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
+    SecretRule("Slack", r"xox[abprs]-[0-9A-Za-z-]{10,72}", keywords=("xox",)),
+    SecretRule("PrivateKey", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", keywords=("PRIVATE KEY-----",)),
+    SecretRule("JWT", r"eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}", keywords=("eyJ",)),
+    SecretRule("URI", r"[A-Za-z][0-9A-Za-z+.-]*://[^\s/:@]+:([^\s/:@]+)@", 1, ("://",)),
+    SecretRule(
+        "Token",
+        r"(?i)(?:token|secret|password|api_?key) *[:=] *[\"']?([0-9a-f]{32,64})",
+        1,
+        ("token", "secret", "password", "api_key", "apikey"),
+    ),
 )
 
 
-def any_rule(rules: Sequence[SecretRule]) -> str:
-    """One pattern that holds wherever any rule holds, for whole texts and for lines."""
-    return "(?m)" + "|".join(f"(?:{rule.pattern})" for rule in rules)
+def may_hold(text: Column, rules: Sequence[SecretRule]) -> Column:
+    """Whether any rule can match: literal searches first, patterns only where one hits.
+
+    On most texts no pattern runs at all.
+    """
+    tests = [_may_match(text, rule) for rule in rules]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _may_match(text: Column, rule: SecretRule) -> Column:
+    matches = F.rlike(text, F.lit(f"(?m){rule.pattern}"))
+    if not rule.keywords:
+        return matches
+    if rule.pattern.startswith("(?i)"):
+        return bound(F.lower(text), lambda lowered: _has_any(lowered, rule.keywords)) & matches
+    return _has_any(text, rule.keywords) & matches
+
+
+def _has_any(text: Column, words: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(word)) for word in words])
 
 
 def redact(secret: Column) -> Column:
@@ -46,20 +73,19 @@ def redact(secret: Column) -> Column:
 def find_secrets(text: Column, rules: Sequence[SecretRule] = DEFAULT_RULES) -> Column:
     """Array of (line, secret_type, match) over the whole text, in line and rule order.
 
-    One pass over the text rejects texts without any hit before lines are split.
+    Lines are split only in texts where a rule can match.
     """
-    pattern = any_rule(rules)
     numbered = F.transform(
         F.split(text, "\n"), lambda line, i: F.struct((i + 1).alias("n"), line.alias("text"))
     )
     hits = F.flatten(
         F.transform(
-            F.filter(numbered, lambda line: F.rlike(line["text"], F.lit(pattern))),
+            F.filter(numbered, lambda line: may_hold(line["text"], rules)),
             lambda line: F.concat(*[_rule_hits(line, rule) for rule in rules]),
         )
     )
     none = F.array().cast("array<struct<line:int,secret_type:string,match:string>>")
-    return F.when(F.rlike(text, F.lit(pattern)), hits).otherwise(none)
+    return F.when(may_hold(text, rules), hits).otherwise(none)
 
 
 def _rule_hits(line: Column, rule: SecretRule) -> Column:

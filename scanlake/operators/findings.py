@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scanlake import schemas
 from scanlake.functions import nested
-from scanlake.functions.secrets import DEFAULT_RULES, SecretRule, any_rule, find_secrets, redact
+from scanlake.functions.secrets import DEFAULT_RULES, SecretRule, find_secrets, may_hold, redact
 from scanlake.sources.records import decode_records
 
 # Fixed value: longest output line of the secret scanner that is still read.
@@ -155,7 +155,7 @@ def detect_secrets(
     its hash is listed. Lines are never shuffled: one scan, one filter, one explode; only
     findings meet the hash table.
     """
-    hits = docs.filter(F.rlike(F.col(text), F.lit(any_rule(rules)))).select(
+    hits = docs.filter(may_hold(F.col(text), rules)).select(
         *keep, F.posexplode(find_secrets(F.col(text), rules)).alias("finding_no", "f")
     )
     found = hits.select(

@@ -13,9 +13,9 @@ from scanlake.sources.tables import table
 FINDINGS = Registry()
 
 
-def upto(count: Column) -> Column:
-    """1..count, empty for 0."""
-    return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+def first_of(count: Column, *items: Column) -> Column:
+    """The first ``count`` of the items as an array."""
+    return F.slice(F.array(*items), F.lit(1), count)
 
 
 def text_of(*parts) -> Column:
@@ -53,7 +53,8 @@ def secret_findings(spark: SparkSession, sf: str) -> DataFrame:
             F.when(F.col("l_discount") > 0.05, "invalid token").alias("VerificationError"),
         )
     )
-    output = text_of("{invalid json}\n", line, '\n\n{"DetectorName":"Plain"}')
+    broken = F.when(F.col("l_partkey") % 10 == 0, "{invalid json}").otherwise("")
+    output = text_of(broken, "\n", line, '\n\n{"DetectorName":"Plain"}')
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", output.alias("value"))
     return ops.parse_secret_lines(rows, keep=["l_orderkey", "l_partkey"])
 
@@ -61,7 +62,7 @@ def secret_findings(spark: SparkSession, sf: str) -> DataFrame:
 def reports(spark: SparkSession, sf: str) -> DataFrame:
     """One report per line item: one source, 1-2 packages, 0-2 vulnerabilities each."""
 
-    def vulnerability(p: Column, v: Column) -> Column:
+    def vulnerability(p: int, v: int) -> Column:
         part = F.col("l_partkey")
         scores = F.array(F.struct(F.lit("CVSS_V3").alias("type"), F.lit("7.4").alias("score")))
         none = F.array().cast("array<struct<type:string,score:string>>")
@@ -69,25 +70,24 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
             text_of("V-", part, "-", p, "-", v).alias("id"),
             text_of("summary ", v).alias("summary"),
             F.lit("details").alias("details"),
-            F.when(v == 1, F.array(F.lit("CVE"), text_of("GHSA-", part), text_of("CVE-", part)))
-            .otherwise(F.array().cast("array<string>"))
-            .alias("aliases"),
+            (F.array(F.lit("CVE"), text_of("GHSA-", part), text_of("CVE-", part)) if v == 1
+             else F.array().cast("array<string>")).alias("aliases"),
             F.array(text_of("CWE-", v)).alias("cwe"),
             F.when(F.col("l_returnflag") == "R", scores).otherwise(none).alias("severity"),
         )
 
-    def package(p: Column) -> Column:
+    def package(p: int) -> Column:
         return F.struct(
             F.struct(
                 text_of("part", F.col("l_partkey")).alias("name"),
                 text_of(F.col("l_linenumber"), ".", p).alias("version"),
                 F.lit("npm").alias("ecosystem"),
             ).alias("package"),
-            F.transform(upto(F.col("l_linenumber") % 3), lambda v: vulnerability(p, v)).alias("vulnerabilities"),
+            first_of(F.col("l_linenumber") % 3, *[vulnerability(p, v) for v in (1, 2)]).alias("vulnerabilities"),
         )
 
     source = F.struct(text_of("app/", F.col("l_suppkey"), ".json").alias("path"), F.lit("lockfile").alias("type"))
-    packages = F.transform(upto(F.col("l_linenumber") % 2 + 1), package)
+    packages = first_of(F.col("l_linenumber") % 2 + 1, package(1), package(2))
     results = F.array(F.struct(source.alias("source"), packages.alias("packages")))
     return table(spark, sf, "lineitem").withColumn("results", results)
 
@@ -249,19 +249,20 @@ def document_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 def secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     """One scan per line item with 0-3 findings."""
-    findings = F.transform(
-        upto(F.col("l_linenumber") % 4),
-        lambda k: F.struct(
+
+    def finding(k: int) -> Column:
+        return F.struct(
             text_of("T", F.col("l_returnflag"), k).alias("secret_type"),
             text_of("Found ", k).alias("description"),
             text_of("f", F.col("l_suppkey")).alias("file"),
-            (k * 10 + F.col("l_linenumber")).alias("line"),
+            (F.col("l_linenumber") + k * 10).alias("line"),
             F.md5(F.col("l_partkey").cast("string")).alias("commit"),
             F.lit("high").alias("confidence"),
-            (k % 2 == 1).alias("validated"),
+            F.lit(k % 2 == 1).alias("validated"),
             F.lit("dropped").alias("service"),
-        ),
-    )
+        )
+
+    findings = first_of(F.col("l_linenumber") % 4, finding(1), finding(2), finding(3))
     scans = table(spark, sf, "lineitem").select(
         text_of("org", F.col("l_suppkey")).alias("org"),
         text_of("repo", F.col("l_partkey")).alias("name"),

@@ -1,15 +1,18 @@
 """JSON records: listing pages, strict decoding with a quarantine, encoding."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanlake.functions.jsontext import WHITESPACE, is_single_object
+from scanlake.functions.binding import bound
+from scanlake.functions.jsontext import is_single_object
 from scanlake.functions.labels import rfc3339
 
 _CORRUPT = "_corrupt"
+# What a number, boolean, object or array leaves in a text field.
+_OTHER_JSON = r"^(?:-?[0-9][0-9.eE+-]*$|true$|false$|[\[{])"
 _TIME_TEXT = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d([.,]\d+)?(Z|[+-]\d\d:\d\d)$"
 # Fixed value: what an absent time decodes to.
 ZERO_TIME = "0001-01-01T00:00:00Z"
@@ -44,7 +47,7 @@ def decode_records(
     records = df.select(*keep, F.inline(_valid_records(schema, strict, value)))
     # A projection above the generator: only fields that are used later are filled.
     return records.select(
-        *keep, *[_filled(F.col(f.name), f.dataType, strict).alias(f.name) for f in schema]
+        *keep, *[_filled(F.col(f.name), f.dataType).alias(f.name) for f in schema]
     )
 
 
@@ -56,77 +59,105 @@ def reject_records(
 
 
 def _valid_records(schema: T.StructType, strict: bool, value: str) -> Column:
-    """Array with the parsed record, or an empty one: each text is parsed once."""
+    """Array with the parsed record, or an empty one: each text is parsed once.
+
+    Only where a text field holds what could also have been a number, a boolean or a
+    nested value does the strict check parse again, now with JSON types.
+    """
     raw = F.col(value)
-    text = F.when(F.trim(raw, F.lit(WHITESPACE)) == "null", "{}").otherwise(raw)
-    wire = _wire_type(schema) if strict else schema
-    wire = T.StructType([*wire.fields, T.StructField(_CORRUPT, T.StringType())])
-    record = F.from_json(
-        text, wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
+    text = F.when(F.rlike(raw, F.lit(r"^\s*null\s*$")), "{}").otherwise(raw)
+    record = _parse(text, _mapped(schema, _time_as_text) if strict else schema)
 
     def valid(parsed: Column) -> Column:
-        good = parsed.isNotNull() & parsed[_CORRUPT].isNull()
-        if strict:
-            good &= _well_typed(parsed, schema)
-        return good & is_single_object(text)
+        good = parsed.isNotNull() & parsed[_CORRUPT].isNull() & is_single_object(text)
+        if not strict:
+            return good
+        good &= _every_leaf(parsed, schema, _is_time)
+        typed = bound(
+            _parse(text, _mapped(schema, _text_as_variant)),
+            lambda again: _every_leaf(again, schema, _is_json_text),
+        )
+        return good & (_every_leaf(parsed, schema, _is_surely_text) | typed)
 
     return F.filter(F.array(record), valid)
 
 
-def _wire_type(kind: T.DataType) -> T.DataType:
-    """The parse type: texts and times as variants, so that their JSON type is known."""
-    if isinstance(kind, (T.StringType, T.TimestampType)):
-        return T.VariantType()
+def _parse(text: Column, schema: T.StructType) -> Column:
+    wire = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    return F.from_json(text, wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _mapped(kind: T.DataType, leaf: Callable[[T.DataType], T.DataType]) -> T.DataType:
+    """The same nesting with other leaf types."""
     if isinstance(kind, T.ArrayType):
-        return T.ArrayType(_wire_type(kind.elementType))
+        return T.ArrayType(_mapped(kind.elementType, leaf))
     if isinstance(kind, T.MapType):
-        return T.MapType(kind.keyType, _wire_type(kind.valueType))
+        return T.MapType(kind.keyType, _mapped(kind.valueType, leaf))
     if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField(f.name, _wire_type(f.dataType)) for f in kind])
-    return kind
-
-
-def _well_typed(col: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, (T.StringType, T.TimestampType)):
-        json_type = F.schema_of_variant(col)
-        good = json_type == "STRING"
-        if isinstance(kind, T.TimestampType):
-            good &= F.rlike(F.variant_get(col, "$", "string"), F.lit(_TIME_TEXT))
-            good &= F.variant_get(col, "$", "string").try_cast("timestamp").isNotNull()
-        return col.isNull() | (json_type == "VOID") | good
+        return T.StructType([T.StructField(f.name, _mapped(f.dataType, leaf)) for f in kind])
+    return leaf(kind)
+
+
+def _time_as_text(kind: T.DataType) -> T.DataType:
+    return T.StringType() if isinstance(kind, T.TimestampType) else kind
+
+
+def _text_as_variant(kind: T.DataType) -> T.DataType:
+    return T.VariantType() if isinstance(kind, T.StringType) else _time_as_text(kind)
+
+
+def _is_json_text(col: Column, kind: T.DataType) -> Column | None:
+    if isinstance(kind, T.StringType):
+        return col.isNull() | F.schema_of_variant(col).isin("STRING", "VOID")
+    return None
+
+
+def _is_time(col: Column, kind: T.DataType) -> Column | None:
+    if isinstance(kind, T.TimestampType):
+        return col.isNull() | (F.rlike(col, F.lit(_TIME_TEXT)) & col.try_cast("timestamp").isNotNull())
+    return None
+
+
+def _is_surely_text(col: Column, kind: T.DataType) -> Column | None:
+    if isinstance(kind, T.StringType):
+        return col.isNull() | ~F.rlike(col, F.lit(_OTHER_JSON))
+    return None
+
+
+def _every_leaf(
+    col: Column, kind: T.DataType, test: Callable[[Column, T.DataType], Column | None]
+) -> Column:
+    """Whether the test holds for every leaf it applies to; absent parents pass."""
     if isinstance(kind, T.ArrayType):
-        return F.coalesce(F.forall(col, lambda x: _well_typed(x, kind.elementType)), F.lit(True))
+        return F.coalesce(F.forall(col, lambda x: _every_leaf(x, kind.elementType, test)), F.lit(True))
     if isinstance(kind, T.MapType):
-        return F.coalesce(
-            F.forall(F.map_values(col), lambda x: _well_typed(x, kind.valueType)), F.lit(True)
-        )
+        values = F.map_values(col)
+        return F.coalesce(F.forall(values, lambda x: _every_leaf(x, kind.valueType, test)), F.lit(True))
     if isinstance(kind, T.StructType):
         good = F.lit(True)
         for field in kind:
-            good &= _well_typed(col[field.name], field.dataType)
+            good &= _every_leaf(col[field.name], field.dataType, test)
         return good
-    return F.lit(True)
+    tested = test(col, kind)
+    return F.lit(True) if tested is None else tested
 
 
-def _filled(col: Column, kind: T.DataType, strict: bool) -> Column:
+def _filled(col: Column, kind: T.DataType) -> Column:
     """The value with zero values for what is absent."""
-    if isinstance(kind, (T.StringType, T.TimestampType)) and strict:
-        col = F.variant_get(col, "$", "string").cast(kind)
     if isinstance(kind, T.StringType):
         return F.coalesce(col, F.lit(""))
     if isinstance(kind, T.TimestampType):
-        return F.coalesce(col, F.lit(ZERO_TIME).cast(kind))
+        return F.coalesce(col.cast(kind), F.lit(ZERO_TIME).cast(kind))
     if isinstance(kind, T.BooleanType):
         return F.coalesce(col, F.lit(False))
     if isinstance(kind, T.NumericType):
         return F.coalesce(col, F.lit(0).cast(kind))
     if isinstance(kind, T.ArrayType):
-        return F.transform(col, lambda x: _filled(x, kind.elementType, strict))
+        return F.transform(col, lambda x: _filled(x, kind.elementType))
     if isinstance(kind, T.MapType):
-        return F.transform_values(col, lambda _, x: _filled(x, kind.valueType, strict))
+        return F.transform_values(col, lambda _, x: _filled(x, kind.valueType))
     if isinstance(kind, T.StructType):
-        return F.struct(*[_filled(col[f.name], f.dataType, strict).alias(f.name) for f in kind])
+        return F.struct(*[_filled(col[f.name], f.dataType).alias(f.name) for f in kind])
     return col
 
 
