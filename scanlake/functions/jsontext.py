@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 def is_single_object(text: Column) -> Column:
     """True when the text is one JSON object with nothing after it.
 
-    Spark's JSON functions stop after the first value; wrapping the text in an array makes
-    a second value or trailing bytes visible as a syntax error or another length. The last
-    byte must close an object, so a stray ``]`` cannot end the wrapping array early.
+    Spark's JSON functions stop after the first value. Wrapped in an array, a second value or
+    trailing bytes show as a syntax error or another length; only a ``]`` after the object
+    could end that array early, and then the text is no valid field of an object.
     """
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     closed = F.endswith(text, F.lit("}")) | F.rlike(text, F.lit(r"\}\s+$"))
-    return F.coalesce(alone & closed, F.lit(False))
+    field = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    unbroken = ~F.rlike(text, F.lit(r"\}\s*\]")) | field
+    return F.coalesce(alone & closed & unbroken, F.lit(False))
