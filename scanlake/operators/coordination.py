@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 from scanlake import schemas
 from scanlake.functions.paths import absolute_path, path_is_within
-from scanlake.operators.ordered import SLICE, across_slices, join_slices, sliced, within_slice
+from scanlake.operators.ordered import (
+    SLICE,
+    across_slices,
+    group_names,
+    join_slices,
+    restored,
+    slice_names,
+    sliced,
+    within_slice,
+)
 from scanlake.schemas import SCANNERS
 
-# Idle limit of a job and interval of the sweep that tests it.
+# Fixed value: idle limit of a job.
 JOB_TIMEOUT_MINUTES = 60
-SWEEP_MINUTES = 5
 
 
 def unknown_scanner(msgs: DataFrame, required: Sequence[str] = SCANNERS) -> DataFrame:
@@ -101,9 +109,9 @@ def _replayed(
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
     start = F.struct("org", "name", F.col(order[0]).alias("started_at"))
     rows = (
-        sliced(msgs.filter(F.col("scanner_type").isin(a, b)), order, slice_by)
+        sliced(msgs.filter(F.col("scanner_type").isin(a, b)), keys, order, slice_by)
         .select(
-            *keys, SLICE, *order, "scan_status",
+            *slice_names(keys), *order, "scan_status",
             (F.col("scanner_type") == b).alias("is_b"), start.alias("start"),
         )
         .withColumn("i", F.row_number().over(local) - 1)
@@ -120,7 +128,7 @@ def _replayed(
         rows = rows.withColumn(f"first{bit}", F.last(F.when(begins, F.col("start")), True).over(upto))
 
     here, at = F.col("i") == 0, F.col("i")
-    slices = rows.groupBy(*keys, SLICE).agg(
+    slices = rows.groupBy(*slice_names(keys)).agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.when(here, F.col("is_b"))).alias("head_is_b"),
         F.max_by("start", F.when(here, at)).alias("head_start"),
@@ -168,7 +176,7 @@ def completion_barrier(
     """
     rows, slices = _replayed(msgs, keys, order, required, slice_by)
     carried = slices.select(
-        *keys, SLICE, "bit", "head_begins", "head_start", "opened_before",
+        *slice_names(keys), "bit", "head_begins", "head_start", "opened_before",
         F.col("prev.scan_status").alias("status_before"),
     )
     joined = join_slices(rows, carried, keys)
@@ -182,7 +190,7 @@ def completion_barrier(
         joined.filter(F.coalesce(F.col("p"), F.col("i") + F.col("bit")) % 2 == 1)
         .withColumn("opened", opened)
         .select(
-            *keys,
+            *restored(keys),
             "opened.org",
             "opened.name",
             "opened.started_at",
@@ -204,10 +212,10 @@ def open_jobs(
     """Jobs a replay leaves open: one scanner has reported since the last completion."""
     _, slices = _replayed(msgs, keys, order, required, slice_by)
     last = F.max_by(F.struct("p_last", "tail", "opened"), SLICE).alias("s")
-    ends = slices.groupBy(*keys).agg(last).filter("s.p_last % 2 = 0")
+    ends = slices.groupBy(*group_names(keys)).agg(last).filter("s.p_last % 2 = 0")
     is_b, status = F.col("s.tail.is_b"), F.col("s.tail.scan_status")
     return ends.select(
-        *keys,
+        *restored(keys),
         "s.opened.org",
         "s.opened.name",
         "s.opened.started_at",
@@ -265,7 +273,10 @@ def cleanup_plan(
     """
     known = inventory.select(absolute_path(F.col("path"), cwd).alias("_known")).distinct()
     checked = jobs.withColumn("_safe", path_is_within(F.col("clone_path"), root, cwd, prefix_only))
-    checked = checked.withColumn("_path", F.when(F.col("_safe"), absolute_path(F.col("clone_path"), cwd)))
+    # Unsafe paths keep a key of their own that no folder has: as nulls they would all meet
+    # in one task.
+    path = F.when(F.col("_safe"), absolute_path(F.col("clone_path"), cwd))
+    checked = checked.withColumn("_path", path.otherwise(F.concat(F.lit("unsafe:"), "clone_path")))
     action = (
         F.when(~F.coalesce(F.col("_safe"), F.lit(False)), "unsafe")
         .when(F.col("_known").isNull(), "missing")

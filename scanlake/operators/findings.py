@@ -10,7 +10,7 @@ from scanlake.functions import nested
 from scanlake.functions.secrets import DEFAULT_RULES, SecretRule, find_secrets, may_hold, redact
 from scanlake.sources.records import decode_records
 
-# Fixed value: longest output line of the secret scanner that is still read.
+# Fixed value: output lines of this size fail a line-buffered reader.
 MAX_LINE_BYTES = 64 * 1024
 
 
@@ -25,10 +25,10 @@ def parse_secret_lines(
 ) -> DataFrame:
     """Findings from secret-scanner output, one JSON object per line.
 
-    Empty and malformed lines are skipped. A line of 64 KiB or more fails its scan, so it
-    gives no finding here; ``oversize_lines`` lists such lines.
+    Empty and malformed lines are skipped. Lines of any length are read; a line-buffered
+    reader fails on 64 KiB, and ``oversize_lines`` lists the lines it would fail on.
     """
-    lines = split_lines(df, value, keep).filter(F.octet_length("value") < MAX_LINE_BYTES)
+    lines = split_lines(df, value, keep)
     raw = decode_records(lines, schemas.RAW_SECRET, keep=(*keep, "line_no"))
     git = F.col("SourceMetadata.Data.Git")
     error = F.col("VerificationError")
@@ -176,12 +176,14 @@ def detect_secrets(
 
 
 def version_key(version: Column) -> Column:
-    """Comparable form of a dotted release version; null (no match) for any other text."""
-    plain = F.regexp_replace(version, "^[vV]", "")
-    numbers = F.transform(F.split(plain, r"\."), lambda part: part.try_cast("bigint"))
-    # 1.2.0 and 1.2 are one version: zeros after the last other number are dropped.
-    length = F.array_max(F.transform(numbers, lambda n, i: F.when(n != 0, i + 1).otherwise(0)))
-    return F.when(~F.exists(numbers, lambda n: n.isNull()), F.slice(numbers, 1, length))
+    """Comparable form of a dotted release version; null (no match) for any other text.
+
+    A leading v and zeros at the end do not count: v1.2.0 and 1.2 are one version.
+    """
+    plain = F.regexp_extract(
+        version, r"^[vV]?([0-9]{1,18}(?:\.[0-9]{1,18})*?)(?:\.0+)*$", 1
+    )
+    return F.when(plain != "", F.split(plain, r"\.").cast("array<bigint>"))
 
 
 def match_vulnerabilities(deps: DataFrame, advisories: DataFrame) -> DataFrame:
@@ -200,7 +202,9 @@ def match_vulnerabilities(deps: DataFrame, advisories: DataFrame) -> DataFrame:
         "_high", version_key(F.col("fixed"))
     )
     versions = deps.select(*coordinates).distinct().withColumn("_key", version_key(F.col("version")))
-    affected = versions.join(ranges, ["ecosystem", "package"]).filter(
-        (F.col("_low") <= F.col("_key")) & ((F.col("fixed") == "") | (F.col("_key") < F.col("_high")))
+    inside = (F.col("_low") <= F.col("_key")) & (
+        (F.col("fixed") == "") | (F.col("_key") < F.col("_high"))
     )
+    # Inside coalesce no "is not null" is inferred and run on every dependency first.
+    affected = versions.join(ranges, ["ecosystem", "package"]).filter(F.coalesce(inside, F.lit(False)))
     return deps.join(affected.select(*coordinates, *extra), coordinates)

@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 from scanlake.functions.labels import item_label
 from scanlake.functions.paths import absolute_path
-from scanlake.operators.ordered import SLICE, across_slices, join_slices, sliced, within_slice
+from scanlake.operators.ordered import (
+    SLICE,
+    across_slices,
+    join_slices,
+    restored,
+    slice_names,
+    sliced,
+    within_slice,
+)
 
 MIB = 1024 * 1024
 
@@ -69,7 +77,7 @@ def _sticky_rates(rows: DataFrame, keys: Sequence[str], slice_by: Column | str)
     earlier_rows = local.rowsBetween(Window.unboundedPreceding, -1)
     good = F.col("size").isNotNull()
     sample = F.struct("ts", "size", "since")
-    cut = sliced(rows, ["ts"], slice_by).withColumn("_row", F.when(good, sample))
+    cut = sliced(rows, keys, ["ts"], slice_by).withColumn("_row", F.when(good, sample))
     cut = cut.withColumn("_prev", F.last("_row", True).over(earlier_rows))
     # Known inside the slice: failed looks, and good rows after another good row.
     known = F.when(~good, 0.0).when(F.col("_prev").isNotNull(), _delta_rate(F.col("_row"), F.col("_prev")))
@@ -79,7 +87,7 @@ def _sticky_rates(rows: DataFrame, keys: Sequence[str], slice_by: Column | str)
     path = across_slices(keys)
     earlier = path.rowsBetween(Window.unboundedPreceding, -1)
     slices = (
-        cut.groupBy(*keys, SLICE)
+        cut.groupBy(*slice_names(keys))
         .agg(
             F.min_by("_row", F.when(good, F.col("ts"))).alias("head"),
             F.max_by("_row", F.when(good, F.col("ts"))).alias("tail"),
@@ -89,16 +97,15 @@ def _sticky_rates(rows: DataFrame, keys: Sequence[str], slice_by: Column | str)
         .withColumn("head_rate", F.when(F.col("head").isNotNull(), _delta_rate(F.col("head"), F.col("before"))))
         .withColumn("leaves", _kept_rate(F.col("kept"), F.col("head.ts"), F.col("head_rate")))
         .withColumn("rate_before", F.last("leaves", True).over(earlier))
-        .select(*keys, SLICE, F.col("head.ts").alias("head_ts"), "head_rate", "rate_before")
+        .select(*slice_names(keys), F.col("head.ts").alias("head_ts"), "head_rate", "rate_before")
     )
     joined = join_slices(cut, slices, keys)
     head_rate = F.when(F.col("ts") >= F.col("head_ts"), F.col("head_rate"))
     rate = F.coalesce(
         _kept_rate(F.col("_kept"), F.col("head_ts"), head_rate), F.col("rate_before"), F.lit(0.0)
     )
-    return joined.withColumn("rate", rate).drop(
-        SLICE, "_row", "_prev", "_new", "_kept", "head_ts", "head_rate", "rate_before"
-    )
+    rest = [name for name in rows.columns if name not in keys]
+    return joined.select(*restored(keys), *rest, rate.alias("rate"))
 
 
 def _kept_rate(kept: Column, head_ts: Column, head_rate: Column) -> Column:
@@ -110,7 +117,7 @@ def _kept_rate(kept: Column, head_ts: Column, head_rate: Column) -> Column:
 
 def _previous_tick(samples: DataFrame, slice_by: Column | str) -> DataFrame:
     """Each sampling time with the one before it, over all queues."""
-    ticks = sliced(samples.select("ts").distinct(), ["ts"], slice_by)
+    ticks = sliced(samples.select("ts").distinct(), [], ["ts"], slice_by)
     # One row per slice of time, however many samples there are.
     before = Window.orderBy(SLICE)
     slices = ticks.groupBy(SLICE).agg(F.max("ts").alias("_end"))

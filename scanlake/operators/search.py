@@ -1,10 +1,16 @@
 """Reads the document schemas exist for: terms, words, nested conditions, dates."""
 
+import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scanlake.functions.binding import bound
+
+_NO_WORD = r"[^\p{L}\p{N}_]"
+
 
 def terms_count(df: DataFrame, field: str, top: int = 10, where: Column | None = None) -> DataFrame:
     """The most frequent values of a keyword field, ties in value order."""
@@ -13,20 +19,22 @@ def terms_count(df: DataFrame, field: str, top: int = 10, where: Column | None =
     return counts.orderBy(F.desc("count"), F.asc(field)).limit(top)
 
 
-def words(text: Column) -> Column:
-    """Lower-case words: runs of letters, digits and underscores of any script."""
-    return F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
-
-
 def text_match(text: Column, query: str, operator: str = "or") -> Column:
-    """Whether any (or every) word of the query is a word of the text."""
-    wanted = sorted({w for w in query.lower().split() if w})
+    """Whether any (or every) word of the query is a word of the text, ignoring case.
+
+    Words are runs of letters, digits and underscores of any script. A literal search
+    comes first, so the pattern runs only on texts that hold the letters at all.
+    """
+    wanted = sorted({w for w in re.split(r"\W+", query.lower()) if w})
     if operator not in ("or", "and") or not wanted:
         raise ValueError("operator is 'or' or 'and', and the query needs a word")
-    listed = F.array(*[F.lit(w) for w in wanted])
-    if operator == "or":
-        return F.arrays_overlap(words(text), listed)
-    return F.size(F.array_intersect(words(text), listed)) == len(wanted)
+    combine = (lambda a, b: a | b) if operator == "or" else (lambda a, b: a & b)
+    return bound(F.lower(text), lambda t: reduce(combine, [_has_word(t, w) for w in wanted]))
+
+
+def _has_word(text: Column, word: str) -> Column:
+    alone = rf"(?:^|{_NO_WORD}){word}(?:$|{_NO_WORD})"
+    return F.contains(text, F.lit(word)) & F.rlike(text, F.lit(alone))
 
 
 def nested_match(df: DataFrame, array: str, condition: Callable[[Column], Column]) -> DataFrame:

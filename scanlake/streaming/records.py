@@ -98,6 +98,12 @@ def read_documents(spark: SparkSession, path: str, keys: Sequence[str]) -> DataF
     return latest_documents(read_epochs(spark, path), keys, [EPOCH]).drop(EPOCH)
 
 
+def compact_documents(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
+    """Write the current documents to a new table of the same layout, without old versions."""
+    latest = latest_documents(read_epochs(spark, path), keys, [EPOCH])
+    latest.write.partitionBy(EPOCH).mode("errorifexists").parquet(target)
+
+
 def drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     """Run until everything available now is processed."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -53,6 +53,16 @@ def test_record_work_does_not_shuffle(spark, name):
     assert "Exchange" not in plan, plan
 
 
+@pytest.mark.parametrize("name", ["bulk_batches", "completion_barrier", "active_jobs", "queue_rates", "growth_rates"])
+def test_ordered_rows_are_cut_into_slices(spark, name):
+    """A window over rows is always inside a slice; only slice summaries meet by key."""
+    plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    over_key = [line for line in plan.splitlines() if "Exchange hashpartitioning(_key0" in line and "_slice" not in line]
+    assert len(over_key) == 1 and "hashpartitioning(_key0" in plan
+    below = plan[plan.index(over_key[0]) + len(over_key[0]) :].lstrip().splitlines()[0]
+    assert "Aggregate" in below, below
+
+
 def test_entry_gives_a_document_for_every_text(spark):
     rows = entry.entry(spark)
     assert rows.count() == 200 and rows.filter("secret_type = 'NO_SECRETS_FOUND'").count() == 200

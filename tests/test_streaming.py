@@ -58,6 +58,10 @@ def test_document_sink_keeps_the_last_write(spark, tmp_path):
     flush("2", {"id": "a", "seq": 1, "body": "later flush"})
     got = {r.id: r.body for r in streams.read_documents(spark, path, ["id"]).collect()}
     assert got == {"a": "later flush", "b": "z"}
+    streams.compact_documents(spark, path, str(tmp_path / "compact"), ["id"])
+    assert streams.read_epochs(spark, str(tmp_path / "compact")).count() == 2
+    flush("3", {"id": "b", "seq": 0, "body": "w"})
+    assert {r.id: r.body for r in streams.read_documents(spark, path, ["id"]).collect()} == {"a": "later flush", "b": "w"}
 
 
 MESSAGES = "clone_path string, org string, name string, scanner_type string, scan_status string, completed_at timestamp"
