@@ -5,14 +5,16 @@ from pyspark.sql import functions as F
 
 
 def is_single_object(text: Column) -> Column:
-    """True when the text is one JSON object with nothing after it.
+    """True when a text that parses as a JSON object holds nothing after it.
 
-    Spark's JSON functions stop after the first value. Wrapped in an array, a second value or
-    trailing bytes show as a syntax error or another length; only a ``]`` after the object
-    could end that array early, and then the text is no valid field of an object.
+    Spark's JSON functions stop after the first value. A flat object is settled by its only
+    closing brace being the last byte. Others are wrapped in an array, where a second value
+    or trailing bytes show as a syntax error or another length; only a ``]`` after the
+    object could end that array early, and then the text is no valid field of an object.
     """
+    flat = F.position(F.lit("}"), text) == F.length(text)
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     closed = F.endswith(text, F.lit("}")) | F.rlike(text, F.lit(r"\}\s+$"))
     field = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
     unbroken = ~F.rlike(text, F.lit(r"\}\s*\]")) | field
-    return F.coalesce(alone & closed & unbroken, F.lit(False))
+    return F.coalesce(flat | (closed & alone & unbroken), F.lit(False))

@@ -23,7 +23,10 @@ def clean_path(path: Column) -> Column:
         .otherwise(F.array_append(acc, p)),
     )
     joined = F.array_join(kept, "/")
-    return F.when(rooted, F.concat(F.lit("/"), joined)).when(joined == "", ".").otherwise(joined)
+    cleaned = F.when(rooted, F.concat(F.lit("/"), joined)).when(joined == "", ".").otherwise(joined)
+    # Most paths are clean already; a search tells without splitting them.
+    clean = rooted & ~F.rlike(path, F.lit(r"//|/\.{1,2}(?:/|$)|/$"))
+    return F.when(clean, path).otherwise(cleaned)
 
 
 def absolute_path(path: Column, cwd: str = "/") -> Column:

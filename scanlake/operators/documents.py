@@ -67,10 +67,10 @@ def vulnerability_documents(
 
     vulnerability_count is the record's own count; details, aliases and fixed are dropped.
     """
-    indexed = F.transform(
-        F.coalesce(F.col("vulnerabilities"), F.array().cast(scans.schema["vulnerabilities"].dataType)),
-        lambda v: F.struct(*[v[f.name].alias(f.name) for f in schemas.INDEXED_VULNERABILITY]),
-    )
+    # Zipping field arrays stays in generated code, unlike building structs in a lambda.
+    found = F.col("vulnerabilities")
+    zipped = F.arrays_zip(*[found[name].alias(name) for name in schemas.INDEXED_VULNERABILITY.names])
+    indexed = F.coalesce(zipped.cast(T.ArrayType(schemas.INDEXED_VULNERABILITY)), F.array())
     counts = nested.severity_counts(F.col("vulnerabilities"), band_scores)
     docs = scans.withColumn("_counts", counts).select(
         F.lit(index).alias("index"),

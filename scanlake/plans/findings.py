@@ -62,34 +62,43 @@ def secret_findings(spark: SparkSession, sf: str) -> DataFrame:
 def reports(spark: SparkSession, sf: str) -> DataFrame:
     """One report per line item: one source, 1-2 packages, 0-2 vulnerabilities each."""
 
+    part, flag = F.col("l_partkey").cast("string"), F.col("l_returnflag")
+    score = F.when(F.col("l_linenumber") > 5, "Critical").when(flag == "A", "low").when(flag == "R", "7.4")
+    rows = table(spark, sf, "lineitem").withColumns(
+        {
+            "_package": text_of("part", part),
+            "_id": text_of("V-", part, "-"),
+            "_aliases": F.array(F.lit("CVE"), text_of("GHSA-", part), text_of("CVE-", part)),
+            "_scores": F.array(F.struct(F.lit("CVSS_V3").alias("type"), score.alias("score"))),
+            "_version": F.concat(F.col("l_linenumber").cast("string"), F.lit(".")),
+            "_path": text_of("app/", F.col("l_suppkey"), ".json"),
+        }
+    )
+
     def vulnerability(p: int, v: int) -> Column:
-        part = F.col("l_partkey")
-        scores = F.array(F.struct(F.lit("CVSS_V3").alias("type"), F.lit("7.4").alias("score")))
-        none = F.array().cast("array<struct<type:string,score:string>>")
+        aliases = F.col("_aliases") if v == 1 else F.array().cast("array<string>")
         return F.struct(
-            text_of("V-", part, "-", p, "-", v).alias("id"),
-            text_of("summary ", v).alias("summary"),
+            F.concat("_id", F.lit(f"{p}-{v}")).alias("id"),
+            F.lit(f"summary {v}").alias("summary"),
             F.lit("details").alias("details"),
-            (F.array(F.lit("CVE"), text_of("GHSA-", part), text_of("CVE-", part)) if v == 1
-             else F.array().cast("array<string>")).alias("aliases"),
-            F.array(text_of("CWE-", v)).alias("cwe"),
-            F.when(F.col("l_returnflag") == "R", scores).otherwise(none).alias("severity"),
+            aliases.alias("aliases"),
+            F.array(F.lit(f"CWE-{v}")).alias("cwe"),
+            F.col("_scores").alias("severity"),
         )
 
     def package(p: int) -> Column:
         return F.struct(
             F.struct(
-                text_of("part", F.col("l_partkey")).alias("name"),
-                text_of(F.col("l_linenumber"), ".", p).alias("version"),
+                F.col("_package").alias("name"),
+                F.concat("_version", F.lit(str(p))).alias("version"),
                 F.lit("npm").alias("ecosystem"),
             ).alias("package"),
-            first_of(F.col("l_linenumber") % 3, *[vulnerability(p, v) for v in (1, 2)]).alias("vulnerabilities"),
+            first_of(F.col("l_linenumber") % 3, vulnerability(p, 1), vulnerability(p, 2)).alias("vulnerabilities"),
         )
 
-    source = F.struct(text_of("app/", F.col("l_suppkey"), ".json").alias("path"), F.lit("lockfile").alias("type"))
+    source = F.struct(F.col("_path").alias("path"), F.lit("lockfile").alias("type"))
     packages = first_of(F.col("l_linenumber") % 2 + 1, package(1), package(2))
-    results = F.array(F.struct(source.alias("source"), packages.alias("packages")))
-    return table(spark, sf, "lineitem").withColumn("results", results)
+    return rows.withColumn("results", F.array(F.struct(source.alias("source"), packages.alias("packages"))))
 
 
 @FINDINGS.add(
@@ -98,7 +107,8 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
     SELECT l_orderkey, 0 AS result_no, CAST(p - 1 AS INTEGER) AS package_no, CAST(v - 1 AS INTEGER) AS vulnerability_no,
            'V-' || l_partkey || '-' || p || '-' || v AS id, 'part' || l_partkey AS package,
            l_linenumber || '.' || p AS version, 'npm' AS ecosystem,
-           CASE WHEN l_returnflag = 'R' THEN '7.4' ELSE '' END AS severity,
+           CASE WHEN l_linenumber > 5 THEN 'Critical' WHEN l_returnflag = 'A' THEN 'low'
+                WHEN l_returnflag = 'R' THEN '7.4' ELSE '' END AS severity,
            'summary ' || v AS summary, 'details' AS details,
            CASE WHEN v = 1 THEN 'CVE-' || l_partkey ELSE '' END AS cve,
            'CWE-' || v AS cwe, 'app/' || l_suppkey || '.json' AS package_file
@@ -335,13 +345,6 @@ def document_ids(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def vulnerability_documents(spark: SparkSession, sf: str) -> DataFrame:
-    severity = (
-        F.when(F.col("l_linenumber") > 5, "Critical").when(F.col("l_returnflag") == "A", "low")
-        .when(F.col("l_returnflag") == "R", "7.4").otherwise("")
-    )
-    found = F.transform(
-        ops.vulnerability_array(F.col("results")), lambda v: v.withField("severity", severity)
-    )
     scans = reports(spark, sf).select(
         text_of("org", F.col("l_suppkey")).alias("org"),
         text_of("repo", F.col("l_partkey")).alias("name"),
@@ -349,7 +352,7 @@ def vulnerability_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("scanned_at"),
         F.col("l_linenumber").alias("worker_id"),
         F.lit(5_000_000_000).alias("scan_duration"),
-        found.alias("_found"),
+        ops.vulnerability_array(F.col("results")).alias("_found"),
     )
     rows = docs.vulnerability_documents(ops.scan_records(scans, "vulnerabilities", F.col("_found")))
     listed = F.array_join(

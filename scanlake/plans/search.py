@@ -41,7 +41,7 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
 @SEARCH.add(
     "nested_match",
     """SELECT l_orderkey, l_partkey FROM lineitem
-       WHERE l_linenumber % 3 = 2 AND l_linenumber % 2 = 1 AND l_returnflag = 'R'""",
+       WHERE l_linenumber = 5 AND l_returnflag = 'R'""",
 )
 def nested(spark: SparkSession, sf: str) -> DataFrame:
     scans = reports(spark, sf).withColumn("vulnerabilities", vulnerability_array(F.col("results")))

@@ -66,8 +66,10 @@ def _valid_records(schema: T.StructType, strict: bool, value: str) -> Column:
     """
     raw = F.col(value)
     text = F.when(F.rlike(raw, F.lit(r"^\s*null\s*$")), "{}").otherwise(raw)
-    record = _parse(text, _mapped(schema, _time_as_text) if strict else schema)
+    return bound(text, lambda bound_text: _valid_record(bound_text, schema, strict))
+
 
+def _valid_record(text: Column, schema: T.StructType, strict: bool) -> Column:
     def valid(parsed: Column) -> Column:
         good = parsed.isNotNull() & parsed[_CORRUPT].isNull() & is_single_object(text)
         if not strict:
@@ -79,6 +81,7 @@ def _valid_records(schema: T.StructType, strict: bool, value: str) -> Column:
         )
         return good & (_every_leaf(parsed, schema, _is_surely_text) | typed)
 
+    record = _parse(text, _mapped(schema, _time_as_text) if strict else schema)
     return F.filter(F.array(record), valid)
 
 
