@@ -1,6 +1,6 @@
 """Findings: scanner output, secret detection, dependency matches, scan records."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scanlake import schemas
 from scanlake.functions import nested
 from scanlake.functions.secrets import DEFAULT_RULES, SecretRule, find_secrets, may_hold, redact
-from scanlake.sources.records import decode_records
+from scanlake.sources.records import decode_records, record_array
 
 # Fixed value: output lines of this size fail a line-buffered reader.
 MAX_LINE_BYTES = 64 * 1024
@@ -30,20 +30,36 @@ def parse_secret_lines(
     """
     lines = split_lines(df, value, keep)
     raw = decode_records(lines, schemas.RAW_SECRET, keep=(*keep, "line_no"))
-    git = F.col("SourceMetadata.Data.Git")
-    error = F.col("VerificationError")
-    return raw.select(
-        *keep,
-        "line_no",
-        F.col("DetectorName").alias("secret_type"),
-        F.concat(F.lit("Found "), "DetectorName", F.lit(" secret")).alias("description"),
+    return raw.select(*keep, "line_no", *_finding_fields(F.col))
+
+
+def secret_array(output: Column) -> Column:
+    """The same findings as one array inside the row, for building scan records."""
+    lines = F.filter(F.split(output, "\n"), lambda line: line != "")
+    return F.flatten(
+        F.transform(
+            lines,
+            lambda line: F.transform(
+                record_array(line, schemas.RAW_SECRET),
+                lambda raw: F.struct(*_finding_fields(lambda name: raw[name])),
+            ),
+        )
+    )
+
+
+def _finding_fields(field: Callable[[str], Column]) -> list[Column]:
+    git, error = field("SourceMetadata")["Data"]["Git"], field("VerificationError")
+    service = F.when(error != "", F.concat(F.lit("verification_error: "), error)).otherwise("")
+    return [
+        field("DetectorName").alias("secret_type"),
+        F.concat(F.lit("Found "), field("DetectorName"), F.lit(" secret")).alias("description"),
         git["file"].alias("file"),
         git["line"].alias("line"),
         git["commit"].alias("commit"),
         F.lit("high").alias("confidence"),
-        F.col("Verified").alias("validated"),
-        F.when(error != "", F.concat(F.lit("verification_error: "), error)).otherwise("").alias("service"),
-    )
+        field("Verified").alias("validated"),
+        service.alias("service"),
+    ]
 
 
 def oversize_lines(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:

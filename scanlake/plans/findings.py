@@ -3,11 +3,13 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanlake import schemas
 from scanlake.functions import labels, nested, paths
 from scanlake.functions.secrets import DEFAULT_RULES, find_secrets
 from scanlake.operators import documents as docs
 from scanlake.operators import findings as ops
 from scanlake.plans.query import Registry
+from scanlake.sources.records import decode_records, encode_records
 from scanlake.sources.tables import table
 
 FINDINGS = Registry()
@@ -307,6 +309,52 @@ def secret_documents(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumns({c: labels.rfc3339(F.col(c)) for c in ("scanned_at", "processed_at")})
 
 
+@FINDINGS.add(
+    "scan_to_documents",
+    """
+    WITH o AS (SELECT *, 'c' || o_custkey AS org, 'r' || o_orderkey AS repo, o_orderkey % 3 = 0 AS none FROM orders)
+    SELECT CASE WHEN none THEN org || '_' || repo || '_summary_' || CAST(epoch(o_orderdate) AS BIGINT)
+                ELSE org || '_' || repo || '_' || md5(CAST(o_custkey AS VARCHAR)) || '_' || (o_orderkey % 100) || '_0' END AS id,
+           org AS organization, repo AS repository,
+           CASE WHEN none THEN 'NO_SECRETS_FOUND' ELSE o_orderpriority END AS secret_type,
+           CASE WHEN none THEN 0 ELSE CAST(o_orderkey % 100 AS INTEGER) END AS line_number,
+           NOT none AND o_orderstatus = 'F' AS validated,
+           strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS scanned_at,
+           CASE WHEN none THEN 'no_secrets' ELSE 'success' END AS scan_status
+    FROM o
+    """,
+)
+def scan_to_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Scanner output to scan record, over the wire as JSON, to index documents; no shuffle."""
+    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+    git = F.struct(
+        F.md5(customer.cast("string")).alias("commit"), F.lit("a.env").alias("file"), (order % 100).alias("line")
+    )
+    line = F.to_json(
+        F.struct(
+            F.struct(F.struct(git.alias("Git")).alias("Data")).alias("SourceMetadata"),
+            F.col("o_orderpriority").alias("DetectorName"),
+            (F.col("o_orderstatus") == "F").alias("Verified"),
+        )
+    )
+    scans = table(spark, sf, "orders").select(
+        text_of("c", customer).alias("org"),
+        text_of("r", order).alias("name"),
+        F.col("o_orderdate").cast("timestamp").alias("processed_at"),
+        F.col("o_orderdate").cast("timestamp").alias("scanned_at"),
+        F.lit(2).alias("worker_id"),
+        F.lit(60_000_000_000).alias("scan_duration"),
+        F.when(order % 3 == 0, "\n{broken\n").otherwise(line).alias("_output"),
+    )
+    records = ops.scan_records(scans, "secrets", ops.secret_array(F.col("_output")))
+    queued = encode_records(records, schemas.OMIT_EMPTY["secret_scan"])
+    rows = docs.secret_documents(decode_records(queued, schemas.SECRET_SCAN))
+    return rows.select(
+        "id", "organization", "repository", "secret_type", "line_number", "validated",
+        labels.rfc3339(F.col("scanned_at")).alias("scanned_at"), "scan_status",
+    )
+
+
 @FINDINGS.add(
     "document_ids",
     """

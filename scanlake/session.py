@@ -1,6 +1,7 @@
 """Session defaults and the shared folder for written intermediate data."""
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -31,9 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
-        return folder
+        return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="scanlake-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"scanlake-{application}-")

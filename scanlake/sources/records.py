@@ -44,27 +44,34 @@ def decode_records(
     array stays null. ``strict`` also rejects a number where text is expected, and times
     that are not RFC 3339. The text ``null`` is an empty record. Keys match by case.
     """
-    records = df.select(*keep, F.inline(_valid_records(schema, strict, value)))
+    records = df.select(*keep, F.inline(_valid_records(F.col(value), schema, strict)))
     # A projection above the generator: only fields that are used later are filled.
     return records.select(
         *keep, *[_filled(F.col(f.name), f.dataType).alias(f.name) for f in schema]
     )
 
 
+def record_array(text: Column, schema: T.StructType, strict: bool = True) -> Column:
+    """The decoded record of a text column as an array of one, or empty when malformed."""
+    return F.transform(
+        _valid_records(text, schema, strict),
+        lambda record: F.struct(*[_filled(record[f.name], f.dataType).alias(f.name) for f in schema]),
+    )
+
+
 def reject_records(
     df: DataFrame, schema: T.StructType, strict: bool = True, value: str = "value"
 ) -> DataFrame:
     """The rows ``decode_records`` leaves out, unchanged: the quarantine."""
-    return df.filter(F.coalesce(F.size(_valid_records(schema, strict, value)), F.lit(0)) == 0)
+    return df.filter(F.coalesce(F.size(_valid_records(F.col(value), schema, strict)), F.lit(0)) == 0)
 
 
-def _valid_records(schema: T.StructType, strict: bool, value: str) -> Column:
+def _valid_records(raw: Column, schema: T.StructType, strict: bool) -> Column:
     """Array with the parsed record, or an empty one: each text is parsed once.
 
     Only where a text field holds what could also have been a number, a boolean or a
     nested value does the strict check parse again, now with JSON types.
     """
-    raw = F.col(value)
     text = F.when(F.rlike(raw, F.lit(r"^\s*null\s*$")), "{}").otherwise(raw)
     return bound(text, lambda bound_text: _valid_record(bound_text, schema, strict))
 

@@ -73,7 +73,7 @@ def document_sink(
     """Keyed upsert: each batch adds its last write per key under its own epoch.
 
     Read it with ``read_documents``. A repeated batch replaces its own folder, so delivery
-    is effectively once.
+    is effectively once. Epochs belong to the checkpoint: a new checkpoint needs a new table.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:

@@ -8,7 +8,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from scanlake.session import build_session
 
     session = build_session(
@@ -21,8 +21,6 @@ def spark(tmp_path_factory):
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -134,3 +134,19 @@ def test_batches_equal_brute_force_with_a_hot_source(spark):
 def test_batches_keep_rows_with_a_null_source(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "source string, at int")
     assert docs.assign_batches(df, ["at"], ["source"], F.col("at")).count() == 3
+
+
+def test_a_hot_source_is_spread_over_tasks(spark):
+    """Half of all rows belong to one source; no task may get most of them."""
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("source"), F.col("id").alias("at")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = docs.assign_batches(rows, ["at"], ["source"], F.floor(F.col("at") / 500))
+        parts = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        last = got.filter("source = 'hot'").agg(F.max("batch")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in parts) == 100_000 and last == 999
+    assert max(r["count"] for r in parts) < 30_000
