@@ -38,7 +38,8 @@ def completion_barrier_stream(
     ``clock`` is the time idleness is measured in: processing time, or event time for
     replays, where messages may be ``late_minutes`` late. ``timeout_minutes=None`` never
     expires a job. State is one small row per open clone path, kept in the state store and
-    its checkpoint; a restart loses nothing.
+    its checkpoint; a restart loses nothing. The messages of one path in one trigger meet in
+    one task: bound the trigger at the source (files or offsets per trigger).
     """
     if timeout_minutes is None:
         clock = None

@@ -36,6 +36,20 @@ def test_record_stream_decodes_and_drops_bad_records(spark, tmp_path):
     assert sorted(r.name for r in streams.read_epochs(spark, table).collect()) == ["a", "b"]
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_table_stream_reads_a_file_or_a_folder(spark, tmp_path, whole):
+    rows = spark.range(20, numPartitions=1 if whole else 4)
+    if whole:
+        rows.toPandas().to_parquet(tmp_path / "t.parquet")
+    else:
+        rows.write.parquet(str(tmp_path / "t.parquet"))
+    rows.write.parquet(str(tmp_path / "other.parquet"))
+    stream = streams.table_stream(spark, str(tmp_path), "t", rows.schema, files_per_trigger=3)
+    query = streams.drain(streams.fan_out(stream, {str(tmp_path / "out"): lambda b: b}), str(tmp_path / "c"))
+    assert streams.read_epochs(spark, str(tmp_path / "out")).count() == 20
+    assert [p["input_rows"] for p in streams.progress_rows(query)] == ([20] if whole else [15, 5])
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     batch = spark.createDataFrame([("i", "a", 1), ("i", "a", 2), ("i", "b", 1)], "index string, id string, seq int")
     path = str(tmp_path / "docs")
