@@ -4,6 +4,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Spark also takes 'single quoted' texts unless told not to; JSON has none.
+PLAIN_JSON = {"allowSingleQuotes": "false"}
+
+
 def is_single_object(text: Column) -> Column:
     """True when a text that parses as a JSON object holds nothing after it.
 

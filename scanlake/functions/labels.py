@@ -4,10 +4,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scanlake.functions.binding import bound
-from scanlake.functions.jsontext import is_single_object
+from scanlake.functions.jsontext import PLAIN_JSON, is_single_object
 
 NANOS_PER_SECOND = 1_000_000_000
-_SPACES = " \t\n\u000b\f\r"
+# The Unicode white space characters.
+_SPACES = " \t\n\u000b\f\r\u0085\u00a0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
+)
 
 
 def rfc3339(ts: Column) -> Column:
@@ -121,7 +124,7 @@ def item_label(item: Column) -> Column:
     text field in key order, else the raw text cut at 50 bytes. Only JSON strings count:
     a numeric org is no org.
     """
-    fields = F.when(is_single_object(item), F.from_json(item, "map<string,variant>"))
+    fields = F.when(is_single_object(item), F.from_json(item, "map<string,variant>", PLAIN_JSON))
     return F.coalesce(bound(fields, _field_label), cut_bytes(item, 50))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scanlake.functions.binding import bound
-from scanlake.functions.jsontext import is_single_object
+from scanlake.functions.jsontext import PLAIN_JSON, is_single_object
 from scanlake.functions.labels import rfc3339
 
 _CORRUPT = "_corrupt"
@@ -25,7 +25,7 @@ def repo_inventory(pages: DataFrame, org, value: str = "value") -> DataFrame:
     does not parse is left out and does not stop the others.
     """
     org = org if isinstance(org, Column) else F.lit(org)
-    listed = F.from_json(F.col(value), "array<struct<name:string>>")
+    listed = F.from_json(F.col(value), "array<struct<name:string>>", PLAIN_JSON)
     return pages.select(org.alias("org"), F.explode(listed).alias("repo")).select(
         "org", F.coalesce("repo.name", F.lit("")).alias("name")
     )
@@ -94,7 +94,8 @@ def _valid_record(text: Column, schema: T.StructType, strict: bool) -> Column:
 
 def _parse(text: Column, schema: T.StructType) -> Column:
     wire = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    return F.from_json(text, wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    options = {**PLAIN_JSON, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    return F.from_json(text, wire, options)
 
 
 def _mapped(kind: T.DataType, leaf: Callable[[T.DataType], T.DataType]) -> T.DataType:

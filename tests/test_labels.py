@@ -56,6 +56,7 @@ def test_format_duration(values):
         ('{"z":"1","b":2,"c":"x","a":""}', "c: x"),
         ('{"n":1}', '{"n":1}'),
         ("null", "null"),
+        ("{'org':'a','name':'b'}", "{'org':'a','name':'b'}"),
         ("[1]", "[1]"),
         ("x" * 50, "x" * 50),
         ("x" * 51, "x" * 47 + "..."),
@@ -74,7 +75,7 @@ def test_ellipsize_counts_bytes_and_keeps_characters(values):
 
 
 def test_parse_info_last_value_wins(values):
-    rows = ["a:1\r\n b : 2:3 \nnope\na:9\n:empty\n#x", "", "none", None]
+    rows = ["a:1\r\n b : 2:3 \u00a0\nnope\na:9\n:empty\n#x", "", "none", None]
     got = texts(values(rows), labels.parse_info(F.col("value")))
     assert got == [{"a": "9", "b": "2:3", "": "empty"}, {}, {}, None]
 

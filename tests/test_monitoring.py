@@ -3,7 +3,6 @@ import re
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from scanlake.operators import monitoring as ops
 

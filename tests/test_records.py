@@ -33,12 +33,15 @@ GOOD = {
     '{"org":"true"}': ("true", 0),
     '{"org":"[x"}': ("[x", 0),
     '{"org":"a","unknown":{"x":[1]}}': ("a", 0),
+    '{"org":"a","org":"b"}': ("b", 0),
+    '{"org":"}"}': ("}", 0),
+    '{"org":"a","x":[{"y":{}}]}\r\n': ("a", 0),
 }
 BAD = [
     "", "{", '{"org":5}', '{"org":true}', '{"org":{"x":1}}', '{"org":["x"]}', '{"worker_id":"3"}', '{"worker_id":3.5}',
     '{"worker_id":99999999999}', '{"org":"a"} tail', '{"org":"a"}{"org":"b"}', '{"org":"a"},', "[]", "5", None,
     '{"processed_at":"2024-01-01"}', '{"processed_at":5}', '{"processed_at":"2024-13-01T00:00:00Z"}',
-    '{"org":"a"}] }',
+    '{"org":"a"}] }', "{'org':'a'}", '{"org":"a"}}', '{org:"a"}', '{"worker_id":1e2}', '{"org":"a",}',
 ]
 
 
