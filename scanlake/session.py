@@ -1,7 +1,9 @@
 """Session defaults and the shared folder for written intermediate data."""
 
+import os
 import tempfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,19 @@ def build_session(app_name: str = "scanlake", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it.
+
+    That serves a local master and installations on a shared path; elsewhere the package is installed or shipped with
+    ``--py-files``, and the path is without effect.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
