@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlake.llm import decontam, embed_quality, entropy_secrets, html_extract, nb_toxicity, topk
+from scanlake.llm import decontam, embed_quality, entropy_secrets, html_extract, nb_toxicity, packing, topk
 from scanlake.llm.shared import documents
 from scanlake.plans.query import Query, Registry
 
@@ -58,3 +58,8 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM_QUERIES.add("op10_decontamination")
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+@LLM_QUERIES.add("op5_packing")
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text"))
