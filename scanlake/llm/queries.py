@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlake.llm import decontam, embed_quality, entropy_secrets, html_extract, nb_toxicity, packing, topk
+from scanlake.llm import (
+    decontam, embed_quality, entropy_secrets, html_extract, nb_toxicity, packing, token_coder, topk,
+)
 from scanlake.llm.shared import documents
 from scanlake.plans.query import Query, Registry
 
@@ -63,3 +65,8 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM_QUERIES.add("op5_packing")
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@LLM_QUERIES.add("op3_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_coder.token_round_trip(documents(spark, sf_dir).select("doc_id", "text"))
