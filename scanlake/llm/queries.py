@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import (
-    decontam, embed_quality, entropy_secrets, html_extract, nb_toxicity, packing, suffix_dedup, token_coder, topk,
+    decontam, embed_quality, entropy_secrets, html_extract, jaccard, nb_toxicity, packing, suffix_dedup, token_coder, topk,
 )
 from scanlake.llm.shared import documents
 from scanlake.plans.query import Query, Registry
@@ -76,3 +76,8 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.repeated_spans(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@LLM_QUERIES.add("op2_jaccard")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir).select("doc_id", "text"))
