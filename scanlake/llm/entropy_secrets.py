@@ -155,6 +155,40 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*kept, text).mapInArrow(work, f"{_ddl(docs, kept)}{SCHEMA}" if schema else SCHEMA)
 
 
+MASK = "[secret]"
+
+
+def masked(text: str, mask: str = MASK) -> str:
+    """The text with every run of base and entropy spans replaced."""
+    base, added = scan(text)
+    out, done = [], 0
+    for a, b, _ in sorted(base + added):
+        if a >= done:
+            out += [text[done:a], mask]
+        done = max(done, b)
+    return "".join(out) + text[done:]
+
+
+def without_secrets(docs: DataFrame, mask: str = MASK) -> DataFrame:
+    """All rows and columns of ``docs`` with secrets masked in ``text``; ``n_chars``, if there is one, follows a changed text."""
+    schema, names = docs.schema, docs.columns
+    place = names.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            clean = [masked(t, mask) if t else t for t in texts]
+            arrays = list(batch.columns)
+            arrays[place] = pa.array(clean, batch.column(place).type)
+            if "n_chars" in names:
+                at = names.index("n_chars")
+                sizes = [len(new) if new != old else n for old, new, n in zip(texts, clean, batch.column(at).to_pylist(), strict=True)]
+                arrays[at] = pa.array(sizes, batch.column(at).type)
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return docs.mapInArrow(work, schema)
+
+
 def _ddl(docs: DataFrame, kept: list[str]) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name in kept)
 

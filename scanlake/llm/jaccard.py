@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -66,8 +66,8 @@ def set_key(grams: np.ndarray) -> int:
     """A hash of the set, as a signed 64-bit number."""
     if not len(grams):
         return 0
-    total = np.add.reduce(mix(grams)) ^ (np.bitwise_xor.reduce(mix(grams ^ np.uint64(BASE))) * np.uint64(3))
-    return int(total.astype(np.int64))
+    total = int(np.add.reduce(mix(grams))) ^ int(np.bitwise_xor.reduce(mix(grams ^ np.uint64(BASE)))) >> 1
+    return total - (1 << 64) if total >> 63 else total
 
 
 # Rarity ---------------------------------------------------------------------------------------------------------------------
@@ -310,6 +310,14 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     )
 
 
-def is_first(component: Column, doc_id: Column) -> Column:
-    """Whether a row is its component's document with the smallest id."""
-    return component.isNull() | doc_id.isNull() | (component == doc_id)
+def first_of_groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` that are their component's document with the smallest id, with all columns.
+
+    Rows that repeat an id and its text stay once. Rows without id stay, as they cannot be told apart.
+    """
+    found = jaccard_components(docs, words, num, den)
+    # Null ids and components compare as null and so drop nothing.
+    others = found.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
+    return named.unionByName(kept.where(F.col("doc_id").isNull()))
