@@ -16,7 +16,9 @@ class SecretRule:
 
     Every match must contain one of ``keywords``, in any case if the pattern starts with
     ``(?i)``; without keywords the pattern runs on every text. Use no look-around, back
-    reference or ``\\A``/``\\z``: the pattern also tests whole texts.
+    reference or ``\\A``/``\\z``: the pattern also tests whole texts. Repeat single characters
+    and classes only: the Java matcher recurses on repeated groups. A pattern that can start
+    anywhere in a run of one class needs an edge before it, or long lines take quadratic time.
     """
 
     name: str
@@ -25,17 +27,25 @@ class SecretRule:
     keywords: tuple[str, ...] = ()
 
 
-# The published shapes of common credentials.
+# The published shapes of common credentials. Keys of fixed width end where the
+# word ends; all others are as long as they are.
 DEFAULT_RULES = (
-    SecretRule("AWS", r"(?:AKIA|ASIA)[0-9A-Z]{16}", keywords=("AKIA", "ASIA")),
-    SecretRule("GitHub", r"gh[pousr]_[0-9A-Za-z]{36}", keywords=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    SecretRule("Slack", r"xox[abprs]-[0-9A-Za-z-]{10,72}", keywords=("xox",)),
-    SecretRule("PrivateKey", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", keywords=("PRIVATE KEY-----",)),
-    SecretRule("JWT", r"eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}", keywords=("eyJ",)),
-    SecretRule("URI", r"[A-Za-z][0-9A-Za-z+.-]*://[^\s/:@]+:([^\s/:@]+)@", 1, ("://",)),
+    SecretRule("AWS", r"((?:AKIA|ASIA)[0-9A-Z]{16})(?:[^0-9A-Za-z_]|$)", 1, ("AKIA", "ASIA")),
+    SecretRule(
+        "GitHub", r"(gh[pousr]_[0-9A-Za-z]{36})(?:[^0-9A-Za-z_]|$)", 1, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")
+    ),
+    SecretRule("Slack", r"xox[abprs]-[0-9A-Za-z-]{10,}", keywords=("xox",)),
+    SecretRule("PrivateKey", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----", keywords=("PRIVATE KEY-----",)),
+    SecretRule(
+        "JWT",
+        r"(?:^|[^0-9A-Za-z_-])(eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{8,})",
+        1,
+        ("eyJ",),
+    ),
+    SecretRule("URI", r"[0-9A-Za-z+.-]://[^\s/:@]+:([^\s/:@]+)@", 1, ("://",)),
     SecretRule(
         "Token",
-        r"(?i)(?:token|secret|password|api_?key) *[:=] *[\"']?([0-9a-f]{32,64})",
+        r"(?i)(?:token|secret|password|api_?key) *[:=] *[\"']?([0-9a-f]{32,})",
         1,
         ("token", "secret", "password", "api_key", "apikey"),
     ),

@@ -191,22 +191,67 @@ def detect_secrets(
     return flagged.filter("validated") if only_verified else flagged
 
 
+# How the words of Python version suffixes sort; "2" is a release.
+_PHASES = {
+    "dev": "", "a": "1a", "alpha": "1a", "b": "1b", "beta": "1b", "c": "1rc", "rc": "1rc", "pre": "1rc",
+    "preview": "1rc", "post": "3", "rev": "3", "r": "3",
+}
+_VERSION = (
+    r"^\s*[vV=]?(?:([0-9]+)!)?([0-9][0-9.]*)"
+    r"(?:-([0-9A-Za-z.-]+)|[._-]?((?i)dev|alpha|a|beta|b|rc|c|preview|pre|post|rev|r)[._-]?([0-9]*))?"
+    r"(?:\+[0-9A-Za-z.-]*)?\s*$"
+)
+
+
+def _number(digits: Column) -> Column:
+    """A text that sorts as the number does, whatever its length."""
+    plain = F.regexp_replace(digits, r"^0+(?!$)", "")
+    return F.concat(F.lpad(F.length(plain), 10, "0"), plain)
+
+
 def version_key(version: Column) -> Column:
-    """Comparable form of a dotted release version; null (no match) for any other text.
+    """Comparable form of a version; null for a text that is none.
 
-    A leading v and zeros at the end do not count: v1.2.0 and 1.2 are one version.
+    Release numbers of any length, an epoch, pre-release identifiers in their semantic order
+    (so also pseudo versions of untagged commits) and the suffixes dev, a, b, rc and post. A
+    leading v, zeros at the end and build metadata do not count: v1.2.0, 1.2 and 1.2+x are
+    one version.
     """
-    plain = F.regexp_extract(
-        version, r"^[vV]?([0-9]{1,18}(?:\.[0-9]{1,18})*?)(?:\.0+)*$", 1
+    epoch, release, identifiers, word, count = [F.regexp_extract(version, _VERSION, i) for i in range(1, 6)]
+    zero = F.lit("00000000010")
+    numbers = F.transform(F.split(F.rtrim(release, F.lit(".")), r"\."), _number)
+    last = F.array_position(F.transform(F.reverse(numbers), lambda x: x != zero), True)
+    kept = F.when(last == 0, F.slice(numbers, 1, 1)).otherwise(
+        F.slice(numbers, F.lit(1), (F.size(numbers) - last + 1).cast("int"))
     )
-    return F.when(plain != "", F.split(plain, r"\.").cast("array<bigint>"))
+    names = F.transform(
+        F.split(identifiers, r"\."),
+        lambda x: F.when(F.rlike(x, F.lit("^[0-9]+$")), F.concat(F.lit("0"), _number(x))).otherwise(
+            F.concat(F.lit("1"), x)
+        ),
+    )
+    words = F.create_map(*[F.lit(x) for pair in _PHASES.items() for x in pair])
+    suffix = F.array(words[F.lower(word)], _number(F.when(count == "", "0").otherwise(count)))
+    phase = F.when(identifiers != "", names).when(word != "", suffix).otherwise(F.array(F.lit("2")))
+    empty_part = F.contains(release, F.lit("..")) | (F.endswith(release, F.lit(".")) & (word == ""))
+    empty_name = F.rlike(identifiers, F.lit(r"^\.|\.\.|\.$"))
+    key = F.struct(
+        _number(F.when(epoch == "", "0").otherwise(epoch)).alias("epoch"), kept.alias("release"), phase.alias("phase")
+    )
+    return F.when((release != "") & ~empty_part & ~empty_name, key)
+
+
+def unread_versions(df: DataFrame, version: str = "version") -> DataFrame:
+    """Rows whose version has no known order, unchanged: ``match_vulnerabilities`` cannot compare them."""
+    return df.filter(version_key(F.col(version)).isNull())
 
 
 def match_vulnerabilities(deps: DataFrame, advisories: DataFrame) -> DataFrame:
     """Dependencies with introduced <= version < fixed of an advisory for their package.
 
     deps: ecosystem, package, version and any other columns; advisories: ecosystem,
-    package, introduced, fixed ('' = not fixed) and any other columns.
+    package, introduced ('' or '0' = every version), fixed ('' = not fixed) and any other
+    columns. Versions of no known order match nothing and are listed by ``unread_versions``.
 
     Each distinct (ecosystem, package, version) is compared once, however many inventories
     hold it; the matches then join back. No side is broadcast by hint: Spark does so only
@@ -218,7 +263,8 @@ def match_vulnerabilities(deps: DataFrame, advisories: DataFrame) -> DataFrame:
         "_high", version_key(F.col("fixed"))
     )
     versions = deps.select(*coordinates).distinct().withColumn("_key", version_key(F.col("version")))
-    inside = (F.col("_low") <= F.col("_key")) & (
+    versions = versions.filter(F.col("_key").isNotNull())
+    inside = (F.col("introduced").isin("", "0") | (F.col("_low") <= F.col("_key"))) & (
         (F.col("fixed") == "") | (F.col("_key") < F.col("_high"))
     )
     # Inside coalesce no "is not null" is inferred and run on every dependency first.

@@ -186,6 +186,41 @@ DETECT_SQL = f"""
 """
 
 
+PLANTED_SQL = """
+    SELECT doc_id, CAST(len(string_split("text", chr(10))) + 1 AS INTEGER) AS line, kind AS secret_type, secret AS match
+    FROM (SELECT doc_id, "text", unnest(['AWS', 'GitHub', 'Slack', 'PrivateKey', 'JWT', 'URI', 'Token']) AS kind,
+                 unnest(['AKIA' || lpad(doc_id::VARCHAR, 16, '0'), 'ghp_' || lpad(doc_id::VARCHAR, 36, 'a'),
+                         'xoxb-' || lpad(doc_id::VARCHAR, 200, '7'), '-----BEGIN RSA 2 PRIVATE KEY-----',
+                         'eyJ' || lpad(doc_id::VARCHAR, 90, 'b') || '.eyJ45678901.' || repeat('z', 80), 'pw' || doc_id,
+                         lpad(doc_id::VARCHAR, 80, '0')]) AS secret,
+                 generate_subscripts([0, 1, 2, 3, 4, 5, 6], 1) - 1 AS no FROM documents)
+    WHERE no = doc_id % 9
+"""
+
+
+@FINDINGS.add("detect_secrets_rules", PLANTED_SQL)
+def planted(spark: SparkSession, sf: str) -> DataFrame:
+    """One value of a rule after each text; of nine texts, two get runs that are too long for a key."""
+    doc = F.col("doc_id").cast("string")
+    values = [
+        text_of("key AKIA", F.lpad(doc, 16, "0"), " end"),
+        text_of("ghp_", F.lpad(doc, 36, "a")),
+        text_of("(xoxb-", F.lpad(doc, 200, "7"), ")"),
+        text_of("-----BEGIN RSA 2 PRIVATE KEY-----"),
+        text_of("jwt=eyJ", F.lpad(doc, 90, "b"), ".eyJ45678901.", "z" * 80),
+        text_of("at db+x://user:pw", doc, "@host/p and http://host/plain"),
+        text_of('Api_Key : "', F.lpad(doc, 80, "0"), '"'),
+        text_of("AKIA", F.lpad(doc, 17, "0")),
+        text_of("ghp_", F.lpad(doc, 40, "a")),
+    ]
+    value = F.element_at(F.array(*values), (F.col("doc_id") % 9 + 1).cast("int"))
+    texts = table(spark, sf, "documents").select(
+        "doc_id", F.size(F.split("text", "\n")).alias("lines"), text_of(F.col("text"), "\n", value).alias("text")
+    )
+    found = ops.detect_secrets(texts, keep=["doc_id", "lines"])
+    return found.filter(F.col("line") > F.col("lines")).select("doc_id", "line", "secret_type", "match")
+
+
 @FINDINGS.add("detect_secrets", DETECT_SQL)
 def detected(spark: SparkSession, sf: str) -> DataFrame:
     return ops.detect_secrets(table(spark, sf, "documents")).drop("validated")
@@ -614,41 +649,63 @@ def rate_labels(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- dependency matches
 
 
+_DEPS_SQL = """
+    SELECT l_orderkey, l_partkey, l_orderkey % 5 AS form, [l_linenumber, CAST(l_quantity AS INTEGER)] AS v,
+           'eco' || (l_partkey % 3) AS ecosystem, 'part' || l_partkey AS package,
+           CASE WHEN l_orderkey % 11 = 0 THEN 'build ' || l_linenumber
+                ELSE l_linenumber || '.' || CAST(l_quantity AS INTEGER) || '.0'
+                     || ['', '-rc.' || l_linenumber, '+b.7', '.post1', 'a2'][l_orderkey % 5 + 1] END AS version
+    FROM lineitem
+"""
+
+
+def dependencies(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as dependencies: releases, pre-releases, builds, post releases and texts that are no version."""
+    line = F.col("l_linenumber")
+    suffixes = F.array(F.lit(""), text_of("-rc.", line), F.lit("+b.7"), F.lit(".post1"), F.lit("a2"))
+    version = text_of(line, ".", F.col("l_quantity").cast("int"), ".0", F.element_at(suffixes, (F.col("l_orderkey") % 5 + 1).cast("int")))
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        text_of("eco", F.col("l_partkey") % 3).alias("ecosystem"),
+        text_of("part", F.col("l_partkey")).alias("package"),
+        F.when(F.col("l_orderkey") % 11 == 0, text_of("build ", line)).otherwise(version).alias("version"),
+    )
+
+
+@FINDINGS.add(
+    "unread_versions", f"SELECT l_orderkey, package, version FROM ({_DEPS_SQL}) WHERE l_orderkey % 11 = 0"
+)
+def unread(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.unread_versions(dependencies(spark, sf)).select("l_orderkey", "package", "version")
+
+
+# Forms 1 and 4 come before their release, form 3 after it; the bounds are releases, or all versions for k = 1.
 @FINDINGS.add(
     "match_vulnerabilities",
-    """
-    WITH deps AS (SELECT l_orderkey, 'eco' || (l_partkey % 3) AS ecosystem, 'part' || l_partkey AS package,
-                         l_linenumber || '.' || CAST(l_quantity AS INTEGER) || '.0' AS version,
-                         [l_linenumber, CAST(l_quantity AS INTEGER)] AS v FROM lineitem),
+    f"""
+    WITH deps AS ({_DEPS_SQL}),
     adv AS (SELECT 'eco' || (p_partkey % 3) AS ecosystem, 'part' || p_partkey AS package, 'ADV-' || p_partkey || '-' || k AS advisory,
                    k, p_size, [k, p_size] AS low, [k + 2, p_size] AS high
             FROM part, generate_series(1, 3) AS ks(k))
     SELECT l_orderkey, d.ecosystem, d.package, d.version, advisory
     FROM deps d JOIN adv a ON d.ecosystem = a.ecosystem AND d.package = a.package
-    WHERE d.v >= a.low AND (a.k = 3 OR d.v < a.high)
+    WHERE l_orderkey % 11 <> 0
+      AND (a.k = 1 OR CASE WHEN form IN (1, 4) THEN d.v > a.low ELSE d.v >= a.low END)
+      AND (a.k = 3 OR CASE WHEN form IN (1, 4) THEN d.v <= a.high ELSE d.v < a.high END)
     """,
 )
 def matches(spark: SparkSession, sf: str) -> DataFrame:
-    def ecosystem(key: str) -> Column:
-        return text_of("eco", F.col(key) % 3).alias("ecosystem")
-
-    deps = table(spark, sf, "lineitem").select(
-        "l_orderkey",
-        ecosystem("l_partkey"),
-        text_of("part", F.col("l_partkey")).alias("package"),
-        text_of(F.col("l_linenumber"), ".", F.col("l_quantity").cast("int"), ".0").alias("version"),
-    )
     k, size = F.col("k"), F.col("p_size")
     advisories = (
         table(spark, sf, "part")
         .withColumn("k", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
         .select(
-            ecosystem("p_partkey"),
+            text_of("eco", F.col("p_partkey") % 3).alias("ecosystem"),
             text_of("part", F.col("p_partkey")).alias("package"),
             text_of("ADV-", F.col("p_partkey"), "-", k).alias("advisory"),
-            text_of("v", k, ".", size).alias("introduced"),
+            F.when(k == 1, "0").otherwise(text_of("v", k, ".", size)).alias("introduced"),
             F.when(k == 3, "").otherwise(text_of(k + 2, ".", size, ".0.0")).alias("fixed"),
         )
     )
-    found = ops.match_vulnerabilities(deps, advisories)
+    found = ops.match_vulnerabilities(dependencies(spark, sf), advisories)
     return found.select("l_orderkey", "ecosystem", "package", "version", "advisory")
