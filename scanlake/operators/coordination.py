@@ -94,19 +94,30 @@ def _replayed(
     order: Sequence[str],
     required: Sequence[str],
     slice_by: Column | str,
+    timeout_minutes: float | None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with their local state, and one summary per (key, slice) with the carried state.
 
     The barrier of two scanners needs no fold. Call a message an anchor when it is the
-    key's first or repeats the scanner of the message before: after an anchor the state is
-    exactly {its scanner}, whatever came earlier. From there scanners alternate until the
+    key's first, repeats the scanner of the message before, or comes longer than the timeout
+    after it: after an anchor the state is exactly {its scanner}, whatever came earlier. From there scanners alternate until the
     next anchor, so the message p places after its anchor completes a cycle iff p is odd.
     Inside a slice only rows before its first repeat depend on earlier slices, through one
     bit: the parity of p at the slice's first row. Both cases are kept until it is known.
     """
+    if timeout_minutes is not None and timeout_minutes <= 0:
+        raise ValueError("timeout_minutes must be greater than 0")
     a, b = required
     local = within_slice(keys, order)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
+
+    def gap(at: Column, before: Column) -> Column:
+        """Whether a job would have expired between two messages."""
+        if timeout_minutes is None:
+            return F.lit(False)
+        micros = F.unix_micros(at.cast("timestamp")) - F.unix_micros(before.cast("timestamp"))
+        return F.coalesce(micros > F.lit(int(timeout_minutes * 60_000_000)), F.lit(False))
+
     start = F.struct("org", "name", F.col(order[0]).alias("started_at"))
     rows = (
         sliced(msgs.filter(F.col("scanner_type").isin(a, b)), keys, order, slice_by)
@@ -115,22 +126,30 @@ def _replayed(
             (F.col("scanner_type") == b).alias("is_b"), start.alias("start"),
         )
         .withColumn("i", F.row_number().over(local) - 1)
-        .withColumn("before", F.lag(F.struct("is_b", "scan_status")).over(local))
-        .withColumn("anchor", F.last(F.when(F.col("before.is_b") == F.col("is_b"), F.col("i")), True).over(upto))
+        .withColumn("before", F.lag(F.struct("is_b", "scan_status", F.col(order[0]).alias("at"))).over(local))
+        .withColumn("gap", gap(F.col(order[0]), F.col("before.at")))
+        .withColumn(
+            "anchor",
+            F.last(F.when((F.col("before.is_b") == F.col("is_b")) | F.col("gap"), F.col("i")), True).over(upto),
+        )
         .withColumn("p", F.col("i") - F.col("anchor"))
         .withColumn("p_before", F.lag("p").over(local))
     )
-    # A cycle starts after a completion. first0 / first1: the start of the cycle open at this
+    # A cycle starts after a completion or a gap. first0 / first1: the start of the cycle open at this
     # row if p at the slice's first row is even / odd; null while it began in an earlier slice.
     for bit in (0, 1):
         p_before = F.coalesce(F.col("p_before"), F.col("i") - 1 + bit)
-        begins = (F.col("i") > 0) & (p_before % 2 == 1)
+        begins = (F.col("i") > 0) & ((p_before % 2 == 1) | F.col("gap"))
         rows = rows.withColumn(f"first{bit}", F.last(F.when(begins, F.col("start")), True).over(upto))
+    if timeout_minutes is not None:
+        for bit in (0, 1):
+            rows = rows.withColumn(f"open{bit}", F.lag(f"first{bit}").over(local))
 
     here, at = F.col("i") == 0, F.col("i")
     slices = rows.groupBy(*slice_names(keys)).agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.when(here, F.col("is_b"))).alias("head_is_b"),
+        F.min(order[0]).alias("head_at"),
         F.max_by("start", F.when(here, at)).alias("head_start"),
         F.max_by(F.struct("is_b", "scan_status", F.col(order[0]).alias("at"), "p", "first0", "first1"), at)
         .alias("tail"),
@@ -140,14 +159,18 @@ def _replayed(
     earlier = path.rowsBetween(Window.unboundedPreceding, -1)
     slices = (
         slices.withColumn("prev", F.lag("tail").over(path))
-        .withColumn("head_anchors", F.coalesce(F.col("prev.is_b") == F.col("head_is_b"), F.lit(True)))
+        .withColumn("head_gap", gap(F.col("head_at"), F.col("prev.at")))
+        .withColumn(
+            "head_anchors",
+            F.coalesce((F.col("prev.is_b") == F.col("head_is_b")) | F.col("head_gap"), F.lit(True)),
+        )
         # p of the slice's last row where it is known, then counted on through the others.
         .withColumn("known", F.coalesce("tail.p", F.when(F.col("head_anchors"), F.col("n") - 1)))
         .withColumn("total", F.sum("n").over(so_far))
         .withColumn("p_last", F.last(F.col("known") - F.col("total"), True).over(so_far) + F.col("total"))
         .withColumn("p_prev", F.lag("p_last").over(path))
         .withColumn("bit", F.when(F.col("head_anchors"), 0).otherwise((F.col("p_prev") + 1) % 2))
-        .withColumn("head_begins", F.coalesce(F.col("p_prev") % 2 == 1, F.lit(True)))
+        .withColumn("head_begins", F.coalesce((F.col("p_prev") % 2 == 1) | F.col("head_gap"), F.lit(True)))
         .withColumn(
             "opened",
             F.coalesce(
@@ -167,19 +190,64 @@ def completion_barrier(
     order: Sequence[str] = ("completed_at",),
     required: Sequence[str] = SCANNERS,
     slice_by: Column | str = "hour",
+    timeout_minutes: float | None = None,
 ) -> DataFrame:
     """Cleanup rows of a replay in arrival order, for paths that may complete repeatedly.
 
     One row whenever both scanners have reported since the last one; then the state is
     empty again. Repeats are idempotent and a later status replaces the earlier. ``order``
     must be unique per key; org, name and started_at are those of the cycle's first message.
+
+    With ``timeout_minutes``, a job that waits longer than that for the next message expires:
+    it gives a row with ``expired`` true, requested when its last message came, and the
+    next message opens a new job. Jobs that are open at the end are ``open_jobs``.
     """
-    rows, slices = _replayed(msgs, keys, order, required, slice_by)
+    rows, slices = _replayed(msgs, keys, order, required, slice_by, timeout_minutes)
     carried = slices.select(
         *slice_names(keys), "bit", "head_begins", "head_start", "opened_before",
-        F.col("prev.scan_status").alias("status_before"),
+        F.col("prev.scan_status").alias("status_before"), F.col("prev.is_b").alias("was_b"),
+        F.col("prev.at").alias("at_before"), (F.col("head_gap") & (F.col("p_prev") % 2 == 0)).alias("head_expires"),
     )
     joined = join_slices(rows, carried, keys)
+    done = _completed(joined, keys, order)
+    if timeout_minutes is None:
+        return done
+    return done.withColumn("expired", F.lit(False)).unionByName(_expired(joined, keys))
+
+
+def _expired(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The job that was open before each gap, from the first message after it."""
+    first = F.col("i") == 0
+    p_before = F.coalesce(F.col("p_before"), F.col("i") - 1 + F.col("bit"))
+    # Inside the slice: the cycle open at the row before, from this slice or an earlier one.
+    opened = F.when(first, F.col("opened_before")).otherwise(
+        F.coalesce(
+            F.when(F.col("bit") == 0, F.col("open0")).otherwise(F.col("open1")),
+            F.when(F.col("head_begins"), F.col("head_start")),
+            F.col("opened_before"),
+        )
+    )
+    is_b = F.when(first, F.col("was_b")).otherwise(F.col("before.is_b"))
+    status = F.when(first, F.col("status_before")).otherwise(F.col("before.scan_status"))
+    expires = F.when(first, F.col("head_expires")).otherwise(F.col("gap") & (p_before % 2 == 0))
+    return (
+        joined.filter(F.coalesce(expires, F.lit(False)))
+        .withColumn("opened", opened)
+        .select(
+            *restored(keys),
+            "opened.org",
+            "opened.name",
+            "opened.started_at",
+            F.when(first, F.col("at_before")).otherwise(F.col("before.at")).alias("requested_at"),
+            F.lit(0).alias("worker_id"),
+            F.when(~is_b, status).alias("secrets_status"),
+            F.when(is_b, status).alias("vulnerabilities_status"),
+            F.lit(True).alias("expired"),
+        )
+    )
+
+
+def _completed(joined: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     opened = F.coalesce(
         F.when(F.col("bit") == 0, F.col("first0")).otherwise(F.col("first1")),
         F.when(F.col("head_begins"), F.col("head_start")),
@@ -208,9 +276,13 @@ def open_jobs(
     order: Sequence[str] = ("completed_at",),
     required: Sequence[str] = SCANNERS,
     slice_by: Column | str = "hour",
+    timeout_minutes: float | None = None,
 ) -> DataFrame:
-    """Jobs a replay leaves open: one scanner has reported since the last completion."""
-    _, slices = _replayed(msgs, keys, order, required, slice_by)
+    """Jobs a replay leaves open: one scanner has reported since the last completion.
+
+    With ``timeout_minutes`` also since the last gap over that limit.
+    """
+    _, slices = _replayed(msgs, keys, order, required, slice_by, timeout_minutes)
     last = F.max_by(F.struct("p_last", "tail", "opened"), SLICE).alias("s")
     ends = slices.groupBy(*group_names(keys)).agg(last).filter("s.p_last % 2 = 0")
     is_b, status = F.col("s.tail.is_b"), F.col("s.tail.scan_status")
@@ -236,10 +308,14 @@ def idle_seconds(now: Column) -> Column:
 def expire_jobs(
     state: DataFrame, now: Column, timeout_minutes: int = JOB_TIMEOUT_MINUTES
 ) -> DataFrame:
-    """Jobs idle strictly longer than the limit; each also gets a cleanup row."""
+    """Jobs idle strictly longer than the limit; each also gets a cleanup row.
+
+    A job both scanners have reported is no longer waiting and does not expire.
+    """
     if timeout_minutes <= 0:
         raise ValueError("timeout_minutes must be greater than 0")
-    return state.filter(idle_seconds(now) > timeout_minutes * 60)
+    waiting = state.filter("NOT (secrets_complete AND vulnerabilities_complete)")
+    return waiting.filter(idle_seconds(now) > timeout_minutes * 60)
 
 
 def active_jobs(

@@ -34,11 +34,18 @@ def day_key() -> Column:
 
 ORDER = ["completed_at", "event_id"]
 
-# The state of each path after each message, one message at a time.
-REPLAY_SQL = """
+def replay_sql(arrival: str = "ts, event_id", timeout: str | None = None) -> str:
+    """The state of each path after each message, one message at a time.
+
+    A gap over the timeout empties the state as a completion does.
+    """
+    done = "r.a IS NOT NULL AND r.b IS NOT NULL"
+    if timeout:
+        done = f"({done} OR m.ts - r.ts > INTERVAL {timeout})"
+    return f"""
     WITH RECURSIVE m AS (
         SELECT CAST(user_id AS VARCHAR) AS clone_path, 'e' || event_id AS org, 'u' || user_id AS name, event_type AS kind,
-               ts, 's' || event_id AS status, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+               ts, 's' || event_id AS status, row_number() OVER (PARTITION BY user_id ORDER BY {arrival}) AS n
         FROM events WHERE event_type IN ('click', 'purchase')),
     replay AS (
         SELECT clone_path, n, org, name, ts AS started, ts,
@@ -46,15 +53,32 @@ REPLAY_SQL = """
         FROM m WHERE n = 1
         UNION ALL
         SELECT m.clone_path, m.n,
-               CASE WHEN done THEN m.org ELSE r.org END, CASE WHEN done THEN m.name ELSE r.name END,
-               CASE WHEN done THEN m.ts ELSE r.started END, m.ts,
-               CASE WHEN m.kind = 'click' THEN m.status WHEN done THEN NULL ELSE r.a END,
-               CASE WHEN m.kind = 'purchase' THEN m.status WHEN done THEN NULL ELSE r.b END
-        FROM (SELECT *, a IS NOT NULL AND b IS NOT NULL AS done FROM replay) r
-        JOIN m ON m.clone_path = r.clone_path AND m.n = r.n + 1)
+               CASE WHEN {done} THEN m.org ELSE r.org END, CASE WHEN {done} THEN m.name ELSE r.name END,
+               CASE WHEN {done} THEN m.ts ELSE r.started END, m.ts,
+               CASE WHEN m.kind = 'click' THEN m.status WHEN {done} THEN NULL ELSE r.a END,
+               CASE WHEN m.kind = 'purchase' THEN m.status WHEN {done} THEN NULL ELSE r.b END
+        FROM replay r JOIN m ON m.clone_path = r.clone_path AND m.n = r.n + 1)
 """
 
 
+REPLAY_SQL = replay_sql()
+
+
+def expiry_sql(timeout: str, idle_at_end: str = "false") -> str:
+    """Completed jobs, and jobs that the next message, or the end, finds idle for too long."""
+    return (
+        replay_sql(timeout=timeout)
+        + f"""
+    SELECT clone_path, org, name, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS requested_at, 0 AS worker_id,
+           a AS secrets_status, b AS vulnerabilities_status, NOT complete AS expired
+    FROM (SELECT *, a IS NOT NULL AND b IS NOT NULL AS complete,
+                 lead(ts) OVER (PARTITION BY clone_path ORDER BY n) AS next FROM replay)
+    WHERE complete OR next - ts > INTERVAL {timeout} OR (next IS NULL AND {idle_at_end})
+    """
+    )
+
+
 def stamp(name: str, as_name: str | None = None) -> Column:
     return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(as_name or name)
 
@@ -77,6 +101,20 @@ def barrier(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+TIMEOUT = "12 HOUR"
+
+
+@COORDINATION.add("completion_barrier_expiry", expiry_sql(TIMEOUT))
+def barrier_with_expiry(spark: SparkSession, sf: str) -> DataFrame:
+    done = ops.completion_barrier(
+        messages(spark, sf), order=ORDER, required=REQUIRED, slice_by="day", timeout_minutes=12 * 60
+    )
+    return done.select(
+        "clone_path", "org", "name", stamp("started_at"), stamp("requested_at"), "worker_id",
+        "secrets_status", "vulnerabilities_status", "expired",
+    )
+
+
 @COORDINATION.add(
     "active_jobs",
     REPLAY_SQL
@@ -131,9 +169,8 @@ def completed(spark: SparkSession, sf: str) -> DataFrame:
 )
 def expired(spark: SparkSession, sf: str) -> DataFrame:
     progress = ops.job_progress(messages(spark, sf, day_key()), order=ORDER, required=REQUIRED)
-    waiting = progress.filter("NOT (secrets_complete AND vulnerabilities_complete)")
     now = F.lit("2024-01-20 00:00:00").cast("timestamp")
-    rows = ops.cleanup_jobs(ops.expire_jobs(waiting, now), now)
+    rows = ops.cleanup_jobs(ops.expire_jobs(progress, now), now)
     return rows.select("clone_path", "org", stamp("requested_at"), "worker_id")
 
 

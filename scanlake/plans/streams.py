@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake import schemas
-from scanlake.plans.coordination import REPLAY_SQL, REQUIRED, stamp
+from scanlake.plans.coordination import ORDER, REPLAY_SQL, REQUIRED, TIMEOUT, expiry_sql, replay_sql, stamp
 from scanlake.plans.query import Registry
 from scanlake.plans.records import UPSERT_SQL
 from scanlake.sources.records import decode_records
@@ -53,41 +53,84 @@ def fanned(spark: SparkSession, sf: str) -> DataFrame:
     return first.unionByName(second)
 
 
+# Events by arrival: in four files, the latest days first.
+CHUNK_SQL = "datediff('day', TIMESTAMP '2024-01-01', ts) // 8"
+
+
+def falling_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream of four files in falling time order, one in each trigger."""
+    folder = streams.fresh_folder(spark, "falling-events")
+    events = table(spark, sf, "events")
+    chunk = F.floor(F.datediff("ts", F.lit("2024-01-01")) / 8)
+    for number in (3, 2, 1, 0):
+        part = events.filter(chunk >= 3 if number == 3 else chunk <= 0 if number == 0 else chunk == number)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 @STREAMS.add("upsert_stream", UPSERT_SQL)
 def upserted(spark: SparkSession, sf: str) -> DataFrame:
+    """The upsert does not depend on triggers: older events arrive later and lose."""
     path = streams.fresh_folder(spark, "documents")
-    rows = event_stream(spark, sf).select("user_id", "event_id", "event_type", "ts")
-    writer = streams.document_sink(rows, path, ["user_id"], ["ts", "event_id"])
+    rows = falling_stream(spark, sf).select("user_id", "event_id", "event_type", "ts")
+    seq = ["ts", "event_id"]
+    writer = streams.document_sink(rows, path, ["user_id"], seq)
     streams.drain(writer, streams.fresh_folder(spark, "documents-checkpoint"))
-    latest = streams.read_documents(spark, path, ["user_id"])
+    latest = streams.read_documents(spark, path, ["user_id"], seq)
     at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
     return latest.select("user_id", "event_id", "event_type", at)
 
 
-@STREAMS.add(
-    "completion_barrier_stream",
-    REPLAY_SQL
-    + """
-    SELECT clone_path, org, name, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
-           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS requested_at, 0 AS worker_id,
-           a AS secrets_status, b AS vulnerabilities_status
-    FROM replay WHERE a IS NOT NULL AND b IS NOT NULL
-    """,
-)
-def barrier(spark: SparkSession, sf: str) -> DataFrame:
-    msgs = event_stream(spark, sf).select(
+def messages(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("user_id").cast("string").alias("clone_path"),
         F.concat(F.lit("e"), "event_id").alias("org"),
         F.concat(F.lit("u"), "user_id").alias("name"),
         F.col("event_type").alias("scanner_type"),
         F.concat(F.lit("s"), "event_id").alias("scan_status"),
         F.col("ts").cast("timestamp").alias("completed_at"),
+        "event_id",
     )
-    done = completion_barrier_stream(msgs, REQUIRED, timeout_minutes=None)
+
+
+def cleanup_rows(spark: SparkSession, done: DataFrame) -> DataFrame:
+    """What the barrier writes, run to the end of its source."""
     path = streams.fresh_folder(spark, "cleanup-jobs")
     writer = streams.fan_out(done, {path: lambda batch: batch})
     streams.drain(writer, streams.fresh_folder(spark, "barrier-checkpoint"))
     return streams.read_epochs(spark, path).select(
         "clone_path", "org", "name", stamp("started_at"), stamp("requested_at"), "worker_id",
-        "secrets_status", "vulnerabilities_status",
+        "secrets_status", "vulnerabilities_status", "expired",
     )
+
+
+_CLEANUP_SQL = """
+    SELECT clone_path, org, name, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS requested_at, 0 AS worker_id,
+           a AS secrets_status, b AS vulnerabilities_status
+    FROM replay WHERE a IS NOT NULL AND b IS NOT NULL
+"""
+
+
+@STREAMS.add("completion_barrier_stream", REPLAY_SQL + _CLEANUP_SQL)
+def barrier(spark: SparkSession, sf: str) -> DataFrame:
+    done = completion_barrier_stream(messages(event_stream(spark, sf)), REQUIRED, timeout_minutes=None, order=ORDER)
+    return cleanup_rows(spark, done).drop("expired")
+
+
+@STREAMS.add("completion_barrier_stream_arrival", replay_sql(f"{CHUNK_SQL} DESC, ts, event_id") + _CLEANUP_SQL)
+def barrier_by_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages count in the order of their triggers, here with the latest days first."""
+    done = completion_barrier_stream(messages(falling_stream(spark, sf)), REQUIRED, timeout_minutes=None, order=ORDER)
+    return cleanup_rows(spark, done).drop("expired")
+
+
+@STREAMS.add(
+    "completion_barrier_stream_expiry",
+    expiry_sql(TIMEOUT, f"(SELECT max(ts) FROM m) - INTERVAL 5 MINUTE > ts + INTERVAL {TIMEOUT}"),
+)
+def barrier_with_expiry(spark: SparkSession, sf: str) -> DataFrame:
+    """Event time: gaps expire jobs, and so does the watermark after the last message."""
+    msgs = messages(event_stream(spark, sf))
+    done = completion_barrier_stream(msgs, REQUIRED, timeout_minutes=12 * 60, clock="event", order=ORDER)
+    return cleanup_rows(spark, done)

@@ -19,6 +19,8 @@ STATE = (
     "vulnerabilities_status string, last_updated timestamp"
 )
 
+MESSAGE = ("org", "name", "scanner_type", "scan_status", "completed_at")
+
 CLOCKS = {
     None: GroupStateTimeout.NoTimeout,
     "processing": GroupStateTimeout.ProcessingTimeTimeout,
@@ -32,12 +34,19 @@ def completion_barrier_stream(
     timeout_minutes: int | None = JOB_TIMEOUT_MINUTES,
     clock: str = "processing",
     late_minutes: int = 5,
+    order: Sequence[str] = ("completed_at",),
 ) -> DataFrame:
     """Cleanup rows as both scanners report, or (expired) when a job stays idle too long.
 
+    Messages count by arrival: triggers one after another, and inside a trigger by ``order``
+    (then by all their fields, so that ties do not depend on the shuffle). A source in time
+    order gives the result of the batch replay.
+
     ``clock`` is the time idleness is measured in: processing time, or event time for
-    replays, where messages may be ``late_minutes`` late. ``timeout_minutes=None`` never
-    expires a job. State is one small row per open clone path, kept in the state store and
+    replays. With event time, a gap over the limit between two messages of a path expires the
+    job between them, also inside a trigger, as ``completion_barrier`` does; messages may be
+    ``late_minutes`` late, and Spark drops later ones, so choose it as long as the source can
+    lag. ``timeout_minutes=None`` never expires a job. State is one small row per open clone path, kept in the state store and
     its checkpoint; a restart loses nothing. The messages of one path in one trigger meet in
     one task: bound the trigger at the source (files or offsets per trigger).
     """
@@ -48,15 +57,18 @@ def completion_barrier_stream(
     if clock == "event":
         msgs = msgs.withWatermark("completed_at", f"{late_minutes} minutes")
     known = msgs.filter(F.col("scanner_type").isin(*required)).select(
-        "clone_path", "org", "name", "scanner_type", "scan_status", "completed_at"
+        "clone_path", *MESSAGE, *[name for name in order if name not in MESSAGE]
     )
     return known.groupBy("clone_path").applyInPandasWithState(
-        barrier_step(required, timeout_minutes, clock), OUTPUT, STATE, "append", CLOCKS[clock]
+        barrier_step(required, timeout_minutes, clock, order), OUTPUT, STATE, "append", CLOCKS[clock]
     )
 
 
 def barrier_step(
-    required: Sequence[str], timeout_minutes: int | None, clock: str | None
+    required: Sequence[str],
+    timeout_minutes: int | None,
+    clock: str | None,
+    order: Sequence[str] = ("completed_at",),
 ) -> Callable[[tuple, Iterable[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     """State function of one clone path; a status of None means not reported yet."""
 
@@ -67,8 +79,13 @@ def barrier_step(
             done.append((*job[:3], _now(state, clock, job), 0, *job[3:5], True))
             job = None
         else:
-            arrived = pd.concat(batches).sort_values("completed_at", kind="stable")
+            by = [*order, *[name for name in MESSAGE if name not in order]]
+            arrived = pd.concat(batches).sort_values(by, kind="stable")
+            limit = pd.Timedelta(minutes=timeout_minutes) if clock == "event" else None
             for m in arrived.itertuples(index=False):
+                if job is not None and limit is not None and m.completed_at - job[5] > limit:
+                    done.append((*job[:3], job[5], 0, *job[3:5], True))
+                    job = None
                 if job is None:
                     job = [m.org, m.name, m.completed_at, None, None, None]
                 job[3 + list(required).index(m.scanner_type)] = m.scan_status

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from scanlake.operators.documents import latest_documents
@@ -69,17 +70,21 @@ def fan_out(
 ) -> DataStreamWriter:
     """Write every record to several tables: path -> what its consumer keeps of a batch.
 
-    Each batch is read once. A batch goes to the folder of its own epoch, replaced when it
-    is tried again, so every sink holds every record once even if a run stops in between.
+    Each batch is read once; it is kept only where a second sink reads it again. A batch goes
+    to the folder of its own epoch, replaced when it is tried again, so every sink holds every
+    record once even if a run stops in between.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
+        shared = len(sinks) > 1
+        if shared:
+            batch.persist()
         try:
             for path, select in sinks.items():
                 _write_epoch(select(batch), path, epoch)
         finally:
-            batch.unpersist()
+            if shared:
+                batch.unpersist()
 
     return stream.writeStream.foreachBatch(write)
 
@@ -89,8 +94,10 @@ def document_sink(
 ) -> DataStreamWriter:
     """Keyed upsert: each batch adds its last write per key under its own epoch.
 
-    Read it with ``read_documents``. A repeated batch replaces its own folder, so delivery
-    is effectively once. Epochs belong to the checkpoint: a new checkpoint needs a new table.
+    Read it with ``read_documents`` and the same ``seq``: then the result is the one of
+    ``upsert_documents``, however the records were dealt to triggers. A repeated batch
+    replaces its own folder, so delivery is effectively once. Epochs belong to the checkpoint:
+    a new checkpoint needs a new table.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -110,14 +117,21 @@ def read_epochs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_documents(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The current document of each key: a later flush replaces an earlier one."""
-    return latest_documents(read_epochs(spark, path), keys, [EPOCH]).drop(EPOCH)
+def read_documents(
+    spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str] = ()
+) -> DataFrame:
+    """The current document of each key: the larger ``seq`` wins, a later flush wins ties.
+
+    Without ``seq`` documents count by arrival: a later flush replaces an earlier one.
+    """
+    return latest_documents(read_epochs(spark, path), keys, [*seq, EPOCH]).drop(EPOCH)
 
 
-def compact_documents(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
+def compact_documents(
+    spark: SparkSession, path: str, target: str, keys: Sequence[str], seq: Sequence[str] = ()
+) -> None:
     """Write the current documents to a new table of the same layout, without old versions."""
-    latest = latest_documents(read_epochs(spark, path), keys, [EPOCH])
+    latest = latest_documents(read_epochs(spark, path), keys, [*seq, EPOCH])
     latest.write.partitionBy(EPOCH).mode("errorifexists").parquet(target)
 
 
@@ -128,8 +142,39 @@ def drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return query
 
 
+class BatchLog(StreamingQueryListener):
+    """Input rows and duration of every batch of the session's queries: the queue-length log.
+
+    ``recentProgress`` forgets all but the last batches; a listener is told of each. Register it
+    with ``spark.streams.addListener`` before the query starts; ``sink`` gets each row.
+    """
+
+    def __init__(self, sink: Callable[[dict], None]):
+        self.sink = sink
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.sink(
+            {
+                "query": str(p.runId),
+                "batch": p.batchId,
+                "input_rows": p.numInputRows,
+                "rows_per_second": p.processedRowsPerSecond,
+            }
+        )
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
 def progress_rows(query: StreamingQuery) -> list[dict]:
-    """Input rows and duration of the query's recent batches: the queue-length log."""
+    """Input rows and duration of the query's recent batches; ``BatchLog`` has all of them."""
     return [
         {
             "batch": p["batchId"],

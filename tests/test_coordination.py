@@ -20,12 +20,15 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def replay(rows):
+def replay(rows, timeout=None):
     """One message at a time, as a single consumer does it."""
     jobs, done = {}, []
     for path, org, name, scanner, at, _, status, _ in sorted(rows, key=lambda r: r[4]):
         if scanner not in SCANNERS:
             continue
+        if timeout and path in jobs and at - jobs[path]["last"] > timedelta(minutes=timeout):
+            j = jobs.pop(path)
+            done.append((path, j["org"], j["name"], j["start"], j["last"], j.get(A), j.get(B)))
         job = jobs.setdefault(path, {"org": org, "name": name, "start": at})
         job[scanner], job["last"] = status, at
         if A in job and B in job:
@@ -34,12 +37,12 @@ def replay(rows):
     open_jobs = {
         (p, j["org"], j["name"], j["start"], j["last"], A in j, B in j, j.get(A, ""), j.get(B, "")) for p, j in jobs.items()
     }
-    return sorted(done), open_jobs
+    return sorted(done, key=str), open_jobs
 
 
 def cleanup(df):
     names = ["clone_path", "org", "name", "started_at", "requested_at", "secrets_status", "vulnerabilities_status"]
-    return sorted(tuple(r) for r in df.select(*names).collect())
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=str)
 
 
 def still_open(df):
@@ -93,6 +96,35 @@ def test_replay_equals_one_at_a_time(spark, seed, width):
     assert len(done) > 50
 
 
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_replay_with_expiry_equals_one_at_a_time(spark, seed, width):
+    random.seed(seed)
+    rows, minute = [], 0
+    for i in range(1200):
+        minute += random.choice([0.5, 1, 3])
+        path = random.choice(["hot"] * 4 + [f"p{k}" for k in range(12)])
+        rows.append(message(path, random.choice([A, A, B]), minute, f"s{i}", f"o{i}", f"n{i}"))
+    done, waiting = replay(rows, timeout=12)
+    df = frame(spark, rows)
+    slices = F.floor(F.unix_seconds(F.col("completed_at").cast("timestamp")) / (60 * width))
+    found = ops.completion_barrier(df, slice_by=slices, timeout_minutes=12)
+    assert cleanup(found) == done
+    assert {r.expired for r in found.collect()} == {True, False}
+    assert found.filter("expired AND secrets_status IS NOT NULL AND vulnerabilities_status IS NOT NULL").count() == 0
+    assert still_open(ops.open_jobs(df, slice_by=slices, timeout_minutes=12)) == waiting
+    with pytest.raises(ValueError):
+        ops.completion_barrier(df, timeout_minutes=0)
+
+
+def test_a_completed_job_does_not_expire(spark):
+    df = frame(spark, [message("/p", A, 0), message("/p", B, 1), message("/q", A, 0)])
+    progress = ops.job_progress(df)
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    assert [r.clone_path for r in ops.completed_jobs(progress).collect()] == ["/p"]
+    assert [r.clone_path for r in ops.expire_jobs(progress, now).collect()] == ["/q"]
+
+
 def test_idle_limit_is_strict(spark):
     df = frame(spark, [message("/old", A, 0), message("/edge", A, 30), message("/new", A, 85)])
     now = F.lit("2024-01-01 01:30:00").cast("timestamp")
