@@ -107,6 +107,22 @@ def folder(spark: SparkSession, sf: str) -> DataFrame:
     return ops.folder_stats(listing(spark, sf), "./shared", cwd="/data")
 
 
+@MONITORING.add(
+    "folder_stats_with_folders",
+    """SELECT CAST(sum(n_chars) AS BIGINT) AS total_bytes, count(*) AS files,
+              count(DISTINCT source) + (SELECT count(DISTINCT page_id) FROM pages) AS repositories
+       FROM documents""",
+)
+def folder_with_empty_ones(spark: SparkSession, sf: str) -> DataFrame:
+    """A listing with rows of folders: those of the sources and, for the pages, empty ones."""
+    files = listing(spark, sf).select("path", "is_dir", "size")
+    folders = files.select(F.regexp_extract("path", "^(.*)/", 1).alias("path")).distinct()
+    empty = table(spark, sf, "pages").select(F.concat(F.lit("/data/shared/page_"), "page_id").alias("path"))
+    none = [F.lit(True).alias("is_dir"), F.lit(0).cast("long").alias("size")]
+    every = files.unionByName(folders.select("path", *none)).unionByName(empty.select("path", *none))
+    return ops.folder_stats(every, "/data/shared")
+
+
 @MONITORING.add(
     "folder_stats_by_lang",
     """SELECT lang, CAST(sum(n_chars) AS BIGINT) AS total_bytes, count(*) AS files, count(DISTINCT source) AS repositories

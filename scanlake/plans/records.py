@@ -10,6 +10,8 @@ from scanlake.plans.query import Registry
 from scanlake.sources.records import (
     decode_records,
     encode_records,
+    reject_items,
+    reject_pages,
     reject_records,
     repo_inventory,
 )
@@ -22,22 +24,50 @@ EVENT_RECORD = schemas.record(
 )
 
 
+def listing_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A page per supplier, of which some are broken and some hold items that are no repository."""
+    owners = table(spark, sf, "supplier").join(
+        table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    forms = [
+        '[{"name":"%1$s","id":1},{"name":"%1$s-fork"},{"id":2}]',
+        '[{"name":"%1$s"},5,{"name":7},{"name":{"x":1}},null,{"name":"%1$s-fork"},["a"],{"name":null}]',
+        '[{"name":"%1$s"}',
+        '[{"name":"%1$s"}] tail',
+        '{"name":"%1$s"}',
+        '[{"name":"%1$s"}][{"name":"b"}]',
+        "[]",
+    ]
+    page = F.element_at(F.array(*[F.format_string(form, "s_name") for form in forms]), (F.col("s_suppkey") % 7 + 1).cast("int"))
+    return owners.select("s_suppkey", "n_name", page.alias("value"))
+
+
 @RECORDS.add(
     "repo_inventory",
     """
     SELECT n_name AS org, unnest([s_name, s_name || '-fork', '']) AS name
     FROM supplier JOIN nation ON s_nationkey = n_nationkey
-    WHERE s_suppkey % 7 <> 3
+    WHERE s_suppkey % 7 IN (0, 1)
     """,
 )
 def inventory(spark: SparkSession, sf: str) -> DataFrame:
-    owners = table(spark, sf, "supplier").join(
-        table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    page = F.format_string('[{"name":"%s","id":1},{"name":"%s-fork"},{"id":2}]', "s_name", "s_name")
-    broken = F.format_string('[{"name":"%s"', "s_name")
-    pages = owners.select("n_name", F.when(F.col("s_suppkey") % 7 == 3, broken).otherwise(page).alias("value"))
-    return repo_inventory(pages, F.col("n_name"))
+    return repo_inventory(listing_pages(spark, sf), F.col("n_name"))
+
+
+@RECORDS.add("reject_pages", "SELECT s_suppkey FROM supplier WHERE s_suppkey % 7 IN (2, 3, 4, 5)")
+def refused_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return reject_pages(listing_pages(spark, sf)).select("s_suppkey")
+
+
+@RECORDS.add(
+    "reject_items",
+    """
+    SELECT s_suppkey, unnest([1, 2, 3, 4, 6]) AS item_no, unnest(['5', '{"name":7}', '{"name":{"x":1}}', 'null', '["a"]']) AS item
+    FROM supplier WHERE s_suppkey % 7 = 1
+    """,
+)
+def refused_items(spark: SparkSession, sf: str) -> DataFrame:
+    return reject_items(listing_pages(spark, sf), keep=["s_suppkey"])
 
 
 def event_lines(spark: SparkSession, sf: str) -> DataFrame:

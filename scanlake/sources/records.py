@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scanlake.functions.binding import bound
-from scanlake.functions.jsontext import PLAIN_JSON, is_single_object
+from scanlake.functions.jsontext import PLAIN_JSON, is_alone, is_single_object
 from scanlake.functions.labels import rfc3339
 
 _CORRUPT = "_corrupt"
@@ -21,16 +21,42 @@ ZERO_TIME = "0001-01-01T00:00:00Z"
 def repo_inventory(pages: DataFrame, org, value: str = "value") -> DataFrame:
     """Rows (org, name) of saved listing pages, each a JSON array of repository objects.
 
-    org is the configured one, never the payload's; nothing is de-duplicated; a page that
-    does not parse is left out and does not stop the others.
+    org is the configured one, never the payload's; nothing is de-duplicated. A page that is no
+    array, or has bytes after it, is left out, see ``reject_pages``; an item that is no object or
+    whose name is no text is left out alone, see ``reject_items``. An absent or null name is "".
     """
     org = org if isinstance(org, Column) else F.lit(org)
-    listed = F.from_json(F.col(value), "array<struct<name:string>>", PLAIN_JSON)
-    return pages.select(org.alias("org"), F.explode(listed).alias("repo")).select(
-        "org", F.coalesce("repo.name", F.lit("")).alias("name")
+    items = F.filter(_page_items(F.col(value)), _is_repository)
+    return pages.select(org.alias("org"), F.explode(items).alias("repo")).select(
+        "org", F.coalesce(F.try_variant_get("repo", "$.name", "string"), F.lit("")).alias("name")
     )
 
 
+def reject_pages(pages: DataFrame, value: str = "value") -> DataFrame:
+    """The pages ``repo_inventory`` cannot read, unchanged."""
+    return pages.filter(_page_items(F.col(value)).isNull())
+
+
+def reject_items(pages: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """The items ``repo_inventory`` leaves out of readable pages: (keep..., item_no from 0, item)."""
+    items = pages.select(*keep, F.posexplode(_page_items(F.col(value))).alias("item_no", "_item"))
+    refused = items.filter(~_is_repository(F.col("_item")))
+    # A null item has no JSON text of its own.
+    return refused.select(*keep, "item_no", F.coalesce(F.to_json("_item"), F.lit("null")).alias("item"))
+
+
+def _page_items(text: Column) -> Column:
+    """The items of a page as variants; null unless the whole text is one array."""
+    whole = F.rlike(text, F.lit(r"^\s*\[")) & is_alone(text)
+    return F.when(F.coalesce(whole, F.lit(False)), F.from_json(text, "array<variant>", PLAIN_JSON))
+
+
+def _is_repository(item: Column) -> Column:
+    name = F.schema_of_variant(F.try_variant_get(item, "$.name", "variant"))
+    is_object = F.startswith(F.schema_of_variant(item), F.lit("OBJECT"))
+    return F.coalesce(is_object, F.lit(False)) & F.coalesce(name.isin("STRING", "VOID"), F.lit(True))
+
+
 def decode_records(
     df: DataFrame,
     schema: T.StructType,

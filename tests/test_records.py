@@ -4,7 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from scanlake import schemas
-from scanlake.sources.records import decode_records, encode_records, reject_records, repo_inventory
+from scanlake.sources.records import (
+    decode_records,
+    encode_records,
+    reject_items,
+    reject_pages,
+    reject_records,
+    repo_inventory,
+)
+from scanlake.operators.monitoring import folder_stats
 from scanlake.sources.tables import folder_inventory
 
 
@@ -16,12 +24,27 @@ def test_repository_golden_text(spark):
     assert [tuple(r) for r in back.collect()] == [("testorg", "test-repo")]
 
 
-def test_inventory_takes_all_pages_and_survives_a_bad_one(values):
-    pages = values(
-        ['[{"name":"repo1","org":"other"},{"name":"repo2"}]', '[{"name":"repo3"}', '[{"name":"repo3"},{"id":1}]', "[]"]
-    )
+PAGES = {
+    '[{"name":"zeta","org":"other"},{"name":"eta","size":[{}]}]': ["zeta", "eta"],
+    '[{"name":"theta"},5,{"name":7},{"name":"iota"},null,"x",[{}],{"name":null},{}]': ["theta", "iota", "", ""],
+    " [] \n": [],
+    '[{"name":"kappa","name":"lambda"}]': None,
+}
+BROKEN_PAGES = [
+    '[{"name":"mu"}', '[{"name":"mu"}] tail', '[{"name":"mu"}][]', '{"name":"mu"}', '{"name":{"x":1}}', "null", "", "7", None,
+    '[{"name":"mu"}],', '[{"name":"mu"}],"\\u0001end of record\\u0001"]',
+]
+
+
+def test_inventory_keeps_what_is_good(values):
+    good = {page: names for page, names in PAGES.items() if names is not None}
+    pages = values([*good, *BROKEN_PAGES])
     got = sorted(tuple(r) for r in repo_inventory(pages, "me").collect())
-    assert got == [("me", ""), ("me", "repo1"), ("me", "repo2"), ("me", "repo3")]
+    assert got == sorted(("me", name) for names in good.values() for name in names)
+    refused = [r.value for r in reject_pages(pages).collect()]
+    assert sorted(map(str, refused)) == sorted(map(str, BROKEN_PAGES))
+    items = [(r.item_no, r.item) for r in reject_items(pages).orderBy("item_no").collect()]
+    assert items == [(1, "5"), (2, '{"name":7}'), (4, "null"), (5, '"x"'), (6, "[{}]")]
 
 
 GOOD = {
@@ -41,7 +64,7 @@ BAD = [
     "", "{", '{"org":5}', '{"org":true}', '{"org":{"x":1}}', '{"org":["x"]}', '{"worker_id":"3"}', '{"worker_id":3.5}',
     '{"worker_id":99999999999}', '{"org":"a"} tail', '{"org":"a"}{"org":"b"}', '{"org":"a"},', "[]", "5", None,
     '{"processed_at":"2024-01-01"}', '{"processed_at":5}', '{"processed_at":"2024-13-01T00:00:00Z"}',
-    '{"org":"a"}] }', "{'org':'a'}", '{"org":"a"}}', '{org:"a"}', '{"worker_id":1e2}', '{"org":"a",}',
+    '{"org":"a"}] }', '{"org":"a"},{"org":"b"}]}', '{"org":"a"},"\\u0001end of record\\u0001"]}', "{'org':'a'}", '{"org":"a"}}', '{org:"a"}', '{"worker_id":1e2}', '{"org":"a",}',
 ]
 
 
@@ -104,10 +127,16 @@ def test_raw_tool_output_round_trip(values):
     assert decode_records(values(['{"ExtraData":{"k":1}}']), schemas.RAW_SECRET).count() == 0
 
 
-def test_folder_inventory_lists_files_without_reading_them(spark, tmp_path):
-    (tmp_path / "repo").mkdir()
-    (tmp_path / "repo" / "a.txt").write_text("12345")
-    df = folder_inventory(spark, str(tmp_path))
-    row = df.first()
-    assert (row.path, row.is_dir, row.size) == (f"{tmp_path}/repo/a.txt", False, 5)
-    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+def test_folder_inventory_lists_files_and_folders(spark, tmp_path):
+    for name in ("r1/a/b", "r2", "r3/empty", "locked/x"):
+        (tmp_path / name).mkdir(parents=True)
+    (tmp_path / "r1" / "a" / "b" / "f.txt").write_text("12345")
+    (tmp_path / "top.txt").write_text("1")
+    every = {(str(p), p.is_dir(), 0 if p.is_dir() else p.stat().st_size) for p in tmp_path.rglob("*")}
+    listed = folder_inventory(spark, str(tmp_path))
+    assert {(r.path, r.is_dir, r.size) for r in listed.collect()} == every
+    stats = folder_stats(listed, str(tmp_path)).first()
+    assert (stats.total_bytes, stats.files, stats.repositories) == (6, 2, 4)
+    assert folder_inventory(spark, str(tmp_path / "missing")).count() == 0
+    uri = folder_inventory(spark, f"file://{tmp_path}", partitions=2)
+    assert {r.path for r in uri.collect()} == {p for p, _, _ in every}
