@@ -2,9 +2,9 @@
 
 Texts become templates: numbers, units after a number and names (capitalised words inside a sentence) turn into typed placeholders,
 other words are lower-cased. Windows of consecutive template tokens are hash-joined between documents and benchmark items.
-Matches of one document, one item and one distance between their positions form an alignment; it counts if it covers enough tokens
-and its slots are consistent: equal benchmark values stand for equal document values, different ones for different ones.
-So an item is found verbatim and with other numbers, names or units.
+Matches of one document, one item and one distance between their positions form an alignment. It counts if it covers enough tokens
+with the benchmark's own values, or if it covers enough tokens and its slots are consistent: equal benchmark values stand for equal
+document values, and different names for different names. So an item is found verbatim and with other numbers, names or units.
 """
 
 from __future__ import annotations
@@ -54,6 +54,9 @@ def _hash_words(words) -> np.ndarray:
     return np.sort(span_hashes(data, starts, ends, _HASH_TABLE))
 
 
+#: Type of a name slot.
+_IS_NAME = 1
+
 _UNIT_HASHES = _hash_words(sorted(UNITS))
 
 
@@ -111,6 +114,7 @@ class Templates:
         self.token[unit] = _UNIT
         self.token[number] = _NUMBER
         self.literal = ~(name | unit | number)
+        self.kind = np.select([number, unit, name], [np.uint64(2), np.uint64(3), np.uint64(_IS_NAME)], np.uint64(0))
         self.first = np.searchsorted(self.owner, np.arange(len(offsets) - 1))
         self.sizes = np.bincount(self.owner, minlength=len(offsets) - 1)
 
@@ -127,9 +131,9 @@ class Templates:
         return at, hashes[at] ^ np.uint64(length)
 
     def slots(self, start: int, length: int) -> list[int]:
-        """The values of a window's placeholders, in order."""
+        """The values of a window's placeholders, in order; the last two bits tell the type."""
         at = np.flatnonzero(~self.literal[start : start + length]) + start
-        return self.word[at].astype(np.int64).tolist()
+        return (self.word[at] & ~np.uint64(3) | self.kind[at]).astype(np.int64).tolist()
 
 
 def accented_width(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -192,6 +196,19 @@ def _prefixes(spark, hashes: DataFrame):
     return spark.sparkContext.broadcast(table)
 
 
+def _covered(runs):
+    """How many tokens the windows (position, size) cover together."""
+    return F.aggregate(
+        F.sort_array(runs),
+        F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
+        lambda s, r: F.struct(
+            (s["n"] + F.greatest(F.lit(0), r["position"] + r["size"] - F.greatest(s["end"], r["position"]))).alias("n"),
+            F.greatest(s["end"], r["position"] + r["size"]).alias("end"),
+        ),
+        lambda s: s["n"],
+    )
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, n_tokens, item_tokens, position, n_slots``.
 
@@ -218,30 +235,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER
     )
     ours = ours.select(F.col("key").alias("item_id"), "position", "hash", "size", "slots", F.col("tokens").alias("item_tokens"))
     matched = theirs.join(ours, ["hash", "size"]).where(F.size("slots") == F.size("values"))
+    run = F.struct("position", "size")
+    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "values"))))
     aligned = (
         matched.groupBy("doc_id", "item_id", "item_tokens", (F.col("at") - F.col("position")).alias("shift"))
         .agg(
-            F.sort_array(F.collect_set(F.struct("position", "size"))).alias("runs"),
-            F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "values")))).alias("pairs"),
+            _covered(F.collect_set(run)).alias("like"),
+            _covered(F.collect_set(F.when(F.col("slots") == F.col("values"), run))).alias("same"),
+            pairs.alias("pairs"),
             F.min("at").alias("at"),
         )
+        .withColumn("names", F.filter("pairs", lambda p: p["slots"].bitwiseAND(F.lit(3)) == _IS_NAME))
         .withColumn(
-            "n_tokens",
-            F.aggregate(
-                "runs",
-                F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-                lambda s, r: F.struct(
-                    (s["n"] + F.greatest(F.lit(0), r["position"] + r["size"] - F.greatest(s["end"], r["position"]))).alias("n"),
-                    F.greatest(s["end"], r["position"] + r["size"]).alias("end"),
-                ),
-                lambda s: s["n"],
-            ),
-        )
-        .where(F.col("n_tokens") >= F.least(F.lit(cover), F.col("item_tokens")))
-        .where(
+            "consistent",
             (F.size("pairs") == F.size(F.array_distinct("pairs.slots")))
-            & (F.size("pairs") == F.size(F.array_distinct("pairs.values")))
+            & (F.size("names") == F.size(F.array_distinct("names.values"))),
         )
+        .withColumn("n_tokens", F.when(F.col("consistent"), F.col("like")).otherwise(F.col("same")))
+        .where(F.col("n_tokens") >= F.least(F.lit(cover), F.col("item_tokens")))
     )
     best = F.max(F.struct("n_tokens", (-F.col("at")).alias("before"), "item_tokens", F.size("pairs").alias("n_slots"))).alias("b")
     return (

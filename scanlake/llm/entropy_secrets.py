@@ -76,7 +76,8 @@ def entropy_runs(text: str, width: int, bits: float) -> list[tuple[int, int]]:
     """
     if len(text) < width:
         return []
-    cost = [0.0] + [c * math.log2(c) for c in range(1, width + 1)]
+    # A window holds one character more for a moment.
+    cost = [0.0] + [c * math.log2(c) for c in range(1, width + 2)]
     most = (math.log2(width) - bits) * width + 1e-9
     counts: dict[str, int] = {}
     total, runs = 0.0, []

@@ -112,7 +112,8 @@ def fitted(rows: DataFrame, fit, schema: str = "model binary") -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array([fit(pairs())], pa.binary())], ["model"])
 
     ordered = rows.repartition(1).sortWithinPartitions("_id", F.crc32(F.col("text").cast("binary")))
-    return bytes(ordered.mapInArrow(work, schema).first()["model"])
+    row = ordered.mapInArrow(work, schema).first()
+    return bytes(row["model"]) if row else fit(iter(()))  # no rows, no task
 
 
 def crc_of(text: str) -> int:
