@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Texts that are worked on at once hold about so many bytes; a longer text is alone in its slice.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def map_batches(df: DataFrame, work: Callable, schema: str) -> DataFrame:

@@ -19,11 +19,11 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = written(
             both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "large"
         )
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         edges = written(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "small")
         state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()

@@ -2,22 +2,25 @@
 
 The sets are points, and 1 - Jaccard similarity is their metric; eps is the largest distance of a link. Equal sets are one point.
 
-Level 1 has a pivot for every n-gram: the set of that n-gram alone. A point is equally near to the pivots of all its n-grams and infinitely
-far, so to speak, from others; ties go to the rarest, so the point's Voronoi region is that of its rarest n-gram. A partner within eps
+Level 1 has a pivot for every n-gram: the set of that n-gram alone. A point is equally near to the pivots of all its n-grams, and as far as
+can be from others; ties go to the rarest, so the point's Voronoi region is that of its rarest n-gram. A partner within eps
 lacks at most a share eps of its n-grams, so replicating a point to the regions of its first eps * n + 1 n-grams makes each pair of
-partners meet in one region. Regions with one point end here.
+partners meet in one region. The empty set is a pivot too: sizes of partners differ by a factor of at most 1 / (1 - eps), so each
+region is cut into rings of sizes, and a point is in its ring and the next. Regions with one point end here.
 
 In the levels below, points of the region are pivots. All members' distances to them are computed. A pivot is then done with: all its
-links are known. Members go to the region of their nearest pivot and, by the triangle inequality, to those of other pivots
-that are at most 2 * eps farther; those about as far as can be from every pivot form a region of their own. In a
-region, members linked to its pivot need no comparison with each other, as they are in one component; they go on only if a
-member that is not linked lies within eps of their distance. The join recurses until no region has two members left.
+links are known. Members within RADIUS of a pivot form its region, the first such pivot's if there are more; those of no pivot form the rest.
+By the triangle inequality, a partner of a member of a pivot's region is at most RADIUS + eps from that pivot, so members in
+that window are replicated there. In a region, members linked to its pivot need no comparison with each other, as they are in one
+component; they go on only if a member that is not linked lies within eps of their distance. The join recurses, with more pivots
+from level to level, until no region has two members left.
 
 Rarity is an order only: counts of hashed n-grams in a table of fixed size. Links make components; no group is expanded to pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +32,21 @@ from pyspark.sql.window import Window
 from scanlake.llm.arrow import slices, text_bytes
 from scanlake.llm.components import components
 from scanlake.llm.hashing import BASE, byte_values, mix, sequence_hashes, span_hashes, spans_of
-from scanlake.llm.shared import written
+from scanlake.llm.shared import small_batches, written
 
 #: Counters of the rarity table, and rows that a task cuts it into.
-RARITY_BITS = 20
+RARITY_BITS = 22
 _CHUNK_BITS = 14
 #: Bits of the filter that says which points' sets are wanted.
 FILTER_BITS = 24
+#: Distance from a pivot up to which points are in its region, and how many times more pivots each level has.
+RADIUS = 0.3
+MORE_PIVOTS = 4
+#: Pairs of pivot and point up to which a level's pairs are broadcast (16 bytes each); more of them are shuffled.
+BROADCAST_PAIRS = 500_000
+#: Texts, and pairs of sets, that a task takes at once.
+TEXT_ROWS = 1000
+PAIR_ROWS = 128
 #: Added to compared distances, so that rounding can only add comparisons.
 _SLACK = 1e-9
 
@@ -63,11 +74,31 @@ def ngram_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 
 def set_key(grams: np.ndarray) -> int:
-    """A hash of the set, as a signed 64-bit number."""
+    """A hash of the set, as a signed 64-bit number; 0 for the empty set."""
     if not len(grams):
         return 0
-    total = int(np.add.reduce(mix(grams))) ^ int(np.bitwise_xor.reduce(mix(grams ^ np.uint64(BASE)))) >> 1
-    return total - (1 << 64) if total >> 63 else total
+    parts = np.array([np.add.reduce(mix(grams)), np.bitwise_xor.reduce(mix(grams ^ np.uint64(BASE))), len(grams)], np.uint64)
+    return int(sequence_hashes(parts, 3)[0].astype(np.int64))
+
+
+def parity_sketch(grams: np.ndarray) -> bytes:
+    """A bit for the parity of the n-grams in each of 2n to 4n hash classes.
+
+    Two sketches, folded to one size, differ in at most as many bits as the sets differ in n-grams.
+    """
+    size = max(64, 1 << (2 * len(grams) - 1).bit_length()) if len(grams) else 64
+    places = (grams & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a, b) -> int:
+    """A lower bound of the number of n-grams in one set only."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 # Rarity ---------------------------------------------------------------------------------------------------------------------
@@ -75,30 +106,32 @@ def set_key(grams: np.ndarray) -> int:
 
 def _counters(words: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << RARITY_BITS, np.int64)
+        counts = np.zeros(1 << RARITY_BITS, np.int32)
         for part in slices(batches, "text"):
             grams = np.concatenate([np.zeros(0, np.uint64), *ngram_sets(part.column(0), words)])
-            counts += np.bincount((grams >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
-        chunks, payloads = [], []
-        for chunk, part in enumerate(counts.reshape(-1, 1 << _CHUNK_BITS)):
-            at = np.flatnonzero(part)
-            if len(at):
-                chunks.append(chunk)
-                payloads.append(at.astype("<u2").tobytes() + part[at].astype("<u8").tobytes())
+            kinds, times = np.unique((grams >> np.uint64(64 - RARITY_BITS)).astype(np.int64), return_counts=True)
+            counts[kinds] += times.astype(np.int32)
+        parts = _levels(counts).reshape(-1, 1 << _CHUNK_BITS)
+        chunks = [c for c, part in enumerate(parts) if part.any()]
+        payloads = [parts[c].tobytes() for c in chunks]
         yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(payloads, pa.binary())], ["chunk", "payload"])
 
     return work
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Sixths of the logarithm: one byte, and exact enough for an order."""
+    return np.minimum(255, np.round(6 * np.log2(1.0 + counts))).astype(np.uint8)
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            n = len(payload) // 10
-            into = sums.setdefault(chunk, np.zeros(1 << _CHUNK_BITS, np.int64))
-            into[np.frombuffer(payload, "<u2", n)] += np.frombuffer(payload, "<u8", n, 2 * n).astype(np.int64)
-    # Eighths of the logarithm are enough for an order.
-    levels = [np.minimum(255, 8 * np.log2(1.0 + x)).astype(np.uint8).tobytes() for x in sums.values()]
+            into = sums.setdefault(chunk, np.zeros(1 << _CHUNK_BITS))
+            into += np.exp2(np.frombuffer(payload, np.uint8) / 6.0) - 1
+    # Finer steps around the mean, where most n-grams are; what is frequent stands out from it.
+    levels = [np.minimum(255, np.round(24 * np.log2(1 + 8 * x / x.mean()))).astype(np.uint8).tobytes() for x in sums.values()]
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], ["chunk", "payload"])
 
 
@@ -114,26 +147,34 @@ def rarity_levels(texts: DataFrame, words: int) -> np.ndarray:
 
 # Points ---------------------------------------------------------------------------------------------------------------------
 
-_POINTS = "doc_id long, n long, k long, prefix array<long>"
+_POINTS = "doc_id long, n long, k long, prefix array<long>, sketch binary"
 
 
 def _points(words: int, num: int, den: int, rarity):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for part in slices(batches, "text"):
-            sizes, keys, prefixes = [], [], []
+            sizes, keys, prefixes, sketches = [], [], [], []
             for grams in ngram_sets(part.column(1), words):
                 n = len(grams)
+                sizes.append(n)
+                keys.append(set_key(grams))
+                if keys[-1] in seen:
+                    prefixes.append(grams[:0])  # a copy in the same task
+                    sketches.append(None)
+                    continue
+                sketches.append(parity_sketch(grams))
+                seen.add(keys[-1])
                 level = rarity.value[(grams >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]
                 order = np.argsort(level.astype(np.uint64) << np.uint64(56) | grams >> np.uint64(8), kind="stable")
                 least = -(-num * n // den)  # n-grams that a partner shares at least
-                prefixes.append(grams[order[: n - least + 1]].view(np.int64))
-                sizes.append(n)
-                keys.append(set_key(grams))
-            flat = np.concatenate([np.zeros(0, np.int64), *prefixes])
+                prefixes.append(grams[order[: n - least + 1]] if n else grams)
+            flat = np.concatenate([np.zeros(0, np.uint64), *prefixes]).view(np.int64)
             ends = np.cumsum([0, *(len(p) for p in prefixes)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists], ["doc_id", "n", "k", "prefix"]
+                [part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists, pa.array(sketches, pa.binary())],
+                ["doc_id", "n", "k", "prefix", "sketch"],
             )
 
     return work
@@ -151,11 +192,9 @@ def _sets(words: int, wanted):
                 key = set_key(grams)
                 table = wanted.value
                 if len(grams) and table[(key ^ doc) & mask] and table[(key >> FILTER_BITS) & mask]:
-                    out.append((key, len(grams), grams.tobytes()))
-            keys, sizes, sets = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())], ["k", "n", "grams"]
-            )
+                    out.append((key, grams.tobytes()))
+            keys, sets = zip(*out, strict=True) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["k", "grams"])
 
     return work
 
@@ -181,103 +220,129 @@ def _filter(points: DataFrame) -> np.ndarray:
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        shared = [
-            len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
-            for a, b in zip(col["grams"].to_pylist(), col["pivot_grams"].to_pylist(), strict=True)
-        ]
-        names = ["pk", "pn", "k", "n"]
-        yield pa.RecordBatch.from_arrays([*(col[c] for c in names), pa.array(shared, pa.int64())], [*names, "shared"])
-
-
-def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pk, pn, k, n, shared`` of the pairs of pivot and point."""
-    mine = sets.select("k", "n", "grams")
-    theirs = sets.select(F.col("k").alias("pk"), F.col("n").alias("pn"), F.col("grams").alias("pivot_grams"))
-    both = pairs.join(mine, ["k", "n"]).join(theirs, ["pk", "pn"])
-    return both.mapInArrow(_common, "pk long, pn long, k long, n long, shared long").groupBy("pk", "pn", "k", "n").agg(
-        F.first("shared").alias("shared")
+        shared, union = [], []
+        for a, b in zip(col["grams"], col["pivot_grams"], strict=True):
+            a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+            shared.append(len(np.intersect1d(a, b, assume_unique=True)))
+            union.append(len(a) + len(b) - shared[-1])
+        arrays = [col["pk"], col["k"], pa.array(shared, pa.int64()), pa.array(union, pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, ["pk", "k", "shared", "together"])
+
+
+def _far(limit: float):
+    """Which pairs are farther apart than ``limit`` for sure."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            far = []
+            for a, b, n, m in zip(col["sketch"], col["pivot_sketch"], col["n"].to_pylist(), col["pn"].to_pylist(), strict=True):
+                differ = least_difference(a.as_buffer(), b.as_buffer())
+                far.append(2 * differ > limit * (n + m + differ))
+            yield pa.RecordBatch.from_arrays([col["pk"], col["k"], pa.array(far, pa.bool_())], ["pk", "k", "far"])
+
+    return work
+
+
+def _pairs_with(pairs: DataFrame, table: DataFrame, columns: tuple[str, ...], small: bool) -> DataFrame:
+    """The pairs with columns of both points from ``table``; the pivot's are named pivot_..., its size pn.
+
+    Only the side of few rows moves: ``small`` pairs, of a checked number, are broadcast, and of the pivots' rows only theirs are taken.
+    """
+    hint = F.broadcast if small else lambda df: df
+    named = [F.col(c).alias("pn" if c == "n" else f"pivot_{c}") for c in columns]
+    pivots = table.join(hint(pairs.select(F.col("pk").alias("k")).distinct()), "k", "left_semi")
+    pivots = pivots.select(F.col("k").alias("pk"), *named)
+    return table.select("k", *columns).join(hint(pairs), "k").join(pivots, "pk")
+
+
+def _distances(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``pk, k, linked, distance`` of the pairs of pivot and point; 1 for those beyond all windows."""
+    limit = RADIUS + 1 - num / den + 2 * _SLACK
+    small = pairs.count() <= BROADCAST_PAIRS
+    sketched = _pairs_with(pairs, points, ("sketch", "n"), small)
+    judged = written(sketched.mapInArrow(_far(limit), "pk long, k long, far boolean"), "judged")
+    both = _pairs_with(judged.where("NOT far").select("pk", "k"), sets, ("grams",), small)
+    # A filter of points may let through two documents of one set.
+    measured = both.mapInArrow(_common, "pk long, k long, shared long, together long").groupBy("pk", "k").agg(
+        F.first("shared").alias("shared"), F.first("together").alias("together")
+    )
+    near = measured.select(
+        "pk",
+        "k",
+        (den * F.col("shared") >= num * F.col("together")).alias("linked"),
+        (1 - F.col("shared") / F.col("together")).alias("distance"),
     )
+    return near.unionByName(judged.where("far").select("pk", "k", F.lit(False).alias("linked"), F.lit(1.0).alias("distance")))
 
 
-def _first_regions(points: DataFrame) -> DataFrame:
-    """``region, k, n`` for the n-grams that are in the prefixes of two points at least."""
-    entries = points.select(F.explode("prefix").alias("region"), "k", "n")
+def _first_regions(entries: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """``region, k`` for the n-grams and rings of sizes that hold two points at least."""
     often = written(entries.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").drop("m"), "regions")
-    return written(entries.join(often, "region"), "entries")
+    shared = entries.join(often, "region").distinct().join(points.select("k", "n"), "k")
+    ring = F.log(F.col("n")) / math.log(den / num)
+    rings = F.sequence(F.floor(ring - _SLACK), F.floor(ring + 1 + _SLACK)) if num < den else F.array(F.col("n"))
+    cells = shared.select(F.explode(rings).alias("ring"), "region", "k").select(F.xxhash64("region", "ring").alias("region"), "k")
+    cells = written(cells, "cells")
+    company = cells.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").drop("m")
+    return written(cells.join(company, "region"), "entries")
 
 
 def _next_regions(rows: DataFrame, pivots: DataFrame, distances: DataFrame, eps: float, level: int) -> DataFrame:
     """The members of the regions below; see the module's text."""
     measured = (
         rows.join(pivots, "region")
-        .join(distances, ["pk", "pn", "k", "n"])
-        .select("region", "k", "n", "number", "linked", F.col("distance").alias("d"))
-    )
-    # A region has few pivots, so these arrays are short.
-    members = measured.groupBy("region", "k", "n").agg(
-        F.min(F.struct("d", "number")).alias("own"), F.collect_list(F.struct("number", "d", "linked")).alias("all")
-    ).join(pivots.select("region", F.col("pk").alias("k"), F.col("pn").alias("n")), ["region", "k", "n"], "left_anti")
-    near = F.filter(
-        "all",
-        lambda p: (F.col("own.d") < 1 - eps + _SLACK)
-        & (p["d"] < 1)
-        & ((p["number"] == F.col("own.number")) | (p["d"] <= F.col("own.d") + 2 * eps + _SLACK)),
+        .join(distances, ["pk", "k"])
+        .select("region", "k", "number", "linked", F.col("distance").alias("d"))
     )
-    outside = F.when(
-        F.col("own.d") >= 1 - 2 * eps - _SLACK,
-        F.array(F.struct(F.lit(0).alias("number"), F.col("own.d").alias("d"), F.lit(False).alias("linked"))),
-    ).otherwise(F.array().cast("array<struct<number:int,d:double,linked:boolean>>"))
-    cells = members.select("region", "k", "n", F.explode(F.concat(near, outside)).alias("c")).select(
-        F.xxhash64("region", F.lit(level), "c.number").alias("region"), "k", "n", "c.number", "c.d", "c.linked"
+    members = measured.groupBy("region", "k").agg(
+        F.min(F.when(F.col("d") <= RADIUS, F.col("number"))).alias("own"),
+        F.collect_list(F.when(F.col("d") <= RADIUS + eps + _SLACK, F.struct("number", "d", "linked"))).alias("near"),
+    ).join(pivots.select("region", F.col("pk").alias("k")), ["region", "k"], "left_anti")
+    # Its own region, and those of pivots before that which it is in the window of; the rest is region 0.
+    inside = F.filter("near", lambda p: F.col("own").isNull() | (p["number"] <= F.col("own")))
+    rest = F.array(F.struct(F.lit(0).alias("number"), F.lit(1.0).alias("d"), F.lit(False).alias("linked")))
+    places = F.when(F.col("own").isNull(), F.concat(inside, rest)).otherwise(inside)
+    cells = members.select("region", "k", F.explode(places).alias("c")).select(
+        F.xxhash64("region", F.lit(level), "c.number").alias("region"), "k", "c.number", "c.d", "c.linked"
     )
     cells = written(cells, "cells")
-    open_ = written(
+    open_ = (
         cells.groupBy("region")
         .agg(F.count("*").alias("m"), F.min(F.when(~F.col("linked"), F.col("d"))).alias("least"))
         .where("m > 1 AND least IS NOT NULL")
-        .drop("m"),
-        "open",
+        .drop("m")
     )
     kept = cells.join(open_, "region").where((F.col("number") == 0) | ~F.col("linked") | (F.col("d") >= F.col("least") - eps - _SLACK))
-    return written(kept.select("region", "k", "n").distinct(), "entries")
+    return written(kept.select("region", "k"), "entries")
 
 
-def links(points: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame | None:
-    """Links ``a, b`` between points (structs of k and n): enough of them for the components, each one exact."""
+def links(entries: DataFrame, points: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links ``a, b`` between the keys of points: enough of them for the components, each one exact."""
     spark = points.sparkSession
     eps = 1 - num / den
-    rows = _first_regions(points)
-    wanted = points.join(rows.select("k", "n").distinct(), ["k", "n"], "left_semi").select("k", "rep")
+    rows = _first_regions(entries, points, num, den)
+    wanted = points.join(rows.select("k").distinct(), "k", "left_semi").select("k", "rep")
     bits = spark.sparkContext.broadcast(_filter(wanted))
-    sets = written(texts.mapInArrow(_sets(words, bits), "k long, n long, grams binary"), "sets")
-    found, level = [], 0
-    while rows.limit(1).count():
-        number = 1 if level == 0 else 2 << level
-        order = Window.partitionBy("region").orderBy("k", "n")
+    with small_batches(spark, TEXT_ROWS):
+        sets = written(texts.mapInArrow(_sets(words, bits), "k long, grams binary"), "sets")
+    found, level = spark.createDataFrame([], "a long, b long"), 0
+    while not rows.isEmpty():
+        number = MORE_PIVOTS**level
+        order = Window.partitionBy("region").orderBy("k")
         pivots = written(
             rows.withColumn("number", F.row_number().over(order))
             .where(F.col("number") <= number)
-            .select("region", F.col("k").alias("pk"), F.col("n").alias("pn"), "number"),
+            .select("region", F.col("k").alias("pk"), "number"),
             "pivots",
         )
-        pairs = written(
-            rows.join(pivots, "region").where("k <> pk OR n <> pn").select("pk", "pn", "k", "n").distinct(), "pairs"
-        )
-        union = F.col("pn") + F.col("n") - F.col("shared")
-        distances = _distances(pairs, sets)
-        distances = written(
-            distances.withColumn("linked", den * F.col("shared") >= num * union).withColumn("distance", 1 - F.col("shared") / union),
-            "distances",
-        )
-        found.append(
-            distances.where("linked").select(F.struct(F.col("pk").alias("k"), F.col("pn").alias("n")).alias("a"), F.struct("k", "n").alias("b"))
-        )
+        pairs = written(rows.join(pivots, "region").where("k <> pk").select("pk", "k").distinct(), "pairs")
+        with small_batches(spark, PAIR_ROWS):
+            distances = written(_distances(pairs, points, sets, num, den), "distances")
+        found = found.unionByName(distances.where("linked").select(F.col("pk").alias("a"), F.col("k").alias("b")))
         rows = _next_regions(rows, pivots, distances, eps, level)
         level += 1
-    every = None
-    for part in found:
-        every = part if every is None else every.unionByName(part)
-    return every
+    return found
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -288,24 +353,23 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     empty and white texts have an empty set and no links: their component is their own. Rows with a null id take part; they get the component of
     the others, or null. Repeated rows give a row each. Other columns are ignored. An empty table gives no rows.
 
-    Sets are told apart by 64 bits of hash and their size, n-grams by 64 bits.
+    Sets and n-grams are told apart by 64 bits of hash.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rarity = spark.sparkContext.broadcast(rarity_levels(rows.select("text"), words))
-    all_points = written(rows.mapInArrow(_points(words, num, den, rarity), _POINTS), "sets-of-documents")
+    with small_batches(spark, TEXT_ROWS):
+        rarity = spark.sparkContext.broadcast(rarity_levels(rows.select("text"), words))
+        every = written(rows.mapInArrow(_points(words, num, den, rarity), _POINTS), "sets-of-documents")
     points = written(
-        all_points.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")), "points"
+        every.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch", True).alias("sketch")), "points"
     )
-    found = links(points, rows, words, num, den)
-    own = points.select("k", "n", "rep")
-    if found is not None:
-        label = components(found)
-        label = label.select("node.k", "node.n", "label")
-        least = own.join(label, ["k", "n"]).groupBy("label").agg(F.min("rep").alias("least"))
-        own = own.join(label.join(least, "label"), ["k", "n"], "left").select("k", "n", F.coalesce("least", "rep").alias("rep"))
+    entries = every.select(F.explode("prefix").alias("region"), "k")
+    label = components(links(entries, points, rows, words, num, den)).select(F.col("node").alias("k"), "label")
+    own = points.select("k", "rep")
+    least = own.join(label, "k").groupBy("label").agg(F.min("rep").alias("least"))
+    own = own.join(label.join(least, "label"), "k", "left").select("k", F.coalesce("least", "rep").alias("rep"))
     own = written(own, "components")
-    return all_points.select("doc_id", "n", "k").join(own, ["k", "n"], "left").select(
+    return every.select("doc_id", "n", "k").join(own, "k", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("component_id")
     )
 
