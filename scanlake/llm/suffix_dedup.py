@@ -10,7 +10,9 @@ shuffle many times its size, so suffixes are first dealt out by content, without
 3. In a shard, the stretches' suffixes are sorted by the difference-cover algorithm: triples at positions 1 and 2 modulo 3 are sorted and
    named, the names' suffixes are sorted recursively until they tell ``length`` bytes apart, the remaining suffixes are sorted by a byte and a
    rank and merged in. Windows that are next to each other in this order and agree on ``length`` bytes are repeated.
-4. An anchor with more than HOT occurrences would be too much for a task. Its windows are counted one by one instead, by hash.
+4. An anchor in more than HOT texts would be too much for a task. Its windows are counted one by one instead, by hash.
+
+Occurrences of an anchor, a stretch or a window in one text are one row, so a text that repeats itself weighs no more than others.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from scanlake.llm.hashing import _INVERSE, BASE, byte_values, mix, powers
 
 LENGTH = 200
 ANCHOR = 64
-#: Occurrences of an anchor that one task takes.
-HOT = 2000
+#: Texts with an anchor whose stretches one task sorts at once: at most about 2 MB.
+HOT = 6000
 #: Bytes of stretches that are sorted at once.
 SORT_BYTES = 1 << 19
 _PLACE = 10  # bits of a distance between a window's start and its anchor
@@ -143,20 +145,37 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray, length: int, anchor: i
     return (owner[first], starts[first] - begin, starts[last] - begin, at[first] - begin), hashes[at[first]]
 
 
-_ANCHORS = "hash long, k1 long, k2 long, loc long"
+def _lists(values: np.ndarray, borders: np.ndarray) -> pa.Array:
+    """values[borders[i]:borders[i + 1]] as the i-th list."""
+    return pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(values, pa.int64()))
+
+
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together, the first key first, and the borders of the groups in it."""
+    order = np.lexsort(keys[::-1])
+    change = np.zeros(max(0, len(order) - 1), bool)
+    for key in keys:
+        change |= key[order[1:]] != key[order[:-1]]
+    return order, np.concatenate(([0], np.flatnonzero(change) + 1, [len(order)])) if len(order) else np.zeros(1, np.int64)
+
+
+_ANCHORS = "hash long, k1 long, k2 long, locs array<long>"
 
 
 def _anchors(length: int, anchor: int):
-    """loc: anchor position, distance to its first window's start, to its last one's."""
+    """The anchors of each text. A loc: anchor position, distance to its first window's start, to its last one's."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text"):
             names = part.schema.names
             data, offsets = text_bytes(part.column(names.index("text")))
             (owner, first, last, at), hashes = window_anchors(data, offsets, length, anchor)
             loc = (at << _PLACE | (at - first)) << _PLACE | (at - last)
-            k1, k2 = (part.column(names.index(k)).to_numpy()[owner] for k in ("k1", "k2"))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (hashes.view(np.int64), k1, k2, loc)], ["hash", "k1", "k2", "loc"])
+            order, borders = _groups(owner, hashes)
+            heads = order[borders[:-1]]
+            k1, k2 = (part.column(names.index(k)).to_numpy()[owner[heads]] for k in ("k1", "k2"))
+            arrays = [pa.array(x) for x in (hashes[heads].view(np.int64), k1, k2)]
+            yield pa.RecordBatch.from_arrays([*arrays, _lists(loc[order], borders)], ["hash", "k1", "k2", "locs"])
 
     return work
 
@@ -168,22 +187,33 @@ def _spread(loc: np.ndarray):
     return at, at - (loc >> _PLACE & mask), at - (loc & mask)
 
 
-_STRETCHES = "hash long, k1 long, k2 long, first long, ahead long, stretch binary"
+_STRETCHES = "hash long, k1 long, k2 long, ahead long, stretch binary, firsts array<long>"
+
+
+def _by_text(batches: Iterator[pa.RecordBatch]):
+    """For each row: text, its keys, and hash and loc of every occurrence of its anchors."""
+    for batch in batches:
+        names = batch.schema.names
+        for row in range(batch.num_rows):
+            col = {n: batch.column(i).slice(row, 1) for i, n in enumerate(names)}
+            lists = col["locs"].flatten()
+            hashes = np.repeat(col["hashes"].flatten().to_numpy(), lists.value_lengths().to_numpy())
+            yield col["text"][0].as_py(), col["k1"][0].as_py(), col["k2"][0].as_py(), hashes, lists.flatten().to_numpy()
 
 
 def _stretches(length: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                col = {n: one.column(i) for i, n in enumerate(one.schema.names)}
-                text = col["text"][0].as_py()
-                hashes = col["hashes"].flatten().to_numpy()
-                at, first, last = _spread(col["locs"].flatten().to_numpy())
-                parts = [text[a:b] for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)]
-                k1, k2 = (np.full(len(at), col[k][0].as_py(), np.int64) for k in ("k1", "k2"))
-                arrays = [pa.array(x) for x in (hashes, k1, k2, first, at - first)]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(parts, pa.binary())], [c.split()[0] for c in _STRETCHES.split(", ")])
+        for text, k1, k2, hashes, locs in _by_text(batches):
+            at, first, last = _spread(locs)
+            rows: dict[tuple, list[int]] = {}
+            for h, a, b, ahead in zip(hashes.tolist(), first.tolist(), (last + length).tolist(), (at - first).tolist(), strict=True):
+                rows.setdefault((h, ahead, text[a:b]), []).append(a)
+            h, ahead, parts = zip(*rows, strict=True)
+            keys = (pa.array(np.full(len(rows), k, np.int64)) for k in (k1, k2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h, pa.int64()), *keys, pa.array(ahead, pa.int64()), pa.array(parts, pa.binary()), pa.array(list(rows.values()), pa.list_(pa.int64()))],
+                ["hash", "k1", "k2", "ahead", "stretch", "firsts"],
+            )
 
     return work
 
@@ -209,7 +239,7 @@ def _sorted_shards(length: int):
                 continue
             edges = np.flatnonzero(np.diff(np.concatenate(([False], flag, [False])).astype(np.int8)))
             runs.append([(a, b + length - 1) for a, b in edges.reshape(-1, 2).tolist()])
-        out = [(k1, k2, first + a, first + b) for number, k1, k2, first in members for a, b in runs[number]]
+        out = [(k1, k2, first + a, first + b) for number, k1, k2, firsts in members for a, b in runs[number] for first in firsts]
         if not out:
             return None
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["k1", "k2", "start", "end"])
@@ -217,7 +247,7 @@ def _sorted_shards(length: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, members, held, last = {}, [], 0, None
         for batch in batches:
-            for h, k1, k2, first, ahead, stretch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for h, k1, k2, ahead, stretch, firsts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if h != last and held >= SORT_BYTES:
                     found = spans(rows, members)
                     if found:
@@ -228,8 +258,8 @@ def _sorted_shards(length: int):
                 if entry is None:
                     entry = rows[h, ahead, stretch] = [len(rows), 0]
                     held += len(stretch)
-                entry[1] += 1
-                members.append((entry[0], k1, k2, first))
+                entry[1] += len(firsts)
+                members.append((entry[0], k1, k2, firsts))
         found = spans(rows, members)
         if found:
             yield found
@@ -237,25 +267,29 @@ def _sorted_shards(length: int):
     return work
 
 
+_WINDOWS = "hash long, window long, k1 long, k2 long, starts array<long>"
+
+
 def _hot_windows(length: int):
-    """Each window of hot anchors by its own: (hash of the anchor and the window, text, start)."""
+    """Each window of hot anchors by its own: hashes of the anchor and the window, and where it starts in the text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = byte_values(9)
-        for batch in batches:
-            names = batch.schema.names
-            for row in range(batch.num_rows):
-                col = {n: batch.column(i).slice(row, 1) for i, n in enumerate(names)}
-                data = np.frombuffer(col["text"][0].as_py(), np.uint8)
-                _, first, last = _spread(col["locs"].flatten().to_numpy())
-                sizes = last - first + 1
-                starts = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-                hashes = np.repeat(col["hashes"].flatten().to_numpy().view(np.uint64), sizes)
-                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(table[data] * powers(len(data), BASE))))
-                window = mix((sums[starts + length] - sums[starts]) * powers(len(data) + 1, _INVERSE)[starts])
-                k1, k2 = (np.full(len(starts), col[k][0].as_py(), np.int64) for k in ("k1", "k2"))
-                arrays = ((hashes ^ window).view(np.int64), window.view(np.int64), k1, k2, starts)
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["hash", "window", "k1", "k2", "start"])
+        for text, k1, k2, hashes, locs in _by_text(batches):
+            data = np.frombuffer(text, np.uint8)
+            _, first, last = _spread(locs)
+            sizes = last - first + 1
+            starts = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(table[data] * powers(len(data), BASE))))
+            window = mix((sums[starts + length] - sums[starts]) * powers(len(data) + 1, _INVERSE)[starts])
+            hashes = np.repeat(hashes, sizes)
+            order, borders = _groups(hashes, window)
+            heads = order[borders[:-1]]
+            keys = (pa.array(np.full(len(heads), k, np.int64)) for k in (k1, k2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[heads]), pa.array(window[heads].view(np.int64)), *keys, _lists(starts[order], borders)],
+                ["hash", "window", "k1", "k2", "starts"],
+            )
 
     return work
 
@@ -312,22 +346,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int | None = N
     )
     texts = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count("*").alias("n"))
     places = texts.mapInArrow(_anchors(length, anchor), _ANCHORS)
-    often = places.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1")
+    often = places.groupBy("hash").agg(F.sum(F.size("locs")).alias("times"), F.count("*").alias("texts")).where("times > 1").drop("times")
     found = places.join(often, "hash")
 
     def with_text(rows):
-        lists = rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("hash", "loc")).alias("places"))
-        lists = lists.select("k1", "k2", F.col("places.hash").alias("hashes"), F.col("places.loc").alias("locs"))
+        lists = rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("hash", "locs")).alias("places"))
+        lists = lists.select("k1", "k2", F.col("places.hash").alias("hashes"), F.col("places.locs").alias("locs"))
         return texts.join(lists, ["k1", "k2"])
 
-    shards = with_text(found.where(F.col("times") <= hot)).mapInArrow(_stretches(length), _STRETCHES)
+    shards = with_text(found.where(F.col("texts") <= hot)).mapInArrow(_stretches(length), _STRETCHES)
     shards = shards.repartition("hash").sortWithinPartitions("hash")
     spans = shards.mapInArrow(_sorted_shards(length), _SPANS)
-    windows = with_text(found.where(F.col("times") > hot)).mapInArrow(
-        _hot_windows(length), "hash long, window long, k1 long, k2 long, start long"
-    )
-    again = windows.groupBy("hash", "window").agg(F.count("*").alias("times")).where("times > 1").drop("times")
-    hot_spans = windows.join(again, ["hash", "window"]).select("k1", "k2", "start", (F.col("start") + length).alias("end"))
+    windows = with_text(found.where(F.col("texts") > hot)).mapInArrow(_hot_windows(length), _WINDOWS)
+    again = windows.groupBy("hash", "window").agg(F.sum(F.size("starts")).alias("times")).where("times > 1").drop("times")
+    hot_spans = windows.join(again, ["hash", "window"]).select("k1", "k2", F.explode("starts").alias("start"))
+    hot_spans = hot_spans.withColumn("end", F.col("start") + length)
     every = spans.unionByName(hot_spans).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     result = texts.join(every, ["k1", "k2"], "left").mapInArrow(_removed(length), _RESULT)
     return (
