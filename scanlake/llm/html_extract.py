@@ -3,8 +3,8 @@
 A streaming parser (the standard library's) turns a page into block lines. A line knows its text, how many tags it holds and
 whether it stands in a part that is never content (menus, forms, scripts and so on, by element or by the words of class and
 id). The lines' text-to-tag ratios are smoothed with a Gaussian; lines whose smoothed ratio reaches a threshold form
-clusters, and the clusters select regions: an ``article`` or ``main`` element is taken as a whole if a cluster touches it, else
-the text runs between the first and the last line of each cluster.
+clusters, and the clusters are the content, wherever they stand. ``article`` and ``main`` only raise the ratio of their lines and
+widen clusters: such an element is taken as a whole if a cluster touches it, and not at all if none does.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ _SPACE = re.compile(r"\s+")
 
 SIGMA = 1.0
 RADIUS = 2
+#: Factor of the ratio of lines in an article or main element.
+INSIDE = 2.0
 
 
 @dataclass
@@ -169,21 +171,33 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) ->
     return full / norm
 
 
-def content(lines: list[Line]) -> list[int]:
-    """Numbers of the lines that are content."""
+def line_values(lines: list[Line], able: list[int]) -> np.ndarray:
+    """The smoothed ratio of each line of ``able``; smoothing does not cross the edge of an article or main element."""
+    ratios = np.array([len(lines[i].text) / max(1, lines[i].tags) * (INSIDE if lines[i].region >= 0 else 1.0) for i in able])
+    region = np.array([lines[i].region for i in able])
+    out = np.zeros(len(able))
+    for r in np.unique(region):
+        at = np.flatnonzero(region == r)
+        out[at] = smoothed(ratios[at])
+    return out
+
+
+def content(lines: list[Line], widen: bool = True) -> list[int]:
+    """Numbers of the lines that are content: those of the clusters, and the article or main elements that clusters touch.
+
+    ``widen`` False: the lines of the clusters only.
+    """
     able = [i for i, x in enumerate(lines) if not x.beside]
     if not able:
         return []
-    ratios = np.array([0.0 if x.beside else len(x.text) / max(1, x.tags) for x in lines])
-    smooth = smoothed(ratios)
-    # Two clusters split at a share of the spread, so that a page of equal lines is one cluster.
-    threshold = min(float(ratios[able].std()), float(ratios[able].max()) / 2)
-    chosen = {i for i in able if smooth[i] >= threshold}
-    regions = {lines[i].region for i in chosen} - {-1}
-    if any(x.region >= 0 and not x.beside for x in lines):
-        regions = regions or {x.region for x in lines if x.region >= 0 and not x.beside}
-        return [i for i in able if lines[i].region in regions]
-    return sorted(chosen)
+    values = line_values(lines, able)
+    # Two clusters split at a share of the spread, so that a page of equal lines is one cluster; the largest is always in one.
+    threshold = min(float(values.std()), float(values.max()) / 2)
+    chosen = {i for i, v in zip(able, values, strict=True) if v >= threshold}
+    if not widen:
+        return sorted(chosen)
+    touched = {lines[i].region for i in chosen} - {-1}
+    return [i for i in able if i in chosen or lines[i].region in touched]
 
 
 def main_text(html: str | None) -> str:

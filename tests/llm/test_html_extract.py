@@ -52,6 +52,28 @@ def test_pages(name):
     assert html_extract.main_text(html) == expected
 
 
+CLUSTERS = {
+    "a short article beside the text": (
+        f'{HEAD}{MENU}<article><a href="/x">Read on</a></article><div><p>{LONG[0]}</p><p>{LONG[1]}</p><p>{LONG[2]}</p></div>{FOOT}',
+        f"{LONG[0]} {LONG[1]} {LONG[2]}",
+    ),
+    "the text goes on after the article": (
+        f"{HEAD}<article><h1>A</h1><p>{LONG[0]}</p></article><div><p>{LONG[1]}</p><p>{LONG[2]}</p></div><div><b>x</b></div>{FOOT}",
+        f"A {LONG[0]} {LONG[1]} {LONG[2]}",
+    ),
+    "one of two articles": (
+        f"{HEAD}<article><h2><a href='/'>Other</a></h2></article><article><h1>A</h1><p>{LONG[0]}</p><p>ok.</p></article><div>Home</div>{FOOT}",
+        f"A {LONG[0]} ok.",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", list(CLUSTERS))
+def test_clusters_decide_and_elements_only_widen_them(name):
+    html, expected = CLUSTERS[name]
+    assert html_extract.main_text(html) == expected
+
+
 def test_query_shape_nulls_repeats_and_clashing_columns(spark):
     rows = [(1, "u", PAGES["article"][0], 5, "old"), (1, "u", PAGES["article"][0], 5, "old"), (2, None, None, 0, None), (None, "v", "", 1, "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")
