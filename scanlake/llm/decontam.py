@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates.
 
 Texts become templates: numbers, units after a number and names (capitalised words inside a sentence) turn into typed placeholders,
-other words are lower-cased. Windows of consecutive template tokens are hash-joined between documents and benchmark items.
+other words are lower-cased. A capitalised word that opens a sentence may be a name or not, so windows that hold one have two
+templates. Windows of consecutive template tokens are hash-joined between documents and benchmark items.
 Matches of one document, one item and one distance between their positions form an alignment. It counts if it covers enough tokens
 with the benchmark's own values, or if it covers enough tokens and its slots are consistent: equal benchmark values stand for equal
 document values, and different names for different names. So an item is found verbatim and with other numbers, names or units.
@@ -10,6 +11,7 @@ document values, and different names for different names. So an item is found ve
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,25 @@ _BREAK[[ord(c) for c in ".!?:;\n\r|"]] = 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
+
+def _lower_letters() -> np.ndarray:
+    """The lower-case letter of each code point up to U+FFFF whose UTF-8 is as long; a final sigma counts as sigma."""
+    out = np.arange(1 << 16)
+    for c in range(128, 1 << 16):
+        small = chr(c).lower()
+        if len(small) == 1 and ord(small) >= 128 and (ord(small) < 2048) == (c < 2048):
+            out[c] = ord(small)
+    out[0x3C2] = 0x3C3
+    return out
+
+
+_LOWER_LETTERS = _lower_letters()
+_CAPITAL_LETTERS = _LOWER_LETTERS != np.arange(1 << 16)
+_CAPITAL_LETTERS[0x3C2] = False
+#: Bytes of a letter after its first one.
+_MORE = np.zeros(256, np.int64)
+_MORE[0xC2:0xE0], _MORE[0xE0:0xF0], _MORE[0xF0:] = 1, 2, 3
+
 _HASH_TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
 _NUMBER, _UNIT, _NAME = (mix(np.array([k], np.uint64))[0] for k in (11, 12, 13))
 
@@ -70,10 +91,32 @@ def _shifted(x: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
+def lower_case(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 in lower case, and where capitals start."""
+    lowered = _LOWER[data]
+    capital = (data >= 65) & (data <= 90)
+    for width, low, high in ((2, 0xC3, 0xE0), (3, 0xE0, 0xF0)):
+        at = np.flatnonzero((data >= low) & (data < high))
+        at = at[at + width <= len(data)]
+        code = data[at].astype(np.int64) & (0x1F if width == 2 else 0x0F)
+        for k in range(1, width):
+            code = code << 6 | data[at + k] & 0x3F
+        changed = np.flatnonzero(_LOWER_LETTERS[code] != code)
+        at, code = at[changed], code[changed]
+        capital[at] = _CAPITAL_LETTERS[code]
+        small = _LOWER_LETTERS[code]
+        for k in range(width - 1, 0, -1):
+            lowered[at + k] = 0x80 | small & 0x3F
+            small = small >> 6
+        lowered[at] = (0xC0 if width == 2 else 0xE0) | small
+    return lowered, capital
+
+
 class Templates:
     """The template tokens of some texts.
 
-    ``word``: hash of the lower-cased token, ``token``: that or its placeholder, ``literal``, and ``owner``, the text's number.
+    ``word``: hash of the lower-cased token, ``owner``, the text's number, and two templates (0: opening words are literals, 1: they
+    are names where they look like one), each with ``token``: the word or its placeholder, ``literal`` and ``kind``.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
@@ -85,63 +128,63 @@ class Templates:
         three = (data == 0xE2) & _shifted(data == 0x80, -1)
         inside &= ~(two | _shifted(two, 1) | three | _shifted(three, 1) | _shifted(three, 2))
         starts, ends = spans_of(inside, offsets)
-        lowered = _LOWER[data]
-        accented = _shifted(data == 0xC3, 1) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
-        lowered = lowered + (accented * np.uint8(32))
+        lowered, capital = lower_case(data)
         self.word = span_hashes(lowered, starts, ends, _HASH_TABLE)
         self.owner = np.searchsorted(offsets, starts, side="right") - 1
         n = len(starts)
         first = np.ones(n, bool)
         first[1:] = self.owner[1:] != self.owner[:-1]
-        upper = (data >= 65) & (data <= 90)
-        capital = upper | _shifted(accented, -1)
         breaks = np.concatenate((np.zeros(1, np.int32), np.cumsum(_BREAK[data], dtype=np.int32)))
         opening = first.copy()
         if n > 1:
             opening[1:] |= breaks[starts[1:]] > breaks[ends[:-1]]
-        name = capital[starts] & ~opening
         # The letter after the first: words in capitals only are no names.
-        second = np.minimum(starts + 1 + accented_width(data, starts), len(data) - 1) if n else starts
-        name &= (second < ends) & ~capital[second]
+        second = np.minimum(starts + 1 + _MORE[data[starts]], len(data) - 1) if n else starts
+        name = capital[starts] & (second < ends) & ~capital[second]
         number = digit[starts]
         after = np.zeros(n, bool)
         after[1:] = number[:-1] & ~first[1:]
         unit = after & ~number
         at = np.flatnonzero(unit)
         unit[at] = np.isin(self.word[at], _UNIT_HASHES)
-        self.token = self.word.copy()
-        self.token[name] = _NAME
-        self.token[unit] = _UNIT
-        self.token[number] = _NUMBER
-        self.literal = ~(name | unit | number)
-        self.kind = np.select([number, unit, name], [np.uint64(2), np.uint64(3), np.uint64(_IS_NAME)], np.uint64(0))
+        self.opens = name & opening & ~unit
+        self.token, self.literal, self.kind = [], [], []
+        for names in (name & ~opening, name):
+            token = self.word.copy()
+            token[names] = _NAME
+            token[unit] = _UNIT
+            token[number] = _NUMBER
+            self.token.append(token)
+            self.literal.append(~(names | unit | number))
+            self.kind.append(np.select([number, unit, names], [np.uint64(2), np.uint64(3), np.uint64(_IS_NAME)], np.uint64(0)))
         self.first = np.searchsorted(self.owner, np.arange(len(offsets) - 1))
         self.sizes = np.bincount(self.owner, minlength=len(offsets) - 1)
 
-    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the windows of ``length`` tokens inside one text, with enough literal tokens."""
-        hashes = sequence_hashes(self.token, length)
+    def windows(self, length: int, template: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the windows of ``length`` tokens inside one text, with enough literal tokens.
+
+        Template 1: only those that differ from template 0, as they hold an opening name.
+        """
+        hashes = sequence_hashes(self.token[template], length)
         if not len(hashes):
             return np.zeros(0, np.int64), hashes
-        literals = np.concatenate(([0], np.cumsum(self.literal)))
+        literals = np.concatenate(([0], np.cumsum(self.literal[template])))
         n = len(hashes)
         usable = self.owner[:n] == self.owner[length - 1 :]
         usable &= literals[length:] - literals[:n] >= min(LITERALS, length)
+        if template:
+            opens = np.concatenate(([0], np.cumsum(self.opens)))
+            usable &= opens[length:] > opens[:n]
         at = np.flatnonzero(usable)
         return at, hashes[at] ^ np.uint64(length)
 
-    def slots(self, start: int, length: int) -> list[int]:
+    def slots(self, start: int, length: int, template: int = 0) -> list[int]:
         """The values of a window's placeholders, in order; the last two bits tell the type."""
-        at = np.flatnonzero(~self.literal[start : start + length]) + start
-        return (self.word[at] & ~np.uint64(3) | self.kind[at]).astype(np.int64).tolist()
-
+        at = np.flatnonzero(~self.literal[template][start : start + length]) + start
+        return (self.word[at] & ~np.uint64(3) | self.kind[template][at]).astype(np.int64).tolist()
 
-def accented_width(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """1 where the first letter takes two bytes."""
-    return (data[starts] == 0xC3).astype(np.int64)
 
-
-_WINDOWS = "key long, position int, hash long, size int, tokens int, slots array<long>"
+_WINDOWS = "key long, position int, hash long, size int, tokens int, template int, slots array<long>"
 
 
 def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> DataFrame:
@@ -155,9 +198,9 @@ def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> D
             data, offsets = text_bytes(part.column(1))
             keys = part.column(0).to_numpy(zero_copy_only=False)
             found = Templates(data, offsets)
-            out = {name: [] for name in ("key", "position", "hash", "size", "tokens", "slots")}
-            for length in lengths or (WINDOW, *range(LITERALS, WINDOW)):
-                at, hashes = found.windows(length)
+            out = {name: [] for name in ("key", "position", "hash", "size", "tokens", "template", "slots")}
+            for length, template in product(lengths or (WINDOW, *range(LITERALS, WINDOW)), (0, 1)):
+                at, hashes = found.windows(length, template)
                 if lengths is None and length < WINDOW:
                     whole = found.sizes[found.owner[at]] == length
                     at, hashes = at[whole], hashes[whole]
@@ -172,8 +215,9 @@ def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> D
                 out["hash"].append(hashes.view(np.int64))
                 out["size"].append(np.full(len(at), length, np.int32))
                 out["tokens"].append(found.sizes[owner].astype(np.int32))
-                out["slots"] += [found.slots(i, length) for i in at]
-            arrays = [pa.array(np.concatenate(out[c])) for c in ("key", "position", "hash", "size", "tokens")]
+                out["template"].append(np.full(len(at), template, np.int32))
+                out["slots"] += [found.slots(i, length, template) for i in at]
+            arrays = [pa.array(np.concatenate(out[c])) for c in list(out)[:-1]]
             arrays.append(pa.array(out["slots"], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(arrays, list(out))
 
@@ -209,6 +253,14 @@ def _covered(runs):
     )
 
 
+def _consistent(pairs: str):
+    """Whether equal benchmark values stand for equal document values, and different names for different names."""
+    names = F.filter(pairs, lambda p: p["slots"].bitwiseAND(F.lit(3)) == _IS_NAME)
+    return (F.size(pairs) == F.size(F.array_distinct(F.col(pairs)["slots"]))) & (
+        F.size(names) == F.size(F.array_distinct(F.transform(names, lambda p: p["values"])))
+    )
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, n_tokens, item_tokens, position, n_slots``.
 
@@ -231,27 +283,28 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER
         F.col("doc_id").cast("long").alias("key"), "text"
     )
     theirs = _windows(texts, lengths, wanted).select(
-        F.col("key").alias("doc_id"), F.col("position").alias("at"), "hash", "size", F.col("slots").alias("values")
+        F.col("key").alias("doc_id"), F.col("position").alias("at"), "hash", "size", F.col("template").alias("seen"), F.col("slots").alias("values")
     )
-    ours = ours.select(F.col("key").alias("item_id"), "position", "hash", "size", "slots", F.col("tokens").alias("item_tokens"))
+    ours = ours.select(F.col("key").alias("item_id"), "position", "hash", "size", "template", "slots", F.col("tokens").alias("item_tokens"))
     matched = theirs.join(ours, ["hash", "size"]).where(F.size("slots") == F.size("values"))
     run = F.struct("position", "size")
-    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "values"))))
+    pairs = F.arrays_zip("slots", "values")
+    inside = (F.col("template") == 0) & (F.col("seen") == 0)
     aligned = (
         matched.groupBy("doc_id", "item_id", "item_tokens", (F.col("at") - F.col("position")).alias("shift"))
         .agg(
             _covered(F.collect_set(run)).alias("like"),
+            _covered(F.collect_set(F.when(inside, run))).alias("like_inside"),
             _covered(F.collect_set(F.when(F.col("slots") == F.col("values"), run))).alias("same"),
-            pairs.alias("pairs"),
+            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+            F.array_distinct(F.flatten(F.collect_set(F.when(inside, pairs)))).alias("pairs_inside"),
             F.min("at").alias("at"),
         )
-        .withColumn("names", F.filter("pairs", lambda p: p["slots"].bitwiseAND(F.lit(3)) == _IS_NAME))
-        .withColumn(
-            "consistent",
-            (F.size("pairs") == F.size(F.array_distinct("pairs.slots")))
-            & (F.size("names") == F.size(F.array_distinct("names.values"))),
-        )
-        .withColumn("n_tokens", F.when(F.col("consistent"), F.col("like")).otherwise(F.col("same")))
+        # Other opening words may spoil what names inside sentences agree on, so both readings count.
+        .withColumn("like", F.when(_consistent("pairs"), F.col("like")).otherwise(0))
+        .withColumn("like_inside", F.when(_consistent("pairs_inside"), F.col("like_inside")).otherwise(0))
+        .withColumn("n_tokens", F.greatest("like", "like_inside", "same"))
+        .withColumn("pairs", F.when(F.col("n_tokens") > F.greatest("like_inside", "same"), F.col("pairs")).otherwise(F.col("pairs_inside")))
         .where(F.col("n_tokens") >= F.least(F.lit(cover), F.col("item_tokens")))
     )
     best = F.max(F.struct("n_tokens", (-F.col("at")).alias("before"), "item_tokens", F.size("pairs").alias("n_slots"))).alias("b")

@@ -100,3 +100,28 @@ def test_templates_of_texts_do_not_meet():
     t = decontam.Templates(np.frombuffer(b"".join(raw), np.uint8), offsets)
     assert t.sizes.tolist() == [2, 1, 0, 2] and t.owner.tolist() == [0, 0, 1, 3, 3]
     assert len(t.windows(3)[0]) == 0
+
+
+OPENING = "Tom has 12 apples. Tom gives 5 to Mary. How many apples does Tom have?"
+
+
+def test_names_that_open_sentences_are_found_if_consistent(spark):
+    changed = OPENING.replace("Tom", "Bob").replace("12", "31")
+    greek = "Ο Νίκος έχει 12 μήλα. Νίκος δίνει 5 στην Μαρία σήμερα το πρωί. Πόσα μήλα έχει τώρα ο Νίκος;"
+    short = "Ann buys 4 pens. Ann loses 2 of them there. Ann counts."
+    docs = [
+        (1, changed), (2, f"So: then {changed}"), (3, OPENING.replace("Tom has", "Bob has").replace("Tom gives", "Eve gives").replace("does Tom", "does Sue")),
+        (4, changed.replace("Mary", "Bob")), (5, greek.replace("Νίκος", "Γιάννης").replace("Μαρία", "Ελένη")),
+        (7, short.replace("Ann", "Ivy")), (8, OPENING.replace("Tom", "Mia")), (9, "Пётр " + changed),
+    ]
+    assert set(found(spark, docs, [(1, OPENING), (2, greek), (3, short)])) == {(1, 1), (2, 1), (5, 2), (7, 3), (8, 1), (9, 1)}
+
+
+def test_lower_case_is_that_of_python():
+    text = "ÀÉß Łódź Σίσυφος ΛΌΓΟΣ Пётр ЁЖ Ấm × µ 中文 😀 Ω"
+    raw = np.frombuffer(text.encode(), np.uint8)
+    lowered, capital = decontam.lower_case(raw)
+    expected = "".join(c.lower() if len(c.lower().encode()) == len(c.encode()) else c for c in text).replace("ς", "σ")
+    assert lowered.tobytes().decode() == expected
+    starts = np.cumsum([0] + [len(c.encode()) for c in text])[:-1]
+    assert [text[i] for i, at in enumerate(starts) if capital[at]] == [c for c in text if c.isupper()]
