@@ -2,9 +2,9 @@
 
 Texts become templates: numbers, units after a number and names (capitalised words inside a sentence) turn into typed placeholders,
 other words are lower-cased. A capitalised word that opens a sentence may be a name or not, so windows that hold one have two
-templates. Windows of consecutive template tokens are hash-joined between documents and benchmark items.
+templates. Windows of consecutive template tokens, and of the plain lower-cased words, are hash-joined between documents and items.
 Matches of one document, one item and one distance between their positions form an alignment. It counts if it covers enough tokens
-with the benchmark's own values, or if it covers enough tokens and its slots are consistent: equal benchmark values stand for equal
+with the benchmark's own words, whatever their case, position or share of slots, or if it covers enough tokens and its slots are consistent: equal benchmark values stand for equal
 document values, and different names for different names. So an item is found verbatim and with other numbers, names or units.
 """
 
@@ -78,6 +78,10 @@ def _hash_words(words) -> np.ndarray:
 #: Type of a name slot.
 _IS_NAME = 1
 
+#: The plain words, where templates are 0 and 1.
+PLAIN = 2
+_PLAIN = np.uint64(0x5851F42D4C957F2D)
+
 _UNIT_HASHES = _hash_words(sorted(UNITS))
 
 
@@ -178,6 +182,12 @@ class Templates:
         at = np.flatnonzero(usable)
         return at, hashes[at] ^ np.uint64(length)
 
+    def plain_windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of all windows of ``length`` words inside one text."""
+        hashes = sequence_hashes(self.word, length)
+        at = np.flatnonzero(self.owner[: len(hashes)] == self.owner[length - 1 :][: len(hashes)])
+        return at, mix(hashes[at] ^ np.uint64(length) ^ _PLAIN)
+
     def slots(self, start: int, length: int, template: int = 0) -> list[int]:
         """The values of a window's placeholders, in order; the last two bits tell the type."""
         at = np.flatnonzero(~self.literal[template][start : start + length]) + start
@@ -199,8 +209,8 @@ def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> D
             keys = part.column(0).to_numpy(zero_copy_only=False)
             found = Templates(data, offsets)
             out = {name: [] for name in ("key", "position", "hash", "size", "tokens", "template", "slots")}
-            for length, template in product(lengths or (WINDOW, *range(LITERALS, WINDOW)), (0, 1)):
-                at, hashes = found.windows(length, template)
+            for length, template in product(lengths or (WINDOW, *range(LITERALS, WINDOW)), (0, 1, PLAIN)):
+                at, hashes = found.plain_windows(length) if template == PLAIN else found.windows(length, template)
                 if lengths is None and length < WINDOW:
                     whole = found.sizes[found.owner[at]] == length
                     at, hashes = at[whole], hashes[whole]
@@ -216,7 +226,7 @@ def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> D
                 out["size"].append(np.full(len(at), length, np.int32))
                 out["tokens"].append(found.sizes[owner].astype(np.int32))
                 out["template"].append(np.full(len(at), template, np.int32))
-                out["slots"] += [found.slots(i, length, template) for i in at]
+                out["slots"] += [found.slots(i, length, 0 if template == PLAIN else template) for i in at]
             arrays = [pa.array(np.concatenate(out[c])) for c in list(out)[:-1]]
             arrays.append(pa.array(out["slots"], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(arrays, list(out))
@@ -286,7 +296,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER
         F.col("key").alias("doc_id"), F.col("position").alias("at"), "hash", "size", F.col("template").alias("seen"), F.col("slots").alias("values")
     )
     ours = ours.select(F.col("key").alias("item_id"), "position", "hash", "size", "template", "slots", F.col("tokens").alias("item_tokens"))
-    matched = theirs.join(ours, ["hash", "size"]).where(F.size("slots") == F.size("values"))
+    plain = (F.col("template") == PLAIN) & (F.col("seen") == PLAIN)
+    likeness = (F.col("template") != PLAIN) & (F.col("seen") != PLAIN) & (F.size("slots") == F.size("values"))
+    # Equal words have equal values, whatever either context makes of them.
+    matched = theirs.join(ours, ["hash", "size"]).where(plain | likeness).withColumn("values", F.when(plain, F.col("slots")).otherwise(F.col("values")))
     run = F.struct("position", "size")
     pairs = F.arrays_zip("slots", "values")
     inside = (F.col("template") == 0) & (F.col("seen") == 0)
@@ -295,7 +308,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER
         .agg(
             _covered(F.collect_set(run)).alias("like"),
             _covered(F.collect_set(F.when(inside, run))).alias("like_inside"),
-            _covered(F.collect_set(F.when(F.col("slots") == F.col("values"), run))).alias("same"),
+            _covered(F.collect_set(F.when(plain, run))).alias("same"),
             F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
             F.array_distinct(F.flatten(F.collect_set(F.when(inside, pairs)))).alias("pairs_inside"),
             F.min("at").alias("at"),

@@ -125,3 +125,18 @@ def test_lower_case_is_that_of_python():
     assert lowered.tobytes().decode() == expected
     starts = np.cumsum([0] + [len(c.encode()) for c in text])[:-1]
     assert [text[i] for i, at in enumerate(starts) if capital[at]] == [c for c in text if c.isupper()]
+
+
+def test_verbatim_copies_are_found_in_any_context_case_and_share_of_slots(spark):
+    capital = "What is the capital of France?"
+    people = "Alice Smith met Bob Jones and Carla Diaz near Paris with Doug Evans"
+    table_ = "3 14 15 92 65 35 89 79 32 38 46 26 43 38"
+    names = "Anna Bert Cora Dirk Elsa Finn Gina Hans"
+    greek = "Ο Νίκος έχει 12 μήλα και δίνει σήμερα 5 στην Μαρία"
+    docs = [
+        (1, f"1) {capital}"), (2, f"he said “{capital}” again"), (3, capital.lower()), (4, people.lower()), (5, f"a row {table_} ends"),
+        (6, f"of {names}."), (7, greek.upper()), (8, table_.replace("65", "66")), (9, "what is the capital of spain"), (10, names.replace("Elsa", "Else")),
+    ]
+    got = found(spark, docs, [(1, capital), (2, people), (3, table_), (4, names), (5, greek), (6, "4 5 6 7"), (7, "one of us")])
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, 4), (7, 5)}
+    assert all(r.n_tokens == r.item_tokens for r in got.values())
