@@ -1,10 +1,11 @@
 """Main text of web pages by text-to-tag ratios.
 
 A streaming parser (the standard library's) turns a page into block lines. A line knows its text, how many tags it holds and
-whether it stands in a part that is never content (menus, forms, scripts and so on, by element or by the words of class and
-id). The lines' text-to-tag ratios are smoothed with a Gaussian; lines whose smoothed ratio reaches a threshold form
+whether it stands in a part that is never content (menus, forms, scripts and so on, by element). Parts that a whole token of class
+or id marks are left out if they are short or mostly links. The lines' text-to-tag ratios are smoothed with a Gaussian; lines whose smoothed ratio reaches a threshold form
 clusters, and the clusters are the content, wherever they stand. ``article`` and ``main`` only raise the ratio of their lines and
-widen clusters: such an element is taken as a whole if a cluster touches it, and not at all if none does.
+widen clusters: such an element is taken as a whole if a cluster touches it, and not at all if none does. Elsewhere the lines
+between neighbouring clusters of one parent are taken.
 """
 
 from __future__ import annotations
@@ -29,8 +30,12 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTENT = frozenset(("article", "main"))
+#: Elements that are a parent of lines.
+CONTAINERS = frozenset("div section article main center td form fieldset details aside header footer nav hgroup".split())
+#: What a head may hold: all else ends it, with or without an end tag.
+IN_HEAD = frozenset("title script style noscript template base link meta".split())
 ENDS_P = BLOCK - {"br"}
-#: Words in class or id that mark a part beside the content.
+#: Words in class or id that mark a part beside the content, alone or together with words of places and boxes.
 BESIDE = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer header login menu modal nav navbar navigation newsletter notice pagination popup promo promoted related replies reply "
@@ -38,6 +43,12 @@ BESIDE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
+PLACES = frozenset("area bar block box bottom container inner left list main outer primary right secondary section site sub top wrap wrapper".split())
+#: Of these, words of parts that are beside the content also where they are long.
+NEVER = frozenset("comment comments consent cookie cookies disqus replies respond".split())
+#: Characters up to which a marked part is short, also on a page of little text.
+SHORT = 500
+
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
@@ -56,6 +67,10 @@ class Line:
     tags: int
     region: int  # number of the article or main element around it, -1 if none
     beside: bool
+    marks: tuple[str, ...] = ()  # tokens of class and id around it that mark a part beside the content
+    linked: int = 0  # characters inside links
+    parent: int = 0  # number of the container around it, 0 for the body
+    above: int = 0  # and of the container around that
 
 
 class _Lines(HTMLParser):
@@ -64,23 +79,36 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.stack: list[tuple[str, bool, bool, int]] = []  # name, silent, beside, region
+        # Name, silent, beside, region, marks, in a link, parent, the container above it.
+        self.stack: list[tuple[str, bool, bool, int, tuple[str, ...], bool, int, int]] = []
         self.parts: list[str] = []
         self.tags = 0
+        self.linked = 0
         self.regions = 0
+        self.containers = 0
 
     def state(self):
-        return self.stack[-1][1:] if self.stack else (False, False, -1)
+        return self.stack[-1][1:] if self.stack else (False, False, -1, (), False, 0, 0)
 
     def flush(self):
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            _, beside, region = self.state()
-            self.lines.append(Line(text, self.tags, region, beside))
+            _, beside, region, marks, _, parent, above = self.state()
+            self.lines.append(Line(text, self.tags, region, beside, marks, self.linked, parent, above))
             self.tags = 0
         self.parts.clear()
+        self.linked = 0
+
+    def _end_head(self, tag):
+        """The body, or anything but a head's own elements directly inside it, ends an open head."""
+        if tag == "body" or (self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD):
+            for i in range(min(len(self.stack), 3)):
+                if self.stack[i][0] == "head":
+                    self._pop(i)
+                    return
 
     def handle_starttag(self, tag, attrs):
+        self._end_head(tag)
         if tag in BLOCK:
             self.flush()
             if tag in ENDS_P:
@@ -88,7 +116,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        silent, beside, region = self.state()
+        silent, beside, region, marks, link, parent, above = self.state()
         if tag in CONTENT and region < 0 and not beside:
             region = self.regions
             self.regions += 1
@@ -96,7 +124,12 @@ class _Lines(HTMLParser):
         # A page's header, but also an article's own one with its heading: only the former is beside.
         if not beside:
             beside = (tag in ASIDE and not (inside and tag == "header")) or self._marked(tag, attrs)
-        self.stack.append((tag, silent or tag in SILENT, beside, region))
+        if tag not in ("html", "body", "article", "main"):
+            marks += tuple(t for t in _marking(attrs, inside) if t not in marks)
+        if tag in CONTAINERS:
+            self.containers += 1
+            parent, above = self.containers, parent
+        self.stack.append((tag, silent or tag in SILENT, beside, region, marks, link or tag == "a", parent, above))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -110,9 +143,6 @@ class _Lines(HTMLParser):
             if not value:
                 if name == "hidden":
                     return True
-            elif name in ("class", "id"):
-                if any(w in BESIDE for w in _WORD.findall(_CAMEL.sub(" ", value).lower())):
-                    return True
             elif name == "role" and value.lower() in ROLES:
                 return True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -149,8 +179,60 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if not self.state()[0]:
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._pop(len(self.stack) - 1)
+        silent, *_, link, _, _ = self.state()
+        if not silent:
             self.parts.append(data)
+            if link:
+                self.linked += len(data)
+
+
+def _marking(attrs, inside: bool) -> list[str]:
+    """The tokens of class and id that mark a part beside the content; a header inside an article is its own."""
+    out = []
+    for name, value in attrs:
+        if value and name in ("class", "id"):
+            for token in value.split():
+                words = set(_WORD.findall(_CAMEL.sub(" ", token).lower()))
+                if words & BESIDE and words <= BESIDE | PLACES and not (inside and words & BESIDE == {"header"}):
+                    out.append(" ".join(sorted(words)))
+    return list(dict.fromkeys(out))
+
+
+def unmarked(lines: list[Line]) -> list[int]:
+    """Lines that stand in no part beside the content. Marks hold for parts that are short, mostly links, or never content.
+
+    Parts of the same mark are judged together. Marks that would leave nothing do not hold.
+    """
+    able = [i for i, x in enumerate(lines) if not x.beside]
+    sizes: dict[str, list[int]] = {}
+    for i in able:
+        for mark in lines[i].marks:
+            size = sizes.setdefault(mark, [0, 0])
+            size[0] += len(lines[i].text)
+            size[1] += lines[i].linked
+    total = sum(len(lines[i].text) for i in able)
+    holds = {m for m, (n, linked) in sizes.items() if n <= max(SHORT, total // 2) or 2 * linked > n or not NEVER.isdisjoint(m.split())}
+    return [i for i in able if holds.isdisjoint(lines[i].marks)] or able
+
+
+def bridged(lines: list[Line], able: list[int], chosen: set[int]) -> set[int]:
+    """``chosen`` and the lines between neighbouring clusters of one parent, or of two parents in one container below the body.
+
+    Lines that are mostly links are left out if they have another parent.
+    """
+    out, last = set(chosen), None
+    for n, i in enumerate(able):
+        if i not in chosen:
+            continue
+        if last is not None and n > last + 1:
+            a, b = lines[able[last]], lines[i]
+            if a.parent == b.parent or {a.parent, a.above} & {b.parent, b.above} - {0}:
+                between = ((k, lines[k]) for k in able[last + 1 : n])
+                out |= {k for k, x in between if x.parent in (a.parent, b.parent) or 2 * x.linked <= len(x.text)}
+        last = n
+    return out
 
 
 def page_lines(html: str) -> list[Line]:
@@ -187,7 +269,7 @@ def content(lines: list[Line], widen: bool = True) -> list[int]:
 
     ``widen`` False: the lines of the clusters only.
     """
-    able = [i for i, x in enumerate(lines) if not x.beside]
+    able = unmarked(lines)
     if not able:
         return []
     values = line_values(lines, able)
@@ -196,6 +278,7 @@ def content(lines: list[Line], widen: bool = True) -> list[int]:
     chosen = {i for i, v in zip(able, values, strict=True) if v >= threshold}
     if not widen:
         return sorted(chosen)
+    chosen = bridged(lines, able, chosen)
     touched = {lines[i].region for i in chosen} - {-1}
     return [i for i in able if i in chosen or lines[i].region in touched]
 

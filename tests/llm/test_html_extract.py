@@ -74,6 +74,38 @@ def test_clusters_decide_and_elements_only_widen_them(name):
     assert html_extract.main_text(html) == expected
 
 
+SHORTS = [f"short {w}." for w in "one two three four five six seven".split()]
+WHOLE = {
+    "head without its end": (f"<html><head><title>T</title><script>x</script><body><p>{LONG[0]}</p><p>{LONG[1]}</p>", f"{LONG[0]} {LONG[1]}"),
+    "head without its end and no body": (f"<head><meta charset=x><title>T</title><p>{LONG[0]}</p><div>{LONG[1]}</div>", f"{LONG[0]} {LONG[1]}"),
+    "text in the head": (f"<head><title>T</title>{LONG[0]}", LONG[0]),
+    "wrapper with a word": (f'<body><div class="content has-sidebar"><p>{LONG[0]}</p><p>{LONG[1]}</p></div>{FOOT}', f"{LONG[0]} {LONG[1]}"),
+    "title in a post-header": (f'<article><div class="post-header"><h1>A</h1></div><p>{LONG[0]}</p></article>', f"A {LONG[0]}"),
+    "title in a header": (f'<article><div class="header"><h1>A</h1></div><p>{LONG[0]}</p></article>', f"A {LONG[0]}"),
+    "body of widgets": (
+        f"<body><header>Site</header>{''.join(f'<div class=widget><p>{x}</p></div>' for x in LONG)}<div class='ad'>{words(9)}</div>{FOOT}", " ".join(LONG),
+    ),
+    "links in a sidebar": (
+        f"<body><div><p>{LONG[0]}</p></div><div class=sidebar>{''.join(f'<p><a href=x>{x}</a></p>' for x in LONG[1:])}</div>{FOOT}", LONG[0],
+    ),
+    "comments are longer": (f"<body><div><p>{LONG[0]}</p></div><div id=comments>{''.join(f'<p>{x}</p>' for x in LONG[1:])}</div>{FOOT}", LONG[0]),
+    "short lines inside the body": (
+        f"<body><div><p>{LONG[0]}</p><p>{LONG[1]}</p><ul>{''.join(f'<li>{x}' for x in SHORTS)}</ul><p>{LONG[2]}</p></div>{FOOT}",
+        " ".join([LONG[0], LONG[1], *SHORTS, LONG[2]]),
+    ),
+    "paragraphs in boxes": (
+        f"<body><div><div><p>{LONG[0]}</p></div><div>{''.join(f'<p>{x}</p>' for x in SHORTS)}</div><div><p>{LONG[2]}</p></div></div>{FOOT}",
+        " ".join([LONG[0], *SHORTS, LONG[2]]),
+    ),
+}
+
+
+@pytest.mark.parametrize("name", list(WHOLE))
+def test_no_part_of_the_content_is_lost(name):
+    html, expected = WHOLE[name]
+    assert html_extract.main_text(html) == expected
+
+
 def test_query_shape_nulls_repeats_and_clashing_columns(spark):
     rows = [(1, "u", PAGES["article"][0], 5, "old"), (1, "u", PAGES["article"][0], 5, "old"), (2, None, None, 0, None), (None, "v", "", 1, "t")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")
