@@ -329,6 +329,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is not contaminated; rows without id or text stay. All columns are kept."""
-    found = find_contamination(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Rows of ``docs`` that are not contaminated; rows without id or text stay. All columns are kept.
+
+    Rows are told apart by a hash of id and text, so a clean text stays where its id repeats with a contaminated one.
+    """
+    named = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    rows = docs.withColumn("_row", F.when(named, F.xxhash64("doc_id", "text")))
+    found = find_contamination(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(found, "_row", "left_anti").select(*docs.columns)

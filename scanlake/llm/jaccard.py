@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -147,7 +147,7 @@ def rarity_levels(texts: DataFrame, words: int) -> np.ndarray:
 
 # Points ---------------------------------------------------------------------------------------------------------------------
 
-_POINTS = "doc_id long, n long, k long, prefix array<long>, sketch binary"
+_POINTS = "doc_id long, mark long, n long, k long, prefix array<long>, sketch binary"
 
 
 def _points(words: int, num: int, den: int, rarity):
@@ -173,8 +173,8 @@ def _points(words: int, num: int, den: int, rarity):
             ends = np.cumsum([0, *(len(p) for p in prefixes)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists, pa.array(sketches, pa.binary())],
-                ["doc_id", "n", "k", "prefix", "sketch"],
+                [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists, pa.array(sketches, pa.binary())],
+                ["doc_id", "mark", "n", "k", "prefix", "sketch"],
             )
 
     return work
@@ -345,26 +345,37 @@ def links(entries: DataFrame, points: DataFrame, texts: DataFrame, words: int, n
     return found
 
 
-def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """Per row of ``docs`` (``doc_id, text``): ``doc_id, n_shingles, component_id``.
+def _text() -> Column:
+    return F.coalesce(F.col("text"), F.lit(""))
 
-    Two documents are linked if ``den`` * |intersection| >= ``num`` * |union| of their sets of ``words`` consecutive words (runs of anything but
-    ASCII white space, with A-Z lower-cased). ``component_id`` is the smallest doc_id that links reach, the own one included. Null,
-    empty and white texts have an empty set and no links: their component is their own. Rows with a null id take part; they get the component of
-    the others, or null. Repeated rows give a row each. Other columns are ignored. An empty table gives no rows.
 
-    Sets and n-grams are told apart by 64 bits of hash.
-    """
+def _grouped(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``docs`` with their ``mark`` (a hash of the text) and set key ``k``; the points; and the ``label`` of linked points."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text"))
     with small_batches(spark, TEXT_ROWS):
         rarity = spark.sparkContext.broadcast(rarity_levels(rows.select("text"), words))
-        every = written(rows.mapInArrow(_points(words, num, den, rarity), _POINTS), "sets-of-documents")
+        marked = rows.withColumn("mark", F.xxhash64("text"))
+        every = written(marked.mapInArrow(_points(words, num, den, rarity), _POINTS), "sets-of-documents")
     points = written(
         every.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch", True).alias("sketch")), "points"
     )
     entries = every.select(F.explode("prefix").alias("region"), "k")
     label = components(links(entries, points, rows, words, num, den)).select(F.col("node").alias("k"), "label")
+    return every, points, label
+
+
+def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """Per row of ``docs`` (``doc_id, text``): ``doc_id, n_shingles, component_id``.
+
+    Two documents are linked if ``den`` * |intersection| >= ``num`` * |union| of their sets of ``words`` consecutive words (runs of anything but
+    ASCII white space, with A-Z lower-cased). ``component_id`` is the smallest doc_id that links reach, the own one included. Null,
+    empty and white texts have an empty set and no links: their component is their own. Rows with a null id take part; they get the component of
+    the others, or null. Repeated rows give a row each. Other columns are ignored. An empty table gives no rows.
+
+    Sets and n-grams are told apart by 64 bits of hash.
+    """
+    every, points, label = _grouped(docs, words, num, den)
     own = points.select("k", "rep")
     least = own.join(label, "k").groupBy("label").agg(F.min("rep").alias("least"))
     own = own.join(label.join(least, "label"), "k", "left").select("k", F.coalesce("least", "rep").alias("rep"))
@@ -375,13 +386,18 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
 
 
 def first_of_groups(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` that are their component's document with the smallest id, with all columns.
+    """One row of ``docs``, with all columns, of each component: that of the smallest id, and of one text if the id repeats with several.
 
-    Rows that repeat an id and its text stay once. Rows without id stay, as they cannot be told apart.
+    Rows are told apart by id and text: an id that repeats with a text of another component stays there. Rows that repeat both
+    stay once. Rows without id stay, as they cannot be told apart, and so do texts without words.
     """
-    found = jaccard_components(docs, words, num, den)
-    # Null ids and components compare as null and so drop nothing.
-    others = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    every, _, label = _grouped(docs, words, num, den)
+    rows = every.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "mark", "k").join(label, "k", "left")
+    rows = rows.select("doc_id", "mark", F.coalesce("label", "k").alias("group"))
+    first = rows.groupBy("group").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    others = rows.join(first, "group").where(F.struct("doc_id", "mark") != F.col("first"))
+    others = others.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64(_text()) == F.col("_mark"))
+    kept = docs.join(others, same, "left_anti")
     named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
     return named.unionByName(kept.where(F.col("doc_id").isNull()))

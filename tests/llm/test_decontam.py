@@ -140,3 +140,9 @@ def test_verbatim_copies_are_found_in_any_context_case_and_share_of_slots(spark)
     got = found(spark, docs, [(1, capital), (2, people), (3, table_), (4, names), (5, greek), (6, "4 5 6 7"), (7, "one of us")])
     assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3), (6, 4), (7, 5)}
     assert all(r.n_tokens == r.item_tokens for r in got.values())
+
+
+def test_rows_are_dropped_by_id_and_text(spark):
+    docs = [(5, QUESTION), (5, "clean"), (6, "clean"), (7, None), (7, QUESTION)]
+    kept = decontam.without_contaminated(table(spark, docs), table(spark, [(1, QUESTION)], "item_id")).collect()
+    assert sorted((r.doc_id, str(r.text)) for r in kept) == [(5, "clean"), (6, "clean"), (7, "None")]

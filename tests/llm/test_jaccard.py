@@ -74,3 +74,15 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     assert sorted(map(tuple, found), key=str) == sorted(
         [(None, 2, 7), (7, 2, 7), (7, 2, 7), (None, 1, None), (4, 0, 4)], key=str
     )
+
+
+def test_first_of_groups_tells_rows_apart_by_id_and_text(spark):
+    copied = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    other = "one two three four five six seven eight nine ten eleven"
+    twice = "p1 p2 p3 p4 p5 p6 p7 p8 p9 p10"
+    rows = [(1, copied), (2, copied + " end"), (2, other), (2, other), (3, twice), (3, twice.upper()), (4, ""), (4, None), (None, copied)]
+    docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, k string").repartition(3)
+    kept = jaccard.first_of_groups(docs)
+    assert kept.columns == docs.columns
+    found = sorted((str(r.doc_id), str(r.text).lower()) for r in kept.collect())
+    assert found == sorted([("1", copied), ("2", other), ("3", twice), ("4", ""), ("4", "none"), ("None", copied)])
