@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import (
-    decontam, embed_quality, entropy_secrets, html_extract, jaccard, nb_toxicity, packing, suffix_dedup, token_coder, topk,
+    decontam, embed_quality, entropy_secrets, html_extract, jaccard, nb_toxicity, packing, periodic_runs, suffix_dedup, token_coder, topk,
 )
 from scanlake.llm.shared import documents
 from scanlake.plans.query import Query, Registry
@@ -81,3 +81,55 @@ def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM_QUERIES.add("op2_jaccard")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+RUNS_SQL = """
+WITH RECURSIVE step(v, k, c) AS (
+  SELECT v, 0, v FROM range(256) r(v)
+  UNION ALL SELECT v, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8
+), crc_table AS (
+  SELECT list(CAST(c AS BIGINT) ORDER BY v) AS t FROM step WHERE k = 8
+), split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         [CAST(4294967295 AS BIGINT)] || [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')] AS b
+  FROM documents
+), hashed AS (
+  SELECT doc_id, w, len(w) AS n, 4294967295 - list_reduce(b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)) AS h
+  FROM split, crc_table
+), cut AS (
+  SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a, h // 10 % 8 AS e FROM hashed
+), texts AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+      THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + e)) END] FOR i IN range(n)] ELSE w END AS w
+  FROM cut
+), words AS (
+  SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS w FROM texts
+), equal AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i
+  FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         min({'l': -length, 's': start, 'p': period}) AS top
+  FROM runs GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(-top.l AS BIGINT) AS length, CAST(top.p AS BIGINT) AS period,
+       CAST(1000 * -top.l // top.p AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@LLM_QUERIES.add("op12_periodic_runs", RUNS_SQL)
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(documents(spark, sf_dir).select("doc_id", "text"), rewrite=periodic_runs.plant_period)
+    return periodic_runs.run_digest(found)
