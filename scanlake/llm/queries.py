@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import (
-    decontam, embed_quality, entropy_secrets, html_extract, jaccard, nb_toxicity, packing, periodic_runs, suffix_dedup, token_coder, topk,
+    decontam, embed_quality, entropy_secrets, html_extract, jaccard, level_dedup, nb_toxicity, packing, periodic_runs, suffix_dedup,
+    token_coder, topk,
 )
 from scanlake.llm.shared import documents
 from scanlake.plans.query import Query, Registry
@@ -133,3 +134,28 @@ FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.collapse_runs(documents(spark, sf_dir).select("doc_id", "text"), rewrite=periodic_runs.plant_period)
     return periodic_runs.run_digest(found)
+
+
+PASSAGES_SQL = """
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 13], ' ') AS s FROM (SELECT *, unnest(range(len(w) - 12)) AS i FROM split)
+), least AS (
+  SELECT s, min(doc_id) AS least FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN least USING (s) WHERE doc_id > least
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS text
+  FROM (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS w FROM split) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
+
+@LLM_QUERIES.add("op13_passages", PASSAGES_SQL)
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = level_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
