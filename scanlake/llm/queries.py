@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import (
-    decontam, embed_quality, entropy_secrets, html_extract, jaccard, level_dedup, nb_toxicity, packing, periodic_runs, suffix_dedup,
-    token_coder, topk,
+    collocations, decontam, embed_quality, entropy_secrets, html_extract, jaccard, level_dedup, nb_toxicity, packing, periodic_runs,
+    suffix_dedup, token_coder, topk,
 )
 from scanlake.llm.shared import documents
 from scanlake.plans.query import Query, Registry
@@ -159,3 +159,41 @@ FROM split LEFT JOIN kept USING (doc_id)
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = level_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+PHRASES_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+  FROM documents
+), split AS (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, w[i:i + k - 1] AS g FROM split, range(1, 4) r(k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)
+), counted AS (
+  SELECT lang, k, g, array_to_string(g, ' ') AS phrase, count(*) AS f FROM grams GROUP BY ALL
+), total AS (
+  SELECT lang, sum(len(w)) AS n FROM split GROUP BY lang
+), longer AS (
+  SELECT lang, s, max(f) AS f FROM (SELECT lang, f, unnest([array_to_string(g[1:2], ' '), array_to_string(g[2:3], ' ')]) AS s FROM counted WHERE k = 3 AND f >= 10)
+  GROUP BY ALL
+), candidates AS (
+  SELECT c.* FROM counted c LEFT JOIN longer x ON c.lang = x.lang AND c.phrase = x.s
+  WHERE c.k > 1 AND c.f >= 10 AND NOT coalesce(100 * x.f >= 50 * c.f, false)
+), cuts AS (
+  SELECT lang, phrase, f AS a, j, array_to_string(g[1:j], ' ') AS lp, array_to_string(g[j + 1:k], ' ') AS rp FROM candidates, range(1, 3) c(j) WHERE j < k
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN counted x ON x.lang = cuts.lang AND x.phrase = lp JOIN counted y ON y.lang = cuts.lang AND y.phrase = rp
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@LLM_QUERIES.add("op11_collocations", PHRASES_SQL)
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir).select("text", "lang"))
