@@ -36,6 +36,8 @@ COVER = 50
 NO_LANG = "und"
 #: Characters of text whose phrases one task sums up.
 SHARD_CHARS = 16_000_000
+#: Beyond so many shards phrases are shuffled as single rows.
+MOST_SHARDS = 2000
 _BITS = 21  # of a word's number in a task's graph
 _BLOCK = 2_000_000  # words of a graph, fewer than there are numbers
 
@@ -119,16 +121,15 @@ class Graph:
 
     def shards(self, number: int) -> Iterator[tuple]:
         """Per shard: its words, their languages, and for each length the words' numbers (all first ones, all second ones ...) and counts."""
-        hashes = np.fromiter(self.numbers.values(), np.int64, len(self.numbers))
-        by_number = np.empty(len(hashes), np.uint64)
-        by_number[hashes] = np.fromiter(self.numbers.keys(), np.uint64, len(self.numbers))
+        by_number = np.fromiter(self.numbers.keys(), np.uint64, len(self.numbers))  # numbers are given in this order
         parts = []
         for k, (codes, counts) in enumerate(self.flows(), 1):
-            columns = [(codes >> (_BITS * (k - 1 - j))) & ((1 << _BITS) - 1) for j in range(k)]
+            columns = [((codes >> (_BITS * (k - 1 - j))) & ((1 << _BITS) - 1)).astype(np.int32) for j in range(k)]
             total = np.zeros(len(codes), np.uint64)
             for column in columns:
                 total = total * np.uint64(BASE) + by_number[column]
-            shard = (mix(total) % np.uint64(number)).astype(np.int64)
+            shard = (mix(total) % np.uint64(number)).astype(np.int32)
+            del total, codes
             order = np.argsort(shard, kind="stable")
             borders = np.searchsorted(shard[order], np.arange(number + 1))
             parts.append(([c[order] for c in columns], counts[order], borders))
@@ -139,40 +140,73 @@ class Graph:
             if not any(len(counts) for _, counts in cut):
                 continue
             used, local = np.unique(np.concatenate([c for columns, _ in cut for c in columns]), return_inverse=True)
-            local = local.astype(np.int32)
+            local = local.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
             sizes = np.cumsum([k * len(counts) for k, (_, counts) in enumerate(cut, 1)])
             grams = np.split(local, sizes[:-1])
             yield s, names[used], langs[used], grams, [counts for _, counts in cut]
 
 
 _LENGTHS = (1, 2, 3)
-_SHARDS = "shard int, words array<string>, langs array<string>, " + ", ".join(f"g{k} array<int>, c{k} array<long>" for k in _LENGTHS)
+_SHARDS = "shard int, graph binary"
+_SMALL = pa.ipc.IpcWriteOptions(compression="zstd")
 
 
-def _shards(number: int):
-    def out(graph: Graph) -> Iterator[pa.RecordBatch]:
-        for shard, words, langs, grams, counts in graph.shards(number):
-            columns = [pa.array([shard], pa.int32())]
-            columns += [_row(pa.array(list(words), pa.binary()).cast(pa.string())), _row(pa.array(list(langs), pa.string()))]
-            for g, c in zip(grams, counts, strict=True):
-                columns += [_row(pa.array(g)), _row(pa.array(c))]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "words", "langs", *[f"{x}{k}" for k in _LENGTHS for x in "gc"]])
-        graph.__init__()
+def packed(words: list[bytes], langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray]) -> bytes:
+    """A shard of a graph as compressed Arrow bytes: one row of lists."""
+    columns = {"words": pa.array(words, pa.binary()).cast(pa.string()), "langs": pa.array(langs, pa.string()).dictionary_encode()}
+    for k, g, c in zip(_LENGTHS, grams, counts, strict=True):
+        columns |= {f"g{k}": pa.array(g), f"c{k}": pa.array(c)}
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns.values()]
+    batch = pa.RecordBatch.from_arrays(lists, list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=_SMALL) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(blob: bytes) -> dict[str, pa.Array]:
+    with pa.ipc.open_stream(blob) as reader:
+        batch = reader.read_next_batch()
+    found = {name: batch.column(i).flatten() for i, name in enumerate(batch.schema.names)}
+    return found | {"langs": found["langs"].dictionary_decode()}
+
+
+def _graphs(out):
+    """Runs ``out`` on the graphs of a task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = Graph()
         for batch in slices(batches, "text", 1 << 20):
             for full in graph.add(batch.column(1), batch.column(0).to_pylist()):
                 yield from out(full)
+                full.__init__()
         if graph.size:
             yield from out(graph)
 
     return work
 
 
-def _row(values: pa.Array) -> pa.Array:
-    """The values as the list of one row."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _shards(number: int):
+    def out(graph: Graph) -> Iterator[pa.RecordBatch]:
+        for shard, words, langs, grams, counts in graph.shards(number):
+            row = [pa.array([shard], pa.int32()), pa.array([packed(list(words), list(langs), grams, counts)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(row, ["shard", "graph"])
+
+    return _graphs(out)
+
+
+def _phrases(graph: Graph) -> Iterator[pa.RecordBatch]:
+    """Each phrase of a graph as a row of its own."""
+    words, langs = pa.array(graph.words, pa.binary()).cast(pa.string()), pa.array(graph.langs, pa.string())
+    for k, (codes, counts) in enumerate(graph.flows(), 1):
+        for low in range(0, len(codes), 1 << 16):
+            part = codes[low : low + (1 << 16)]
+            at = np.stack([(part >> (_BITS * (k - 1 - j))) & ((1 << _BITS) - 1) for j in range(k)], axis=1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * k), words.take(pa.array(at.ravel())))
+            size = pa.array(np.full(len(part), k, np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [langs.take(pa.array(at[:, 0])), size, lists, pa.array(counts[low : low + (1 << 16)])], ["lang", "size", "words", "f"]
+            )
 
 
 _COUNTS = "lang string, size int, words array<string>, f long"
@@ -185,8 +219,9 @@ def _sums(least: int):
         size = pa.array(np.full(len(counts), size, np.int32))
         return pa.RecordBatch.from_arrays([langs, size, words, pa.array(counts)], ["lang", "size", "words", "f"])
 
-    def shard_counts(blobs: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        col = {name: [b.column(i).flatten() for b in blobs] for i, name in enumerate(blobs[0].schema.names) if i}
+    def shard_counts(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        graphs = [unpacked(b) for b in blobs]
+        col = {name: [g[name] for g in graphs] for name in graphs[0]}
         keys = pa.chunked_array([pc.binary_join_element_wise(a, b, "\t") for a, b in zip(col["langs"], col["words"], strict=True)])
         coded = keys.combine_chunks().dictionary_encode()
         number = coded.indices.to_numpy().astype(np.int64)
@@ -197,7 +232,10 @@ def _sums(least: int):
         for k in _LENGTHS:
             grams = [x.to_numpy() for x in col[f"g{k}"]]
             counts = np.concatenate([x.to_numpy() for x in col[f"c{k}"]])
-            columns = [number[np.concatenate([g[j * (len(g) // k) : (j + 1) * (len(g) // k)] + b for g, b in zip(grams, begins, strict=False)])] for j in range(k)]
+            columns = []
+            for j in range(k):
+                cuts = [g[j * (len(g) // k) : (j + 1) * (len(g) // k)].astype(np.int64) + b for g, b in zip(grams, begins, strict=False)]
+                columns.append(number[np.concatenate(cuts)])
             code = columns[0]
             for column in columns[1:]:
                 code = np.unique(code, return_inverse=True)[1] << 32 | column
@@ -217,28 +255,36 @@ def _sums(least: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
         for batch in batches:
-            for row, shard in enumerate(batch.column(0).to_pylist()):
+            for shard, graph in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if held and shard != last:
                     yield from shard_counts(held)
                     held = []
                 last = shard
-                held.append(batch.slice(row, 1))
+                held.append(graph)
         if held:
             yield from shard_counts(held)
 
     return work
 
 
-def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, shard_chars: int = SHARD_CHARS) -> DataFrame:
+def phrase_counts(
+    docs: DataFrame, min_count: int = MIN_COUNT, shard_chars: int = SHARD_CHARS, most_shards: int = MOST_SHARDS
+) -> DataFrame:
     """``lang, size, words, f`` for all phrases of one to three words with ``f >= min_count`` in ``docs`` (``text, lang``), and per
     language rows of size 0 (words null) whose ``f`` add up to the number of all its words. Written to the shared folder.
 
-    A null language is ``und``. A null or empty text has no words.
+    A null language is ``und``. A null or empty text has no words. The counts are the same for every ``shard_chars`` and ``most_shards``.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # As many shards as the texts ask for, so that a task's share stays the same at any size.
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     number = -(-chars // shard_chars) or 1
+    if number > most_shards:
+        # A graph would be cut into crumbs: its phrases go their own ways.
+        every = texts.mapInArrow(_graphs(_phrases), _COUNTS).groupBy("lang", "size", "words").agg(F.sum("f").alias("f"))
+        words = every.where("size = 1").groupBy("lang").agg(F.sum("f").alias("f"))
+        total = words.select("lang", F.lit(0).alias("size"), F.lit(None).cast("array<string>").alias("words"), "f")
+        return written(every.where(F.col("f") >= min_count).unionByName(total), "phrases")
     shards = texts.mapInArrow(_shards(number), _SHARDS).repartitionById(number, "shard").sortWithinPartitions("shard")
     return written(shards.mapInArrow(_sums(min_count), _COUNTS), "phrases")
 

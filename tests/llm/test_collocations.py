@@ -64,10 +64,14 @@ def test_equals_brute_force(spark, seed, least, top, cover):
     assert sorted(map(tuple, collocations.collocations(docs, least, top, cover).collect())) == brute(rows, least, top, cover)
 
 
-def test_counts_over_many_shards(spark):
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_counts_over_many_shards(spark, most):
+    """As shards of graphs and as single rows."""
     rows = corpus(9)
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
-    got = collocations.phrase_counts(docs, 1, shard_chars=500).collect()
+    got = collocations.phrase_counts(docs, 1, shard_chars=500, most_shards=most).collect()
+    totals = {r.lang: r.f for r in docs.sparkSession.createDataFrame([(r.lang, r.f) for r in got if not r["size"]], "lang string, f long").groupBy("lang").sum("f").toDF("lang", "f").collect()}
+    assert totals == {x: sum(r.f for r in got if r.lang == x and r["size"] == 1) for x in totals}
     phrases = [r for r in got if r["size"]]
     assert len(phrases) == len({(r.lang, *r.words) for r in phrases})
     assert {(r.lang, tuple(r.words)): r.f for r in phrases} == brute_counts(rows)
