@@ -39,7 +39,7 @@ SHARD_CHARS = 16_000_000
 #: Beyond so many shards phrases are shuffled as single rows.
 MOST_SHARDS = 2000
 _BITS = 21  # of a word's number in a task's graph
-_BLOCK = 2_000_000  # words of a graph, fewer than there are numbers
+_BLOCK = 1_200_000  # words of a graph, fewer than there are numbers
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -58,6 +58,13 @@ def summed(codes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return codes[heads], np.add.reduceat(weights[order], heads)
 
 
+def counted_codes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes in order, each with its number; ``codes`` is sorted in place."""
+    codes.sort()
+    heads = np.flatnonzero(np.concatenate((np.ones(min(1, len(codes)), bool), codes[1:] != codes[:-1])))
+    return codes[heads], np.diff(heads, append=len(codes))
+
+
 class Graph:
     """The graph of some texts."""
 
@@ -90,7 +97,7 @@ class Graph:
             seen = slice(low, min(high + 2, len(starts)))
             kinds, first, inverse = np.unique(hashes[seen], return_index=True, return_inverse=True)
             raw = data.tobytes() if low == 0 else raw
-            codes = np.empty(len(kinds), np.int64)
+            codes = np.empty(len(kinds), np.int32)
             for k, (h, at) in enumerate(zip(kinds.tolist(), (first + low).tolist(), strict=True)):
                 number = self.numbers.get(h)
                 if number is None:
@@ -111,11 +118,16 @@ class Graph:
         n = len(code)
         one, two = counted & joined[:n], counted & joined[:n] & joined[1 : n + 1]
         at = np.flatnonzero(two)
-        edges = summed((code[at] << 2 * _BITS) | (code[at + 1] << _BITS) | code[at + 2], np.ones(len(at), np.int64))
+        whole = code[at].astype(np.int64)
+        for step in (1, 2):
+            whole <<= _BITS
+            whole |= code[at + step]
+        edges = counted_codes(whole)
+        del whole
         at = np.flatnonzero(one & ~two)  # pieces that end behind these two words
-        ends = (code[at] << _BITS) | code[at + 1]
+        ends = (code[at].astype(np.int64) << _BITS) | code[at + 1]
         nodes = summed(np.concatenate((edges[0] >> _BITS, ends)), np.concatenate((edges[1], np.ones(len(at), np.int64))))
-        ends = code[counted & ~one]
+        ends = code[counted & ~one].astype(np.int64)
         words = summed(np.concatenate((nodes[0] >> _BITS, ends)), np.concatenate((nodes[1], np.ones(len(ends), np.int64))))
         return [words, nodes, edges]
 
