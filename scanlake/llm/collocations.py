@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from scanlake.llm.arrow import slices, text_bytes
 from scanlake.llm.hashing import BASE, byte_values, mix, span_hashes, spans_of
-from scanlake.llm.shared import written
+from scanlake.llm.shared import small_batches, written
 
 MIN_COUNT = 10
 TOP = 2000
@@ -144,7 +144,7 @@ class Graph:
             del total, codes
             order = np.argsort(shard, kind="stable")
             borders = np.searchsorted(shard[order], np.arange(number + 1))
-            parts.append(([c[order] for c in columns], counts[order], borders))
+            parts.append(([c[order] for c in columns], counts[order].astype(np.uint32), borders))
         names = np.array([*self.words, None], object)[:-1]
         langs = np.array([*self.langs, None], object)[:-1]
         for s in range(number):
@@ -224,45 +224,61 @@ def _phrases(graph: Graph) -> Iterator[pa.RecordBatch]:
 _COUNTS = "lang string, size int, words array<string>, f long"
 
 
-def _sums(least: int):
-    """Counts of a shard's phrases, those of ``least`` or more; rows of size 0 hold all words of a language, as far as the shard has them."""
+def _sums(least: int, wide: int = 63):
+    """Counts of a shard's phrases, those of ``least`` or more; rows of size 0 hold all words of a language, as far as the shard has them.
+
+    A phrase is one number of at most ``wide`` bits; where its words need more, all but the last are numbered anew.
+    """
 
     def rows(langs, size, words, counts) -> pa.RecordBatch:
         size = pa.array(np.full(len(counts), size, np.int32))
         return pa.RecordBatch.from_arrays([langs, size, words, pa.array(counts)], ["lang", "size", "words", "f"])
 
     def shard_counts(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        graphs = [unpacked(b) for b in blobs]
-        col = {name: [g[name] for g in graphs] for name in graphs[0]}
-        keys = pa.chunked_array([pc.binary_join_element_wise(a, b, "\t") for a, b in zip(col["langs"], col["words"], strict=True)])
-        coded = keys.combine_chunks().dictionary_encode()
-        number = coded.indices.to_numpy().astype(np.int64)
+        keys, parts = [], []
+        while blobs:
+            graph = unpacked(blobs.pop())
+            keys.append(pc.binary_join_element_wise(graph["langs"], graph["words"], "\t"))
+            parts.append([(graph[f"g{k}"].to_numpy(), graph[f"c{k}"].to_numpy()) for k in _LENGTHS])
+        begins = np.concatenate(([0], np.cumsum([len(x) for x in keys])))
+        coded = pa.chunked_array(keys).combine_chunks().dictionary_encode()
+        del keys
+        number = coded.indices.to_numpy()
         # A word has no tab, so the last one ends the language.
-        parts = pc.split_pattern(coded.dictionary, "\t", max_splits=1, reverse=True).flatten()
-        langs, words = parts.take(pa.array(np.arange(0, len(parts), 2))), parts.take(pa.array(np.arange(1, len(parts), 2)))
-        begins = np.concatenate(([0], np.cumsum([len(x) for x in col["words"]])))
+        pairs = pc.split_pattern(coded.dictionary, "\t", max_splits=1, reverse=True).flatten()
+        langs, words = pairs.take(pa.array(np.arange(0, len(pairs), 2))), pairs.take(pa.array(np.arange(1, len(pairs), 2)))
+        bits = max(1, int(len(langs) - 1).bit_length())
         for k in _LENGTHS:
-            grams = [x.to_numpy() for x in col[f"g{k}"]]
-            counts = np.concatenate([x.to_numpy() for x in col[f"c{k}"]])
-            columns = []
+            grams = [p[k - 1][0] for p in parts]
+            counts = np.concatenate([p[k - 1][1] for p in parts]).astype(np.int64)
+            kinds, code = [], None  # codes of all words but the last, in order, where a number can't hold them
             for j in range(k):
-                cuts = [g[j * (len(g) // k) : (j + 1) * (len(g) // k)].astype(np.int64) + b for g, b in zip(grams, begins, strict=False)]
-                columns.append(number[np.concatenate(cuts)])
-            code = columns[0]
-            for column in columns[1:]:
-                code = np.unique(code, return_inverse=True)[1] << 32 | column
-            _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-            totals = np.zeros(len(first), np.int64)
-            np.add.at(totals, inverse, counts)
-            if k == 1 and len(first):
-                by_lang = pa.table({"l": langs.take(pa.array(columns[0][first])), "f": totals}).group_by("l").aggregate([("f", "sum")])
+                cuts = [number[g[j * (len(g) // k) : (j + 1) * (len(g) // k)] + b] for g, b in zip(grams, begins, strict=False)]
+                column = np.concatenate(cuts).astype(np.int64)
+                if code is None:
+                    code = column
+                    continue
+                if k * bits > wide:
+                    before, code = np.unique(code, return_inverse=True)
+                    kinds.append(before)
+                code = code << bits | column
+            code, totals = summed(code, counts)
+            del counts
+            if k == 1 and len(code):
+                by_lang = pa.table({"l": langs.take(pa.array(code)), "f": totals}).group_by("l").aggregate([("f", "sum")])
                 none = pa.array([None] * len(by_lang), pa.list_(pa.string()))
                 yield rows(by_lang["l"].combine_chunks(), 0, none, by_lang["f_sum"].to_numpy())
-            often = np.flatnonzero(totals >= least)
-            at = first[often]
-            phrase = words.take(pa.array(np.stack([c[at] for c in columns], axis=1).ravel()))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), phrase)
-            yield rows(langs.take(pa.array(columns[0][at])), k, lists, totals[often])
+            often = totals >= least
+            code, totals = code[often], totals[often]
+            columns = []
+            for _ in range(k - 1):
+                columns.append(code & ((1 << bits) - 1))
+                code = code >> bits
+                code = kinds.pop()[code] if kinds else code
+            columns.append(code)
+            at = np.stack(columns[::-1], axis=1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), words.take(pa.array(at.ravel())))
+            yield rows(langs.take(pa.array(at[:, 0])), k, lists, totals)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
@@ -298,7 +314,8 @@ def phrase_counts(
         total = words.select("lang", F.lit(0).alias("size"), F.lit(None).cast("array<string>").alias("words"), "f")
         return written(every.where(F.col("f") >= min_count).unionByName(total), "phrases")
     shards = texts.mapInArrow(_shards(number), _SHARDS).repartitionById(number, "shard").sortWithinPartitions("shard")
-    return written(shards.mapInArrow(_sums(min_count), _COUNTS), "phrases")
+    with small_batches(docs.sparkSession, 256):  # of texts, and of graphs of many kilobytes
+        return written(shards.mapInArrow(_sums(min_count), _COUNTS), "phrases")
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, cover: int = COVER) -> DataFrame:

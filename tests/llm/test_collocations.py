@@ -99,6 +99,20 @@ def test_flows_of_graphs_cut_anywhere(monkeypatch):
         assert got == want
 
 
+def test_sums_of_phrases_wider_than_a_number():
+    rows = corpus(3)
+    graph = collocations.Graph()
+    blobs = []
+    for part in (rows[:50], rows[50:]):
+        list(graph.add(pa.array([t for t, _ in part]), ["und" if x is None else x for _, x in part]))
+        blobs += [collocations.packed(list(w), list(x), g, c) for _, w, x, g, c in graph.shards(1)]
+        graph.__init__()
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0], pa.int32()), pa.array(blobs, pa.binary())], ["shard", "graph"])
+    for wide in (63, 12, 7):
+        out = [r for b in collocations._sums(2, wide)(iter([batch])) for r in b.to_pylist()]
+        assert {(r["lang"], tuple(r["words"])): r["f"] for r in out if r["size"]} == {p: c for p, c in brute_counts(rows).items() if c > 1}
+
+
 def test_scores_past_64_bits(spark, monkeypatch):
     big = 4_000_000_000_000
     counts = [("x", 0, None, 9 * big), ("x", 1, ["a"], 2 * big), ("x", 1, ["b"], 3 * big + 1), ("x", 2, ["a", "b"], big)]
