@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from scanlake import schemas
 from scanlake.functions.labels import rfc3339
 from scanlake.operators import documents as docs
+from scanlake.operators import flushes
 from scanlake.plans.query import Registry
 from scanlake.sources.records import (
     decode_records,
@@ -195,3 +196,39 @@ def bulk(spark: SparkSession, sf: str) -> DataFrame:
 def batches(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_type", "event_id", "ts")
     return docs.assign_batches(events, ["ts", "event_id"], ["event_type"], "day").drop("ts")
+
+
+def flushes_sql(key: str, deadline: str) -> str:
+    """From flush to flush: the next one begins after 50 documents or with the first document at or after the deadline."""
+    return f"""
+    WITH RECURSIVE docs AS (
+        SELECT {key} AS buffer, event_id, ts, row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) AS rn FROM events
+    ), nexts AS (
+        SELECT d.buffer, d.rn, least(d.rn + 50, d.rn + count(*) FILTER (x.ts < {deadline})) AS following
+        FROM docs d JOIN docs x ON x.buffer = d.buffer AND x.rn BETWEEN d.rn AND d.rn + 50 GROUP BY d.buffer, d.rn, d.ts
+    ), chain AS (
+        SELECT buffer, CAST(1 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS flush FROM docs WHERE rn = 1
+        UNION ALL
+        SELECT c.buffer, n.following, c.flush + 1 FROM chain c JOIN nexts n ON n.buffer = c.buffer AND n.rn = c.rn
+        WHERE n.following <= (SELECT max(rn) FROM docs d WHERE d.buffer = c.buffer)
+    )
+    SELECT d.event_id, c.flush, CAST(d.rn - c.rn + 1 AS INTEGER) AS position FROM docs d ASOF JOIN chain c ON d.buffer = c.buffer AND d.rn >= c.rn
+    """
+
+
+@RECORDS.add("bulk_flushes", flushes_sql("1", "d.ts + INTERVAL 3 HOUR"))
+def flushed_by_age(spark: SparkSession, sf: str) -> DataFrame:
+    """One buffer for events of every type."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    found = flushes.bulk_flushes(events, ["ts", "event_id"], "day", seconds=3 * 3600, clock="age")
+    return found.select("event_id", "flush", "position")
+
+
+@RECORDS.add("bulk_flushes_by_tick", flushes_sql("event_type", "time_bucket(INTERVAL 5 HOUR, d.ts, TIMESTAMP '2024-01-01 01:00:00') + INTERVAL 5 HOUR"))
+def flushed_by_tick(spark: SparkSession, sf: str) -> DataFrame:
+    """A buffer for each event type, and a clock that ticks every five hours."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    found = flushes.bulk_flushes(
+        events, ["ts", "event_id"], "day", ["event_type"], seconds=5 * 3600, clock="tick", origin="2024-01-01T01:00:00"
+    )
+    return found.select("event_id", "flush", "position")
