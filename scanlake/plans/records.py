@@ -201,11 +201,11 @@ def batches(spark: SparkSession, sf: str) -> DataFrame:
 def flushes_sql(key: str, deadline: str) -> str:
     """From flush to flush: the next one begins after 50 documents or with the first document at or after the deadline."""
     return f"""
-    WITH RECURSIVE docs AS (
+    WITH RECURSIVE docs AS MATERIALIZED (
         SELECT {key} AS buffer, event_id, ts, row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) AS rn FROM events
-    ), nexts AS (
+    ), nexts AS MATERIALIZED (
         SELECT d.buffer, d.rn, least(d.rn + 50, d.rn + count(*) FILTER (x.ts < {deadline})) AS following
-        FROM docs d JOIN docs x ON x.buffer = d.buffer AND x.rn BETWEEN d.rn AND d.rn + 50 GROUP BY d.buffer, d.rn, d.ts
+        FROM docs d CROSS JOIN range(51) r(k) JOIN docs x ON x.buffer = d.buffer AND x.rn = d.rn + k GROUP BY d.buffer, d.rn, d.ts
     ), chain AS (
         SELECT buffer, CAST(1 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS flush FROM docs WHERE rn = 1
         UNION ALL
