@@ -34,7 +34,7 @@ def day_key() -> Column:
 
 ORDER = ["completed_at", "event_id"]
 
-def replay_sql(arrival: str = "ts, event_id", timeout: str | None = None) -> str:
+def replay_sql(arrival: str = "ts, event_id", timeout: str | None = None, where: str = "true") -> str:
     """The state of each path after each message, one message at a time.
 
     A gap over the timeout empties the state as a completion does.
@@ -46,7 +46,7 @@ def replay_sql(arrival: str = "ts, event_id", timeout: str | None = None) -> str
     WITH RECURSIVE m AS (
         SELECT CAST(user_id AS VARCHAR) AS clone_path, 'e' || event_id AS org, 'u' || user_id AS name, event_type AS kind,
                ts, 's' || event_id AS status, row_number() OVER (PARTITION BY user_id ORDER BY {arrival}) AS n
-        FROM events WHERE event_type IN ('click', 'purchase')),
+        FROM events WHERE event_type IN ('click', 'purchase') AND {where}),
     replay AS (
         SELECT clone_path, n, org, name, ts AS started, ts,
                CASE WHEN kind = 'click' THEN status END AS a, CASE WHEN kind = 'purchase' THEN status END AS b
@@ -64,10 +64,10 @@ def replay_sql(arrival: str = "ts, event_id", timeout: str | None = None) -> str
 REPLAY_SQL = replay_sql()
 
 
-def expiry_sql(timeout: str, idle_at_end: str = "false") -> str:
+def expiry_sql(timeout: str, idle_at_end: str = "false", arrival: str = "ts, event_id", where: str = "true") -> str:
     """Completed jobs, and jobs that the next message, or the end, finds idle for too long."""
     return (
-        replay_sql(timeout=timeout)
+        replay_sql(arrival, timeout, where)
         + f"""
     SELECT clone_path, org, name, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
            strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS requested_at, 0 AS worker_id,
@@ -115,8 +115,7 @@ def barrier_with_expiry(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@COORDINATION.add(
-    "active_jobs",
+ACTIVE_SQL = (
     REPLAY_SQL
     + """
     SELECT clone_path, org, name, strftime(started, '%Y-%m-%d %H:%M:%S.%f') AS started_at,
@@ -125,10 +124,11 @@ def barrier_with_expiry(spark: SparkSession, sf: str) -> DataFrame:
            coalesce(a, '') AS secrets_status, coalesce(b, '') AS vulnerabilities_status
     FROM (SELECT *, row_number() OVER (PARTITION BY clone_path ORDER BY n DESC) AS back FROM replay)
     WHERE back = 1 AND (a IS NULL OR b IS NULL) AND TIMESTAMP '2024-01-31' - ts <= INTERVAL 1 DAY
-    """,
+    """
 )
-def active(spark: SparkSession, sf: str) -> DataFrame:
-    state = ops.open_jobs(messages(spark, sf), order=ORDER, required=REQUIRED, slice_by="day")
+
+
+def active_rows(state: DataFrame) -> DataFrame:
     now = F.lit("2024-01-31 00:00:00").cast("timestamp")
     return ops.active_jobs(state, now, timeout_minutes=24 * 60).select(
         "clone_path", "org", "name", stamp("started_at"), stamp("last_updated"), "secrets_complete",
@@ -136,6 +136,12 @@ def active(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@COORDINATION.add("active_jobs", ACTIVE_SQL)
+def active(spark: SparkSession, sf: str) -> DataFrame:
+    state = ops.open_jobs(messages(spark, sf), order=ORDER, required=REQUIRED, slice_by="day")
+    return active_rows(state)
+
+
 PROGRESS_SQL = """
     SELECT user_id || '/' || strftime(ts, '%Y-%m-%d') AS clone_path, min(ts) AS started, max(ts) AS updated,
            bool_or(event_type = 'click') AS a, bool_or(event_type = 'purchase') AS b,

@@ -4,13 +4,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake import schemas
-from scanlake.plans.coordination import ORDER, REPLAY_SQL, REQUIRED, TIMEOUT, expiry_sql, replay_sql, stamp
+from scanlake.operators import coordination as ops
+from scanlake.plans.coordination import ACTIVE_SQL, ORDER, REPLAY_SQL, REQUIRED, TIMEOUT, active_rows, expiry_sql, replay_sql, stamp
 from scanlake.plans.query import Registry
 from scanlake.plans.records import UPSERT_SQL
 from scanlake.sources.records import decode_records
 from scanlake.sources.tables import table
 from scanlake.streaming import records as streams
 from scanlake.streaming.barrier import completion_barrier_stream
+from scanlake.streaming.jobs import job_barrier_stream, jobs_in_state, state_in_rocksdb
 
 STREAMS = Registry()
 
@@ -134,3 +136,78 @@ def barrier_with_expiry(spark: SparkSession, sf: str) -> DataFrame:
     msgs = messages(event_stream(spark, sf))
     done = completion_barrier_stream(msgs, REQUIRED, timeout_minutes=12 * 60, clock="event", order=ORDER)
     return cleanup_rows(spark, done)
+
+
+# Events in two files: a quarter of the first half of the month arrives with the second half, most of it behind the watermark.
+FIRST_SQL = "(ts < TIMESTAMP '2024-01-16' AND event_id % 4 <> 0)"
+LATE_SQL = f"""(NOT {FIRST_SQL} AND ts < (SELECT max(ts) FROM events WHERE event_type IN ('click', 'purchase') AND {FIRST_SQL}) - INTERVAL 5 MINUTE)"""
+
+
+def delayed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    folder = streams.fresh_folder(spark, "delayed-events")
+    events = table(spark, sf, "events")
+    first = F.expr("ts < timestamp'2024-01-16' AND event_id % 4 <> 0")
+    for part in (first, ~first):
+        events.filter(part).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def barrier_rows(spark: SparkSession, found: DataFrame, checkpoint: str | None = None) -> DataFrame:
+    """What the processor writes, run to the end of its source."""
+    path = streams.fresh_folder(spark, "job-rows")
+    with state_in_rocksdb(spark):
+        streams.drain(streams.fan_out(found, {path: lambda batch: batch}), checkpoint or streams.fresh_folder(spark, "jobs-checkpoint"))
+    return streams.read_epochs(spark, path).select(
+        "clone_path", "kind", "org", "name", stamp("started_at"), stamp("requested_at"), "secrets_status", "vulnerabilities_status"
+    )
+
+
+_KINDS = """
+    SELECT clone_path, {kind} AS kind, org, name, started_at, requested_at, secrets_status, vulnerabilities_status FROM ({rows})
+"""
+
+
+@STREAMS.add(
+    "barrier_late",
+    _KINDS.format(
+        kind="CASE WHEN expired THEN 'expired' ELSE 'done' END",
+        rows=expiry_sql(
+            TIMEOUT,
+            f"(SELECT max(ts) FROM events WHERE event_type IN ('click', 'purchase')) - INTERVAL 5 MINUTE > ts + INTERVAL {TIMEOUT}",
+            f"NOT {FIRST_SQL}, ts, event_id",
+            f"NOT {LATE_SQL}",
+        ),
+    )
+    + f"""
+    UNION ALL
+    SELECT CAST(user_id AS VARCHAR), 'late', 'e' || event_id, 'u' || user_id, NULL, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'),
+           CASE WHEN event_type = 'click' THEN 's' || event_id END, CASE WHEN event_type = 'purchase' THEN 's' || event_id END
+    FROM events WHERE event_type IN ('click', 'purchase') AND {LATE_SQL}
+    """,
+)
+def barrier_with_late_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message counts or is given back as late; timers expire idle jobs."""
+    msgs = messages(delayed_stream(spark, sf))
+    return barrier_rows(spark, job_barrier_stream(msgs, REQUIRED, timeout_minutes=12 * 60, order=["event_id"]))
+
+
+@STREAMS.add(
+    "barrier_resumed",
+    REPLAY_SQL + _KINDS.format(kind="'done'", rows=_CLEANUP_SQL + " AND ts >= TIMESTAMP '2024-01-16'"),
+)
+def barrier_from_saved_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """The jobs that a batch replay of the first half leaves open, carried on by a stream of the second half."""
+    middle = F.lit("2024-01-16").cast("timestamp")
+    before = messages(table(spark, sf, "events").filter(F.col("ts") < middle))
+    jobs = ops.open_jobs(before, order=ORDER, required=REQUIRED, slice_by="day")
+    msgs = messages(event_stream(spark, sf).filter(F.col("ts") >= middle))
+    return barrier_rows(spark, job_barrier_stream(msgs, REQUIRED, timeout_minutes=None, order=["event_id"], open_jobs=jobs))
+
+
+@STREAMS.add("active_jobs_from_state", ACTIVE_SQL)
+def active_from_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The active jobs of a stream, read from its state."""
+    checkpoint = streams.fresh_folder(spark, "jobs-checkpoint")
+    msgs = messages(event_stream(spark, sf))
+    barrier_rows(spark, job_barrier_stream(msgs, REQUIRED, timeout_minutes=None, order=["event_id"]), checkpoint)
+    return active_rows(jobs_in_state(spark, checkpoint))
