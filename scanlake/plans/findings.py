@@ -8,6 +8,7 @@ from scanlake.functions import labels, nested, paths
 from scanlake.functions.secrets import DEFAULT_RULES, find_secrets
 from scanlake.operators import documents as docs
 from scanlake.operators import findings as ops
+from scanlake.operators.version_ranges import match_versions_by_place
 from scanlake.plans.query import Registry
 from scanlake.sources.records import decode_records, encode_records
 from scanlake.sources.tables import table
@@ -709,3 +710,36 @@ def matches(spark: SparkSession, sf: str) -> DataFrame:
     )
     found = ops.match_vulnerabilities(dependencies(spark, sf), advisories)
     return found.select("l_orderkey", "ecosystem", "package", "version", "advisory")
+
+
+# Every third order and the ranges of all parts belong to one package; each 200th range has no end, others hold six numbers.
+@FINDINGS.add(
+    "match_hot_package",
+    """
+    WITH deps AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE 'c' || o_custkey END AS package FROM orders
+    ), adv AS (
+        SELECT 'hot' AS package, 'A' || p_partkey AS advisory, p_partkey * 29 % 600000 AS low, p_partkey % 200 = 0 AS no_end FROM part
+        UNION ALL SELECT 'c' || p_partkey, 'C' || p_partkey, p_partkey * 29 % 600000, false FROM part
+    )
+    SELECT o_orderkey, d.package, 'v1.' || o_orderkey AS version, advisory
+    FROM deps d JOIN adv a ON d.package = a.package AND o_orderkey >= low AND (no_end OR o_orderkey < low + 6)
+    """,
+)
+def hot_matches(spark: SparkSession, sf: str) -> DataFrame:
+    order, part = F.col("o_orderkey"), F.col("p_partkey")
+    deps = table(spark, sf, "orders").select(
+        order, F.lit("eco").alias("ecosystem"),
+        F.when(order % 3 == 0, "hot").otherwise(text_of("c", F.col("o_custkey"))).alias("package"), text_of("v1.", order).alias("version"),
+    )
+    low = part * 29 % 600000
+    advisories = table(spark, sf, "part").select(
+        F.lit("eco").alias("ecosystem"), text_of("1.", low).alias("introduced"),
+        F.when(part % 200 == 0, "").otherwise(text_of("1.", low + 6)).alias("fixed"),
+        F.explode(F.array(F.struct(F.lit("hot").alias("package"), text_of("A", part).alias("advisory")),
+                          F.struct(text_of("c", part).alias("package"), text_of("C", part).alias("advisory")))).alias("a"),
+    )
+    ends = F.when(F.col("a.package") == "hot", F.col("fixed")).otherwise(F.concat(F.lit("1."), F.substring("introduced", 3, 20).cast("long") + 6))
+    advisories = advisories.select("ecosystem", "a.*", "introduced", ends.alias("fixed"))
+    found = match_versions_by_place(deps, advisories)
+    return found.select("o_orderkey", "package", "version", "advisory")
