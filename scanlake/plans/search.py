@@ -4,10 +4,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.operators import search as ops
+from scanlake.operators import text_index
 from scanlake.plans.findings import reports
 from scanlake.plans.query import Registry
 from scanlake.operators.findings import vulnerability_array
 from scanlake.sources.tables import table
+from scanlake.streaming.records import fresh_folder
 
 SEARCH = Registry()
 
@@ -69,3 +71,24 @@ def per_day(spark: SparkSession, sf: str) -> DataFrame:
 def latest(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     return ops.latest_scan(events, ["user_id"], ["ts", "event_id"], ["event_id", "event_type"])
+
+
+@SEARCH.add(
+    "text_index_match",
+    """
+    WITH w AS (SELECT doc_id, regexp_split_to_array(lower("text"), '[^\\p{L}\\p{N}_]+') AS words FROM documents)
+    SELECT doc_id, list_contains(words, 'token') OR list_contains(words, 'être') OR list_contains(words, 'thand') AS any_word,
+           list_contains(words, 'the') AND list_contains(words, 'of') AS all_words,
+           contains(' ' || array_to_string(words, ' ') || ' ', ' of the ') AS phrase
+    FROM w
+    """,
+)
+def indexed_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The index is written, then asked three times."""
+    documents, path = table(spark, sf, "documents"), fresh_folder(spark, "text-index")
+    text_index.write_text_index(documents, path)
+    found = documents.select("doc_id")
+    for name, query, operator in (("any_word", "Token ÊTRE thand", "or"), ("all_words", "the of", "and"), ("phrase", "of the", "phrase")):
+        ids = text_index.match_index(spark, path, query, operator).select(F.col("id").alias("doc_id"), F.lit(True).alias(name))
+        found = found.join(ids, "doc_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return found
