@@ -1,5 +1,6 @@
 """Queries that run a stream over a table to its end and return what it wrote."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from scanlake.sources.records import decode_records
 from scanlake.sources.tables import table
 from scanlake.streaming import records as streams
 from scanlake.streaming.barrier import completion_barrier_stream
+from scanlake.streaming import merged
 from scanlake.streaming.jobs import job_barrier_stream, jobs_in_state, state_in_rocksdb
 
 STREAMS = Registry()
@@ -83,6 +85,65 @@ def upserted(spark: SparkSession, sf: str) -> DataFrame:
     return latest.select("user_id", "event_id", "event_type", at)
 
 
+@STREAMS.add("upsert_merged", UPSERT_SQL)
+def upserted_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table with its buckets merged at each flush: a read opens one version of each."""
+    path = streams.fresh_folder(spark, "merged-documents")
+    rows = falling_stream(spark, sf).select("user_id", "event_id", "event_type", "ts")
+    streams.drain(merged.merged_sink(rows, path, ["user_id"], ["ts", "event_id"]), streams.fresh_folder(spark, "merged-checkpoint"))
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
+    return merged.read_merged(spark, path, rows.schema).select("user_id", "event_id", "event_type", at)
+
+
+@STREAMS.add(
+    "delivery_after_failure",
+    """SELECT 'secrets' AS sink, event_id, event_type FROM events
+       UNION ALL SELECT 'vulnerabilities', event_id, event_type FROM events""",
+)
+def delivered(spark: SparkSession, sf: str) -> DataFrame:
+    """The run stops in its third batch, between its two tables, and starts again from its checkpoint."""
+    base, checkpoint = streams.fresh_folder(spark, "delivery"), streams.fresh_folder(spark, "delivery-checkpoint")
+    rows = falling_stream(spark, sf).select("event_id", "event_type")
+    batches = []
+
+    def failing(batch: DataFrame) -> DataFrame:
+        batches.append(1)
+        if len(batches) == 3:
+            raise RuntimeError("stopped between two tables")
+        return batch
+
+    names = ["secrets", "vulnerabilities"]
+    stopped = False
+    try:
+        streams.drain(streams.fan_out(rows, {f"{base}/secrets": lambda b: b, f"{base}/vulnerabilities": failing}), checkpoint)
+    except StreamingQueryException:
+        stopped = True
+    if not stopped:
+        raise AssertionError("the first run was to stop")
+    streams.drain(streams.fan_out(rows, {f"{base}/{name}": lambda b: b for name in names}), checkpoint)
+    first, second = [
+        streams.read_epochs(spark, f"{base}/{name}").select(F.lit(name).alias("sink"), "event_id", "event_type") for name in names
+    ]
+    return first.unionByName(second)
+
+
+@STREAMS.add("dedup_stream", "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
+def deduplicated(spark: SparkSession, sf: str) -> DataFrame:
+    """One message per user, type and day; six files, each of five days, and state of the last days only."""
+    folder = streams.fresh_folder(spark, "dedup-events")
+    events = table(spark, sf, "events")
+    number = F.least(F.floor(F.datediff("ts", F.lit("2024-01-01")) / 5), F.lit(5))
+    for n in range(6):
+        part = events.filter(number <= 0 if n == 0 else number == n)
+        part.repartition(2).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    msgs = stream.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    first = streams.dedup_stream(msgs, ["user_id", "event_type", "day"], "ts", within_minutes=6 * 24 * 60).drop("ts")
+    path = streams.fresh_folder(spark, "dedup-table")
+    streams.drain(streams.fan_out(first, {path: lambda b: b}), streams.fresh_folder(spark, "dedup-checkpoint"))
+    return streams.read_epochs(spark, path).drop(streams.EPOCH)
+
+
 def messages(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").alias("clone_path"),

@@ -89,6 +89,17 @@ def fan_out(
     return stream.writeStream.foreachBatch(write)
 
 
+def dedup_stream(
+    msgs: DataFrame, keys: Sequence[str] = ("clone_path", "scanner_type"), time: str = "completed_at", within_minutes: int = 60
+) -> DataFrame:
+    """The first message to arrive of each key; a later one within ``within_minutes`` of event time is dropped.
+
+    The stream form of ``dedup_messages``, for keys that come again only inside that span. State is one row for each key, dropped once the watermark
+    has passed its time by the span; messages behind the watermark are dropped too.
+    """
+    return msgs.withWatermark(time, f"{within_minutes} minutes").dropDuplicatesWithinWatermark(list(keys))
+
+
 def document_sink(
     stream: DataFrame, path: str, keys: Sequence[str], seq: Sequence[str]
 ) -> DataStreamWriter:
