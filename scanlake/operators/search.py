@@ -48,6 +48,18 @@ def per_day(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(day, *keys).agg(F.count(F.lit(1)).alias("count"))
 
 
+def per_day_stream(df: DataFrame, ts: str, keys: Sequence[str] = (), late_hours: float = 24) -> DataFrame:
+    """``per_day`` of a stream: a day counts until the watermark, ``late_hours`` behind the latest time, has passed its end.
+
+    In append mode a day is written once, when it is closed; in update mode each trigger writes the days it changed, with their counts so
+    far. Documents that come in a later trigger than the one that closed their day are not
+    counted, nor are those without a time. State is one row for each open day and key.
+    """
+    day = F.window(ts, "1 day")
+    counts = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{int(late_hours * 3600)} seconds").groupBy(day, *keys).agg(F.count(F.lit(1)).alias("count"))
+    return counts.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), *keys, "count")
+
+
 def latest_scan(df: DataFrame, keys: Sequence[str], seq: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """The fields of each repository's latest scan."""
     last = F.max_by(F.struct(*fields), F.struct(*seq)).alias("_last")

@@ -16,7 +16,9 @@ from scanlake.sources.records import (
     reject_records,
     repo_inventory,
 )
+from scanlake.sources import bulk as bulk_files
 from scanlake.sources.tables import table
+from scanlake.streaming.records import fresh_folder
 
 RECORDS = Registry()
 
@@ -198,6 +200,28 @@ def batches(spark: SparkSession, sf: str) -> DataFrame:
     return docs.assign_batches(events, ["ts", "event_id"], ["event_type"], "day").drop("ts")
 
 
+
+@RECORDS.add(
+    "bulk_sink",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS id, '{"index":{"_id":"' || event_id || '","_index":"' || event_type || '"}}' AS action,
+           '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS body
+    FROM events
+    """,
+)
+def sunk(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as payload files and read back: each action line with the body line behind it."""
+    path = fresh_folder(spark, "bulk-files")
+    events = table(spark, sf, "events")
+    rows = events.select(F.col("event_type").alias("index"), F.col("event_id").cast("string").alias("id"), "event_id", "user_id")
+    bulk_files.write_bulk_files(docs.bulk_pairs(rows), path)
+    lines = bulk_files.read_bulk_files(spark, path)
+    pairs = lines.groupBy("file", F.floor(F.col("pos") / 2).alias("n")).agg(
+        F.max(F.when(F.col("pos") % 2 == 0, F.col("line"))).alias("action"), F.max(F.when(F.col("pos") % 2 == 1, F.col("line"))).alias("body")
+    )
+    return pairs.select(F.get_json_object("action", "$.index._id").alias("id"), "action", "body")
+
+
 def flushes_sql(key: str, deadline: str) -> str:
     """From flush to flush: the next one begins after 50 documents or with the first document at or after the deadline."""
     return f"""

@@ -1,11 +1,15 @@
 """Queries that run a stream over a table to its end and return what it wrote."""
 
+import time
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake import schemas
 from scanlake.operators import coordination as ops
+from scanlake.operators.documents import latest_documents
+from scanlake.operators.search import per_day_stream
 from scanlake.plans.coordination import ACTIVE_SQL, ORDER, REPLAY_SQL, REQUIRED, TIMEOUT, active_rows, expiry_sql, replay_sql, stamp
 from scanlake.plans.query import Registry
 from scanlake.plans.records import UPSERT_SQL
@@ -272,3 +276,64 @@ def active_from_state(spark: SparkSession, sf: str) -> DataFrame:
     msgs = messages(event_stream(spark, sf))
     barrier_rows(spark, job_barrier_stream(msgs, REQUIRED, timeout_minutes=None, order=["event_id"]), checkpoint)
     return active_rows(jobs_in_state(spark, checkpoint))
+
+
+# Three files: the first half of the month, the second half, and a quarter of all events that comes after both. Spark tells late events by the
+# watermark of the trigger before, so those whose day the first file's watermark closes are not counted in the third trigger.
+_COUNTED_SQL = f"""
+    SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS count FROM events
+    WHERE event_id % 4 <> 0 OR date_trunc('day', ts) + INTERVAL 1 DAY > (SELECT max(ts) FROM events WHERE {FIRST_SQL}) - INTERVAL 3 DAY
+    GROUP BY 1, 2
+"""
+
+
+def day_counts(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    folder = streams.fresh_folder(spark, "day-events")
+    events = table(spark, sf, "events")
+    late, first = F.col("event_id") % 4 == 0, F.expr("ts < timestamp'2024-01-16'")
+    for part in (~late & first, ~late & ~first, late):
+        events.filter(part).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    counts = per_day_stream(stream, "ts", ["event_type"], late_hours=72)
+    path = streams.fresh_folder(spark, "day-counts")
+    writer = streams.fan_out(counts, {path: lambda b: b}).outputMode(mode)
+    streams.drain(writer, streams.fresh_folder(spark, "day-checkpoint"))
+    return streams.read_epochs(spark, path)
+
+
+@STREAMS.add(
+    "scans_per_day_stream",
+    f"SELECT * FROM ({_COUNTED_SQL}) WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY",
+)
+def closed_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days as they are closed: each is written once."""
+    return day_counts(spark, sf, "append").drop(streams.EPOCH)
+
+
+@STREAMS.add("scans_per_day_live", _COUNTED_SQL)
+def days_so_far(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest count of every day, from the rows of all triggers."""
+    return latest_documents(day_counts(spark, sf, "update"), ["day", "event_type"], [streams.EPOCH]).drop(streams.EPOCH)
+
+
+@STREAMS.add(
+    "queue_length_log",
+    f"""SELECT CAST(3 - least(greatest({CHUNK_SQL}, 0), 3) AS BIGINT) AS batch, count(*) AS input_rows FROM events GROUP BY 1""",
+)
+def logged(spark: SparkSession, sf: str) -> DataFrame:
+    """What each trigger of a stream took in, as its listener was told."""
+    rows, path = [], streams.fresh_folder(spark, "logged")
+    log = streams.BatchLog(rows.append)
+    spark.streams.addListener(log)
+    try:
+        query = streams.drain(
+            streams.fan_out(falling_stream(spark, sf), {path: lambda b: b.select("event_id")}), streams.fresh_folder(spark, "logged-checkpoint")
+        )
+        # Listeners are told a little later.
+        last, deadline = query.lastProgress["batchId"], time.monotonic() + 30
+        while time.monotonic() < deadline and not any(r["query"] == str(query.runId) and r["batch"] == last for r in list(rows)):
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    told = [(r["batch"], r["input_rows"]) for r in rows if r["query"] == str(query.runId) and r["input_rows"]]
+    return spark.createDataFrame(told, "batch long, input_rows long")
