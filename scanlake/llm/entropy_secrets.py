@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -125,10 +124,22 @@ def scan(text: str) -> tuple[list, list]:
     base = base_spans(text)
     added = []
     if _LONG_RUN.search(text.encode("utf-8", "surrogatepass")):
-        added = [s for s in entropy_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+        added = _uncovered(entropy_spans(text), base)
     return base, added
 
 
+def _uncovered(spans: list, base: list) -> list:
+    """Those of ``spans`` that no base span holds wholly. Both are sorted by start: one walk, with the furthest base end so far."""
+    kept, at, reach = [], 0, -1
+    for span in spans:
+        while at < len(base) and base[at][0] <= span[0]:
+            reach = max(reach, base[at][1])
+            at += 1
+        if span[1] > reach:
+            kept.append(span)
+    return kept
+
+
 def _joined(spans) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
 
@@ -201,9 +212,3 @@ def _row(text: str):
     order = {**{k: i for i, k in enumerate(KINDS)}, "entropy": len(KINDS)}
     every = sorted(base + added, key=lambda s: (s[0], order[s[2]], s[1]))
     return *counts, digest, _joined(every), len(added)
-
-
-def entropy(counts: np.ndarray) -> float:
-    """Shannon entropy of a window's character counts, in bits a character (for tests and tuning)."""
-    p = counts[counts > 0] / counts.sum()
-    return float(-(p * np.log2(p)).sum())

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -110,3 +111,22 @@ def test_long_texts_take_linear_time(text):
     begin = time.monotonic()
     es.scan(text)
     assert time.monotonic() - begin < 30
+
+
+def test_covered_spans_equal_comparing_all():
+    r = random.Random(4)
+    for _ in range(200):
+        base = sorted((a, a + r.randint(1, 20), "hex") for a in (r.randint(0, 60) for _ in range(r.randint(0, 8))))
+        cuts = sorted(r.sample(range(80), 10))
+        spans = [(a, b, "entropy") for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        assert es._uncovered(spans, base) == [s for s in spans if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+
+
+def test_base_and_entropy_spans_in_turn_take_linear_time():
+    r = random.Random(1)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    text = " ".join(f"{r.getrandbits(64):016x} {''.join(r.sample(letters, 40))}" for _ in range(24_000))
+    start = time.perf_counter()
+    base, added = es.scan(text)
+    assert len(base) >= 24_000 and len(added) > 20_000
+    assert time.perf_counter() - start < 15
