@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,7 +97,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").where(F.col("text").isNotNull())
     # At most 2 * per_class ids: a bounded side.
     chosen = F.broadcast(kinds[0].unionByName(kinds[1]))
-    return rows.join(chosen, "_id").select("_id", "target", "text")
+    # An id with several texts gives its least one: 2 * per_class rows at most, however often an id is repeated.
+    return rows.join(chosen, "_id").groupBy("_id", "target").agg(F.min("text").alias("text")).select("_id", "target", "text")
 
 
 def fitted(rows: DataFrame, fit, schema: str = "model binary") -> bytes:
@@ -116,10 +116,6 @@ def fitted(rows: DataFrame, fit, schema: str = "model binary") -> bytes:
     return bytes(row["model"]) if row else fit(iter(()))  # no rows, no task
 
 
-def crc_of(text: str) -> int:
-    return zlib.crc32(text.encode())
-
-
 def scored(docs: DataFrame, scores, threshold: float, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``held_out, score, predicted`` for every row; ``scores`` maps a list of texts to an array of scores."""
 

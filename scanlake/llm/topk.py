@@ -28,10 +28,17 @@ def whole_weights(vector: Column, scale: int) -> Column:
         vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf")))
     )
     return F.when(
-        vector.isNotNull() & usable, F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+        vector.isNotNull() & usable, F.transform(vector, lambda x: _checked(F.floor(x.cast("double") * scale).cast("long"), F.size(vector)))
     )
 
 
+def _checked(weight: Column, size: Column) -> Column:
+    """The weight, or an error where a product of two such vectors could pass 64 bits."""
+    double = weight.cast("double")
+    fits = double * double * size < F.lit(float(1 << 63))
+    return F.when(fits, weight).otherwise(F.raise_error(F.lit("a vector's components are too large for scores of 64 bits")).cast("long"))
+
+
 def exact_topk(
     vectors: DataFrame,
     is_query: Column,
@@ -46,8 +53,8 @@ def exact_topk(
     Every row is a candidate of every query but itself; rows that share the query's id are taken as the query itself.
     Ties go to the smaller id; queries with fewer candidates return all of them. Vectors that are null, or hold a null
     or non-finite component, and rows without id take no part. Vectors of unequal length are compared on the dimensions that
-    both have. An empty vector scores 0 with everything. Repeated rows (same id and vector) are each a row; a repeated
-    query is answered once. Other columns are ignored.
+    both have. An empty vector scores 0 with everything. Repeated rows (same id and vector) are each a row; a query id with
+    several vectors is asked once, with the least of them. Components whose products could pass 64 bits are an error. Other columns are ignored.
     """
     table = (
         vectors.select(F.col(id_column).cast("long").alias("id"), whole_weights(F.col(vector_column), scale).alias("w"), is_query.alias("q"))
@@ -59,13 +66,13 @@ def exact_topk(
         F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("side"), "id", "w"
     )
     # The stated query set against all rows: each query visits every candidate partition.
-    asked = table.where(F.coalesce(F.col("q"), F.lit(False))).dropDuplicates(["id"])
+    asked = table.where(F.coalesce(F.col("q"), F.lit(False))).groupBy("id").agg(F.min("w").alias("w"))
     queries = asked.select(
         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("side"), "id", "w"
     )
     partial = (
         candidates.unionByName(queries)
-        .repartition(parts, "part")
+        .repartitionById(parts, "part")
         .sortWithinPartitions("part", "side", "id")
         .mapInArrow(_search(k), _PARTIAL)
     )

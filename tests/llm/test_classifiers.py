@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scanlake.llm import embed_quality, features, nb_toxicity
 
@@ -101,3 +102,10 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert embed_quality.score_quality(docs, labels).count() == 0
     assert nb_toxicity.score_toxicity(docs, labels).count() == 0
+
+
+def test_an_id_with_very_many_texts_gives_one_training_row(spark):
+    used = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1)
+    docs = spark.range(10_000).select(F.lit(used).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.createDataFrame([(used, 1)], "doc_id long, toxic int")
+    assert [tuple(r) for r in features.training_rows(docs, labels, "toxic", 2).collect()] == [(used, 1, "text 0")]

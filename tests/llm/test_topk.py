@@ -49,3 +49,17 @@ def test_nothing_one_row_and_repeated_rows(spark):
     rows = [(50, [1.0, 2.0])] * 2 + [(3, [1.0, 0.5])] * 2
     found = topk.exact_topk(spark.createDataFrame(rows, schema), query).collect()
     assert sorted(map(tuple, found)) == [(50, 1, 3, 256 * 256 + 512 * 128), (50, 2, 3, 256 * 256 + 512 * 128)]
+
+
+def test_a_query_id_with_several_vectors_does_not_depend_on_partitions(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, 4.0])]
+    for parts in (1, 2, 5):
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts)
+        found = topk.exact_topk(frame, F.col("vec_id") % 50 == 0).collect()
+        assert sorted(map(tuple, found)) == [(0, 1, 2, 256 * 1024), (0, 2, 1, 0)]
+
+
+def test_scores_past_64_bits_are_an_error(spark):
+    frame = spark.createDataFrame([(0, [1e18]), (1, [1e18])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        topk.exact_topk(frame, F.col("vec_id") % 50 == 0).collect()
