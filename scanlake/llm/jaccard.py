@@ -11,9 +11,14 @@ region is cut into rings of sizes, and a point is in its ring and the next. Regi
 In the levels below, points of the region are pivots. All members' distances to them are computed. A pivot is then done with: all its
 links are known. Members within RADIUS of a pivot form its region, the first such pivot's if there are more; those of no pivot form the rest.
 By the triangle inequality, a partner of a member of a pivot's region is at most RADIUS + eps from that pivot, so members in
-that window are replicated there. In a region, members linked to its pivot need no comparison with each other, as they are in one
-component; they go on only if a member that is not linked lies within eps of their distance. The join recurses, with more pivots
-from level to level, until no region has two members left.
+that window are replicated there. The join recurses, with more pivots from level to level, until no region has two members left.
+
+Links found are used at once: after each level the components of all links so far give points their labels. Points of one label need no
+comparison. A region of one label ends; pivots are taken from as many labels as there are; members with the label of their region's
+pivot go on only if a member of another label lies within eps of their distance. So a group of near copies costs its size, not its square.
+Regions with the same members are one region.
+
+Level 1 is what is known as prefix filtering with a size filter.
 
 Rarity is an order only: counts of hashed n-grams in a table of fixed size. Links make components; no group is expanded to pairs.
 """
@@ -276,26 +281,76 @@ def _distances(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, d
     return near.unionByName(judged.where("far").select("pk", "k", F.lit(False).alias("linked"), F.lit(1.0).alias("distance")))
 
 
+def _of_members(cells: DataFrame, *more: Column) -> DataFrame:
+    """The regions of two members at least with their aggregates ``more``; of regions with the same members, one."""
+    sums = cells.groupBy("region").agg(
+        F.count("*").alias("m"), F.bit_xor(F.xxhash64("k")).alias("x"), F.bit_xor(F.xxhash64("k", F.lit(1))).alias("y"), *more
+    ).where("m > 1")
+    rest = [c for c in sums.columns if c not in ("m", "x", "y")]
+    return sums.groupBy("m", "x", "y").agg(F.min_by(F.struct(*rest), "region").alias("s")).select("s.*")
+
+
 def _first_regions(entries: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
-    """``region, k`` for the n-grams and rings of sizes that hold two points at least."""
+    """``region, k, label`` for the n-grams and rings of sizes that hold two points at least; each point is its own label."""
     often = written(entries.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").drop("m"), "regions")
     shared = entries.join(often, "region").distinct().join(points.select("k", "n"), "k")
     ring = F.log(F.col("n")) / math.log(den / num)
     rings = F.sequence(F.floor(ring - _SLACK), F.floor(ring + 1 + _SLACK)) if num < den else F.array(F.col("n"))
     cells = shared.select(F.explode(rings).alias("ring"), "region", "k").select(F.xxhash64("region", "ring").alias("region"), "k")
     cells = written(cells, "cells")
-    company = cells.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").drop("m")
-    return written(cells.join(company, "region"), "entries")
+    return written(cells.join(_of_members(cells), "region").select("region", "k", F.col("k").alias("label")), "entries")
+
+
+def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
+    """``k, label`` of all linked points after the links ``found`` (``a, b``); only links between different labels are looked at."""
+    if labels is not None:
+        for end in ("a", "b"):
+            of = labels.select(F.col("k").alias(end), F.col("label").alias("_label"))
+            found = found.join(of, end, "left").withColumn(end, F.coalesce("_label", end)).drop("_label")
+    found = written(found.where("a <> b").select("a", "b").distinct(), "found")
+    if found.isEmpty():
+        return labels
+    joined = written(components(found), "joined")
+    if labels is None:
+        return joined.select(F.col("node").alias("k"), "label")
+    moved = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    old = labels.join(moved, "label", "left").select("k", F.coalesce("to", "label").alias("label"))
+    new = joined.select(F.col("node").alias("k"), "label").join(labels, "k", "left_anti")
+    return written(old.unionByName(new), "labels")
+
+
+def _mixed(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members with their labels, of regions that hold more than one label."""
+    if labels is None:
+        return rows
+    now = rows.select("region", "k").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
+    open_ = now.groupBy("region").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("region")
+    return written(now.join(open_, "region"), "mixed")
+
+
+def _pivots(rows: DataFrame, number: int) -> DataFrame:
+    """``region, pk, number``: the first points of each region, of as many labels as possible."""
+    if number > 1:
+        same = Window.partitionBy("region", "label").orderBy("k")
+        rows = rows.withColumn("rank", F.row_number().over(same)).where(F.col("rank") <= number)
+    else:
+        rows = rows.withColumn("rank", F.lit(1))
+    order = Window.partitionBy("region").orderBy("rank", "k")
+    first = rows.withColumn("number", F.row_number().over(order)).where(F.col("number") <= number)
+    return written(first.select("region", F.col("k").alias("pk"), "number"), "pivots")
 
 
 def _next_regions(rows: DataFrame, pivots: DataFrame, distances: DataFrame, eps: float, level: int) -> DataFrame:
     """The members of the regions below; see the module's text."""
+    of_pivots = rows.join(pivots, [rows["region"] == pivots["region"], rows["k"] == pivots["pk"]])
+    of_pivots = of_pivots.select(rows["region"], "pk", "number", F.col("label").alias("pivot_label"))
     measured = (
-        rows.join(pivots, "region")
+        rows.join(of_pivots, "region")
         .join(distances, ["pk", "k"])
-        .select("region", "k", "number", "linked", F.col("distance").alias("d"))
+        .select("region", "k", "label", "number", (F.col("label") == F.col("pivot_label")).alias("linked"), F.col("distance").alias("d"))
     )
     members = measured.groupBy("region", "k").agg(
+        F.first("label").alias("label"),
         F.min(F.when(F.col("d") <= RADIUS, F.col("number"))).alias("own"),
         F.collect_list(F.when(F.col("d") <= RADIUS + eps + _SLACK, F.struct("number", "d", "linked"))).alias("near"),
     ).join(pivots.select("region", F.col("pk").alias("k")), ["region", "k"], "left_anti")
@@ -303,22 +358,20 @@ def _next_regions(rows: DataFrame, pivots: DataFrame, distances: DataFrame, eps:
     inside = F.filter("near", lambda p: F.col("own").isNull() | (p["number"] <= F.col("own")))
     rest = F.array(F.struct(F.lit(0).alias("number"), F.lit(1.0).alias("d"), F.lit(False).alias("linked")))
     places = F.when(F.col("own").isNull(), F.concat(inside, rest)).otherwise(inside)
-    cells = members.select("region", "k", F.explode(places).alias("c")).select(
-        F.xxhash64("region", F.lit(level), "c.number").alias("region"), "k", "c.number", "c.d", "c.linked"
+    cells = members.select("region", "k", "label", F.explode(places).alias("c")).select(
+        F.xxhash64("region", F.lit(level), "c.number").alias("region"), "k", "label", "c.number", "c.d", "c.linked"
     )
     cells = written(cells, "cells")
-    open_ = (
-        cells.groupBy("region")
-        .agg(F.count("*").alias("m"), F.min(F.when(~F.col("linked"), F.col("d"))).alias("least"))
-        .where("m > 1 AND least IS NOT NULL")
-        .drop("m")
+    least = F.min(F.when(~F.col("linked"), F.col("d"))).alias("least")
+    open_ = _of_members(cells, least, F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b AND least IS NOT NULL")
+    kept = cells.join(open_.select("region", "least"), "region").where(
+        (F.col("number") == 0) | ~F.col("linked") | (F.col("d") >= F.col("least") - eps - _SLACK)
     )
-    kept = cells.join(open_, "region").where((F.col("number") == 0) | ~F.col("linked") | (F.col("d") >= F.col("least") - eps - _SLACK))
-    return written(kept.select("region", "k"), "entries")
+    return written(kept.select("region", "k", "label"), "entries")
 
 
-def links(entries: DataFrame, points: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Links ``a, b`` between the keys of points: enough of them for the components, each one exact."""
+def linked_labels(entries: DataFrame, points: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``k, label`` of the points that have a link: the least key of their component. Each link that is used is exact."""
     spark = points.sparkSession
     eps = 1 - num / den
     rows = _first_regions(entries, points, num, den)
@@ -326,23 +379,16 @@ def links(entries: DataFrame, points: DataFrame, texts: DataFrame, words: int, n
     bits = spark.sparkContext.broadcast(_filter(wanted))
     with small_batches(spark, TEXT_ROWS):
         sets = written(texts.mapInArrow(_sets(words, bits), "k long, grams binary"), "sets")
-    found, level = spark.createDataFrame([], "a long, b long"), 0
+    labels, level = None, 0
     while not rows.isEmpty():
-        number = MORE_PIVOTS**level
-        order = Window.partitionBy("region").orderBy("k")
-        pivots = written(
-            rows.withColumn("number", F.row_number().over(order))
-            .where(F.col("number") <= number)
-            .select("region", F.col("k").alias("pk"), "number"),
-            "pivots",
-        )
+        pivots = _pivots(rows, MORE_PIVOTS**level)
         pairs = written(rows.join(pivots, "region").where("k <> pk").select("pk", "k").distinct(), "pairs")
         with small_batches(spark, PAIR_ROWS):
             distances = written(_distances(pairs, points, sets, num, den), "distances")
-        found = found.unionByName(distances.where("linked").select(F.col("pk").alias("a"), F.col("k").alias("b")))
-        rows = _next_regions(rows, pivots, distances, eps, level)
+        labels = _relabelled(labels, distances.where("linked").select(F.col("pk").alias("a"), F.col("k").alias("b")))
+        rows = _next_regions(_mixed(rows, labels), pivots, distances, eps, level)
         level += 1
-    return found
+    return spark.createDataFrame([], "k long, label long") if labels is None else labels
 
 
 def _text() -> Column:
@@ -361,8 +407,7 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame
         every.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch", True).alias("sketch")), "points"
     )
     entries = every.select(F.explode("prefix").alias("region"), "k")
-    label = components(links(entries, points, rows, words, num, den)).select(F.col("node").alias("k"), "label")
-    return every, points, label
+    return every, points, linked_labels(entries, points, rows, words, num, den)
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:

@@ -86,3 +86,38 @@ def test_first_of_groups_tells_rows_apart_by_id_and_text(spark):
     assert kept.columns == docs.columns
     found = sorted((str(r.doc_id), str(r.text).lower()) for r in kept.collect())
     assert found == sorted([("1", copied), ("2", other), ("3", twice), ("4", ""), ("4", "none"), ("None", copied)])
+
+
+def variants(kind, size):
+    """A star (each copy has an edit of its own) or a chain (each copy has all edits of those before) of near copies."""
+    r = random.Random(size)
+    base = [f"w{i}" for i in range(400)]
+    texts = []
+    for i in range(size):
+        if kind == "star":
+            text = list(base)
+            for _ in range(r.randint(1, 4)):
+                text[r.randrange(400)] = f"x{r.randrange(10**9)}"
+        else:
+            base[r.randrange(400)] = f"y{i}"
+            text = list(base)
+        texts.append(" ".join(text))
+    return texts
+
+
+@pytest.mark.parametrize("kind", ["star", "chain"])
+def test_a_group_of_near_copies_does_not_cost_its_square(spark, monkeypatch, kind):
+    pairs = []
+    plain = jaccard.written
+
+    def counted(df, name, *rest):
+        out = plain(df, name, *rest)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    size = 2000
+    found = run(spark, variants(kind, size))
+    assert {component for _, component in found} == {0}
+    assert sum(pairs) <= 40 * size, pairs
