@@ -5,12 +5,16 @@ whether it stands in a part that is never content (menus, forms, scripts and so
 or id marks are left out if they are short or mostly links. The lines' text-to-tag ratios are smoothed with a Gaussian; lines whose smoothed ratio reaches a threshold form
 clusters, and the clusters are the content, wherever they stand. ``article`` and ``main`` only raise the ratio of their lines and
 widen clusters: such an element is taken as a whole if a cluster touches it, and not at all if none does. Elsewhere the lines
-between neighbouring clusters of one parent are taken.
+between neighbouring clusters of one parent are taken, and the lines of a cluster's container before and behind it.
+
+A tag without ``>`` and a comment without its end last to the end of the page; a tag with an open quote ends at the next ``>``. So each
+construct is scanned once and any text takes linear time.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -20,8 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Elements of HTML by their role.
-SILENT = frozenset("script style noscript template iframe object svg math head title select textarea datalist canvas".split())
-RAW = frozenset(("script", "style"))
+SILENT = frozenset("script style noscript template iframe object svg annotation head title select textarea datalist canvas".split())
 ASIDE = frozenset("nav header footer aside form menu dialog button fieldset".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -86,6 +89,28 @@ class _Lines(HTMLParser):
         self.linked = 0
         self.regions = 0
         self.containers = 0
+        self.open: Counter[str] = Counter()  # elements of each name on the stack
+
+    # The page is fed at once: what is unfinished stays so, and is not tried again from each later position.
+    def _behind(self, close, start):
+        end = self.rawdata.find(close, start)
+        return end + len(close) if end >= 0 else len(self.rawdata)
+
+    def parse_starttag(self, i):
+        end = super().parse_starttag(i) if self.rawdata.find(">", i) >= 0 else -1
+        return end if end >= 0 else self._behind(">", i)
+
+    def parse_endtag(self, i):
+        return super().parse_endtag(i) if self.rawdata.find(">", i) >= 0 else len(self.rawdata)
+
+    def parse_comment(self, i, report=True):
+        return self._behind("-->", i + 2)
+
+    def parse_pi(self, i):
+        return self._behind(">", i)
+
+    def parse_html_declaration(self, i):
+        return self._behind(">", i)
 
     def state(self):
         return self.stack[-1][1:] if self.stack else (False, False, -1, (), False, 0, 0)
@@ -129,6 +154,7 @@ class _Lines(HTMLParser):
         if tag in CONTAINERS:
             self.containers += 1
             parent, above = self.containers, parent
+        self.open[tag] += 1
         self.stack.append((tag, silent or tag in SILENT, beside, region, marks, link or tag == "a", parent, above))
 
     def handle_startendtag(self, tag, attrs):
@@ -155,6 +181,8 @@ class _Lines(HTMLParser):
         """A block ends an open p; li, dt, dd, td and tr end their own kind."""
         ends = {"p"} | ({tag} if tag in ("li", "option") else set())
         ends |= {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else set()
+        if not any(self.open[t] for t in ends):
+            return
         stops = {"ul", "ol", "dl", "table", "div", "article", "main", "section", "nav", "body", "aside", "form", "blockquote"}
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] in ends:
@@ -165,18 +193,19 @@ class _Lines(HTMLParser):
 
     def _pop(self, i):
         """Ends element i; formatting elements that were left open inside it end with it."""
+        self.open.subtract(x[0] for x in self.stack[i:])
         del self.stack[i:]
 
     def handle_endtag(self, tag):
         self.tags += 1
         if tag in BLOCK:
             self.flush()
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 self._pop(i)
                 return
-            if self.stack[i][0] in SILENT and self.stack[i][0] in RAW:
-                return
 
     def handle_data(self, data):
         if self.stack and self.stack[-1][0] == "head" and data.strip():
@@ -232,6 +261,22 @@ def bridged(lines: list[Line], able: list[int], chosen: set[int]) -> set[int]:
                 between = ((k, lines[k]) for k in able[last + 1 : n])
                 out |= {k for k, x in between if x.parent in (a.parent, b.parent) or 2 * x.linked <= len(x.text)}
         last = n
+    return out | edges(lines, able, chosen)
+
+
+def edges(lines: list[Line], able: list[int], chosen: set[int]) -> set[int]:
+    """The lines of the same container, below the body, that adjoin the first and the last cluster; none that are mostly links."""
+    at = [n for n, i in enumerate(able) if i in chosen]
+    out: set[int] = set()
+    for n, step in ((at[0], -1), (at[-1], 1)):
+        edge = lines[able[n]]
+        n += step
+        while edge.parent and 0 <= n < len(able):
+            line = lines[able[n]]
+            if line.parent != edge.parent or line.region != edge.region or 2 * line.linked > len(line.text):
+                break
+            out.add(able[n])
+            n += step
     return out
 
 

@@ -1,6 +1,7 @@
 """Main text of pages: hand-made pages, brute-force smoothing, robustness."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -97,6 +98,11 @@ WHOLE = {
         f"<body><div><div><p>{LONG[0]}</p></div><div>{''.join(f'<p>{x}</p>' for x in SHORTS)}</div><div><p>{LONG[2]}</p></div></div>{FOOT}",
         " ".join([LONG[0], *SHORTS, LONG[2]]),
     ),
+    "short lines at both ends": (
+        f"<div><h1>Title here</h1><p>Short one.</p><p>Go.</p><p>{LONG[0]}</p><p>Bye.</p><p>And so on.</p><p>End of it.</p></div>",
+        f"Title here Short one. Go. {LONG[0]} Bye. And so on. End of it.",
+    ),
+    "a formula": ("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>mc</mi><annotation>E=m c</annotation></math> as known</p></article>", "Energy is E=mc as known"),
 }
 
 
@@ -134,3 +140,17 @@ def test_any_text_is_parsed():
         assert text == " ".join(text.split())
     assert len(html_extract.main_text("<article><p>" + "word " * 400_000)) == 5 * 400_000 - 1
     assert html_extract.main_text("<div>" * 20_000 + LONG[0]) == LONG[0]
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<![", "</a ", "<a b='", '<a b="', "<?", "<!", "<", "</", "<a b=", "<script>", "<a b='>", "<!-->", "&", "<p/", "<b>", "</b>"])
+@pytest.mark.parametrize("end", ["", ">", "-->", "<h1></h1></i>" * 5_000])
+def test_broken_markup_takes_linear_time(part, end):
+    start = time.perf_counter()
+    html_extract.main_text(f"<p>{LONG[0]}</p>" + part * ((100_000 if end else 1_000_000) // len(part)) + end)
+    assert time.perf_counter() - start < 20
+
+
+def test_unfinished_markup_ends_the_page():
+    for rest in ("<a href=", "<!-- x", "</p", "<!-- a > b"):
+        assert html_extract.main_text(f"<p>{LONG[0]}</p>{rest} more text") == LONG[0]
+    assert html_extract.main_text(f"<p>{LONG[0]} a < b</p>") == f"{LONG[0]} a < b"
