@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables
 
 
 def test_registration():
-    assert {f"op{n}" for n in range(1, 11)} == {re.match(r"op\d+", n)[0] for n in LLM_QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {re.match(r"op\d+", n)[0] for n in LLM_QUERIES}
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
