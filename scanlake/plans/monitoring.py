@@ -1,12 +1,17 @@
 """Queries over queue samples, folder listings and refs."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions.labels import signed_rate
 from scanlake.operators import monitoring as ops
 from scanlake.plans.query import Registry
+from scanlake.sources.listing import base_path, folder_inventory, open_system
 from scanlake.sources.tables import table
+from scanlake.streaming.records import fresh_folder
 
 MONITORING = Registry()
 
@@ -123,6 +128,40 @@ def folder_with_empty_ones(spark: SparkSession, sf: str) -> DataFrame:
     return ops.folder_stats(every, "/data/shared")
 
 
+def _save_files(root: str):
+    """Saves texts (path, text) as files below a folder. A repeated task writes the same files again."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = open_system(root), base_path(root)
+        for batch in batches:
+            for path, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                system.create_dir(f"{base}/{path.rpartition('/')[0]}", recursive=True)
+                with system.open_output_stream(f"{base}/{path}") as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    return work
+
+
+#: A tree of the documents: of one folder per language, with a level for each digit of the id.
+TREE_SQL = """
+    file AS (SELECT [lang] || string_split(CAST(doc_id AS VARCHAR), '') || ['text'] AS parts, strlen(text) AS size FROM documents),
+    tree AS (SELECT array_to_string(parts, '/') AS path, false AS is_dir, CAST(size AS BIGINT) AS size FROM file
+             UNION ALL SELECT DISTINCT array_to_string(parts[1:k], '/'), true, CAST(0 AS BIGINT) FROM file, unnest(range(1, len(parts))) AS t(k))
+"""
+
+
+@MONITORING.add("folder_inventory", f"WITH {TREE_SQL} SELECT path, is_dir, size FROM tree")
+def inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """The listing of a tree of files that the tasks save first: deep, and most of it below one folder."""
+    root = fresh_folder(spark, "tree")
+    digits = F.array_join(F.split(F.col("doc_id").cast("string"), ""), "/")
+    files = table(spark, sf, "documents").select(F.concat_ws("/", "lang", digits, F.lit("text")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    files.mapInArrow(_save_files(root), "files long").agg(F.sum("files")).collect()
+    listed = folder_inventory(spark, root, share=200)
+    return listed.select(F.substring_index("path", f"{base_path(root)}/", -1).alias("path"), "is_dir", "size")
+
+
 @MONITORING.add(
     "folder_stats_by_lang",
     """SELECT lang, CAST(sum(n_chars) AS BIGINT) AS total_bytes, count(*) AS files, count(DISTINCT source) AS repositories

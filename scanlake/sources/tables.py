@@ -1,71 +1,8 @@
-"""Parquet tables and file listings."""
+"""Parquet tables."""
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
-_LISTING = "ts timestamp, path string, is_dir boolean, size long"
-_ROWS = 10_000
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a folder; columns and filters are pushed into the scan."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def folder_inventory(spark: SparkSession, root: str, partitions: int | None = None) -> DataFrame:
-    """Files and folders below a folder as (ts, path, is_dir, size); contents are never read.
-
-    The driver lists only the folder's own entries; each task walks some of the folders among
-    them and lists one directory at a time, so neither holds the tree. Empty folders are listed;
-    folders that cannot be read are listed themselves but not entered; a missing root has no
-    rows. ``root`` is a path, or a URI that pyarrow can open on the executors; a plain path must be
-    mounted there.
-    """
-    system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
-    top = _entries(system, base)
-    number = partitions or spark.sparkContext.defaultParallelism
-    rows = [(_time(e), e.path, e.type == fs.FileType.Directory, e.size or 0) for e in top]
-    listed = spark.createDataFrame(rows, _LISTING)
-    inner = listed.filter("is_dir").repartition(max(1, min(number, len(rows))))
-    return listed.unionByName(inner.mapInArrow(_walk(root), _LISTING))
-
-
-def _time(entry: fs.FileInfo):
-    return entry.mtime
-
-
-def _entries(system: fs.FileSystem, folder: str) -> list[fs.FileInfo]:
-    try:
-        return system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-    except OSError:
-        return []
-
-
-def _walk(root: str):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system = fs.FileSystem.from_uri(root)[0] if "://" in root else fs.LocalFileSystem()
-        kind = pa.schema([("ts", pa.timestamp("us", "UTC")), ("path", pa.string()), ("is_dir", pa.bool_()), ("size", pa.int64())])
-        rows: list[tuple] = []
-
-        def flush() -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True))
-            rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
-
-        for batch in batches:
-            waiting = batch.column(1).to_pylist()
-            while waiting:
-                for entry in _entries(system, waiting.pop()):
-                    is_dir = entry.type == fs.FileType.Directory
-                    if is_dir:
-                        waiting.append(entry.path)
-                    rows.append((_time(entry), entry.path, is_dir, entry.size or 0))
-                    if len(rows) >= _ROWS:
-                        yield flush()
-        if rows:
-            yield flush()
-
-    return work

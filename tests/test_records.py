@@ -12,8 +12,6 @@ from scanlake.sources.records import (
     reject_records,
     repo_inventory,
 )
-from scanlake.operators.monitoring import folder_stats
-from scanlake.sources.tables import folder_inventory
 
 
 def test_repository_golden_text(spark):
@@ -125,18 +123,3 @@ def test_raw_tool_output_round_trip(values):
     assert row.ExtraData == {"k": "v"}
     assert row.SourceMetadata.Data.Git.line == 3 and row.SourceMetadata.Data.Git.file == ""
     assert decode_records(values(['{"ExtraData":{"k":1}}']), schemas.RAW_SECRET).count() == 0
-
-
-def test_folder_inventory_lists_files_and_folders(spark, tmp_path):
-    for name in ("r1/a/b", "r2", "r3/empty", "locked/x"):
-        (tmp_path / name).mkdir(parents=True)
-    (tmp_path / "r1" / "a" / "b" / "f.txt").write_text("12345")
-    (tmp_path / "top.txt").write_text("1")
-    every = {(str(p), p.is_dir(), 0 if p.is_dir() else p.stat().st_size) for p in tmp_path.rglob("*")}
-    listed = folder_inventory(spark, str(tmp_path))
-    assert {(r.path, r.is_dir, r.size) for r in listed.collect()} == every
-    stats = folder_stats(listed, str(tmp_path)).first()
-    assert (stats.total_bytes, stats.files, stats.repositories) == (6, 2, 4)
-    assert folder_inventory(spark, str(tmp_path / "missing")).count() == 0
-    uri = folder_inventory(spark, f"file://{tmp_path}", partitions=2)
-    assert {r.path for r in uri.collect()} == {p for p, _, _ in every}
