@@ -1,8 +1,9 @@
 """Benchmark decontamination by templates.
 
 Texts become templates: numbers, units after a number and names (capitalised words inside a sentence) turn into typed placeholders,
-other words are lower-cased. A capitalised word that opens a sentence may be a name or not, so windows that hold one have two
-templates. Windows of consecutive template tokens, and of the plain lower-cased words, are hash-joined between documents and items.
+other words are lower-cased. Names of several words, and numbers whose thousands are set apart by spaces, are read
+both as that many slots and as one. A capitalised word that opens a sentence may be a name or not, so windows that hold one have two templates. Scripts that set no spaces between words
+are cut into characters. Windows of consecutive template tokens, and of the plain lower-cased words, are hash-joined between documents and items.
 Matches of one document, one item and one distance between their positions form an alignment. It counts if it covers enough tokens
 with the benchmark's own words, whatever their case, position or share of slots, or if it covers enough tokens and its slots are consistent: equal benchmark values stand for equal
 document values, and different names for different names. So an item is found verbatim and with other numbers, names or units.
@@ -19,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlake.llm.arrow import slices, text_bytes
-from scanlake.llm.hashing import mix, sequence_hashes, span_hashes, spans_of
+from scanlake.llm.hashing import BASE, mix, powers, sequence_hashes, span_hashes, spans_of
 
 #: Tokens of a window, literal tokens that it needs, and tokens that an alignment must cover.
 WINDOW = 8
 LITERALS = 4
 COVER = 13
+#: So many characters of a script without spaces count as one word.
+CHARACTERS = 3
 
 # Names of units, as they stand after a number.
 UNITS = frozenset(
@@ -69,6 +72,19 @@ _HASH_TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE
 _NUMBER, _UNIT, _NAME = (mix(np.array([k], np.uint64))[0] for k in (11, 12, 13))
 
 
+# Code points. Scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han), their punctuation, and their sentence ends.
+_SPACELESS = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF))
+_MARKS = ((0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+_ENDS = (0x3002, 0xFF01, 0xFF1A, 0xFF1B, 0xFF1F, 0xFF61)
+_IN_SPACELESS, _IS_MARK, _IS_END = (np.zeros(1 << 16, bool) for _ in range(3))
+for _table, _ranges in ((_IN_SPACELESS, _SPACELESS), (_IS_MARK, _MARKS), (_IS_END, [(c, c) for c in _ENDS])):
+    for _low, _high in _ranges:
+        _table[_low : _high + 1] = True
+_IN_SPACELESS[_IS_MARK] = False
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
 def _hash_words(words) -> np.ndarray:
     data = np.frombuffer(" ".join(words).encode(), np.uint8)
     starts, ends = spans_of(data != 32, np.array([0]))
@@ -78,8 +94,9 @@ def _hash_words(words) -> np.ndarray:
 #: Type of a name slot.
 _IS_NAME = 1
 
-#: The plain words, where templates are 0 and 1.
+#: Templates: 0 has opening words as literals and 1 as names; MERGED and MERGED + 1 are the same with runs as one slot; PLAIN has the words.
 PLAIN = 2
+MERGED = 3
 _PLAIN = np.uint64(0x5851F42D4C957F2D)
 
 _UNIT_HASHES = _hash_words(sorted(UNITS))
@@ -116,11 +133,27 @@ def lower_case(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lowered, capital
 
 
+def _wide_letters(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts and widths of the characters of scripts without spaces; starts of their punctuation and of its sentence ends."""
+    at = np.flatnonzero((data >= 0xE0) & (data < 0xF0))
+    at = at[at + 2 < len(data)]
+    code = (data[at].astype(np.int64) & 0x0F) << 12 | (data[at + 1].astype(np.int64) & 0x3F) << 6 | data[at + 2] & 0x3F
+    rare = np.flatnonzero(data == 0xF0)
+    rare = rare[rare + 3 < len(data)]
+    # Han beyond U+FFFF: U+20000 to U+33FFF.
+    rare = rare[(data[rare + 1] >= 0xA0) & (data[rare + 1] < 0xB4)]
+    single = at[_IN_SPACELESS[code]]
+    widths = np.repeat(np.array([3, 4]), [len(single), len(rare)])
+    return np.concatenate((single, rare)), widths, at[_IS_MARK[code]], at[_IS_END[code]]
+
+
 class Templates:
-    """The template tokens of some texts.
+    """The words of some texts and their templates.
 
-    ``word``: hash of the lower-cased token, ``owner``, the text's number, and two templates (0: opening words are literals, 1: they
-    are names where they look like one), each with ``token``: the word or its placeholder, ``literal`` and ``kind``.
+    ``word``: hash of each lower-cased word, ``owner``: its text's number, ``sizes``: words of each text, ``single``: characters of
+    scripts without spaces, ``in_run``: words of a run of names or of groups of digits. Each template has ``token``, the word or its
+    placeholder, ``literal``, ``kind`` and ``value``. ``place`` numbers the tokens of template MERGED + 1 in each text; what lies
+    inside one of them has its number.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
@@ -131,17 +164,26 @@ class Templates:
         two = data == 0xC2
         three = (data == 0xE2) & _shifted(data == 0x80, -1)
         inside &= ~(two | _shifted(two, 1) | three | _shifted(three, 1) | _shifted(three, 2))
-        starts, ends = spans_of(inside, offsets)
+        singles, widths, marks, ends_of = _wide_letters(data)
+        for k in range(3):
+            inside[marks + k] = False
+        breaking = _BREAK[data]
+        breaking[ends_of] = 1
+        starts, ends = spans_of(inside, np.concatenate((offsets, singles, singles + widths)))
         lowered, capital = lower_case(data)
         self.word = span_hashes(lowered, starts, ends, _HASH_TABLE)
         self.owner = np.searchsorted(offsets, starts, side="right") - 1
         n = len(starts)
+        alone = np.zeros(len(data) + 1, bool)
+        alone[singles] = True
+        self.single = alone[starts]
         first = np.ones(n, bool)
         first[1:] = self.owner[1:] != self.owner[:-1]
-        breaks = np.concatenate((np.zeros(1, np.int32), np.cumsum(_BREAK[data], dtype=np.int32)))
+        breaks = np.concatenate((np.zeros(1, np.int32), np.cumsum(breaking, dtype=np.int32)))
         opening = first.copy()
         if n > 1:
             opening[1:] |= breaks[starts[1:]] > breaks[ends[:-1]]
+        self.opening = opening
         # The letter after the first: words in capitals only are no names.
         second = np.minimum(starts + 1 + _MORE[data[starts]], len(data) - 1) if n else starts
         name = capital[starts] & (second < ends) & ~capital[second]
@@ -151,55 +193,129 @@ class Templates:
         unit = after & ~number
         at = np.flatnonzero(unit)
         unit[at] = np.isin(self.word[at], _UNIT_HASHES)
-        self.opens = name & opening & ~unit
-        self.token, self.literal, self.kind = [], [], []
-        for names in (name & ~opening, name):
-            token = self.word.copy()
-            token[names] = _NAME
-            token[unit] = _UNIT
-            token[number] = _NUMBER
-            self.token.append(token)
-            self.literal.append(~(names | unit | number))
-            self.kind.append(np.select([number, unit, names], [np.uint64(2), np.uint64(3), np.uint64(_IS_NAME)], np.uint64(0)))
+        name &= ~unit
+        self._templates(name, opening, number, unit, *self._runs(data, starts, ends, name, number, opening))
         self.first = np.searchsorted(self.owner, np.arange(len(offsets) - 1))
         self.sizes = np.bincount(self.owner, minlength=len(offsets) - 1)
+        self.singles = np.bincount(self.owner[self.single], minlength=len(offsets) - 1)
+        self.counts = {t: np.bincount(self.owner[w], minlength=len(offsets) - 1) for t, w in self.starts.items()}
+        self.place -= self.place[self.first[self.owner]]
+
+    @staticmethod
+    def _runs(data, starts, ends, name, number, opening) -> tuple[np.ndarray, np.ndarray]:
+        """Words that go on a name, and groups of three digits that go on a number, after the word before."""
+        n = len(starts)
+        names, groups = np.zeros(n, bool), np.zeros(n, bool)
+        if n < 2:
+            return names, groups
+        blank = _BLANK[data]
+        # Spaces outside ASCII: U+00A0, U+2009 and U+202F.
+        hard = (data == 0xC2) & _shifted(data == 0xA0, -1)
+        thin = (data == 0xE2) & _shifted(data == 0x80, -1) & _shifted(_shifted((data == 0x89) | (data == 0xAF), -1), -1)
+        blank |= hard | _shifted(hard, 1) | thin | _shifted(thin, 1) | _shifted(_shifted(thin, 1), 1)
+        solid = np.concatenate((np.zeros(1, np.int64), np.cumsum(~blank)))
+        gap = starts[1:] - ends[:-1]
+        follows = ~opening[1:] & (solid[starts[1:]] == solid[ends[:-1]]) & (gap > 0)
+        names[1:] = name[1:] & name[:-1] & follows
+        sizes = ends - starts
+        points = np.concatenate((np.zeros(1, np.int64), np.cumsum(_POINT[data])))
+        digits = number & (points[ends] == points[starts])
+        # Three digits, then the end or a fraction.
+        fraction = number & (sizes > 4)
+        fraction &= _POINT[data[np.minimum(starts + 3, len(data) - 1)]] & (points[np.minimum(starts + 3, len(data))] == points[starts])
+        three = (digits & (sizes == 3)) | fraction
+        one = (gap == 1) | (data[np.minimum(ends[:-1], len(data) - 1)] >= 128) & (gap <= 3)
+        groups[1:] = three[1:] & digits[:-1] & (sizes[:-1] <= 3) & follows & one
+        return names, groups
+
+    def _templates(self, name, opening, number, unit, more_name, more_digits) -> None:
+        n = len(name)
+        self.starts, self.ends, self.token, self.literal, self.kind, self.value, self.opens = {}, {}, {}, {}, {}, {}, {}
+        for template in (0, 1, MERGED, MERGED + 1):
+            names = name if template in (1, MERGED + 1) else name & ~opening
+            goes_on = np.zeros(n, bool)
+            if template >= MERGED and n:
+                goes_on = more_name & _shifted(names, 1) | more_digits
+            at = np.flatnonzero(~goes_on)
+            sizes = np.diff(np.append(at, n))
+            value = self.word[at]
+            if template >= MERGED and n:
+                inner = np.arange(n) - np.repeat(at, sizes)
+                value = np.where(sizes == 1, value, mix(np.add.reduceat(self.word * powers(n, BASE)[inner], at)))
+            token = self.word[at]
+            token[names[at]] = _NAME
+            token[unit[at]] = _UNIT
+            token[number[at]] = _NUMBER
+            self.starts[template], self.ends[template] = at, at + sizes
+            self.token[template], self.value[template] = token, value
+            self.literal[template] = ~(names | unit | number)[at]
+            kinds = [np.uint64(2), np.uint64(3), np.uint64(_IS_NAME)]
+            self.kind[template] = np.select([number[at], unit[at], names[at]], kinds, np.uint64(0))
+            self.opens[template] = (name & opening)[at]
+        self.place = np.cumsum(~goes_on) - 1
+        self.in_run = goes_on.copy()
+        self.in_run[:-1] |= goes_on[1:]
 
     def windows(self, length: int, template: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of the windows of ``length`` tokens inside one text, with enough literal tokens.
 
-        Template 1: only those that differ from template 0, as they hold an opening name.
+        Only those that differ from the windows of templates before: they hold an opening name, or a run of words.
         """
         hashes = sequence_hashes(self.token[template], length)
         if not len(hashes):
             return np.zeros(0, np.int64), hashes
         literals = np.concatenate(([0], np.cumsum(self.literal[template])))
         n = len(hashes)
-        usable = self.owner[:n] == self.owner[length - 1 :]
+        owner = self.owner[self.starts[template]]
+        usable = owner[:n] == owner[length - 1 :]
         usable &= literals[length:] - literals[:n] >= min(LITERALS, length)
-        if template:
-            opens = np.concatenate(([0], np.cumsum(self.opens)))
+        if template in (1, MERGED + 1):
+            opens = np.concatenate(([0], np.cumsum(self.opens[template])))
             usable &= opens[length:] > opens[:n]
         at = np.flatnonzero(usable)
+        if template >= MERGED:
+            at = at[self.holds_run(*self.words_of(at, length, template))]
         return at, hashes[at] ^ np.uint64(length)
 
+    def holds_run(self, start: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Whether some of the words belong to a run."""
+        runs = np.concatenate(([0], np.cumsum(self.in_run)))
+        return runs[last + 1] > runs[start]
+
     def plain_windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of all windows of ``length`` words inside one text."""
+        """Starts and hashes of all windows of ``length`` words inside one text; fewer than LITERALS must be a whole sentence."""
         hashes = sequence_hashes(self.word, length)
-        at = np.flatnonzero(self.owner[: len(hashes)] == self.owner[length - 1 :][: len(hashes)])
+        usable = self.owner[: len(hashes)] == self.owner[length - 1 :][: len(hashes)]
+        if length < LITERALS:
+            usable &= self.opening[: len(hashes)] & np.append(self.opening, True)[length:][: len(hashes)]
+        at = np.flatnonzero(usable)
         return at, mix(hashes[at] ^ np.uint64(length) ^ _PLAIN)
 
+    def words_of(self, at: np.ndarray, length: int, template: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last word of the windows of ``length`` tokens or, for PLAIN, words."""
+        if template == PLAIN:
+            return at, at + length - 1
+        return self.starts[template][at], self.ends[template][at + length - 1] - 1
+
     def slots(self, start: int, length: int, template: int = 0) -> list[int]:
-        """The values of a window's placeholders, in order; the last two bits tell the type."""
-        at = np.flatnonzero(~self.literal[template][start : start + length]) + start
-        return (self.word[at] & ~np.uint64(3) | self.kind[template][at]).astype(np.int64).tolist()
+        """The values of a window's placeholders, in order; the last two bits tell the type. PLAIN: those of template 0 there."""
+        low, high = start, start + length
+        template = 0 if template == PLAIN else template
+        at = np.flatnonzero(~self.literal[template][low:high]) + low
+        return (self.value[template][at] & ~np.uint64(3) | self.kind[template][at]).astype(np.int64).tolist()
 
 
-_WINDOWS = "key long, position int, hash long, size int, tokens int, template int, slots array<long>"
+_WINDOWS = (
+    "key long, position int, place int, span int, hash long, size int, tokens int, places int, singles int, template int, "
+    "in_words boolean, in_places boolean, slots array<long>"
+)
 
 
 def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> DataFrame:
     """Windows of the texts (``key, text``). ``lengths`` None: of WINDOW tokens, or of the whole text if it has fewer.
 
+    ``position`` counts words, ``place`` and ``span`` count tokens of template MERGED + 1. A window takes part in alignments by words
+    unless it is merged, and in those by places unless it should be merged.
     ``wanted``: a broadcast table of hash prefixes; windows it does not have are left out.
     """
 
@@ -208,28 +324,38 @@ def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> D
             data, offsets = text_bytes(part.column(1))
             keys = part.column(0).to_numpy(zero_copy_only=False)
             found = Templates(data, offsets)
-            out = {name: [] for name in ("key", "position", "hash", "size", "tokens", "template", "slots")}
-            for length, template in product(lengths or (WINDOW, *range(LITERALS, WINDOW)), (0, 1, PLAIN)):
+            names = ("key", "position", "place", "span", "hash", "size", "tokens", "places", "singles", "template", "in_words", "in_places", "slots")
+            out = {name: [] for name in names}
+            for length, template in product(lengths or range(WINDOW, 0, -1), (0, 1, PLAIN, MERGED, MERGED + 1)):
+                if length < LITERALS and template != PLAIN:
+                    continue
                 at, hashes = found.plain_windows(length) if template == PLAIN else found.windows(length, template)
+                start, last = found.words_of(at, length, template)
                 if lengths is None and length < WINDOW:
-                    whole = found.sizes[found.owner[at]] == length
-                    at, hashes = at[whole], hashes[whole]
+                    sizes = found.sizes if template == PLAIN else found.counts[template]
+                    whole = sizes[found.owner[start]] == length
+                    at, hashes, start, last = at[whole], hashes[whole], start[whole], last[whole]
                 if wanted is not None:
                     table = wanted.value
                     shift = np.uint64(64 - (len(table).bit_length() - 1))
                     known = table[(hashes >> shift).astype(np.int64)]
-                    at, hashes = at[known], hashes[known]
-                owner = found.owner[at]
+                    at, hashes, start, last = at[known], hashes[known], start[known], last[known]
+                owner = found.owner[start]
+                whole_numbers = {
+                    "position": start - found.first[owner], "place": found.place[start], "span": found.place[last] - found.place[start] + 1,
+                    "size": np.full(len(at), length), "tokens": found.sizes[owner], "places": found.counts[MERGED + 1][owner],
+                    "singles": found.singles[owner], "template": np.full(len(at), template),
+                }
+                for name, numbers in whole_numbers.items():
+                    out[name].append(numbers.astype(np.int32))
                 out["key"].append(keys[owner])
-                out["position"].append((at - found.first[owner]).astype(np.int32))
                 out["hash"].append(hashes.view(np.int64))
-                out["size"].append(np.full(len(at), length, np.int32))
-                out["tokens"].append(found.sizes[owner].astype(np.int32))
-                out["template"].append(np.full(len(at), template, np.int32))
-                out["slots"] += [found.slots(i, length, 0 if template == PLAIN else template) for i in at]
-            arrays = [pa.array(np.concatenate(out[c])) for c in list(out)[:-1]]
+                out["in_words"].append(np.full(len(at), template < MERGED))
+                out["in_places"].append(np.full(len(at), True) if template >= PLAIN else ~found.holds_run(start, last))
+                out["slots"] += [found.slots(i, length, template) for i in at]
+            arrays = [pa.array(np.concatenate(out[c])) for c in names[:-1]]
             arrays.append(pa.array(out["slots"], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(arrays, list(out))
+            yield pa.RecordBatch.from_arrays(arrays, list(names))
 
     return rows.mapInArrow(work, _WINDOWS)
 
@@ -274,11 +400,12 @@ def _consistent(pairs: str):
 def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, n_tokens, item_tokens, position, n_slots``.
 
-    ``n_tokens`` of the item's ``item_tokens`` template tokens are covered by the best alignment, which starts near the document's
-    token ``position``. An alignment counts from ``cover`` tokens on, or if it covers the whole of an item that has fewer; items of
-    fewer than 4 tokens never match. Rows with a null id or text match nothing and empty tables give no rows. Repeated
-    rows of an id count as one document or item: the best alignment of any of them. Other columns are ignored. Hot windows are
-    joined by Spark's skew join; alignments hold at most as many windows as the item has.
+    ``n_tokens`` of the item's ``item_tokens`` tokens are covered by the best alignment, which starts near the document's
+    token ``position``; tokens are words of verbatim matches and template tokens of others. An alignment counts from ``cover`` tokens on, or
+    if it covers the whole of an item that has fewer; characters of scripts without spaces count as a third of a word. Items
+    of fewer than 4 words match where they are a whole sentence or line. Rows with a null id or text match nothing and empty
+    tables give no rows. Repeated rows of an id count as one document or item: the best alignment of any of them. Other columns are
+    ignored. Hot windows are joined by Spark's skew join; alignments hold at most as many windows as the item has.
     """
     spark = docs.sparkSession
     items = (
@@ -293,34 +420,50 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, cover: int = COVER
         F.col("doc_id").cast("long").alias("key"), "text"
     )
     theirs = _windows(texts, lengths, wanted).select(
-        F.col("key").alias("doc_id"), F.col("position").alias("at"), "hash", "size", F.col("template").alias("seen"), F.col("slots").alias("values")
+        F.col("key").alias("doc_id"), F.col("position").alias("at"), F.col("place").alias("at_place"), "hash", "size",
+        F.col("template").alias("seen"), F.col("slots").alias("values"), F.col("in_words").alias("by_words"), F.col("in_places").alias("by_places"),
     )
-    ours = ours.select(F.col("key").alias("item_id"), "position", "hash", "size", "template", "slots", F.col("tokens").alias("item_tokens"))
+    ours = ours.withColumnRenamed("key", "item_id")
     plain = (F.col("template") == PLAIN) & (F.col("seen") == PLAIN)
     likeness = (F.col("template") != PLAIN) & (F.col("seen") != PLAIN) & (F.size("slots") == F.size("values"))
     # Equal words have equal values, whatever either context makes of them.
     matched = theirs.join(ours, ["hash", "size"]).where(plain | likeness).withColumn("values", F.when(plain, F.col("slots")).otherwise(F.col("values")))
-    run = F.struct("position", "size")
+    # Windows align by words, or by places, where a run is one; those without runs in either way.
+    by_words = F.struct(
+        F.lit(True).alias("words"), (F.col("at") - F.col("position")).alias("shift"), F.col("tokens").alias("item_tokens"),
+        F.struct("position", "size").alias("run"), F.col("at").alias("start"),
+    )
+    by_place = F.struct(
+        F.lit(False).alias("words"), (F.col("at_place") - F.col("place")).alias("shift"), F.col("places").alias("item_tokens"),
+        F.struct(F.col("place").alias("position"), F.col("span").alias("size")).alias("run"), F.col("at_place").alias("start"),
+    )
+    ways = F.array(
+        F.when(F.col("in_words") & F.col("by_words"), by_words), F.when(F.col("in_places") & F.col("by_places"), by_place)
+    )
+    matched = matched.withColumn("way", F.explode(F.array_compact(ways)))
+    matched = matched.select("doc_id", "item_id", "template", "seen", "slots", "values", "singles", "way.*")
     pairs = F.arrays_zip("slots", "values")
-    inside = (F.col("template") == 0) & (F.col("seen") == 0)
+    inside = F.col("template").isin(0, MERGED) & F.col("seen").isin(0, MERGED)
     aligned = (
-        matched.groupBy("doc_id", "item_id", "item_tokens", (F.col("at") - F.col("position")).alias("shift"))
+        matched.groupBy("doc_id", "item_id", "item_tokens", "singles", "words", "shift")
         .agg(
-            _covered(F.collect_set(run)).alias("like"),
-            _covered(F.collect_set(F.when(inside, run))).alias("like_inside"),
-            _covered(F.collect_set(F.when(plain, run))).alias("same"),
+            _covered(F.collect_set("run")).alias("like"),
+            _covered(F.collect_set(F.when(inside, F.col("run")))).alias("like_inside"),
+            _covered(F.collect_set(F.when(plain, F.col("run")))).alias("same"),
             F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
             F.array_distinct(F.flatten(F.collect_set(F.when(inside, pairs)))).alias("pairs_inside"),
-            F.min("at").alias("at"),
+            F.min("start").alias("start"),
         )
         # Other opening words may spoil what names inside sentences agree on, so both readings count.
         .withColumn("like", F.when(_consistent("pairs"), F.col("like")).otherwise(0))
         .withColumn("like_inside", F.when(_consistent("pairs_inside"), F.col("like_inside")).otherwise(0))
         .withColumn("n_tokens", F.greatest("like", "like_inside", "same"))
         .withColumn("pairs", F.when(F.col("n_tokens") > F.greatest("like_inside", "same"), F.col("pairs")).otherwise(F.col("pairs_inside")))
-        .where(F.col("n_tokens") >= F.least(F.lit(cover), F.col("item_tokens")))
+        # Of characters it takes more: all of them, CHARACTERS times the cover.
+        .withColumn("need", cover * (1 + (CHARACTERS - 1) * F.col("singles") / F.col("item_tokens")))
+        .where(F.col("n_tokens") >= F.least(F.col("need"), F.col("item_tokens")))
     )
-    best = F.max(F.struct("n_tokens", (-F.col("at")).alias("before"), "item_tokens", F.size("pairs").alias("n_slots"))).alias("b")
+    best = F.max(F.struct("n_tokens", (-F.col("start")).alias("before"), "item_tokens", F.size("pairs").alias("n_slots"))).alias("b")
     return (
         aligned.groupBy("doc_id", "item_id")
         .agg(best)

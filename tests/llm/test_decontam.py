@@ -51,6 +51,9 @@ def brute(docs, items):
             tokens = item.split()
             size = min(decontam.WINDOW, len(tokens))
             if size < decontam.LITERALS:
+                # Prose has no sentence marks: the document must be the item.
+                if words == tokens:
+                    out.add((d, i))
                 continue
             shifts = {}
             for p in range(len(tokens) - size + 1):
@@ -80,6 +83,7 @@ def test_equals_brute_force_on_prose(spark, seed):
             at = r.randint(0, len(words))
             words[at:at] = item
         docs.append((d, " ".join(words)))
+    docs += [(1000 + i, text) for i, text in items[:10]]
     assert set(found(spark, docs, items)) == brute(docs, items)
 
 
@@ -146,3 +150,48 @@ def test_rows_are_dropped_by_id_and_text(spark):
     docs = [(5, QUESTION), (5, "clean"), (6, "clean"), (7, None), (7, QUESTION)]
     kept = decontam.without_contaminated(table(spark, docs), table(spark, [(1, QUESTION)], "item_id")).collect()
     assert sorted((r.doc_id, str(r.text)) for r in kept) == [(5, "clean"), (6, "clean"), (7, "None")]
+
+
+def test_names_of_two_words_and_spaced_numbers_are_one_slot(spark):
+    item = "After school Tom gave Mary 12 apples, and then Mary gave Tom 30 plums; how many fruits did Tom get from Mary in all?"
+    changed = item.replace("Mary", "Jo Beth").replace("Tom", "Mary Ann")
+    short = "We count 12 red pens and sell 30 of them before we go home"
+    opening = "Tom has 12 apples. Tom gives 5 to Mary. How many apples does Tom have?"
+    docs = [
+        (1, changed), (2, changed.replace("from Jo Beth", "from Sue Kay")), (3, short.replace("12", "1 200").replace("30", "3\u00a0400.5")),
+        (4, short.replace("12", "1 20")), (5, opening.replace("Tom", "Mary Ann").replace("to Mary.", "to Jo.")), (6, short.replace("30", "1 2 3")),
+    ]
+    assert set(found(spark, docs, [(1, item), (2, short), (3, opening)])) == {(1, 1), (3, 2), (5, 3)}
+
+
+def test_scripts_without_spaces_are_cut_into_characters(spark):
+    chinese = "小明有十二个苹果他给了小红五个请问他现在还有几个苹果呢"
+    thai = "แมวกินปลาทุกวันในตอนเช้าและตอนเย็นแต่ไม่กินข้าว"
+    japanese = "東京は日本の首都です。人口は12万人ですか。"
+    longer = "".join(chr(0x4E00 + 7 * i) for i in range(60))
+    docs = [
+        (1, f"前面的话。{chinese}后面的话"), (2, thai), (3, "ใช่ " + thai + "ครับ"), (4, japanese.replace("。", "、").replace("12", "40")), (5, chinese[:20]),
+        (6, f"x {longer[10:48]} y"), (7, f"x {longer[10:49]} y"), (8, "𠀀𠀁𠀂 " + chinese[:3]),
+    ]
+    assert set(found(spark, docs, [(1, chinese), (2, thai), (3, japanese), (4, longer)])) == {(1, 1), (2, 2), (3, 2), (4, 3), (7, 4)}
+
+
+def test_items_of_few_words_match_as_whole_sentences(spark):
+    docs = [
+        (1, "Intro text. Define entropy! More."), (2, "define entropy"), (3, "we define entropy as this"), (4, "Now define entropy."), (5, "a\nPARIS\nb"),
+        (6, "in Paris"), (7, "前。何故？後"),
+    ]
+    assert set(found(spark, docs, [(1, "Define entropy."), (2, "Paris"), (3, "何故"), (4, "...")])) == {(1, 1), (2, 1), (5, 2), (7, 3)}
+
+
+def test_runs_are_the_same_at_any_cut_of_the_batch():
+    texts = ["Ann Lee", "Bob 12", "300 kg", "", "1 000 000 Tom", "中文 Ann", "Ann, Bob"]
+    raw = [t.encode() for t in texts]
+    together = decontam.Templates(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    alone = [decontam.Templates(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in raw]
+    for t in (0, 1, decontam.MERGED, decontam.MERGED + 1):
+        assert together.counts[t].tolist() == [a.counts[t][0] for a in alone]
+        assert together.token[t].tolist() == [x for a in alone for x in a.token[t].tolist()]
+        assert together.value[t].tolist() == [x for a in alone for x in a.value[t].tolist()]
+    assert together.sizes.tolist() == [2, 2, 2, 0, 4, 3, 2]
+    assert together.counts[decontam.MERGED + 1].tolist() == [1, 2, 2, 0, 2, 3, 2]
