@@ -15,11 +15,11 @@ from itertools import repeat
 
 import numpy as np
 
-#: The words that a task remembers; beyond, it forgets all and starts anew.
+#: The words that a task remembers; beyond, it forgets those met only once and, if most were met again, all.
 MEMORY = 300_000
 
-#: Lower-case letters of Latin-1 with at most one point or comma after them: one piece of text, and one of punctuation.
-_PLAIN = re.compile("([a-z\xdf-\xf6\xf8-\xff]+)([.,]?)")
+#: Lower-case letters of Latin-1 with a few marks after them: one piece of text, and pieces of punctuation.
+_PLAIN = re.compile("([a-z\xdf-\xf6\xf8-\xff]+)([.,;:!?#$%&*]{0,4})")
 
 
 def default_path() -> str:
@@ -51,8 +51,22 @@ class WordTokenizer:
         self.letters = {i: _letters_of(chr(i)) for i in range(256)}
         self._forget()
 
+    def _forget_rare(self):
+        """Words met once go; the ids of the others move together."""
+        names = np.flatnonzero(self.met[: len(self.known)] > 1)
+        if 2 * len(names) > self.memory:
+            self._forget()
+            return
+        starts, sizes, flat = self.starts[names], self.sizes[names], self.flat
+        words = [word for word, n in self.known.items() if self.met[n] > 1]
+        self._forget()
+        for word, a, n in zip(words, starts.tolist(), sizes.tolist(), strict=True):
+            self._keep(word, flat[a : a + n])
+        self.met[: len(words)] = 1
+
     def _forget(self):
         self.known: dict[str, int] = {}
+        self.met = np.zeros(1 << 14, np.int64)
         self.flat = np.zeros(1 << 16, np.int32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.sizes = np.zeros(1 << 14, np.int32)
@@ -70,12 +84,13 @@ class WordTokenizer:
             words += _lowered(text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             counts.append(len(words))
         if len(self.known) > self.memory:
-            self._forget()
+            self._forget_rare()
         at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0)
         if len(missing):
             self._learn(list(dict.fromkeys(words[i] for i in missing)))
             at[missing] = np.fromiter((self.known[words[i]] for i in missing), np.int64, len(missing))
+        self.met[: len(self.known)] += np.bincount(at, minlength=len(self.known))
         sizes = self.sizes[at].astype(np.int64)
         ends = np.concatenate(([0], np.cumsum(sizes)))
         source = np.arange(ends[-1]) + np.repeat(self.starts[at] - ends[:-1], sizes)
@@ -86,7 +101,11 @@ class WordTokenizer:
         for word in words:
             found = _PLAIN.fullmatch(word) if self.plain else None
             if found:
-                ids = [t.id for t in self.model.tokenize(found[1].translate(self.letters))]
+                same = self.known.get(found[1]) if found[2] else None
+                if same is None:
+                    ids = [t.id for t in self.model.tokenize(found[1].translate(self.letters))]
+                else:
+                    ids = self.flat[self.starts[same] : self.starts[same] + self.sizes[same]].tolist()
                 if found[2]:
                     ids += self._mark(found[2])
                 self._keep(word, ids)
@@ -99,11 +118,12 @@ class WordTokenizer:
     def _mark(self, mark: str) -> list[int]:
         return self.library.encode(mark, add_special_tokens=False).ids
 
-    def _keep(self, word: str, ids: list[int]):
+    def _keep(self, word: str, ids):
         n = len(self.known)
         if n == len(self.starts):
             self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
             self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
+            self.met = np.concatenate((self.met, np.zeros_like(self.met)))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
         self.flat[self.used : self.used + len(ids)] = ids

@@ -42,6 +42,18 @@ def test_words_give_the_ids_of_the_text(memory):
             assert ids[a:b].tolist() == plain([text])[0][:-1].tolist(), text[:60]
 
 
+@pytest.mark.parametrize("memory", [3, 40])
+def test_words_met_again_outlive_a_full_memory(memory):
+    own, r = WordTokenizer(default_path(), memory), random.Random(7)
+    often = ["the", "cat!!", "été,", "is***", "x?!", "don't.", "a#$%&"]
+    for step in range(40):
+        words = [w for w in often for _ in range(2)] + [f"{r.choice('bcdfg')}{''.join(r.choice('aeiou') for _ in range(6))}{step % 3 * '!'}" for _ in range(8)]
+        text = " ".join(words)
+        ids, ends = own.encode([text])
+        assert ids.tolist() == plain([text])[0][:-1].tolist() and ends.tolist() == [0, len(ids)]
+    assert memory == 3 or set(often) <= own.known.keys()
+
+
 def test_other_tokenizers_encode_whole_texts():
     import public_tokenizers
 
