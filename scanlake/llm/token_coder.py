@@ -328,7 +328,7 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 1) -> None:
-    """Encodes the texts of ``doc_id, text`` and writes blocks in ascending order of doc_id (null first; ties by text).
+    """Encodes the texts of ``doc_id, text`` and writes blocks in ascending order of doc_id (null first; ties by a hash of the text).
 
     Null and empty texts are the end id alone. Each task writes one file of blocks, as rows of a Parquet table whose
     ``payload`` is the block; ``before`` counts the ids of earlier blocks of the file.
@@ -337,7 +337,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // FILE_BYTES), min(2 * rows.sparkSession.sparkContext.defaultParallelism, size >> 20))
-    ordered = rows.repartitionByRange(int(parts), "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id are told apart by their texts, equal rows only by where they were read, so that a hot id fills many files.
+    rows = rows.withColumn("_text", F.xxhash64("text")).withColumn("_from", F.spark_partition_id())
+    ordered = rows.repartitionByRange(int(parts), "doc_id", "_text", "_from").sortWithinPartitions("doc_id", "_text", "text")
+    ordered = ordered.select("doc_id", "text")
     writer = ordered.mapInArrow(_encode(path, end_id), _BLOCKS).write.mode("errorifexists")
     writer.option("compression", "none").parquet(folder)
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from scanlake.llm import packing, token_coder
@@ -126,6 +127,20 @@ def test_token_files_of_null_ids_repeats_and_nothing(spark):
     ]
 
 
+def test_a_hot_id_fills_many_files(spark, tmp_path):
+    rows = [(None, f"word{i % 50} " * 400) for i in range(3000)] + [(7, "same text " * 300)] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    token_coder.write_token_files(docs, str(tmp_path / "files"))
+    blocks = spark.read.parquet(str(tmp_path / "files"))
+    counts = [r.n for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()]
+    assert len(counts) > 3 and max(counts) < 0.7 * sum(counts)
+    found = token_coder.read_token_files(spark, str(tmp_path / "files")).collect()
+    assert len(found) == len(rows) and sum(r.doc_id is None for r in found) == 3000
+    found.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [None] * 3000 + [7] * 2000
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
+
+
 def check_pieces(found, ids_of, window):
     docs, sequences = defaultdict(list), defaultdict(list)
     for r in found:
