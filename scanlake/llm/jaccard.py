@@ -8,10 +8,16 @@ lacks at most a share eps of its n-grams, so replicating a point to the regions
 partners meet in one region. The empty set is a pivot too: sizes of partners differ by a factor of at most 1 / (1 - eps), so each
 region is cut into rings of sizes, and a point is in its ring and the next. Regions with one point end here.
 
+A member's place is the number of its n-grams that are rarer than the region's own. Partners have to meet only in the region of the first n-gram
+that they share; there, none of the rarer ones is shared, so two places bound the similarity from above. Members whose place is too high for
+the lowest place in the region leave it, and a member is high if no other high one can be its partner: pivots are low members, and a region
+without low ones ends. So near copies with edits of their own, too many for a link, do not meet one another.
+
 In the levels below, points of the region are pivots. All members' distances to them are computed. A pivot is then done with: all its
 links are known. Members within RADIUS of a pivot form its region, the first such pivot's if there are more; those of no pivot form the rest.
 By the triangle inequality, a partner of a member of a pivot's region is at most RADIUS + eps from that pivot, so members in
-that window are replicated there. The join recurses, with more pivots from level to level, until no region has two members left.
+that window are replicated there. The join recurses, with more pivots from level to level, until no region has two members left. Where all low
+members are pivots, the region ends with that level; only links matter there and between pivots, so only pairs that places allow are compared.
 
 Links found are used at once: after each level the components of all links so far give points their labels. Points of one label need no
 comparison. A region of one label ends; pivots are taken from as many labels as there are; members with the label of their region's
@@ -47,6 +53,8 @@ FILTER_BITS = 24
 #: Distance from a pivot up to which points are in its region, and how many times more pivots each level has.
 RADIUS = 0.3
 MORE_PIVOTS = 4
+#: A region of so many low members takes all of them as pivots.
+FEW = 8
 #: Pairs of pivot and point up to which a level's pairs are broadcast (16 bytes each); more of them are shuffled.
 BROADCAST_PAIRS = 500_000
 #: Texts, and pairs of sets, that a task takes at once.
@@ -234,19 +242,16 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["pk", "k", "shared", "together"])
 
 
-def _far(limit: float):
-    """Which pairs are farther apart than ``limit`` for sure."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            far = []
-            for a, b, n, m in zip(col["sketch"], col["pivot_sketch"], col["n"].to_pylist(), col["pn"].to_pylist(), strict=True):
-                differ = least_difference(a.as_buffer(), b.as_buffer())
-                far.append(2 * differ > limit * (n + m + differ))
-            yield pa.RecordBatch.from_arrays([col["pk"], col["k"], pa.array(far, pa.bool_())], ["pk", "k", "far"])
-
-    return work
+def _far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which pairs are farther apart than their ``limit`` for sure."""
+    for batch in batches:
+        col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        far = []
+        numbers = (col[name].to_pylist() for name in ("n", "pn", "limit"))
+        for a, b, n, m, limit in zip(col["sketch"], col["pivot_sketch"], *numbers, strict=True):
+            differ = least_difference(a.as_buffer(), b.as_buffer())
+            far.append(2 * differ > limit * (n + m + differ))
+        yield pa.RecordBatch.from_arrays([col["pk"], col["k"], pa.array(far, pa.bool_())], ["pk", "k", "far"])
 
 
 def _pairs_with(pairs: DataFrame, table: DataFrame, columns: tuple[str, ...], small: bool) -> DataFrame:
@@ -262,11 +267,10 @@ def _pairs_with(pairs: DataFrame, table: DataFrame, columns: tuple[str, ...], sm
 
 
 def _distances(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``pk, k, linked, distance`` of the pairs of pivot and point; 1 for those beyond all windows."""
-    limit = RADIUS + 1 - num / den + 2 * _SLACK
+    """``pk, k, linked, distance`` of the pairs of pivot and point (with their ``limit``); 1 for those that are farther apart."""
     small = pairs.count() <= BROADCAST_PAIRS
     sketched = _pairs_with(pairs, points, ("sketch", "n"), small)
-    judged = written(sketched.mapInArrow(_far(limit), "pk long, k long, far boolean"), "judged")
+    judged = written(sketched.mapInArrow(_far, "pk long, k long, far boolean"), "judged")
     both = _pairs_with(judged.where("NOT far").select("pk", "k"), sets, ("grams",), small)
     # A filter of points may let through two documents of one set.
     measured = both.mapInArrow(_common, "pk long, k long, shared long, together long").groupBy("pk", "k").agg(
@@ -281,24 +285,44 @@ def _distances(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, d
     return near.unionByName(judged.where("far").select("pk", "k", F.lit(False).alias("linked"), F.lit(1.0).alias("distance")))
 
 
-def _of_members(cells: DataFrame, *more: Column) -> DataFrame:
-    """The regions of two members at least with their aggregates ``more``; of regions with the same members, one."""
-    sums = cells.groupBy("region").agg(
-        F.count("*").alias("m"), F.bit_xor(F.xxhash64("k")).alias("x"), F.bit_xor(F.xxhash64("k", F.lit(1))).alias("y"), *more
-    ).where("m > 1")
-    rest = [c for c in sums.columns if c not in ("m", "x", "y")]
-    return sums.groupBy("m", "x", "y").agg(F.min_by(F.struct(*rest), "region").alias("s")).select("s.*")
+def _low(num: int, den: int) -> Column:
+    """Whether a member (its place ``p``, ``n`` n-grams) can be the partner of another with such a place."""
+    return 2 * num * F.col("p") <= (den - num) * (F.col("n") - F.col("p"))
+
+
+def _placed(cells: DataFrame, num: int, den: int) -> DataFrame:
+    """The members whose place is low enough for the lowest one of their region."""
+    lowest = cells.groupBy("region").agg(F.min("p").alias("lowest"), F.count("*").alias("m")).where("m > 1").drop("m")
+    fits = num * (F.col("p") + F.col("lowest")) <= (den - num) * (F.col("n") - F.col("p"))
+    return cells.join(lowest, "region").where(fits).drop("lowest")
+
 
+def _of_members(cells: DataFrame, low: Column, *more: Column) -> DataFrame:
+    """The regions of two members at least, a ``low`` one among them, with their aggregates ``more``.
 
-def _first_regions(entries: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
-    """``region, k, label`` for the n-grams and rings of sizes that hold two points at least; each point is its own label."""
-    often = written(entries.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").drop("m"), "regions")
-    shared = entries.join(often, "region").distinct().join(points.select("k", "n"), "k")
+    Of regions with the same members one stays, that of the rarest n-gram: all its members' places are the lowest.
+    """
+    sums = cells.groupBy("region").agg(
+        F.count("*").alias("m"),
+        F.bit_xor(F.xxhash64("k")).alias("x"),
+        F.bit_xor(F.xxhash64("k", F.lit(1))).alias("y"),
+        F.sum("p").alias("places"),
+        F.max(low).alias("low"),
+        *more,
+    ).where("m > 1 AND low")
+    rest = [c for c in sums.columns if c not in ("m", "x", "y", "places", "low")]
+    return sums.groupBy("m", "x", "y").agg(F.min_by(F.struct(*rest), F.struct("places", "region")).alias("s")).select("s.*")
+
+
+def _first_regions(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """``region, k, label, p, n`` for the n-grams and rings of sizes that hold two points at least; each point is its own label."""
+    shared = written(_placed(entries, num, den).distinct(), "regions")
     ring = F.log(F.col("n")) / math.log(den / num)
     rings = F.sequence(F.floor(ring - _SLACK), F.floor(ring + 1 + _SLACK)) if num < den else F.array(F.col("n"))
-    cells = shared.select(F.explode(rings).alias("ring"), "region", "k").select(F.xxhash64("region", "ring").alias("region"), "k")
-    cells = written(cells, "cells")
-    return written(cells.join(_of_members(cells), "region").select("region", "k", F.col("k").alias("label")), "entries")
+    cells = shared.select(F.explode(rings).alias("ring"), "region", "k", "p", "n")
+    cells = written(_placed(cells.select(F.xxhash64("region", "ring").alias("region"), "k", "p", "n"), num, den), "cells")
+    open_ = _of_members(cells, _low(num, den))
+    return written(cells.join(open_, "region").select("region", "k", F.col("k").alias("label"), "p", "n"), "entries")
 
 
 def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
@@ -323,33 +347,59 @@ def _mixed(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The members with their labels, of regions that hold more than one label."""
     if labels is None:
         return rows
-    now = rows.select("region", "k").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
+    now = rows.drop("label").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
     open_ = now.groupBy("region").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("region")
     return written(now.join(open_, "region"), "mixed")
 
 
-def _pivots(rows: DataFrame, number: int) -> DataFrame:
-    """``region, pk, number``: the first points of each region, of as many labels as possible."""
-    if number > 1:
-        same = Window.partitionBy("region", "label").orderBy("k")
-        rows = rows.withColumn("rank", F.row_number().over(same)).where(F.col("rank") <= number)
-    else:
-        rows = rows.withColumn("rank", F.lit(1))
-    order = Window.partitionBy("region").orderBy("rank", "k")
-    first = rows.withColumn("number", F.row_number().over(order)).where(F.col("number") <= number)
-    return written(first.select("region", F.col("k").alias("pk"), "number"), "pivots")
+def _pivots(rows: DataFrame, number: int, low: Column) -> DataFrame:
+    """``region, pk, number, last`` and the pivot's ``label, p, n``: low points, the lowest of as many labels as possible.
+
+    ``last`` says that all low points of the region are pivots.
+    """
+    most = max(number, FEW)
+    rows = rows.where(low)
+    lows = rows.groupBy("region").agg((F.count("*") <= most).alias("last"))
+    same = Window.partitionBy("region", "label").orderBy("p", "k")
+    order = Window.partitionBy("region").orderBy("rank", "p", "k")
+    ranked = rows.withColumn("rank", F.row_number().over(same)).where(F.col("rank") <= most)
+    first = ranked.withColumn("number", F.row_number().over(order)).where(F.col("number") <= most)
+    first = first.join(lows, "region").where(F.col("last") | (F.col("number") <= number))
+    return written(
+        first.select("region", F.col("k").alias("pk"), "number", "last", F.col("label").alias("pivot_label"), F.col("p").alias("pp"), F.col("n").alias("pn")),
+        "pivots",
+    )
+
 
+def _pairs(rows: DataFrame, pivots: DataFrame, num: int, den: int) -> DataFrame:
+    """``pk, k, limit``: pivots and members, and the distance up to which they have to be known.
 
-def _next_regions(rows: DataFrame, pivots: DataFrame, distances: DataFrame, eps: float, level: int) -> DataFrame:
-    """The members of the regions below; see the module's text."""
-    of_pivots = rows.join(pivots, [rows["region"] == pivots["region"], rows["k"] == pivots["pk"]])
-    of_pivots = of_pivots.select(rows["region"], "pk", "number", F.col("label").alias("pivot_label"))
+    The members of regions that go on are measured with each pivot. Else only links matter: of one label there is nothing to
+    find, two pivots are one pair, and places bound the n-grams in common.
+    """
+    eps = 1 - num / den
+    is_pivot = pivots.select("region", F.col("pk").alias("k"), F.lit(True).alias("pivot"))
+    both = rows.join(pivots, "region").where("k <> pk").join(is_pivot, ["region", "k"], "left").withColumn("pivot", F.coalesce("pivot", F.lit(False)))
+    common = F.least(F.col("n") - F.col("p"), F.col("pn") - F.col("pp"))
+    may_link = (den + num) * common >= num * (F.col("n") + F.col("pn"))
+    once = ~F.col("pivot") | (F.col("pk") < F.col("k"))
+    links_only = F.col("last") | F.col("pivot")
+    asked = both.where(~links_only | (may_link & once & (F.col("label") != F.col("pivot_label"))))
+    limit = F.when(links_only, F.lit(eps + 2 * _SLACK)).otherwise(F.lit(RADIUS + eps + 2 * _SLACK))
+    return written(asked.groupBy("pk", "k").agg(F.max(limit).alias("limit")), "pairs")
+
+
+def _next_regions(rows: DataFrame, pivots: DataFrame, distances: DataFrame, num: int, den: int, level: int) -> DataFrame:
+    """The members of the regions below those of ``pivots``; see the module's text."""
+    eps = 1 - num / den
+    label = rows.select("region", F.col("k").alias("pk"), F.col("label").alias("pivot_label"))
+    of_pivots = pivots.select("region", "pk", "number").join(label, ["region", "pk"])
     measured = (
         rows.join(of_pivots, "region")
         .join(distances, ["pk", "k"])
-        .select("region", "k", "label", "number", (F.col("label") == F.col("pivot_label")).alias("linked"), F.col("distance").alias("d"))
+        .select("region", "k", "label", "p", "n", "number", (F.col("label") == F.col("pivot_label")).alias("linked"), F.col("distance").alias("d"))
     )
-    members = measured.groupBy("region", "k").agg(
+    members = measured.groupBy("region", "k", "p", "n").agg(
         F.first("label").alias("label"),
         F.min(F.when(F.col("d") <= RADIUS, F.col("number"))).alias("own"),
         F.collect_list(F.when(F.col("d") <= RADIUS + eps + _SLACK, F.struct("number", "d", "linked"))).alias("near"),
@@ -358,35 +408,37 @@ def _next_regions(rows: DataFrame, pivots: DataFrame, distances: DataFrame, eps:
     inside = F.filter("near", lambda p: F.col("own").isNull() | (p["number"] <= F.col("own")))
     rest = F.array(F.struct(F.lit(0).alias("number"), F.lit(1.0).alias("d"), F.lit(False).alias("linked")))
     places = F.when(F.col("own").isNull(), F.concat(inside, rest)).otherwise(inside)
-    cells = members.select("region", "k", "label", F.explode(places).alias("c")).select(
-        F.xxhash64("region", F.lit(level), "c.number").alias("region"), "k", "label", "c.number", "c.d", "c.linked"
+    cells = members.select("region", "k", "label", "p", "n", F.explode(places).alias("c")).select(
+        F.xxhash64("region", F.lit(level), "c.number").alias("region"), "k", "label", "p", "n", "c.number", "c.d", "c.linked"
     )
-    cells = written(cells, "cells")
+    cells = written(_placed(cells, num, den), "cells")
     least = F.min(F.when(~F.col("linked"), F.col("d"))).alias("least")
-    open_ = _of_members(cells, least, F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b AND least IS NOT NULL")
+    ends = (F.min("label").alias("a"), F.max("label").alias("b"))
+    open_ = _of_members(cells, _low(num, den), least, *ends).where("a <> b AND least IS NOT NULL")
     kept = cells.join(open_.select("region", "least"), "region").where(
         (F.col("number") == 0) | ~F.col("linked") | (F.col("d") >= F.col("least") - eps - _SLACK)
     )
-    return written(kept.select("region", "k", "label"), "entries")
+    return written(kept.select("region", "k", "label", "p", "n"), "entries")
 
 
 def linked_labels(entries: DataFrame, points: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """``k, label`` of the points that have a link: the least key of their component. Each link that is used is exact."""
     spark = points.sparkSession
-    eps = 1 - num / den
-    rows = _first_regions(entries, points, num, den)
+    rows = _first_regions(entries, num, den)
     wanted = points.join(rows.select("k").distinct(), "k", "left_semi").select("k", "rep")
     bits = spark.sparkContext.broadcast(_filter(wanted))
     with small_batches(spark, TEXT_ROWS):
         sets = written(texts.mapInArrow(_sets(words, bits), "k long, grams binary"), "sets")
     labels, level = None, 0
     while not rows.isEmpty():
-        pivots = _pivots(rows, MORE_PIVOTS**level)
-        pairs = written(rows.join(pivots, "region").where("k <> pk").select("pk", "k").distinct(), "pairs")
+        pivots = _pivots(rows, MORE_PIVOTS**level, _low(num, den))
+        pairs = _pairs(rows, pivots, num, den)
         with small_batches(spark, PAIR_ROWS):
             distances = written(_distances(pairs, points, sets, num, den), "distances")
         labels = _relabelled(labels, distances.where("linked").select(F.col("pk").alias("a"), F.col("k").alias("b")))
-        rows = _next_regions(_mixed(rows, labels), pivots, distances, eps, level)
+        pivots = pivots.where("NOT last")
+        rows = _mixed(rows.join(pivots.select("region").distinct(), "region", "left_semi"), labels)
+        rows = _next_regions(rows, pivots, distances, num, den, level)
         level += 1
     return spark.createDataFrame([], "k long, label long") if labels is None else labels
 
@@ -406,7 +458,7 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame
     points = written(
         every.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch", True).alias("sketch")), "points"
     )
-    entries = every.select(F.explode("prefix").alias("region"), "k")
+    entries = every.select(F.posexplode("prefix").alias("p", "region"), "k", "n")
     return every, points, linked_labels(entries, points, rows, words, num, den)
 
 
