@@ -22,6 +22,8 @@ members are pivots, the region ends with that level; only links matter there and
 Links found are used at once: after each level the components of all links so far give points their labels. Points of one label need no
 comparison. A region of one label ends; pivots are taken from as many labels as there are; members with the label of their region's
 pivot go on only if a member of another label lies within eps of their distance. So a group of near copies costs its size, not its square.
+Members of one size and place form a cell, cut in two by whether they have the region's most frequent label; sizes and places say which cells can
+hold partners. Where that leaves few pairs for the members, they are compared, and the region ends.
 Regions with the same members are one region.
 
 Level 1 is what is known as prefix filtering with a size filter.
@@ -55,6 +57,8 @@ RADIUS = 0.3
 MORE_PIVOTS = 4
 #: A region of so many low members takes all of them as pivots.
 FEW = 8
+#: A region with at most so many cells is looked at for ending by its cells' pairs, of which there are FEW for each member at most.
+CELLS = 256
 #: Pairs of pivot and point up to which a level's pairs are broadcast (16 bytes each); more of them are shuffled.
 BROADCAST_PAIRS = 500_000
 #: Texts, and pairs of sets, that a task takes at once.
@@ -371,11 +375,11 @@ def _pivots(rows: DataFrame, number: int, low: Column) -> DataFrame:
     )
 
 
-def _pairs(rows: DataFrame, pivots: DataFrame, num: int, den: int) -> DataFrame:
+def _pairs(rows: DataFrame, pivots: DataFrame, num: int, den: int, more: DataFrame | None) -> DataFrame:
     """``pk, k, limit``: pivots and members, and the distance up to which they have to be known.
 
     The members of regions that go on are measured with each pivot. Else only links matter: of one label there is nothing to
-    find, two pivots are one pair, and places bound the n-grams in common.
+    find, two pivots are one pair, and places bound the n-grams in common. Of ``more`` pairs, too, only links matter.
     """
     eps = 1 - num / den
     is_pivot = pivots.select("region", F.col("pk").alias("k"), F.lit(True).alias("pivot"))
@@ -386,7 +390,39 @@ def _pairs(rows: DataFrame, pivots: DataFrame, num: int, den: int) -> DataFrame:
     links_only = F.col("last") | F.col("pivot")
     asked = both.where(~links_only | (may_link & once & (F.col("label") != F.col("pivot_label"))))
     limit = F.when(links_only, F.lit(eps + 2 * _SLACK)).otherwise(F.lit(RADIUS + eps + 2 * _SLACK))
-    return written(asked.groupBy("pk", "k").agg(F.max(limit).alias("limit")), "pairs")
+    asked = asked.select("pk", "k", limit.alias("limit"))
+    if more is not None:
+        asked = asked.unionByName(more.withColumn("limit", F.lit(eps + 2 * _SLACK)))
+    return written(asked.groupBy("pk", "k").agg(F.max("limit").alias("limit")), "pairs")
+
+
+def _by_cells(rows: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """``pk, k`` of the members that sizes and places let link, for the regions where those are few; and the rows of the other regions."""
+    main = rows.groupBy("region", "label").agg(F.count("*").alias("c")).groupBy("region").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
+    # The largest size that a partner can have.
+    reach = F.floor(((den + num) * (F.col("n") - F.col("p")) - num * F.col("n")) / F.lit(num)).cast("long")
+    members = rows.join(main, "region").withColumn("in_main", F.col("label") == F.col("main")).withColumn("reach", reach + 1)
+    cell = ["region", "n", "reach", "in_main"]
+    cells = members.groupBy(*cell).agg(F.count("*").alias("c"))
+    few = cells.groupBy("region").agg(F.count("*").alias("cells"), F.sum("c").alias("m")).where(F.col("cells") <= CELLS)
+    cells = written(cells.join(few, "region"), "kinds")
+    other = cells.select("region", *(F.col(c).alias(f"{c}_2") for c in ("n", "reach", "in_main", "c")))
+    both = cells.join(other, "region").where("n <= reach_2 AND n_2 <= reach AND NOT (in_main AND in_main_2)")
+    least = F.struct("n", "reach", "in_main") <= F.struct("n_2", "reach_2", "in_main_2")
+    both = written(both.where(least).drop("cells"), "kinds")
+    # Regions without such cells end too.
+    made = cells.groupBy("region").agg(F.first("m").alias("m")).join(both.groupBy("region").agg(F.sum(F.col("c") * F.col("c_2")).alias("made")), "region", "left")
+    done = written(made.where(F.coalesce("made", F.lit(0)) <= FEW * F.col("m")).select("region"), "done")
+    second = members.select("region", F.col("k").alias("pk"), F.col("label").alias("label_2"), *(F.col(c).alias(f"{c}_2") for c in ("n", "reach", "in_main")))
+    found = (
+        both.join(done, "region")
+        .select("region", "n", "reach", "in_main", "n_2", "reach_2", "in_main_2")
+        .join(members.select(*cell, "k", "label"), cell)
+        .join(second, ["region", "n_2", "reach_2", "in_main_2"])
+        .where("label <> label_2")
+    )
+    ends = (F.greatest("pk", "k").alias("pk"), F.least("pk", "k").alias("k"))
+    return found.select(*ends).distinct(), rows.join(done, "region", "left_anti")
 
 
 def _next_regions(rows: DataFrame, pivots: DataFrame, distances: DataFrame, num: int, den: int, level: int) -> DataFrame:
@@ -429,16 +465,18 @@ def linked_labels(entries: DataFrame, points: DataFrame, texts: DataFrame, words
     bits = spark.sparkContext.broadcast(_filter(wanted))
     with small_batches(spark, TEXT_ROWS):
         sets = written(texts.mapInArrow(_sets(words, bits), "k long, grams binary"), "sets")
-    labels, level = None, 0
-    while not rows.isEmpty():
+    labels, level, direct = None, 0, None
+    while not rows.isEmpty() or direct is not None and not direct.isEmpty():
         pivots = _pivots(rows, MORE_PIVOTS**level, _low(num, den))
-        pairs = _pairs(rows, pivots, num, den)
+        pairs = _pairs(rows, pivots, num, den, direct)
         with small_batches(spark, PAIR_ROWS):
             distances = written(_distances(pairs, points, sets, num, den), "distances")
         labels = _relabelled(labels, distances.where("linked").select(F.col("pk").alias("a"), F.col("k").alias("b")))
         pivots = pivots.where("NOT last")
         rows = _mixed(rows.join(pivots.select("region").distinct(), "region", "left_semi"), labels)
         rows = _next_regions(rows, pivots, distances, num, den, level)
+        direct, rows = _by_cells(rows, num, den)
+        direct, rows = written(direct, "direct"), written(rows, "entries")
         level += 1
     return spark.createDataFrame([], "k long, label long") if labels is None else labels
 
