@@ -400,8 +400,8 @@ def _by_cells(rows: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame
     """``pk, k`` of the members that sizes and places let link, for the regions where those are few; and the rows of the other regions."""
     main = rows.groupBy("region", "label").agg(F.count("*").alias("c")).groupBy("region").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
     # The largest size that a partner can have.
-    reach = F.floor(((den + num) * (F.col("n") - F.col("p")) - num * F.col("n")) / F.lit(num)).cast("long")
-    members = rows.join(main, "region").withColumn("in_main", F.col("label") == F.col("main")).withColumn("reach", reach + 1)
+    reach = F.expr(f"({den + num} * (n - p) - {num} * n) div {num}")
+    members = rows.join(main, "region").withColumn("in_main", F.col("label") == F.col("main")).withColumn("reach", reach)
     cell = ["region", "n", "reach", "in_main"]
     cells = members.groupBy(*cell).agg(F.count("*").alias("c"))
     few = cells.groupBy("region").agg(F.count("*").alias("cells"), F.sum("c").alias("m")).where(F.col("cells") <= CELLS)
