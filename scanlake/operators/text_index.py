@@ -9,17 +9,20 @@ written delta-coded by the file format.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from zlib import crc32
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanlake.functions.binding import bound
 from scanlake.operators.search import _NO_WORD
 
 BUCKETS = 64
 #: Documents of one range: what the postings of one term in one row hold at most.
 RANGE = 4096
+#: Ranges that share a task when the index is written; each such part of a bucket has its own file.
+RANGES = 64
 
 
 def bucket_of(term: str) -> int:
@@ -39,22 +42,55 @@ def write_text_index(docs: DataFrame, path: str, id: str = "doc_id", text: str =
     """Write the index of ``text``: words are runs of letters, digits and underscores, in lower case, and count from 0 in a document.
 
     ``id`` is an integer; rows with one id are found as one document that has the words of all. Rows without an id or a text
-    are left out. Words are grouped where they are read before they are shuffled by (term, range).
+    are left out.
+    """
+    index_rows(docs, id, text, span).sortWithinPartitions("bucket", "term", "first").write.partitionBy("bucket").option(
+        "parquet.writer.version", "v2"
+    ).mode("errorifexists").parquet(path)
+
+
+def index_rows(docs: DataFrame, id: str, text: str, span: int) -> DataFrame:
+    """The rows of the index, those of one file in one task.
+
+    The places of a word are put together inside its text; the postings are shuffled once, to the file they are written to.
     """
-    low = F.floor(F.col(id) / span).cast("long")
     # An empty word, before a leading mark or behind a last one, keeps its number but is no term.
-    words = docs.where(F.col(id).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(id).cast("long").alias("id"), low.alias("range"), F.posexplode(F.split(F.lower(F.col(text)), f"{_NO_WORD}+")).alias("place", "term")
-    )
-    in_doc = words.where("term <> ''").groupBy("term", "range", "id").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    rows = in_doc.groupBy("term", "range").agg(F.sort_array(F.collect_list(F.struct((F.col("id") - F.col("range") * span).cast("int").alias("offset"), "places"))).alias("d"))
-    index = rows.select(
+    split = F.split(F.lower(F.col(text)), f"{_NO_WORD}+")
+    words = F.filter(F.transform(split, lambda w, i: F.struct(w.alias("term"), i.alias("place"))), lambda w: w["term"] != "")
+    by_term = _grouped(F.sort_array(words), "term", lambda run: F.transform(run, lambda w: w["place"]))
+    texts = docs.where(F.col(id).isNotNull() & F.col(text).isNotNull())
+    postings = texts.select(F.col(id).cast("long").alias("id"), F.explode(by_term).alias("w"))
+    range_ = F.floor(F.col("id") / span).cast("long")
+    bucket = F.crc32(F.col("w.key").cast("binary")) % BUCKETS
+    slot = (F.floor(range_ / RANGES) * BUCKETS + bucket).cast("long").alias("slot")
+    dealt = postings.select(slot, F.col("w.key").alias("term"), "id", F.col("w.found").alias("places")).repartition("slot")
+    offset = (F.col("id") - F.col("range") * span).cast("int").alias("offset")
+    rows = dealt.withColumn("range", range_).groupBy("slot", "term", "range").agg(F.sort_array(F.collect_list(F.struct(offset, "places"))).alias("d"))
+    # Rows with one id become one.
+    together = _grouped(F.col("d"), "offset", lambda run: F.sort_array(F.flatten(F.transform(run, lambda x: x["places"]))))
+    together = F.transform(together, lambda x: F.struct(x["key"].alias("offset"), x["found"].alias("places")))
+    repeated = F.size(F.array_distinct(F.col("d.offset"))) < F.size("d")
+    rows = rows.withColumn("d", F.when(repeated, together).otherwise(F.col("d")))
+    return rows.select(
         "term", (F.col("range") * span).alias("first"), F.col("d.offset").alias("offsets"), F.col("d.places").alias("places"),
-        (F.crc32(F.col("term").cast("binary")) % BUCKETS).cast("int").alias("bucket"),
+        F.pmod("slot", F.lit(BUCKETS)).cast("int").alias("bucket"),
     )
-    index.repartition("bucket").sortWithinPartitions("bucket", "term", "first").write.partitionBy("bucket").option(
-        "parquet.writer.version", "v2"
-    ).mode("errorifexists").parquet(path)
+
+
+def _grouped(rows: Column, key: str, found: Callable[[Column], Column]) -> Column:
+    """A sorted array of structs by ``key``, as (key, found): what is made of the rows of each key. Null for an empty array."""
+
+    def runs(sorted_: Column) -> Column:
+        of = lambda i: F.element_at(sorted_, i)[key]
+        firsts = F.filter(F.sequence(F.lit(1), F.size(sorted_)), lambda i: (i == 1) | (of(F.greatest(i - 1, F.lit(1))) != of(i)))
+
+        def run(at: Column, first: Column, k: Column) -> Column:
+            after = F.coalesce(F.get(at, k + 1), F.size(sorted_) + 1)
+            return F.struct(of(first).alias("key"), found(F.slice(sorted_, first, after - first)).alias("found"))
+
+        return bound(firsts, lambda at: F.transform(at, lambda first, k: run(at, first, k)))
+
+    return bound(rows, lambda sorted_: F.when(F.size(sorted_) > 0, runs(sorted_)))
 
 
 def read_terms(spark: SparkSession, path: str, terms: Sequence[str]) -> DataFrame:

@@ -58,3 +58,16 @@ def test_queries_without_a_word_and_other_operators(spark, index):
         text_index.match_index(spark, index[0], "...")
     with pytest.raises(ValueError):
         text_index.match_index(spark, index[0], "the", "xor")
+
+
+def test_postings_are_shuffled_once_and_rows_of_one_id_are_one(spark):
+    docs = spark.createDataFrame([(5, "the x the"), (5, "of the"), (9000, "the"), (9000 * 64, "the"), (7, "..."), (-3, "the of")], "id long, t string").repartition(4)
+    rows = text_index.index_rows(docs, "id", "t", 4096)
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+    found = {(r.term, r["first"]): (r.offsets, r.places) for r in rows.collect()}
+    assert found == {
+        ("the", 0): ([5], [[0, 1, 2]]), ("x", 0): ([5], [[1]]), ("of", 0): ([5], [[0]]), ("the", -4096): ([4093], [[0]]), ("of", -4096): ([4093], [[1]]),
+        ("the", 8192): ([808], [[0]]), ("the", 573440): ([2560], [[0]]),
+    }
+    assert {r.term: r.bucket for r in rows.collect()} == {t: text_index.bucket_of(t) for t in ("the", "x", "of")}
