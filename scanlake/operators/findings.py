@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scanlake import schemas
 from scanlake.functions import nested
+from scanlake.functions.binding import bound
 from scanlake.functions.secrets import DEFAULT_RULES, SecretRule, find_secrets, may_hold, redact
 from scanlake.sources.records import decode_records, record_array
 
@@ -196,6 +197,7 @@ _PHASES = {
     "dev": "", "a": "1a", "alpha": "1a", "b": "1b", "beta": "1b", "c": "1rc", "rc": "1rc", "pre": "1rc",
     "preview": "1rc", "post": "3", "rev": "3", "r": "3",
 }
+_MARK = "\x01"
 _VERSION = (
     r"^\s*[vV=]?(?:([0-9]+)!)?([0-9][0-9.]*)"
     r"(?:-([0-9A-Za-z.-]+)|[._-]?((?i)dev|alpha|a|beta|b|rc|c|preview|pre|post|rev|r)[._-]?([0-9]*))?"
@@ -205,7 +207,8 @@ _VERSION = (
 
 def _number(digits: Column) -> Column:
     """A text that sorts as the number does, whatever its length."""
-    plain = F.regexp_replace(digits, r"^0+(?!$)", "")
+    # Of zeros alone one stays.
+    plain = F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.left(digits, F.lit(1)))
     return F.concat(F.lpad(F.length(plain), 10, "0"), plain)
 
 
@@ -217,13 +220,14 @@ def version_key(version: Column) -> Column:
     leading v, zeros at the end and build metadata do not count: v1.2.0, 1.2 and 1.2+x are
     one version.
     """
-    epoch, release, identifiers, word, count = [F.regexp_extract(version, _VERSION, i) for i in range(1, 6)]
-    zero = F.lit("00000000010")
-    numbers = F.transform(F.split(F.rtrim(release, F.lit(".")), r"\."), _number)
-    last = F.array_position(F.transform(F.reverse(numbers), lambda x: x != zero), True)
-    kept = F.when(last == 0, F.slice(numbers, 1, 1)).otherwise(
-        F.slice(numbers, F.lit(1), (F.size(numbers) - last + 1).cast("int"))
-    )
+    # One search gives all groups; a text that matches holds no mark.
+    groups = "".join(f"{_MARK}${i}" for i in range(1, 6))
+    return bound(F.split(F.when(~F.contains(version, F.lit(_MARK)), F.regexp_replace(version, _VERSION, groups)), _MARK), _key_of_groups)
+
+
+def _key_of_groups(parts: Column) -> Column:
+    """The key of the groups of ``_VERSION`` behind an empty text; null for a text that did not match."""
+    epoch, release, identifiers, word, count = [F.get(parts, F.lit(i)) for i in range(1, 6)]
     names = F.transform(
         F.split(identifiers, r"\."),
         lambda x: F.when(F.rlike(x, F.lit("^[0-9]+$")), F.concat(F.lit("0"), _number(x))).otherwise(
@@ -235,12 +239,30 @@ def version_key(version: Column) -> Column:
     phase = F.when(identifiers != "", names).when(word != "", suffix).otherwise(F.array(F.lit("2")))
     empty_part = F.contains(release, F.lit("..")) | (F.endswith(release, F.lit(".")) & (word == ""))
     empty_name = F.rlike(identifiers, F.lit(r"^\.|\.\.|\.$"))
+    kept = bound(F.transform(F.split(F.rtrim(release, F.lit(".")), r"\."), _number), _without_zeros)
     key = F.struct(
         _number(F.when(epoch == "", "0").otherwise(epoch)).alias("epoch"), kept.alias("release"), phase.alias("phase")
     )
     return F.when((release != "") & ~empty_part & ~empty_name, key)
 
 
+def _without_zeros(numbers: Column) -> Column:
+    """The numbers up to the last that is not zero; the first one stays."""
+    last = F.array_position(F.transform(F.reverse(numbers), lambda x: x != F.lit("00000000010")), True)
+    return F.when(last == 0, F.slice(numbers, 1, 1)).otherwise(
+        F.slice(numbers, F.lit(1), (F.size(numbers) - last + 1).cast("int"))
+    )
+
+
+def with_version_key(df: DataFrame, version: str = "version", key: str = "_key") -> DataFrame:
+    """``df`` with the comparable form of its versions, without the rows whose version has no known order.
+
+    As a generated column the key is made once for each row: a filter on it would be copied below, and to
+    the other side of a join.
+    """
+    return df.select("*", F.explode(F.array_compact(F.array(version_key(F.col(version))))).alias(key))
+
+
 def unread_versions(df: DataFrame, version: str = "version") -> DataFrame:
     """Rows whose version has no known order, unchanged: ``match_vulnerabilities`` cannot compare them."""
     return df.filter(version_key(F.col(version)).isNull())
@@ -253,20 +275,21 @@ def match_vulnerabilities(deps: DataFrame, advisories: DataFrame) -> DataFrame:
     package, introduced ('' or '0' = every version), fixed ('' = not fixed) and any other
     columns. Versions of no known order match nothing and are listed by ``unread_versions``.
 
-    Each distinct (ecosystem, package, version) is compared once, however many inventories
-    hold it; the matches then join back. No side is broadcast by hint: Spark does so only
-    where its size check allows, and splits skewed partitions of the big side otherwise.
+    Each distinct (ecosystem, package, version) is read and compared once, however many inventories
+    hold it; the matches then join back. Both joins sort: built from a few numbers of a small file, a table can
+    be many times the size that Spark expects and broadcasts. Skewed partitions of the big side are split.
     """
     coordinates = ["ecosystem", "package", "version"]
     extra = [name for name in advisories.columns if name not in ("ecosystem", "package")]
-    ranges = advisories.withColumn("_low", version_key(F.col("introduced"))).withColumn(
+    # Ranges come from few files and are read by all tasks.
+    spread = advisories.repartition("ecosystem", "package", "introduced", "fixed")
+    ranges = spread.withColumn("_low", version_key(F.col("introduced"))).withColumn(
         "_high", version_key(F.col("fixed"))
     )
-    versions = deps.select(*coordinates).distinct().withColumn("_key", version_key(F.col("version")))
-    versions = versions.filter(F.col("_key").isNotNull())
+    versions = with_version_key(deps.select(*coordinates).distinct())
     inside = (F.col("introduced").isin("", "0") | (F.col("_low") <= F.col("_key"))) & (
         (F.col("fixed") == "") | (F.col("_key") < F.col("_high"))
     )
     # Inside coalesce no "is not null" is inferred and run on every dependency first.
-    affected = versions.join(ranges, ["ecosystem", "package"]).filter(F.coalesce(inside, F.lit(False)))
-    return deps.join(affected.select(*coordinates, *extra), coordinates)
+    affected = versions.join(ranges.hint("merge"), ["ecosystem", "package"]).filter(F.coalesce(inside, F.lit(False)))
+    return deps.join(affected.select(*coordinates, *extra).hint("merge"), coordinates)
