@@ -13,6 +13,7 @@ from scanlake.operators.documents import upsert_documents
 from scanlake.schemas import SCANNERS
 from scanlake.sources.records import decode_records
 from scanlake.streaming import records as streams
+from scanlake.streaming import barrier
 from scanlake.streaming.barrier import OUTPUT, barrier_step, completion_barrier_stream
 from test_coordination import cleanup
 
@@ -250,3 +251,21 @@ def test_timeout_must_be_positive(spark, tmp_path):
     msgs = spark.readStream.schema(MESSAGES).parquet(str(tmp_path / "in"))
     with pytest.raises(ValueError):
         completion_barrier_stream(msgs, timeout_minutes=0)
+
+
+def test_messages_of_a_path_are_sorted_without_frames(monkeypatch):
+    """As a stable sort of a frame would, nulls last; a frame for each path and trigger costs more than its messages."""
+    r = random.Random(3)
+    columns = ["org", "name", "scanner_type", "scan_status", "completed_at", "seq"]
+    one = lambda: (r.choice("ab"), r.choice(["n", None]), r.choice([A, B]), r.choice(["x", "y", None]), START + timedelta(minutes=r.randint(0, 3)), r.randint(0, 2))
+    frames = [pd.DataFrame([one() for _ in range(n)], columns=columns) for n in (30, 1, 9)]
+    by = ["completed_at", "seq", "org", "name", "scanner_type", "scan_status"]
+    want = [tuple(m)[:5] for m in pd.concat(frames).sort_values(by, kind="stable").itertuples(index=False)]
+    for frame in ("sort_values", "itertuples"):
+        monkeypatch.delattr(pd.DataFrame, frame)
+    monkeypatch.delattr(pd, "concat")
+    step, state = barrier_step(SCANNERS, None, None, ["completed_at", "seq"]), State()
+    plain = lambda m: tuple(None if v is None or v != v else v for v in m)
+    assert [plain(m) for m in barrier._in_order(frames, by)] == [plain(m) for m in want]
+    (rows,) = step(("/p",), iter(frames), state)
+    assert len(rows) > 3 and list(rows.columns) == [c.split(" ")[0] for c in OUTPUT.split(", ")]
