@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from scanlake.llm.arrow import slices
 from scanlake.llm.shared import written
-from scanlake.llm.tokens import default_path, tokenizer, with_end
+from scanlake.llm.tokens import ENCODE_BYTES, default_path, tokenizer, with_end
 
 WINDOW = 2048
 END_ID = 1
@@ -164,8 +164,8 @@ def _cut(path: str, window: int, end_id: int):
         pid = TaskContext.get().partitionId()
         ranks = np.zeros(window + 1, np.int64)
         library = tokenizer(path)
-        for part in slices(batches, "text"):
-            ids, borders = with_end(*library.encode([t or "" for t in part.column(1).to_pylist()]), end_id)
+        for part in slices(batches, "text", ENCODE_BYTES):
+            ids, borders = with_end(*library.encode(part.column(1)), end_id)
             raw = memoryview(ids).cast("B")
             rows = []
             for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):

@@ -1,13 +1,14 @@
 """Files of token ids, compressed by an adaptive context-mixing range coder.
 
-A block holds whole documents. Its ids are split into lanes of equal length, which are coded side by side: in step t, every lane codes its
-t-th id with the block's model as it stands, then the model learns from all lanes. The model has three orders. Order 2 (the two
-ids before) and order 1 (the id before) each predict one id with a confidence; counts of what happened under the
-pair of confidences mix the two predictions and the escape into three probabilities. An escaped id is coded with adaptive
-frequencies of order 0. All arithmetic is on whole numbers, so a block decodes alike everywhere. Every lane has its own range coder
-(64 bits, carry-less, words of 16 bits); every block starts with a new model and has a checksum.
-
-Block: magic, version, lanes, ids, documents, alphabet, words, checksum; then document ids, sizes, words per lane, words.
+A block holds whole documents. Its ids are numbered in ascending order without gaps and split into lanes of equal length, which are
+coded side by side: in step t, every lane codes its t-th id with the block's model as it stands, then the model learns from all lanes.
+The model has three orders. Order 2 (the two ids before) and order 1 (the id before) each predict one id with a confidence; counts of
+what happened under the pair of confidences mix the two predictions and the escape into three probabilities. An escaped id is coded
+with adaptive frequencies of order 0. All arithmetic is on whole numbers, so a block decodes alike everywhere. Every lane has its own
+range coder (64 bits, with carry, words of 32 bits, one at most a step); every block starts with a new model and has a checksum.
+
+Block: magic, version, lanes, ids, documents, alphabet, bytes of the map, words, checksum; then document ids, sizes, the map of the ids
+that occur (a bit each, compressed), words per lane, words.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ from pyspark.sql import functions as F
 
 from scanlake.llm.arrow import slices
 from scanlake.llm.shared import fresh_table
-from scanlake.llm.tokens import default_path, tokenizer, with_end
+from scanlake.llm.tokens import ENCODE_BYTES, default_path, tokenizer, with_end
 
 MAGIC = b"TIDC"
-VERSION = 1
-_HEADER = struct.Struct("<4sHHQQIQI")
+VERSION = 2
+_HEADER = struct.Struct("<4sHHQQIIQI")
 
 #: Ids of a block (a longer document has a block of its own), most lanes, and ids of a lane at least.
 BLOCK_IDS = 1 << 20
@@ -43,23 +44,30 @@ NO_ID = -(1 << 63)
 
 _MIX_BITS = 12
 _MIX = 1 << _MIX_BITS
-_ORDER0 = 1 << 20
-_SURE = 15
-_SLOTS = 1 << 18
-_TOP = np.uint64(1 << 48)
-_BOTTOM = np.uint64(1 << 32)
-_WORD = np.uint64(16)
+#: Order 0 has so many bits more than its ids need, and so many at most: a step takes 32 bits of the range at most.
+_ORDER0_SPARE = 5
+_ORDER0_BITS = 20
+#: Steps between two readings of the frequencies of order 0.
+_ORDER0_STEPS = 16
+_SURE_BITS = 4
+_SURE = (1 << _SURE_BITS) - 1
+_STATES = 2 << 2 * _SURE_BITS
+_SLOT_BITS = 18
+_WORD_BITS = np.uint64(32)
+_WORD = np.uint64(1 << 32)
+_MIX_SHIFT = np.uint64(_MIX_BITS)
 
 
 class _Model:
-    """Predictions and frequencies that all lanes of a block share."""
+    """Predictions and frequencies that all lanes of a block share. Ids are below ``alphabet``."""
 
-    def __init__(self, lanes: int, alphabet: int):
+    def __init__(self, lanes: int, alphabet: int, decodes: bool):
         self.alphabet = alphabet
-        self.guess = [np.zeros(alphabet, np.int32), np.zeros(_SLOTS, np.int32)]
-        self.sure = [np.zeros(alphabet, np.int32), np.zeros(_SLOTS, np.int32)]
-        states = (_SURE + 1) ** 2 * 2
-        self.happened = np.ones((states, 3), np.int64)
+        self.decodes = decodes
+        #: For order 1 and 2: the guess, and in the lowest bits how sure it is.
+        self.guesses = [np.zeros(alphabet, np.int32), np.zeros(1 << _SLOT_BITS, np.int32)]
+        self.happened = np.ones((3, _STATES), np.int64)
+        self.bits = np.uint64(min(_ORDER0_BITS, max(_MIX_BITS, (alphabet - 1).bit_length() + _ORDER0_SPARE)))
         self.counts = np.zeros(alphabet, np.int64)
         self.pending: list[np.ndarray] = []
         self.step = 0
@@ -68,39 +76,45 @@ class _Model:
         self._frequencies()
 
     def _frequencies(self):
-        total = max(1, int(self.counts.sum()))
-        freq = 1 + self.counts * (_ORDER0 - self.alphabet) // total
-        self.cumulated = np.concatenate(([0], np.cumsum(freq))).astype(np.uint64)
-        self.total = int(self.cumulated[-1])
+        counts = self.counts if self.step else self.counts + 1
+        space = 1 << int(self.bits)
+        freq = 1 + counts * (space - self.alphabet) // int(counts.sum() or 1)
+        self.sizes = freq.astype(np.uint64)
+        self.starts = (np.cumsum(freq) - freq).astype(np.uint64)
+        if self.decodes:
+            freq[-1] += space - int(freq.sum())
+            self.id_at = np.repeat(np.arange(self.alphabet, dtype=np.int32), freq)
 
     def predict(self):
-        """Guesses of order 2 and 1, and the frequencies of: first right, second right, none (they sum to _MIX)."""
-        hashed = (self.before.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (self.last.astype(np.uint32) * np.uint32(0x85EBCA6B))
-        self.at = (self.last, (hashed >> np.uint32(14)).astype(np.int32))
-        one, two = self.guess[0][self.at[0]], self.guess[1][self.at[1]]
-        self.known = self.sure[0][self.at[0]], self.sure[1][self.at[1]]
-        self.state = (self.known[1] * (_SURE + 1) + self.known[0]) * 2 + (one == two)
+        """Guesses of order 2 and 1; ``state`` of each lane, and per outcome and state where its part of _MIX starts, and its size."""
+        one, two = self.last, self.before
+        slot = (two.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (one.astype(np.uint32) * np.uint32(0x85EBCA6B))
+        self.at = one.astype(np.intp), (slot >> np.uint32(32 - _SLOT_BITS)).astype(np.intp)
+        self.held = [guesses.take(at) for guesses, at in zip(self.guesses, self.at, strict=True)]
+        self.sure = [held & _SURE for held in self.held]
+        one, two = (held >> _SURE_BITS for held in self.held)
+        self.state = (((self.sure[1] << _SURE_BITS) | self.sure[0]) << 1 | (one == two)).astype(np.intp)
         table = self.happened
-        total = table.sum(1)
-        first = table[:, 0] * (_MIX - 3) // total + 1
-        second = table[:, 1] * (_MIX - 3) // total + 1
-        return two, one, first[self.state], second[self.state]
-
-    def learn(self, ids: np.ndarray, two: np.ndarray, one: np.ndarray):
-        outcome = np.where(ids == two, 0, np.where(ids == one, 1, 2))
-        self.happened += 24 * np.bincount(self.state * 3 + outcome, minlength=self.happened.size).reshape(self.happened.shape)
-        for order, guessed in ((0, one), (1, two)):
-            at, known = self.at[order], self.known[order]
-            right = guessed == ids
-            self.sure[order][at] = np.where(right, np.minimum(known + 1, _SURE), np.maximum(known >> 1, 1))
-            taken = right | (known <= 1)
-            self.guess[order][at[taken]] = ids[taken]
-        self.pending.append(ids[outcome == 2])
+        total = table[0] + table[1] + table[2]
+        first = table[0] * (_MIX - 3) // total + 1
+        second = table[1] * (_MIX - 3) // total + 1
+        both = first + second
+        starts = np.concatenate((np.zeros(_STATES, np.int64), first, both)).astype(np.uint64)
+        sizes = np.concatenate((first, second, _MIX - both)).astype(np.uint64)
+        return two, one, starts, sizes
+
+    def learn(self, ids: np.ndarray, two: np.ndarray, one: np.ndarray, part: np.ndarray, missed: np.ndarray):
+        """``part`` is outcome * _STATES + state; ``missed`` are the lanes whose id no guess was."""
+        self.happened += 24 * np.bincount(part, minlength=3 * _STATES).reshape(3, _STATES)
+        anew = ids << _SURE_BITS | 1
+        for guesses, at, held, sure, guess in zip(self.guesses, self.at, self.held, self.sure, (one, two), strict=True):
+            wrong = np.where(sure <= 1, anew, held - sure + (sure >> 1))
+            guesses[at] = np.where(guess == ids, held + (sure < _SURE), wrong)
+        self.pending.append(ids[missed])
         self.before, self.last = self.last, ids
         self.step += 1
-        if self.step < 16 or self.step % 16 == 0:
-            for x in self.pending:
-                self.counts += np.bincount(x, minlength=self.alphabet)
+        if self.step < _ORDER0_STEPS or self.step % _ORDER0_STEPS == 0:
+            self.counts += np.bincount(np.concatenate(self.pending), minlength=self.alphabet)
             self.pending.clear()
             self._frequencies()
 
@@ -109,84 +123,66 @@ class _Writer:
     def __init__(self, lanes: int, steps: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, (1 << 64) - 1, np.uint64)
-        self.words = np.zeros((lanes, 2 * steps + 16), np.uint16)
-        self.used = np.zeros(lanes, np.int64)
-
-    def put(self, lanes, start, size, total: int, shift: int | None = None):
-        """Codes the interval [start, start + size) of total for ``lanes`` (None: all)."""
-        low, width = (self.low, self.range) if lanes is None else (self.low[lanes], self.range[lanes])
-        unit = width >> np.uint64(shift) if shift else width // np.uint64(total)
-        low = low + unit * start
-        width = unit * size
-        if lanes is None:
-            self.low, self.range = low, width
-        else:
-            self.low[lanes], self.range[lanes] = low, width
-        while True:
-            same = (low ^ (low + width)) < _TOP
-            short = np.flatnonzero(same | (width < _BOTTOM))
-            if not len(short):
-                return
-            a, w = low[short], width[short]
-            w = np.where(same[short], w, (~a + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
-            lanes = short if lanes is None else lanes[short]
-            used = self.used[lanes]
-            if used.max() >= self.words.shape[1]:
-                self.words = np.concatenate((self.words, np.zeros_like(self.words)), axis=1)
-            self.words[lanes, used] = (a >> np.uint64(48)).astype(np.uint16)
-            self.used[lanes] = used + 1
-            low, width = a << _WORD, w << _WORD
-            self.low[lanes], self.range[lanes] = low, width
+        self.words = np.zeros((steps + 1, lanes), np.uint32)
+        self.used = np.zeros(lanes, np.intp)
+
+    def put(self, start, size, missed, begin, extent, bits):
+        """Every lane codes its part of _MIX, then those ``missed`` their part of the frequencies of order 0."""
+        unit = self.range >> _MIX_SHIFT
+        low, width = self.low + unit * start, unit * size
+        if len(missed):
+            unit = width[missed] >> bits
+            low[missed] += unit * begin
+            width[missed] = unit * extent
+        self._carry(np.flatnonzero(low < self.low))
+        short = np.flatnonzero(width < _WORD)
+        self._emit(low, short)
+        low[short] <<= _WORD_BITS
+        width[short] <<= _WORD_BITS
+        self.low, self.range = low, width
+
+    def _carry(self, lanes):
+        at = self.used[lanes]
+        while len(lanes):
+            at = at - 1
+            self.words[at, lanes] += np.uint32(1)
+            over = self.words[at, lanes] == 0
+            lanes, at = lanes[over], at[over]
+
+    def _emit(self, low, lanes):
+        at = self.used[lanes]
+        self.words[at, lanes] = low[lanes] >> _WORD_BITS
+        self.used[lanes] = at + 1
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
-        """Words per lane, and the words of all lanes."""
-        lanes = np.arange(len(self.low))
-        self.words = np.concatenate((self.words, np.zeros((len(lanes), 4), np.uint16)), axis=1)
-        for k in range(4):
-            self.words[lanes, self.used + k] = ((self.low >> np.uint64(48 - 16 * k)) & np.uint64(0xFFFF)).astype(np.uint16)
-        self.used += 4
-        return self.used, self.words[np.arange(self.words.shape[1]) < self.used[:, None]]
+        """Words per lane, and the words of all lanes. A lane ends with the word of a number in its range, whose other word is 0."""
+        low = (self.low + (_WORD - np.uint64(1))) & ~(_WORD - np.uint64(1))
+        self._carry(np.flatnonzero(low < self.low))
+        self._emit(low, np.arange(len(low)))
+        return self.used, self.words.T[np.arange(len(self.words)) < self.used[:, None]]
 
 
 class _Reader:
     def __init__(self, sizes: np.ndarray, words: np.ndarray):
         lanes = len(sizes)
-        self.words = words
-        self.next = np.cumsum(sizes) - sizes
-        self.low = np.zeros(lanes, np.uint64)
+        # One word of 0 follows those of each lane.
+        ends = np.cumsum(sizes + 1)
+        self.words = np.zeros(len(words) + lanes, np.uint64)
+        held = np.ones(len(self.words), bool)
+        held[ends - 1] = False
+        self.words[held] = words
+        self.next = ends - sizes - 1
         self.range = np.full(lanes, (1 << 64) - 1, np.uint64)
-        self.code = np.zeros(lanes, np.uint64)
-        for _ in range(4):
-            self.code = self.code << _WORD | words[self.next]
-            self.next += 1
-
-    def value(self, lanes, total: int, shift: int | None = None):
-        """The coded number below total; ``take`` must follow with the interval that holds it."""
-        width = self.range if lanes is None else self.range[lanes]
-        self.unit = width >> np.uint64(shift) if shift else width // np.uint64(total)
-        ahead = self.code - self.low if lanes is None else self.code[lanes] - self.low[lanes]
-        return np.minimum(ahead // self.unit, np.uint64(total - 1))
-
-    def take(self, lanes, start, size):
-        low = (self.low if lanes is None else self.low[lanes]) + self.unit * start
-        width = self.unit * size
-        if lanes is None:
-            self.low, self.range = low, width
-        else:
-            self.low[lanes], self.range[lanes] = low, width
-        while True:
-            same = (low ^ (low + width)) < _TOP
-            short = np.flatnonzero(same | (width < _BOTTOM))
-            if not len(short):
-                return
-            a, w = low[short], width[short]
-            w = np.where(same[short], w, (~a + np.uint64(1)) & (_BOTTOM - np.uint64(1)))
-            lanes = short if lanes is None else lanes[short]
-            at = self.next[lanes]
-            self.code[lanes] = self.code[lanes] << _WORD | self.words[at]
-            self.next[lanes] = at + 1
-            low, width = a << _WORD, w << _WORD
-            self.low[lanes], self.range[lanes] = low, width
+        #: What was read, less the low end of the range.
+        self.ahead = self.words[self.next] << _WORD_BITS | self.words[self.next + 1]
+        self.next += 2
+
+    def refill(self):
+        short = np.flatnonzero(self.range < _WORD)
+        at = self.next[short]
+        self.ahead[short] = self.ahead[short] << _WORD_BITS | self.words[at]
+        self.range[short] <<= _WORD_BITS
+        self.next[short] = at + 1
 
 
 def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -196,55 +192,57 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, np.ndarray, np.ndar
     grid = np.zeros(lanes * steps, np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    model, out = _Model(lanes, alphabet), _Writer(lanes, steps)
+    model, out = _Model(lanes, alphabet, False), _Writer(lanes, steps)
     for row in grid:
-        two, one, first, second = model.predict()
-        right2, right1 = row == two, row == one
-        start = np.where(right2, 0, np.where(right1, first, first + second)).astype(np.uint64)
-        size = np.where(right2, first, np.where(right1, second, _MIX - first - second)).astype(np.uint64)
-        out.put(None, start, size, _MIX, _MIX_BITS)
-        missed = np.flatnonzero(~(right2 | right1))
-        if len(missed):
-            begin = model.cumulated[row[missed]]
-            out.put(missed, begin, model.cumulated[row[missed] + 1] - begin, model.total)
-        model.learn(row, two, one)
+        two, one, starts, sizes = model.predict()
+        outcome = np.where(row == two, 0, np.where(row == one, 1, 2))
+        part = outcome * _STATES + model.state
+        missed = np.flatnonzero(outcome == 2)
+        found = row[missed]
+        out.put(starts.take(part), sizes.take(part), missed, model.starts.take(found), model.sizes.take(found), model.bits)
+        model.learn(row, two, one, part, missed)
     return lanes, *out.finish()
 
 
 def decode_ids(count: int, lanes: int, alphabet: int, sizes: np.ndarray, words: np.ndarray) -> np.ndarray:
     steps = -(-count // lanes)
     grid = np.empty((steps, lanes), np.int32)
-    model, coded = _Model(lanes, alphabet), _Reader(sizes, words)
+    model, coded = _Model(lanes, alphabet, True), _Reader(sizes, words)
     for t in range(steps):
-        two, one, first, second = model.predict()
-        value = coded.value(None, _MIX, _MIX_BITS).astype(np.int64)
-        right2 = value < first
-        right1 = ~right2 & (value < first + second)
-        start = np.where(right2, 0, np.where(right1, first, first + second)).astype(np.uint64)
-        size = np.where(right2, first, np.where(right1, second, _MIX - first - second)).astype(np.uint64)
-        coded.take(None, start, size)
-        row = np.where(right2, two, one)
-        missed = np.flatnonzero(~(right2 | right1))
+        two, one, starts, sizes = model.predict()
+        unit = coded.range >> _MIX_SHIFT
+        below = model.state + _STATES
+        outcome = (coded.ahead >= unit * starts.take(below)).astype(np.intp)
+        outcome += coded.ahead >= unit * starts.take(below + _STATES)
+        part = outcome * _STATES + model.state
+        coded.ahead -= unit * starts.take(part)
+        coded.range = unit * sizes.take(part)
+        row = np.where(outcome == 0, two, one)
+        missed = np.flatnonzero(outcome == 2)
         if len(missed):
-            found = np.searchsorted(model.cumulated, coded.value(missed, model.total), side="right") - 1
-            begin = model.cumulated[found]
-            coded.take(missed, begin, model.cumulated[found + 1] - begin)
+            ahead, unit = coded.ahead[missed], coded.range[missed] >> model.bits
+            found = model.id_at.take((ahead // unit).astype(np.intp), mode="clip")
+            coded.ahead[missed] = ahead - unit * model.starts.take(found)
+            coded.range[missed] = unit * model.sizes.take(found)
             row[missed] = found
+        coded.refill()
         grid[t] = row
-        model.learn(row, two, one)
+        model.learn(row, two, one, part, missed)
     return grid.T.reshape(-1)[:count]
 
 
 def write_block(doc_ids: np.ndarray, doc_sizes: np.ndarray, ids: np.ndarray) -> bytes:
     """The block of some documents; ``ids`` are theirs one after another."""
-    alphabet = int(ids.max()) + 1 if len(ids) else 1
-    if alphabet > MOST_IDS:
+    if len(ids) and int(ids.max()) >= MOST_IDS:
         raise ValueError(f"ids must be below {MOST_IDS}")
-    lanes, sizes, words = encode_ids(ids, alphabet) if len(ids) else (1, np.zeros(1), np.zeros(0))
+    occurs = np.bincount(ids.astype(np.int64), minlength=1) > 0
+    number = np.cumsum(occurs, dtype=np.int32) - np.int32(1)
+    occurring = zlib.compress(np.packbits(occurs).tobytes())
+    lanes, sizes, words = encode_ids(number[ids], int(number[-1]) + 1) if len(ids) else (1, np.zeros(1), np.zeros(0))
     body = b"".join(
-        (doc_ids.astype("<i8").tobytes(), doc_sizes.astype("<u4").tobytes(), sizes.astype("<u4").tobytes(), words.astype("<u2").tobytes())
+        (doc_ids.astype("<i8").tobytes(), doc_sizes.astype("<u4").tobytes(), occurring, sizes.astype("<u4").tobytes(), words.astype("<u4").tobytes())
     )
-    fields = (MAGIC, VERSION, lanes, len(ids), len(doc_ids), alphabet, len(words))
+    fields = (MAGIC, VERSION, lanes, len(ids), len(doc_ids), len(occurs), len(occurring), len(words))
     check = zlib.crc32(body, zlib.crc32(_HEADER.pack(*fields, 0)))
     return _HEADER.pack(*fields, check) + body
 
@@ -254,18 +252,22 @@ def read_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(block) < _HEADER.size:
         raise ValueError("a block is cut off")
     *fields, check = _HEADER.unpack_from(block)
-    magic, version, lanes, count, docs, alphabet, n_words = fields
+    magic, version, lanes, count, docs, alphabet, n_map, n_words = fields
     body = memoryview(block)[_HEADER.size :]
-    if magic != MAGIC or version != VERSION or len(body) != 12 * docs + 4 * lanes + 2 * n_words:
+    if magic != MAGIC or version != VERSION or len(body) != 12 * docs + n_map + 4 * lanes + 4 * n_words:
         raise ValueError("not a block of token ids")
     if zlib.crc32(body, zlib.crc32(_HEADER.pack(*fields, 0))) != check:
         raise ValueError("a block does not match its checksum")
     doc_ids = np.frombuffer(body, "<i8", docs)
     doc_sizes = np.frombuffer(body, "<u4", docs, 8 * docs).astype(np.int64)
-    sizes = np.frombuffer(body, "<u4", lanes, 12 * docs).astype(np.int64)
-    words = np.frombuffer(body, "<u2", n_words, 12 * docs + 4 * lanes).astype(np.uint64)
-    ids = decode_ids(count, lanes, alphabet, sizes, words) if count else np.zeros(0, np.int32)
-    return doc_ids, doc_sizes, ids
+    at = 12 * docs + n_map
+    occurs = np.unpackbits(np.frombuffer(zlib.decompress(body[12 * docs : at]), np.uint8), count=alphabet)
+    sizes = np.frombuffer(body, "<u4", lanes, at).astype(np.int64)
+    words = np.frombuffer(body, "<u4", n_words, at + 4 * lanes)
+    if not count:
+        return doc_ids, doc_sizes, np.zeros(0, np.int32)
+    names = np.flatnonzero(occurs).astype(np.int32)
+    return doc_ids, doc_sizes, names[decode_ids(count, lanes, len(names), sizes, words)]
 
 
 _BLOCKS = "part int, block int, before long, n_ids long, payload binary"
@@ -288,8 +290,8 @@ def _encode(path: str, end_id: int):
             arrays = [pa.array(x, k) for x, k in zip(row, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _BLOCKS.split(", ")])
 
-        for piece in slices(batches, "text"):
-            ids, borders = with_end(*library.encode([t or "" for t in piece.column(1).to_pylist()]), end_id)
+        for piece in slices(batches, "text", ENCODE_BYTES):
+            ids, borders = with_end(*library.encode(piece.column(1)), end_id)
             doc_ids = piece.column(0).fill_null(NO_ID).to_numpy()
             for doc, a, b in zip(doc_ids.tolist(), borders[:-1].tolist(), borders[1:].tolist(), strict=True):
                 if held and held + b - a > BLOCK_IDS:

@@ -1,25 +1,35 @@
 """Token ids of texts by the tokenizers library, with each distinct word encoded once per task.
 
 Where a tokenizer drops white space and splits before it merges, the ids of a text are those of its words one after another.
-So words are cut at spaces and line ends, looked up, and only unknown ones are given to the library. Any other tokenizer
-encodes whole texts.
+So words are cut at spaces and line ends, each distinct one of a slice of texts is looked up, and only unknown ones are given to
+the library, many at once. Any other tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
+from collections.abc import Callable, Iterable
 from functools import cache
-from itertools import repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: The words that a task remembers; beyond, it forgets those met only once and, if most were met again, all.
-MEMORY = 300_000
+from scanlake.llm.arrow import byte_lengths, text_bytes
 
-#: Lower-case letters of Latin-1 with a few marks after them: one piece of text, and pieces of punctuation.
-_PLAIN = re.compile("([a-z\xdf-\xf6\xf8-\xff]+)([.,;:!?#$%&*]{0,4})")
+#: The words that a task remembers, and ids for each in the mean; beyond, it forgets those met only once and, if most were met again, all.
+MEMORY = 600_000
+_IDS_A_WORD = 8
+#: Bytes of text to encode at once: words are looked up once in them, however often they occur.
+ENCODE_BYTES = 4 << 20
+#: Words that the library gets at once.
+_AT_ONCE = 8192
+
+#: A word of lower-case letters of Latin-1 is one piece of text, and marks after it are another.
+_LETTERS = "^[a-z\xdf-\xf6\xf8-\xff]+$"
+_MARKS = ".,;:!?#$%&*"
 
 
 def default_path() -> str:
@@ -40,114 +50,147 @@ class WordTokenizer:
     def __init__(self, path: str, memory: int = MEMORY):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.library = Tokenizer.from_file(path)
         self.memory = memory
-        self.model = self.library.model
         with open(path, encoding="utf-8") as f:
             form = json.load(f)
         self.by_word = _splits_at_space(form)
-        self.plain = self.by_word and _is_byte_level(form)
-        self.letters = {i: _letters_of(chr(i)) for i in range(256)}
+        self.plain = self.by_word and _is_byte_level(form) and _marks_ends(form)
+        if self.plain:
+            # The library's model alone, for words that are one piece each; the last id of a word shows that it is the last.
+            self.pieces = Tokenizer(self.library.model)
+            self.pieces.pre_tokenizer = WhitespaceSplit()
+            suffix, vocab = form["model"]["end_of_word_suffix"], form["model"]["vocab"]
+            self.is_last = np.zeros(max(vocab.values()) + 1, bool)
+            self.is_last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        self.moved = [(chr(b), c) for b, c in _byte_letters().items() if b > 127 and chr(b) != c]
         self._forget()
 
     def _forget_rare(self):
         """Words met once go; the ids of the others move together."""
-        names = np.flatnonzero(self.met[: len(self.known)] > 1)
-        if 2 * len(names) > self.memory:
+        again = self.met[: len(self.known)] > 1
+        names = np.flatnonzero(again)
+        words, (ids, ends) = list(compress(self.known, again.tolist())), self._ids_of(names)
+        if 2 * len(words) > self.memory or 2 * len(ids) > _IDS_A_WORD * self.memory:
             self._forget()
             return
-        starts, sizes, flat = self.starts[names], self.sizes[names], self.flat
-        words = [word for word, n in self.known.items() if self.met[n] > 1]
         self._forget()
-        for word, a, n in zip(words, starts.tolist(), sizes.tolist(), strict=True):
-            self._keep(word, flat[a : a + n])
+        self._keep(words, ids, ends)
         self.met[: len(words)] = 1
 
     def _forget(self):
         self.known: dict[str, int] = {}
         self.met = np.zeros(1 << 14, np.int64)
         self.flat = np.zeros(1 << 16, np.int32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int32)
-        self.used = 0
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another, and where each text's ids start and the last one's end."""
+        #: Where the ids of each known word start in ``flat``, and the last one's end.
+        self.borders = np.zeros(1 << 14, np.int64)
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: none) one after another, and where each text's ids start and the last one's end."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if column.null_count:
+            column = column.fill_null("")
         if not self.by_word:
-            lists = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-            ends = np.cumsum([0, *map(len, lists)])
-            return np.fromiter((i for x in lists for i in x), np.int32, ends[-1]), ends
-        words: list[str] = []
-        counts = [0]
-        for text in texts:
-            words += _lowered(text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            counts.append(len(words))
-        if len(self.known) > self.memory:
+            return _joined(e.ids for e in self.library.encode_batch_fast(column.to_pylist(), add_special_tokens=False))
+        lists = _words(column)
+        found = lists.flatten().dictionary_encode()
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = found.indices.to_numpy()
+        if len(self.known) > self.memory or self.borders[len(self.known)] > _IDS_A_WORD * self.memory:
             self._forget_rare()
-        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0)
+        names = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(names < 0)
         if len(missing):
-            self._learn(list(dict.fromkeys(words[i] for i in missing)))
-            at[missing] = np.fromiter((self.known[words[i]] for i in missing), np.int64, len(missing))
-        self.met[: len(self.known)] += np.bincount(at, minlength=len(self.known))
-        sizes = self.sizes[at].astype(np.int64)
+            new = [words[i] for i in missing.tolist()]
+            self._learn(new)
+            names[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        self.met[names] += np.bincount(at, minlength=len(words))
+        ids, ends = self._ids_of(names[at])
+        return ids, ends[lists.offsets.to_numpy()]
+
+    def _ids_of(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one after another, and where each word's ids start and the last one's end."""
+        starts = self.borders[names]
+        sizes = self.borders[names + 1] - starts
         ends = np.concatenate(([0], np.cumsum(sizes)))
-        source = np.arange(ends[-1]) + np.repeat(self.starts[at] - ends[:-1], sizes)
-        return self.flat[source], ends[counts]
+        source = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)
+        return self.flat[source], ends
 
     def _learn(self, words: list[str]):
-        odd = []
-        for word in words:
-            found = _PLAIN.fullmatch(word) if self.plain else None
-            if found:
-                same = self.known.get(found[1]) if found[2] else None
-                if same is None:
-                    ids = [t.id for t in self.model.tokenize(found[1].translate(self.letters))]
-                else:
-                    ids = self.flat[self.starts[same] : self.starts[same] + self.sizes[same]].tolist()
-                if found[2]:
-                    ids += self._mark(found[2])
-                self._keep(word, ids)
-            else:
-                odd.append(word)
-        for word, encoded in zip(odd, self.library.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            self._keep(word, encoded.ids)
-
-    @cache  # noqa: B019
-    def _mark(self, mark: str) -> list[int]:
-        return self.library.encode(mark, add_special_tokens=False).ids
-
-    def _keep(self, word: str, ids):
+        """Words that are not known, each once."""
+        if not self.plain:
+            self._keep_new(words, self._encode_odd)
+            return
+        column = pa.array(words, pa.string())
+        letters = pc.utf8_rtrim(column, characters=_MARKS)
+        plain = pc.match_substring_regex(letters, _LETTERS).to_numpy(zero_copy_only=False)
+        marks = byte_lengths(column) - byte_lengths(letters)
+        marked = np.flatnonzero(plain & (marks > 0))
+        letters = letters.to_numpy(zero_copy_only=False)
+        before = [(letters[i], words[i][-n:]) for i, n in zip(marked.tolist(), marks[marked].tolist(), strict=True)]
+        self._keep_new(letters[plain].tolist(), self._encode_plain)
+        self._keep_new([words[i] for i in np.flatnonzero(~plain).tolist()] + [mark for _, mark in before], self._encode_odd)
+        both = np.fromiter(map(self.known.__getitem__, chain.from_iterable(before)), np.int64, 2 * len(before))
+        ids, ends = self._ids_of(both)
+        self._keep([words[i] for i in marked.tolist()], ids, ends[::2])
+
+    def _keep_new(self, words: list[str], encode: Callable):
+        new = [word for word in dict.fromkeys(words) if word not in self.known]
+        for first in range(0, len(new), _AT_ONCE):
+            some = new[first : first + _AT_ONCE]
+            self._keep(some, *encode(some))
+
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = " ".join(words).encode().decode("latin-1")
+        for byte, letter in self.moved:
+            text = text.replace(byte, letter)
+        ids = np.array(self.pieces.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        return ids, np.concatenate(([0], np.flatnonzero(self.is_last[ids]) + 1))
+
+    def _encode_odd(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _joined(e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False))
+
+    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray):
+        """New words with their ids."""
         n = len(self.known)
-        if n == len(self.starts):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
-            self.met = np.concatenate((self.met, np.zeros_like(self.met)))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.starts[n], self.sizes[n] = self.used, len(ids)
-        self.used += len(ids)
-        self.known[word] = n
-
-
-def _letters_of(char: str) -> str:
-    table = _byte_letters()
-    return "".join(table[b] for b in char.encode())
-
-
-def _lowered(text: str) -> str:
-    """Lower case where that changes no id: Latin-1 texts without the marks of special tokens."""
-    if "<|" in text:
-        return text
-    if text.isascii():
-        return text.lower()
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
+        used = int(self.borders[n])
+        self.known.update(zip(words, range(n, n + len(words)), strict=True))
+        if len(ends) != len(words) + 1 or len(self.known) != n + len(words):
+            raise AssertionError("each new word has ids of its own")
+        self.flat = _with_room(self.flat, used + len(ids))
+        self.borders = _with_room(self.borders, n + len(ends))
+        self.met = _with_room(self.met, n + len(ends))
+        self.flat[used : used + len(ids)] = ids
+        self.borders[n : n + len(ends)] = used + ends
+
+
+def _joined(lists: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    lists = list(lists)
+    ends = np.cumsum([0, *map(len, lists)])
+    return np.fromiter(chain.from_iterable(lists), np.int32, ends[-1]), ends
+
+
+def _with_room(values: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(values):
+        return values
+    return np.concatenate((values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)))
+
+
+def _words(column: pa.Array) -> pa.ListArray:
+    """Texts cut at spaces and line ends, in lower case where that changes no id: Latin-1 texts without the marks of special tokens."""
+    data, borders = text_bytes(column)
+    full = np.flatnonzero(np.diff(borders))
+    as_is = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
+    if len(full):
+        as_is[full] |= np.maximum.reduceat(data, borders[full]) > 0xC3
+    low = pc.utf8_lower(column)
+    if as_is.any():
+        low = pc.if_else(pa.array(as_is), column, low)
+    for space in "\n\t\r":
+        low = pc.replace_substring(low, space, " ")
+    return pc.split_pattern(low, " ")
 
 
 def _normalizers(form: dict) -> list[dict]:
@@ -172,6 +215,12 @@ def _is_byte_level(form: dict) -> bool:
     return kinds == ["Split", "ByteLevel"] and form["model"].get("type") == "BPE" and not form["model"].get("dropout")
 
 
+def _marks_ends(form: dict) -> bool:
+    """The last id of a piece of letters is one that stands only at ends, whatever the letters are."""
+    suffix, vocab = form["model"].get("end_of_word_suffix"), form["model"]["vocab"]
+    return bool(suffix) and all(c in vocab and c + suffix in vocab for c in _byte_letters().values())
+
+
 @cache
 def tokenizer(path: str) -> WordTokenizer:
     """One per worker and file."""

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -55,6 +56,32 @@ def test_words_met_again_outlive_a_full_memory(memory):
     assert memory == 3 or set(often) <= own.known.keys()
 
 
+def test_a_word_is_given_to_the_library_once_among_many(monkeypatch):
+    own = WordTokenizer(default_path())
+    given = []
+    monkeypatch.setattr(own, "_encode_plain", lambda words, f=own._encode_plain: given.append(words) or f(words))
+    rows = ["Été thé cat cat, cat... The\tCAT!\nthé?", None, "", "cat thé, new"]
+    ids, ends = own.encode(pa.array(["x", *rows])[1:])
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [x[:-1].tolist() for x in plain(rows)]
+    assert [sorted(words) for words in given] == [["cat", "new", "the", "thé", "été"]]
+    own.encode(["new cat été!"])
+    assert len(given) == 1
+
+
+def test_letters_beyond_ascii_are_lowered_only_where_no_id_changes():
+    rows = ["".join(map(chr, range(a, a + 64))) + f" {chr(a)}Z,. J\u030c" for a in range(0, 0x250, 16)] + ["J\u030c", "\xc9\xd7\xf7\xb5.", "<|EndOfText|> A"]
+    ids, ends = WordTokenizer(default_path()).encode(rows)
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [x[:-1].tolist() for x in plain(rows)]
+
+
+def test_long_words_do_not_stay_in_memory():
+    own, r = WordTokenizer(default_path(), 20), random.Random(3)
+    for _ in range(6):
+        text = " ".join("".join(r.choice("qxzjkv") for _ in range(400)) for _ in range(3))
+        assert own.encode([text])[0].tolist() == plain([text])[0][:-1].tolist()
+        assert len(own.known) <= 3
+
+
 def test_other_tokenizers_encode_whole_texts():
     import public_tokenizers
 
@@ -84,6 +111,48 @@ def test_blocks_round_trip(n, kind):
         assert len(block) < n / 4
 
 
+def test_ids_that_do_not_occur_cost_next_to_nothing():
+    few = np.random.default_rng(1).integers(0, 16, 20_000)
+    sizes = [len(token_coder.write_block(np.array([1]), np.array([len(x)]), x)) for x in (few, few * 3000 + 7)]
+    assert sizes[1] < sizes[0] + 200
+    assert (token_coder.read_block(token_coder.write_block(np.array([1]), np.array([20_000]), few * 3000 + 7))[2] == few * 3000 + 7).all()
+
+
+def test_a_carry_runs_through_full_words():
+    out = token_coder._Writer(2, 3)
+    out.words[:3], out.used[:] = np.array([[7, 1], [0xFFFFFFFF, 2], [0xFFFFFFFF, 3]]), 3
+    out._carry(np.array([0]))
+    assert out.words[:3].T.tolist() == [[8, 0, 0], [1, 2, 3]]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_coder_of_rare_outcomes(seed):
+    r, lanes, steps, mix = np.random.default_rng(seed), 5, 400, token_coder._MIX
+    bits = np.uint64(token_coder._ORDER0_BITS)
+    numbers = lambda x: np.asarray(x).astype(np.uint64)
+    coded, out, carries = [], token_coder._Writer(lanes, steps), []
+    out._carry = lambda found, f=out._carry: carries.extend(found) or f(found)
+    for _ in range(steps):
+        start = r.choice([0, 1, mix - 2, mix - 1], lanes)
+        size = np.where(r.random(lanes) < 0.8, 1, mix - start)
+        missed = np.flatnonzero(r.random(lanes) < 0.5)
+        begin = r.choice([0, (1 << int(bits)) - 1], len(missed))
+        out.put(numbers(start), numbers(size), missed, numbers(begin), numbers(np.ones(len(missed))), bits)
+        coded.append((start, size, missed, begin))
+    assert carries
+    read = token_coder._Reader(*out.finish())
+    for start, size, missed, begin in coded:
+        unit = read.range >> token_coder._MIX_SHIFT
+        assert (read.ahead >= unit * numbers(start)).all() and (read.ahead < unit * numbers(start + size)).all()
+        read.ahead -= unit * numbers(start)
+        read.range = unit * numbers(size)
+        unit = read.range[missed] >> bits
+        assert (read.ahead[missed] // unit == numbers(begin)).all()
+        read.ahead[missed] -= unit * numbers(begin)
+        read.range[missed] = unit
+        read.refill()
+
+
 def test_damage_is_noticed():
     block = token_coder.write_block(np.array([1]), np.array([900]), np.arange(900))
     for at in range(0, len(block), 37):
