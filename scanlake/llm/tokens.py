@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 from scanlake.llm.arrow import byte_lengths, text_bytes
 
-#: The words that a task remembers, and ids for each in the mean; beyond, it forgets those met only once and, if most were met again, all.
-MEMORY = 600_000
+#: The words that a task remembers, and ids for each in the mean; beyond, it forgets those met least, more than half of them.
+MEMORY = 1_000_000
 _IDS_A_WORD = 8
 #: Bytes of text to encode at once: words are looked up once in them, however often they occur.
 ENCODE_BYTES = 4 << 20
@@ -69,13 +69,17 @@ class WordTokenizer:
         self._forget()
 
     def _forget_rare(self):
-        """Words met once go; the ids of the others move together."""
-        again = self.met[: len(self.known)] > 1
-        names = np.flatnonzero(again)
-        words, (ids, ends) = list(compress(self.known, again.tolist())), self._ids_of(names)
-        if 2 * len(words) > self.memory or 2 * len(ids) > _IDS_A_WORD * self.memory:
+        """Words met once go, or up to 3, 7 and so on times until half of the memory is free; the ids of the others move together."""
+        met, least = self.met[: len(self.known)], 2
+        while (kept := met >= least).any():
+            ids, ends = self._ids_of(np.flatnonzero(kept))
+            if 2 * len(ends) <= self.memory and 2 * len(ids) <= _IDS_A_WORD * self.memory:
+                break
+            least *= 2
+        else:
             self._forget()
             return
+        words = list(compress(self.known, kept.tolist()))
         self._forget()
         self._keep(words, ids, ends)
         self.met[: len(words)] = 1
@@ -104,7 +108,7 @@ class WordTokenizer:
         missing = np.flatnonzero(names < 0)
         if len(missing):
             new = [words[i] for i in missing.tolist()]
-            self._learn(new)
+            self._learn(new, found.dictionary.take(pa.array(missing)))
             names[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
         self.met[names] += np.bincount(at, minlength=len(words))
         ids, ends = self._ids_of(names[at])
@@ -118,23 +122,26 @@ class WordTokenizer:
         source = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)
         return self.flat[source], ends
 
-    def _learn(self, words: list[str]):
-        """Words that are not known, each once."""
+    def _learn(self, words: list[str], column: pa.Array):
+        """Words that are not known, each once, and the same as a column."""
         if not self.plain:
             self._keep_new(words, self._encode_odd)
             return
-        column = pa.array(words, pa.string())
         letters = pc.utf8_rtrim(column, characters=_MARKS)
         plain = pc.match_substring_regex(letters, _LETTERS).to_numpy(zero_copy_only=False)
         marks = byte_lengths(column) - byte_lengths(letters)
         marked = np.flatnonzero(plain & (marks > 0))
+        with_marks = [words[i] for i in marked.tolist()]
         letters = letters.to_numpy(zero_copy_only=False)
-        before = [(letters[i], words[i][-n:]) for i, n in zip(marked.tolist(), marks[marked].tolist(), strict=True)]
+        heads = letters[marked].tolist()
+        tails = [word[-n:] for word, n in zip(with_marks, marks[marked].tolist(), strict=True)]
         self._keep_new(letters[plain].tolist(), self._encode_plain)
-        self._keep_new([words[i] for i in np.flatnonzero(~plain).tolist()] + [mark for _, mark in before], self._encode_odd)
-        both = np.fromiter(map(self.known.__getitem__, chain.from_iterable(before)), np.int64, 2 * len(before))
-        ids, ends = self._ids_of(both)
-        self._keep([words[i] for i in marked.tolist()], ids, ends[::2])
+        self._keep_new([words[i] for i in np.flatnonzero(~plain).tolist()] + tails, self._encode_odd)
+        both = np.empty((len(marked), 2), np.int64)
+        for k, parts in enumerate((heads, tails)):
+            both[:, k] = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        ids, ends = self._ids_of(both.reshape(-1))
+        self._keep(with_marks, ids, ends[::2])
 
     def _keep_new(self, words: list[str], encode: Callable):
         new = [word for word in dict.fromkeys(words) if word not in self.known]

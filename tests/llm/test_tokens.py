@@ -74,6 +74,17 @@ def test_letters_beyond_ascii_are_lowered_only_where_no_id_changes():
     assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [x[:-1].tolist() for x in plain(rows)]
 
 
+def test_words_met_most_outlive_others_met_again():
+    own = WordTokenizer(default_path(), 20)
+    names = [f"{a}{b}" for a in "bcdfg" for b in "aeio"]
+    for step in range(12):
+        text = " ".join(names * 2 + ["often"] * 9 + [f"{'x' * step}new"])
+        assert own.encode([text])[0].tolist() == plain([text])[0][:-1].tolist()
+    assert len(own.known) > 20 and "often" in own.known
+    own._forget_rare()
+    assert "often" in own.known and len(own.known) <= 10
+
+
 def test_long_words_do_not_stay_in_memory():
     own, r = WordTokenizer(default_path(), 20), random.Random(3)
     for _ in range(6):
