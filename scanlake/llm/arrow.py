@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +15,28 @@ SLICE_BYTES = 1 << 19
 
 
 def map_batches(df: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """``work`` gets the iterator of a partition's Arrow batches and yields batches of ``schema``."""
-    return df.mapInArrow(work, schema)
+    """``work`` gets the iterator of a partition's Arrow batches and yields batches of ``schema``. A task that ends gives free memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(task, schema)
+
+
+@cache
+def _trim() -> Callable | None:
+    """glibc's ``malloc_trim``, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives what Arrow and the allocator hold free back to the system: Python workers outlive their tasks and wait idle for the next stage's."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlake.llm.arrow import slices, text_bytes
+from scanlake.llm.arrow import map_batches, slices, text_bytes
 from scanlake.llm.hashing import BASE, mix, powers, sequence_hashes, span_hashes, spans_of
 
 #: Tokens of a window, literal tokens that it needs, and tokens that an alignment must cover.
@@ -357,7 +357,7 @@ def _windows(rows: DataFrame, lengths: tuple[int, ...] | None, wanted=None) -> D
             arrays.append(pa.array(out["slots"], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(arrays, list(names))
 
-    return rows.mapInArrow(work, _WINDOWS)
+    return map_batches(rows, work, _WINDOWS)
 
 
 #: The largest table of hash prefixes that is broadcast: one byte an entry.

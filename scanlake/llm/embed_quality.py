@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from scanlake.llm import features
+from scanlake.llm.arrow import map_batches, slices
 from scanlake.llm.hashing import BASE, mix
 
 #: Labelled rows of each class that training takes at most.
@@ -134,10 +135,8 @@ def accepted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     place = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            if texts:
-                kept = np.concatenate([scores(model.value, texts[a:b]) for a, b in features.chunks(texts)]) >= THRESHOLD
-                yield batch.filter(pa.array(kept))
+        for part in slices(batches, "text"):
+            texts = [t or "" for t in part.column(place).to_pylist()]
+            yield part.filter(pa.array(scores(model.value, texts) >= THRESHOLD))
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_batches(docs, work, docs.schema)

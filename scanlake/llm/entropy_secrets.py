@@ -16,6 +16,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from scanlake.llm.arrow import map_batches, slices
+
 # The patterns of the three base kinds, and the least length of what counts.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -187,7 +189,7 @@ def without_secrets(docs: DataFrame, mask: str = MASK) -> DataFrame:
     place = names.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             texts = batch.column(place).to_pylist()
             clean = [masked(t, mask) if t else t for t in texts]
             arrays = list(batch.columns)
@@ -198,7 +200,7 @@ def without_secrets(docs: DataFrame, mask: str = MASK) -> DataFrame:
                 arrays[at] = pa.array(sizes, batch.column(at).type)
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.mapInArrow(work, schema)
+    return map_batches(docs, work, schema)
 
 
 def _ddl(docs: DataFrame, kept: list[str]) -> str:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scanlake.llm.arrow import map_batches
 from scanlake.llm.hashing import BASE, mix
 
 #: Characters of texts that are turned into features at once; a longer text is alone.
@@ -112,7 +113,7 @@ def fitted(rows: DataFrame, fit, schema: str = "model binary") -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array([fit(pairs())], pa.binary())], ["model"])
 
     ordered = rows.repartition(1).sortWithinPartitions("_id", F.crc32(F.col("text").cast("binary")))
-    row = ordered.mapInArrow(work, schema).first()
+    row = map_batches(ordered, work, schema).first()
     return bytes(row["model"]) if row else fit(iter(()))  # no rows, no task
 
 
@@ -130,9 +131,8 @@ def scored(docs: DataFrame, scores, threshold: float, keep: tuple[str, ...] = ("
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     ddl = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-    return docs.select(*keep, held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
-        work, f"{ddl}, held_out boolean, score double, predicted int"
-    )
+    rows = docs.select(*keep, held_out(F.col("doc_id")).alias("held_out"), "text")
+    return map_batches(rows, work, f"{ddl}, held_out boolean, score double, predicted int")
 
 
 __all__ = ["chunks", "code_points", "fitted", "held_out", "mix", "ngram_features", "ngram_sums", "scored", "text_ngrams", "training_rows"]

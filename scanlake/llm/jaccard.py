@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scanlake.llm.arrow import slices, text_bytes
+from scanlake.llm.arrow import map_batches, slices, text_bytes
 from scanlake.llm.components import components
 from scanlake.llm.hashing import BASE, byte_values, mix, sequence_hashes, span_hashes, spans_of
 from scanlake.llm.shared import small_batches, written
@@ -155,7 +155,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def rarity_levels(texts: DataFrame, words: int) -> np.ndarray:
     """How frequent the n-grams with each hash prefix are, on a logarithmic scale; counted over all texts. Its size is fixed."""
     kind = "chunk int, payload binary"
-    chunks = texts.mapInArrow(_counters(words), kind).repartition("chunk").mapInArrow(_summed, kind)
+    chunks = map_batches(map_batches(texts, _counters(words), kind).repartition("chunk"), _summed, kind)
     table = np.zeros((1 << (RARITY_BITS - _CHUNK_BITS), 1 << _CHUNK_BITS), np.uint8)
     for row in chunks.collect():
         table[row["chunk"]] = np.frombuffer(row["payload"], np.uint8)
@@ -274,10 +274,10 @@ def _distances(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, d
     """``pk, k, linked, distance`` of the pairs of pivot and point (with their ``limit``); 1 for those that are farther apart."""
     small = pairs.count() <= BROADCAST_PAIRS
     sketched = _pairs_with(pairs, points, ("sketch", "n"), small)
-    judged = written(sketched.mapInArrow(_far, "pk long, k long, far boolean"), "judged")
+    judged = written(map_batches(sketched, _far, "pk long, k long, far boolean"), "judged")
     both = _pairs_with(judged.where("NOT far").select("pk", "k"), sets, ("grams",), small)
     # A filter of points may let through two documents of one set.
-    measured = both.mapInArrow(_common, "pk long, k long, shared long, together long").groupBy("pk", "k").agg(
+    measured = map_batches(both, _common, "pk long, k long, shared long, together long").groupBy("pk", "k").agg(
         F.first("shared").alias("shared"), F.first("together").alias("together")
     )
     near = measured.select(
@@ -464,7 +464,7 @@ def linked_labels(entries: DataFrame, points: DataFrame, texts: DataFrame, words
     wanted = points.join(rows.select("k").distinct(), "k", "left_semi").select("k", "rep")
     bits = spark.sparkContext.broadcast(_filter(wanted))
     with small_batches(spark, TEXT_ROWS):
-        sets = written(texts.mapInArrow(_sets(words, bits), "k long, grams binary"), "sets")
+        sets = written(map_batches(texts, _sets(words, bits), "k long, grams binary"), "sets")
     labels, level, direct = None, 0, None
     while not rows.isEmpty() or direct is not None and not direct.isEmpty():
         pivots = _pivots(rows, MORE_PIVOTS**level, _low(num, den))
@@ -492,7 +492,7 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame
     with small_batches(spark, TEXT_ROWS):
         rarity = spark.sparkContext.broadcast(rarity_levels(rows.select("text"), words))
         marked = rows.withColumn("mark", F.xxhash64("text"))
-        every = written(marked.mapInArrow(_points(words, num, den, rarity), _POINTS), "sets-of-documents")
+        every = written(map_batches(marked, _points(words, num, den, rarity), _POINTS), "sets-of-documents")
     points = written(
         every.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch", True).alias("sketch")), "points"
     )

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanlake.llm.arrow import slices
+from scanlake.llm.arrow import map_batches, slices
 from scanlake.llm.shared import written
 from scanlake.llm.tokens import ENCODE_BYTES, default_path, tokenizer, with_end
 
@@ -262,7 +262,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     """
     path = path or default_path()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    staged = written(rows.mapInArrow(_cut(path, window, end_id), _STAGED), "pack")
+    staged = written(map_batches(rows, _cut(path, window, end_id), _STAGED), "pack")
     counts = staged.where("rem_len > 0").groupBy("pid", "rem_len").agg(F.count("*").alias("n"))
     whole = staged.groupBy("pid").agg(F.sum(F.size("full_crcs").cast("long")).alias("n"))
     before = lambda *keys: Window.partitionBy(*keys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -278,9 +278,9 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
         .join(full_bases, "pid", "left")
         .fillna(0, ["rem_base", "full_base"])
     )
-    pieces = based.mapInArrow(_placed(plan, window), _PIECES)
+    pieces = map_batches(based, _placed(plan, window), _PIECES)
     kept = pieces.where(F.col("ids_crc32").isNotNull()).select(*_RESULT)
     parts = pieces.where(F.col("ids_crc32").isNull()).join(
         staged.select("pid", "rem_len", "rem_rank", "rem_ids"), ["pid", "rem_len", "rem_rank"]
     )
-    return kept.unionByName(parts.mapInArrow(_crc_of_parts, ", ".join(f"{c} long" for c in _RESULT)))
+    return kept.unionByName(map_batches(parts, _crc_of_parts, ", ".join(f"{c} long" for c in _RESULT)))
